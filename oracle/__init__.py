@@ -1 +1,16 @@
 """Independent SQL of the registered queries, for checking results in another engine."""
+
+from __future__ import annotations
+
+import importlib
+
+from oracle.prelude import sql
+
+FAMILIES = ("views",)
+
+
+def all_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for family in FAMILIES:
+        out.update({name: sql(body) for name, body in importlib.import_module(f"oracle.{family}").SQL.items()})
+    return out

@@ -5,8 +5,9 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from plateflow.functions.literal import table_of
 from plateflow.model import TABLES
 
 # The operating cities (id, name, state).
@@ -42,13 +43,13 @@ PROMOTIONS = (
 
 def cities(spark: SparkSession) -> DataFrame:
     rows = [(i, name, state, "India", "Asia/Kolkata", True, None) for i, name, state in CITIES]
-    return spark.createDataFrame(rows, TABLES["cities"].schema)
+    return table_of(spark, rows, TABLES["cities"].schema)
 
 
 def zones(spark: SparkSession, per_city: int = 10) -> DataFrame:
     """Named areas where known; the other cities get numbered zones with 20 + 2z target minutes."""
     named = [(name, z, f" - {area}", mins) for name, areas in AREAS.items() for z, (area, mins) in enumerate(areas, 1)]
-    areas = spark.createDataFrame(named, "city_name string, z int, suffix string, mins int")
+    areas = table_of(spark, named, T.StructType.fromDDL("city_name string, z int, suffix string, mins int"))
     grid = cities(spark).withColumn("z", F.explode(F.sequence(F.lit(1), F.lit(per_city))))
     filled = grid.join(areas, ["city_name", "z"], "left")
     return filled.select(
@@ -70,7 +71,7 @@ def promotions(spark: SparkSession) -> DataFrame:
          date.fromisoformat(first), date.fromisoformat(last), active, who)
         for i, (code, name, kind, value, least, cap, uses, first, last, active, who) in enumerate(PROMOTIONS, 1)
     ]
-    return spark.createDataFrame(rows, TABLES["promotions"].schema)
+    return table_of(spark, rows, TABLES["promotions"].schema)
 
 
 def insert_missing(existing: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
