@@ -6,7 +6,7 @@ import importlib
 
 from oracle.prelude import sql
 
-FAMILIES = ("views",)
+FAMILIES = ("views", "customers", "delivery")
 
 
 def all_sql() -> dict[str, str]:

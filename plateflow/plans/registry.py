@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from plateflow.model import Marketplace
-from plateflow.operators import views
+from plateflow.operators import customers, delivery, views
 
 Query = Callable[[Marketplace, date], DataFrame]
 
@@ -19,6 +20,46 @@ QUERIES: dict[str, Query] = {
     "v4_hourly_demand": views.hourly_demand,
     "v5_partner_performance": views.partner_performance,
     "v6_customer_rfm": views.customer_rfm,
+    # customers
+    "cu1_cohort_retention": customers.cohort_retention,
+    "cu2_rfm_summary": customers.rfm_summary,
+    "cu3_lifetime_value": customers.lifetime_value,
+    "cu4_churn_risk": customers.churn_risk,
+    "cu4_churn_risk_corrected": partial(customers.churn_risk, corrected=True),
+    "cu5_acquisition_channels": customers.acquisition_channels,
+    "cu5_acquisition_channels_corrected": partial(customers.acquisition_channels, corrected=True),
+    "cu6_recency_bands": customers.recency_bands,
+    "i27_spending_quintiles": customers.spending_quintiles,
+    "i31_cohort_matrix": customers.cohort_matrix,
+    "i33_value_quintiles": customers.value_quintiles,
+    "nb1_retention_rows": customers.retention_rows,
+    "nb1_retention_pivot": customers.retention_pivot,
+    "nb1_mean_month_1": customers.mean_first_month_retention,
+    "rd2_cohort_activity_all": customers.cohort_activity_all,
+    "x1_retention_report": customers.retention_report,
+    # delivery
+    "de1_delivery_times": delivery.delivery_times,
+    "de2_delivery_heatmap": delivery.delivery_heatmap,
+    "de3_partner_scores": delivery.partner_scores,
+    "de3_partner_scores_corrected": partial(delivery.partner_scores, corrected=True),
+    "de4_zone_risk": delivery.zone_risk,
+    "de4_zone_risk_corrected": partial(delivery.zone_risk, corrected=True),
+    "de5_cancellation_reasons": delivery.cancellation_reasons,
+    "de6_partner_earnings": delivery.partner_earnings,
+    "x2_zone_performance": delivery.zone_performance,
+    "i8_late_orders": delivery.late_orders,
+    "i32_slow_partners": delivery.slow_partners,
+    "i32_slow_partners_105": partial(delivery.slow_partners, ratio_percent=105),
+    "i41_inactive_partners": delivery.inactive_partners,
+    "i44_slow_zones": delivery.slow_zones,
+    "i45_unassigned_risk": delivery.unassigned_risk,
+    "nb11_late_share": delivery.late_share,
+    "nb12_time_percentiles": delivery.time_percentiles,
+    "nb12_time_histogram": delivery.time_histogram,
+    "nb13_zone_late_share": delivery.zone_late_share,
+    "nb14_quartile_by_vehicle": delivery.quartile_by_vehicle,
+    "nb14_quartile_pivot": delivery.quartile_pivot,
+    "og1_partner_average": delivery.partner_average,
 }
 
 
