@@ -158,13 +158,12 @@ def money(cents: str) -> str:
     return f"({cents})::DOUBLE/100"
 
 
-def ptile(value: str, point: int, places: int, unit: int = 1, keep: str | None = None) -> str:
+def ptile(value: str, point: int, places: int, unit: int = 1) -> str:
     """Exact continuous percentile of an integer value (divided by ``unit``) over the group."""
-    f = f" FILTER (WHERE {keep})" if keep else ""
-    v = f"list(({value})::BIGINT ORDER BY {value}){f}"
-    v = f"list_filter({v}, x -> x IS NOT NULL)"
-    pos = f"((len({v})-1)*{point})"
-    low, high = f"{v}[{pos}//100+1]", f"{v}[least({pos}//100+2, len({v}))]"
+    v = f"list(({value})::BIGINT ORDER BY {value}) FILTER (WHERE ({value}) IS NOT NULL)"
+    n = f"count({value})"
+    pos = f"(({n}-1)*{point})"
+    low, high = f"({v})[{pos}//100+1]", f"({v})[least({pos}//100+2, {n})]"
     return rdiv(f"{low}*(100-{pos}%100)+{high}*({pos}%100)", str(100 * unit), places)
 
 

@@ -206,3 +206,21 @@ def _distributed(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
         total = F.col("_sum") + F.coalesce(F.col("_sum_before"), F.lit(0))
         added[want.running[0]] = F.when(F.col("_sum").isNull(), F.col("_sum_before")).otherwise(total)
     return joined.select(*original, *[c.alias(n) for n, c in added.items()])
+
+
+def rank_among(few: DataFrame, every: DataFrame, value: str, name: str) -> DataFrame:
+    """Descending rank of the rows of ``few`` (bounded, like a top-k) among all rows of ``every``.
+
+    Every row only finds its place among the few values; the counts per place add up to ranks.
+    """
+    marks = few.agg(F.array_sort(F.collect_set(value)).alias("_marks"))
+    placed = every.select(value).withColumn("_marks", marks.scalar())
+    below = F.size(F.filter("_marks", lambda v: v < F.col(value)))
+    counts = placed.groupBy(below.alias("_place")).agg(F.count(F.lit(1)).alias("_n"))
+    # Rows whose value is above mark i have at least i + 1 marks below them.
+    table = counts.agg(F.collect_list(F.struct("_place", "_n")).alias("_counts"))
+    own = F.array_position("_all", F.col(value))
+    above = F.aggregate(
+        F.filter("_counts", lambda c: c["_place"] >= own), F.lit(0).cast("long"), lambda acc, c: acc + c["_n"])
+    return few.withColumn("_counts", table.scalar()).withColumn("_all", marks.scalar()).withColumn(
+        name, above + 1).drop("_counts", "_all")

@@ -8,8 +8,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from plateflow.functions.dates import days_before
 from plateflow.model import Marketplace
-from plateflow.operators import customers, delivery, views
+from plateflow.operators import customers, delivery, executive, operations, questions, reports, restaurants, views
 
 Query = Callable[[Marketplace, date], DataFrame]
 
@@ -60,6 +61,94 @@ QUERIES: dict[str, Query] = {
     "nb14_quartile_by_vehicle": delivery.quartile_by_vehicle,
     "nb14_quartile_pivot": delivery.quartile_pivot,
     "og1_partner_average": delivery.partner_average,
+    # restaurants
+    "re1_monthly_ranking": restaurants.monthly_ranking,
+    "re2_cuisine_share": restaurants.cuisine_share,
+    "re3_health_scores": restaurants.health_scores,
+    "re3_health_scores_corrected": partial(restaurants.health_scores, corrected=True),
+    "re4_top_items": restaurants.top_items,
+    "re5_onboarding_ramp": restaurants.onboarding_ramp,
+    "i2_rated_active": restaurants.rated_active,
+    "i5_popular_items": restaurants.popular_items,
+    "i7_cancellation_by_cuisine": restaurants.cancellation_by_cuisine,
+    "i10_recent_busy": restaurants.recent_busy,
+    "i10_recent_busy_84": partial(restaurants.recent_busy, months=84),
+    "i11_ratings_by_cuisine": restaurants.ratings_by_cuisine,
+    "i15_unreviewed": restaurants.unreviewed,
+    "i16_city_ranking": restaurants.city_ranking,
+    "i17_second_cuisine": restaurants.nth_cuisine,
+    "i22_peak_hours": restaurants.peak_hours,
+    "i26_improved_ratings": restaurants.improved_ratings,
+    "i26_improved_ratings_july": lambda m, as_of: restaurants.improved_ratings(m, days_before(as_of, 2)),
+    "i28_longest_streaks": restaurants.longest_streaks,
+    "i29_weekday_weekend": restaurants.weekday_weekend,
+    "i34_declining": restaurants.declining,
+    "i34_declining_july": lambda m, as_of: restaurants.declining(m, days_before(as_of, 2)),
+    "i39_abc_items": restaurants.abc_classes,
+    "i39_abc_items_all": partial(restaurants.abc_classes, k=None),
+    "i42_ordered_together": restaurants.ordered_together,
+    "nb8_top_cuisines": restaurants.top_cuisines,
+    # operations
+    "op1_demand_plan": operations.demand_plan,
+    "op1_demand_plan_late_night": partial(operations.demand_plan, late_night=True),
+    "op2_ticket_service": operations.ticket_service,
+    "op3_promotion_effect": operations.promotion_effect,
+    "op4_order_funnel": operations.order_funnel,
+    "op5_city_monthly_revenue": operations.city_monthly_revenue,
+    "op6_refund_leakage": operations.refund_leakage,
+    "i14_tickets_by_status": operations.tickets_by_status,
+    "i35_order_values": operations.order_values,
+    "i40_friday_zones": operations.friday_zones,
+    "i40_friday_zones_105": partial(operations.friday_zones, ratio_percent=105),
+    # platform
+    "ex1_month_tiles": executive.month_tiles,
+    "ex1_month_tiles_corrected": partial(executive.month_tiles, corrected=True),
+    "ex2_gmv_trend": executive.gmv_trend,
+    "ex3_unit_economics": executive.unit_economics,
+    "ex4_new_and_returning": executive.new_and_returning,
+    "ex4_new_and_returning_corrected": partial(executive.new_and_returning, corrected=True),
+    "i18_moving_orders": executive.moving_orders,
+    "i18_moving_orders_calendar": executive.moving_orders_calendar,
+    "i20_monthly_growth": executive.monthly_growth,
+    "i24_platform_revenue_trend": executive.platform_revenue_trend,
+    "i37_daily_growth": executive.daily_growth,
+    "i37_daily_growth_corrected": partial(executive.daily_growth, corrected=True),
+    "i43_daily_retention": executive.daily_retention,
+    "ru1_platform_kpis": executive.platform_kpis,
+    "nb4_platform_overview": executive.platform_overview,
+    "nb5_recent_trend": executive.recent_trend,
+    "nb9_month_start_growth": executive.month_start_growth,
+    # questions
+    "i1_orders_per_city": questions.orders_per_city,
+    "i3_value_by_payment": questions.value_by_payment,
+    "i4_never_ordered": questions.never_ordered,
+    "i4_dormant": questions.dormant,
+    "i6_partners_by_vehicle": questions.partners_by_vehicle,
+    "i9_promotion_usage": questions.promotion_usage,
+    "i12_orders_by_hour": questions.orders_by_hour,
+    "i13_big_spenders": questions.big_spenders,
+    "i19_food_explorers": questions.food_explorers,
+    "i21_seasoned_partners": questions.seasoned_partners,
+    "i21_seasoned_partners_50": partial(questions.seasoned_partners, min_deliveries=50),
+    "i23_active_every_month": questions.active_every_month,
+    "i23_active_every_month_2": partial(questions.active_every_month, months=2),
+    "i25_above_own_average": questions.above_own_average,
+    "i30_first_and_last": questions.first_and_last,
+    "i30_first_and_last_all": partial(questions.first_and_last, k=None),
+    "i38_more_in_second_quarter": questions.more_in_second_quarter,
+    "nb6_status_distribution": questions.status_distribution,
+    "rd1_demand_by_day_name": questions.demand_by_day_name,
+    # reports
+    "ru2_peak_cells": reports.peak_cells,
+    "ru3_top_restaurants": reports.top_restaurants,
+    "ru4_rfm_segments": reports.rfm_segments,
+    "ru5_delivery_profiles": reports.delivery_profiles,
+    "ru6_churn_segments": reports.churn_segments,
+    "nb2_rfm_distribution": reports.rfm_distribution,
+    "nb3_recency_revenue": reports.recency_revenue,
+    "nb7_demand_heatmap": reports.demand_heatmap,
+    "nb7_demand_pivot": reports.demand_pivot,
+    "nb10_valuable_at_risk": reports.valuable_at_risk,
 }
 
 
