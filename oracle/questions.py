@@ -3,8 +3,8 @@
 from oracle.prelude import cavg, money, pct, rdiv
 
 
-def months(n: int, start: str) -> str:
-    return f"""SELECT cid AS customer_id, customer_name, customer_tier, k AS active_months FROM (SELECT cid, count(DISTINCT m) AS k FROM ord WHERE dlv AND m BETWEEN DATE '{start}' AND DATE '2001-08-01' GROUP BY cid HAVING count(DISTINCT m)={n}) JOIN cust USING (cid)"""
+def months(n: int, start: str, end: str = "2001-08-01") -> str:
+    return f"""SELECT cid AS customer_id, customer_name, customer_tier, k AS active_months FROM (SELECT cid, count(DISTINCT m) AS k FROM ord WHERE dlv AND m BETWEEN DATE '{start}' AND DATE '{end}' GROUP BY cid HAVING count(DISTINCT m)={n}) JOIN cust USING (cid)"""
 
 
 def ends(limit: str) -> str:
@@ -32,7 +32,7 @@ SQL = {
     "i21_seasoned_partners": seasoned(500),
     "i21_seasoned_partners_50": seasoned(50),
     "i23_active_every_month": months(6, "2001-03-01"),
-    "i23_active_every_month_2": months(2, "2001-07-01"),
+    "i23_active_every_month_2": months(2, "2001-06-01", "2001-07-01"),
     "i25_above_own_average": f""", q AS (SELECT cid, count(*) AS n, sum(total_c) AS s FROM ord WHERE dlv GROUP BY cid)
 SELECT oid AS order_id, customer_name, {money('total_c')} AS this_order, {rdiv('s', 'n*100', 6)} AS customer_avg, {rdiv('total_c*n-s', 'n*100', 2)} AS above_avg_by FROM ord JOIN q USING (cid) JOIN (SELECT cid, customer_name FROM cust) USING (cid)
 WHERE dlv AND total_c*n*2>s*3 ORDER BY above_avg_by DESC, oid LIMIT 20""",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plateflow.functions.dates import days_before
 from plateflow.model import Marketplace
-from plateflow.operators import customers, delivery, executive, operations, questions, reports, restaurants, views
+from plateflow.operators import customers, delivery, executive, kpis, operations, questions, reports, restaurants, views
 
 Query = Callable[[Marketplace, date], DataFrame]
 
@@ -131,7 +131,7 @@ QUERIES: dict[str, Query] = {
     "i21_seasoned_partners": questions.seasoned_partners,
     "i21_seasoned_partners_50": partial(questions.seasoned_partners, min_deliveries=50),
     "i23_active_every_month": questions.active_every_month,
-    "i23_active_every_month_2": partial(questions.active_every_month, months=2),
+    "i23_active_every_month_2": lambda m, as_of: questions.active_every_month(m, days_before(as_of, 2), months=2),
     "i25_above_own_average": questions.above_own_average,
     "i30_first_and_last": questions.first_and_last,
     "i30_first_and_last_all": partial(questions.first_and_last, k=None),
@@ -149,6 +149,34 @@ QUERIES: dict[str, Query] = {
     "nb7_demand_heatmap": reports.demand_heatmap,
     "nb7_demand_pivot": reports.demand_pivot,
     "nb10_valuable_at_risk": reports.valuable_at_risk,
+    # indicators
+    "k1_revenue_metrics": kpis.revenue_metrics,
+    "k2_customer_metrics": kpis.customer_metrics,
+    "k3_acquisition_cost": kpis.acquisition_cost_flat,
+    "k4_delivery_metrics": kpis.delivery_metrics,
+    "k5_restaurant_metrics": kpis.restaurant_metrics,
+    "k6_ticket_sla": kpis.ticket_sla,
+    "k6_assignment_sla": kpis.assignment_sla,
+    "k7_rfm_by_dictionary": kpis.rfm_by_dictionary,
+    "k8_month_to_date": kpis.month_to_date,
+    "k9_late_share_of_partners": kpis.late_share_of_partners,
+    "k9_demand_colors": kpis.demand_colors,
+    "k9_tier_colors": kpis.tier_colors,
+    "k10_best_and_worst_partners": kpis.best_and_worst_partners,
+    "k10_trips_per_day_histogram": kpis.trips_per_day_histogram,
+    "k10_earnings_by_vehicle": kpis.earnings_by_vehicle,
+    "k11_zone_alerts": kpis.zone_alerts,
+    "k12_value_histogram": kpis.value_histogram,
+    "k12_order_value_by_channel": kpis.order_value_by_channel,
+    "k12_rating_trend": kpis.rating_trend,
+    "k12_rating_against_orders": kpis.rating_against_orders,
+    "k12_health_distribution": kpis.health_distribution,
+    "k13_revenue_by_day": partial(kpis.revenue_metrics, grain="day"),
+    "k13_revenue_by_week_payment": partial(kpis.revenue_metrics, grain="week", by=("payment_method",)),
+    "k13_revenue_by_month_city": partial(kpis.revenue_metrics, grain="month", by=("city",)),
+    "k13_revenue_by_month_cuisine": partial(kpis.revenue_metrics, grain="month", by=("cuisine",)),
+    "k13_revenue_ytd_restaurant": partial(kpis.revenue_year_to_date, by=("restaurant",)),
+    "i36_segments_with_revenue": kpis.segment_with_revenue,
 }
 
 
