@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plateflow.functions.dates import days_before
 from plateflow.model import Marketplace
-from plateflow.operators import customers, delivery, executive, kpis, operations, questions, reports, restaurants, views
+from plateflow.operators import customers, delivery, executive, kpis, operations, quality, questions, reports, restaurants, views
 
 Query = Callable[[Marketplace, date], DataFrame]
 
@@ -177,6 +177,12 @@ QUERIES: dict[str, Query] = {
     "k13_revenue_by_month_cuisine": partial(kpis.revenue_metrics, grain="month", by=("cuisine",)),
     "k13_revenue_ytd_restaurant": partial(kpis.revenue_year_to_date, by=("restaurant",)),
     "i36_segments_with_revenue": kpis.segment_with_revenue,
+    # data quality
+    "d1_d2_keys": quality.validate_keys,
+    "d3_references": quality.validate_references,
+    "d4_d9_row_rules": quality.validate_rows,
+    "d10_d13_business_rules": quality.validate_business,
+    "d11_illegal_transitions": quality.illegal_transitions,
 }
 
 
