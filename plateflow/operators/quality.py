@@ -1,7 +1,7 @@
 """Constraints of the model as a validation job.
 
 Every table is scanned once for all its row-local rules; keys and references are one
-aggregation or anti join each. A rule yields a count, never the offending rows, unless
+aggregation and one join for all tables together. A rule yields a count, never the offending rows, unless
 they are asked for with :func:`rejects`.
 """
 
@@ -85,33 +85,71 @@ def check_rows(m: Marketplace, table: str, as_of: date) -> DataFrame:
         "r.rule_id", F.lit(table).alias("table_name"), "r.n_rows", "r.n_failed", "r.max_rate")
 
 
-def check_unique(m: Marketplace, table: str, *columns: str) -> DataFrame:
-    """Surplus rows per key; rows with a NULL in the key are not compared."""
+def _keys_of(table: str) -> dict[str, list[str]]:
     spec = TABLES[table]
-    keys = list(columns) or [spec.key]
-    rule = "D1 primary key" if keys == [spec.key] else f"D2 unique {', '.join(keys)}"
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    groups = m.table(table, *keys).filter(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.sum(F.col("_n") - 1).alias("n_failed"))
-    return _one(rows, rule, table)
+    rules = {"D1 primary key": [spec.key]}
+    rules |= {f"D2 unique {', '.join(k)}": list(k) for k in spec.unique}
+    return rules
+
+
+def _expected(m: Marketplace, names: list[tuple[str, str]]) -> DataFrame:
+    """The list of rules, so that a rule without rows still reports."""
+    return table_of(m.spark, names, T.StructType.fromDDL("rule_id string, table_name string"))
+
 
+def _completed(m: Marketplace, names: list[tuple[str, str]], counted: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    return _expected(m, names).join(counted, ["rule_id", "table_name"], "left").select(
+        "rule_id", "table_name", F.coalesce("n_rows", zero).alias("n_rows"),
+        F.coalesce("n_failed", zero).alias("n_failed"), F.lit(Decimal("0")).cast("decimal(10,6)").alias("max_rate"))
 
-def check_reference(m: Marketplace, table: str, column: str) -> DataFrame:
+
+def check_keys(m: Marketplace, tables: Iterable[str]) -> DataFrame:
+    """Surplus rows per key. A table is scanned once for all its keys; NULL keys are not compared."""
+    parts, names = [], []
+    for table in tables:
+        rules = _keys_of(table)
+        names += [(rule, table) for rule in rules]
+        columns = dict.fromkeys(c for keys in rules.values() for c in keys)
+        entries = F.array(*[F.struct(
+            F.lit(rule).alias("rule_id"),
+            # concat is NULL as soon as one part is.
+            F.concat_ws("|", F.array(*[F.col(k).cast("string") for k in keys])).alias("key"),
+            F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull().alias("full"))
+            for rule, keys in rules.items()])
+        parts.append(m.table(table, *columns).select(F.lit(table).alias("table_name"), F.explode(entries).alias("e"))
+                     .filter("e.full").select("table_name", "e.rule_id", "e.key"))
+    groups = _union(parts).groupBy("rule_id", "table_name", "key").agg(F.count(F.lit(1)).alias("_n"))
+    return _completed(m, names, groups.groupBy("rule_id", "table_name").agg(
+        F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("n_failed")))
+
+
+def check_references(m: Marketplace, tables: Iterable[str]) -> DataFrame:
     """Rows whose reference has no target.
 
+    Each table is read once for all its references and each target once for its keys.
     References are counted per value first, so a value that a third of the rows carry
-    meets its target once.
+    meets its target as one row.
     """
-    target, key = TABLES[table].refs[column]
-    used = m.table(table, column).filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    known = m.table(target, key).select(F.col(key).alias("_v")).distinct().withColumn("_known", F.lit(True))
-    rows = used.join(known, "_v", "left").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.sum(F.when(F.col("_known").isNull(), F.col("_n"))).alias("n_failed"))
-    return _one(rows, f"D3 {column} references {target}", table)
+    parts, names, targets = [], [], {}
+    for table in tables:
+        refs = TABLES[table].refs
+        if not refs:
+            continue
+        names += [(f"D3 {c} references {t}", table) for c, (t, _) in refs.items()]
+        targets |= {t: key for t, key in refs.values()}
+        entries = F.array(*[F.struct(
+            F.lit(f"D3 {c} references {t}").alias("rule_id"), F.lit(t).alias("target"), F.col(c).alias("value"))
+            for c, (t, _) in refs.items()])
+        parts.append(m.table(table, *refs).select(F.lit(table).alias("table_name"), F.explode(entries).alias("e"))
+                     .select("table_name", "e.*").filter("value is not null"))
+    if not parts:
+        raise ValueError("no table with references given")
+    used = _union(parts).groupBy("rule_id", "table_name", "target", "value").agg(F.count(F.lit(1)).alias("_n"))
+    known = _union(m.table(t, key).select(F.lit(t).alias("target"), F.col(key).alias("value"))
+                   for t, key in targets.items()).distinct().withColumn("_known", F.lit(True))
+    return _completed(m, names, used.join(known, ["target", "value"], "left").groupBy("rule_id", "table_name").agg(
+        F.sum("_n").alias("n_rows"), F.sum(F.when(F.col("_known").isNull(), F.col("_n"))).alias("n_failed")))
 
 
 def payment_matches_order(m: Marketplace) -> DataFrame:
@@ -218,15 +256,11 @@ def validate_rows(m: Marketplace, as_of: date, tables: Iterable[str] | None = No
 
 
 def validate_keys(m: Marketplace, as_of: date | None = None, tables: Iterable[str] | None = None) -> DataFrame:
-    checks = []
-    for t in tables or TABLES:
-        checks.append(check_unique(m, t))
-        checks += [check_unique(m, t, *keys) for keys in TABLES[t].unique]
-    return judged(_union(checks))
+    return judged(check_keys(m, tables or TABLES))
 
 
 def validate_references(m: Marketplace, as_of: date | None = None, tables: Iterable[str] | None = None) -> DataFrame:
-    return judged(_union(check_reference(m, t, c) for t in tables or TABLES for c in TABLES[t].refs))
+    return judged(check_references(m, tables or TABLES))
 
 
 def validate_business(m: Marketplace, as_of: date | None = None) -> DataFrame:

@@ -10,10 +10,17 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plateflow.functions.dates import days_before
 from plateflow.model import Marketplace
-from plateflow.operators import customers, delivery, executive, kpis, operations, quality, questions, reports, restaurants, views
+from plateflow.operators import customers, delivery, executive, kpis, operations, quality, questions, reports, requests, \
+    restaurants, views
+from plateflow.sources import star_requests as asked
 
 Query = Callable[[Marketplace, date], DataFrame]
 
+
+def _placed(m: Marketplace) -> requests.Placed:
+    return requests.place_orders(m, asked.order_requests(m), asked.PRICED_ON)
+
+
 QUERIES: dict[str, Query] = {
     "v1_order_detail": views.order_detail,
     "v2_daily_kpi": views.daily_kpi,
@@ -183,6 +190,21 @@ QUERIES: dict[str, Query] = {
     "d4_d9_row_rules": quality.validate_rows,
     "d10_d13_business_rules": quality.validate_business,
     "d11_illegal_transitions": quality.illegal_transitions,
+    # requests
+    "x3_placed_orders": lambda m, as_of: _placed(m).orders,
+    "x3_placed_items": lambda m, as_of: _placed(m).items,
+    "x3_placed_payments": lambda m, as_of: _placed(m).payments,
+    "x3_rejects": lambda m, as_of: _placed(m).rejects,
+    "x4_cancelled_orders": lambda m, as_of: requests.cancel_orders(m, asked.cancel_requests(m)).orders,
+    "x4_refunds": lambda m, as_of: requests.cancel_orders(m, asked.cancel_requests(m)).payments,
+    "x4_rejects": lambda m, as_of: requests.cancel_orders(m, asked.cancel_requests(m)).rejects,
+    "x5_refunds": lambda m, as_of: requests.process_refunds(m, asked.refund_requests(m)).payments,
+    "x5_rejects": lambda m, as_of: requests.process_refunds(m, asked.refund_requests(m)).rejects,
+    "x6_restaurant_ratings": requests.restaurant_ratings,
+    "x7_assigned": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).deliveries,
+    "x7_rejects": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).rejects,
+    "x8_completed": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).deliveries,
+    "x8_rejects": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).rejects,
 }
 
 

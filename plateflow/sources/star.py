@@ -470,4 +470,6 @@ def star_market(spark: SparkSession, directory: str) -> Marketplace:
         types = {f.name: f.dataType for f in TABLES[table].schema}
         return df.withColumns({c: F.col(c).cast(types[c]) for c in columns if df.schema[c].dataType != types[c]})
 
-    return Marketplace(spark, provide)
+    market = Marketplace(spark, provide)
+    market.source = star
+    return market
