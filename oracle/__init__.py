@@ -6,7 +6,7 @@ import importlib
 
 from oracle.prelude import sql
 
-FAMILIES = ("views", "customers", "delivery", "restaurants", "operations", "executive", "questions", "reports", "kpis", "quality", "requests")
+FAMILIES = ("views", "customers", "delivery", "restaurants", "operations", "executive", "questions", "reports", "kpis", "quality", "requests", "streaming", "storage")
 
 
 def all_sql() -> dict[str, str]:

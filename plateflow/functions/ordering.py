@@ -208,6 +208,31 @@ def _distributed(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
     return joined.select(*original, *[c.alias(n) for n, c in added.items()])
 
 
+def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name: str,
+                 one_task_rows: int | None = None) -> DataFrame:
+    """``value`` of the row before within ``key``, also where one key holds much of the table.
+
+    Small frames use ``lag``. Larger ones are range-partitioned on (key, order): a task looks
+    back inside its own rows, and its first row takes the last one of the task before.
+    """
+    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
+    keys = [F.col(key).asc_nulls_first(), *[k.sort() for k in order]]
+    if df.count() <= limit:
+        return df.withColumn(name, F.lag(value).over(W.partitionBy(key).orderBy(*keys[1:])))
+    placed = cut(
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_task", F.shiftright("_at", 33))
+    entry = F.struct(F.col(key).alias("k"), F.col(value).alias("v"))
+    ends = placed.groupBy("_task").agg(F.max_by(entry, "_at").alias("_end"))
+    # One row per shuffle task; empty tasks have no row and are skipped.
+    carried = ends.select("_task", F.lag("_end").over(W.partitionBy(F.lit(0)).orderBy("_task")).alias("_carried"))
+    inside = F.lag(entry).over(W.partitionBy("_task").orderBy("_at"))
+    rows = placed.withColumn("_inside", inside).join(F.broadcast(carried), "_task")
+    before = F.coalesce("_inside", "_carried")
+    return rows.withColumn(name, F.when(before["k"].eqNullSafe(F.col(key)), before["v"])).drop(
+        "_at", "_task", "_inside", "_carried")
+
+
 def rank_among(few: DataFrame, every: DataFrame, value: str, name: str) -> DataFrame:
     """Descending rank of the rows of ``few`` (bounded, like a top-k) among all rows of ``every``.
 

@@ -221,6 +221,10 @@ class Marketplace:
     def __init__(self, spark: SparkSession, provider: Callable[..., DataFrame]):
         self.spark = spark
         self._provider = provider
+        # Materialised views by name, with the day they were computed for (see plans.refresh).
+        self.stored: dict[str, tuple[date, DataFrame]] = {}
+        # The object behind a provider, where a caller may need its raw tables.
+        self.source: object | None = None
 
     def table(self, name: str, *columns: str, since: date | None = None, until: date | None = None) -> DataFrame:
         wanted = list(columns) or TABLES[name].names

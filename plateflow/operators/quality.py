@@ -11,9 +11,10 @@ from collections.abc import Iterable
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plateflow.functions.literal import table_of
+from plateflow.functions.ordering import add_previous, asc
 from plateflow.model import DELIVERY_MOVES, ORDER_MOVES, TABLES, Marketplace
 
 
@@ -165,10 +166,10 @@ def _moves(m: Marketplace, moves: dict[str, tuple[str, ...]]) -> DataFrame:
 
 
 def transitions(m: Marketplace) -> DataFrame:
-    """Status changes of each order with the status before; an order has a handful of them."""
-    own = W.partitionBy("order_id").orderBy("changed_at", "history_id")
-    return m.order_status_history("history_id", "order_id", "status", "changed_at").withColumn(
-        "_from", F.lag("status").over(own)).filter("_from is not null")
+    """Status changes of each order with the status before."""
+    steps = m.order_status_history("history_id", "order_id", "status", "changed_at")
+    return add_previous(steps, "order_id", (asc("changed_at"), asc("history_id")), "status", "_from").filter(
+        "_from is not null")
 
 
 def illegal_transitions(m: Marketplace, as_of: date | None = None) -> DataFrame:
@@ -188,8 +189,7 @@ def legal_transitions(m: Marketplace) -> DataFrame:
 
 def legal_delivery_changes(m: Marketplace, history: DataFrame) -> DataFrame:
     """The same for delivery states; ``history`` is (delivery_id, status, changed_at)."""
-    own = W.partitionBy("delivery_id").orderBy("changed_at")
-    steps = history.withColumn("_from", F.lag("status").over(own)).filter("_from is not null")
+    steps = add_previous(history, "delivery_id", (asc("changed_at"),), "status", "_from").filter("_from is not null")
     legal = _moves(m, DELIVERY_MOVES).withColumn("_ok", F.lit(True))
     rows = steps.join(legal, ["_from", "status"], "left").agg(
         F.count(F.lit(1)).alias("n_rows"), _fails(F.col("_ok").isNull()).alias("n_failed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,6 +15,25 @@ from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, everything, is_cancelled, is_delivered
 
 
+def materialised(dated: bool = False):
+    """Read the stored copy of a view where the marketplace has one; a dated view must match the day."""
+
+    def wrap(view):
+        @wraps(view)
+        def read(m: Marketplace, as_of: date | None = None, **parameters):
+            kept = m.stored.get(view.__name__)
+            if kept is None or (dated and kept[0] != as_of):
+                return view(m, as_of, **parameters)
+            if parameters.keys() - {"since"}:
+                return view(m, as_of, **parameters)
+            since = parameters.get("since")
+            return kept[1] if since is None else kept[1].filter(F.col("day") >= F.lit(since))
+
+        return read
+
+    return wrap
+
+
 def order_detail(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Every order with customer, restaurant, zone, delivery and review."""
     orders = m.orders(
@@ -45,6 +65,7 @@ def order_detail(m: Marketplace, as_of: date | None = None) -> DataFrame:
         "overall_rating")
 
 
+@materialised()
 def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = None) -> DataFrame:
     """One row per day. ``peak_start_hour`` is the hour of the first order of the day."""
     orders = m.orders("order_date", "order_timestamp", "order_status", "customer_id", "restaurant_id",
@@ -68,6 +89,7 @@ def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = No
         percent(F.col("cancelled_orders"), F.col("total_orders"), 2).alias("cancellation_rate_pct"))
 
 
+@materialised()
 def restaurant_performance(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """One row per restaurant with revenue ranks, overall and within its cuisine."""
     orders = m.orders("restaurant_id", "order_status", "total_amount", "platform_commission", "customer_id")
@@ -109,6 +131,7 @@ def percent_rank(rank: str, rows: str):
     return F.coalesce(percent(F.col(rank) - 1, F.col(rows) - 1, 1), F.lit(0).cast("decimal(24,1)"))
 
 
+@materialised()
 def hourly_demand(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Weekday by hour, against the total and against the average cell."""
     orders = m.orders("order_timestamp", "order_status", "total_amount").filter(~is_cancelled())
@@ -126,6 +149,7 @@ def hourly_demand(m: Marketplace, as_of: date | None = None) -> DataFrame:
         ratio(F.col("order_count") * F.col("_cells"), F.col("_sum"), 3).alias("demand_index"))
 
 
+@materialised()
 def partner_performance(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """One row per active partner; partners without deliveries are kept."""
     trips = m.deliveries("partner_id", "delivery_id", "delivery_status", "actual_time_mins", "distance_km",
@@ -184,6 +208,7 @@ def _segment(dictionary: bool):
     return out.otherwise("Needs Attention")
 
 
+@materialised(dated=True)
 def customer_rfm(m: Marketplace, as_of: date, bands: int = 5, dictionary: bool = False) -> DataFrame:
     """Recency, frequency and money scores of customers with a delivered order."""
     base = delivered(m, "customer_id", "order_id", "order_date", "total_amount").groupBy("customer_id").agg(

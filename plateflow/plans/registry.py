@@ -12,7 +12,9 @@ from plateflow.functions.dates import days_before
 from plateflow.model import Marketplace
 from plateflow.operators import customers, delivery, executive, kpis, operations, quality, questions, reports, requests, \
     restaurants, views
+from plateflow.plans import storage_checks as stored
 from plateflow.sources import star_requests as asked
+from plateflow.streaming import star_feeds as feeds
 
 Query = Callable[[Marketplace, date], DataFrame]
 
@@ -205,6 +207,37 @@ QUERIES: dict[str, Query] = {
     "x7_rejects": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).rejects,
     "x8_completed": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).deliveries,
     "x8_rejects": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).rejects,
+    # running totals, batch and streaming
+    "t1_restaurant_ratings": feeds.batch_restaurant_ratings,
+    "t1_restaurant_ratings_stream": feeds.stream_restaurant_ratings,
+    "t2_partner_ratings": feeds.batch_partner_ratings,
+    "t2_partner_ratings_stream": feeds.stream_partner_ratings,
+    "t3_audit_log": feeds.batch_audit_log,
+    "t3_audit_log_stream": feeds.stream_audit_log,
+    "t4_customer_totals": feeds.batch_customer_totals,
+    "t4_customer_totals_stream": feeds.stream_customer_totals,
+    "t5_restaurant_totals": feeds.batch_restaurant_totals,
+    "t5_restaurant_totals_stream": feeds.stream_restaurant_totals,
+    "t6_promotion_usage": feeds.batch_promotion_usage,
+    "t6_promotion_usage_stream": feeds.stream_promotion_usage,
+    "t7_partner_totals": feeds.batch_partner_totals,
+    "t7_partner_totals_stream": feeds.stream_partner_totals,
+    "t8_live_monitor": feeds.batch_live_monitor,
+    "t8_live_monitor_stream": feeds.stream_live_monitor,
+    "t9_hourly_demand": feeds.batch_hourly_demand,
+    "t9_hourly_demand_stream": feeds.stream_hourly_demand,
+    "t9_smoothed_demand": feeds.batch_smoothed_demand,
+    "t9_smoothed_demand_stream": feeds.stream_smoothed_demand,
+    # loading, storing, refreshing, reporting
+    "s1_csv_round_trip": stored.csv_round_trip,
+    "s12_table_sizes": stored.table_sizes,
+    "s15_report_run": stored.report_run,
+    "s16_order_store": stored.order_store,
+    "s18_refreshed_views": stored.refreshed_views,
+    "f21_name_search": stored.name_search,
+    "g1_global_order": stored.global_order,
+    "t3_first_status": feeds.batch_first_status,
+    "t8_unassigned_orders": feeds.unassigned_orders,
 }
 
 
