@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -68,7 +69,7 @@ class Table:
     ranges: Mapping[str, tuple[float | None, float | None, bool]] = field(default_factory=dict)
     values: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
-    @property
+    @cached_property
     def schema(self) -> T.StructType:
         fields = []
         for item in self.columns.split():
@@ -228,7 +229,8 @@ class Marketplace:
 
     def table(self, name: str, *columns: str, since: date | None = None, until: date | None = None) -> DataFrame:
         wanted = list(columns) or TABLES[name].names
-        return self._provider(name, wanted, since, until).select(*wanted)
+        df = self._provider(name, wanted, since, until)
+        return df if df.columns == wanted else df.select(*wanted)
 
     def __getattr__(self, name: str) -> Callable[..., DataFrame]:
         if name not in TABLES:
