@@ -245,15 +245,11 @@ def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Marketp
         if name not in frames:
             return spark.createDataFrame([], TABLES[name].schema)
         df = frames[name]
-        if name == "orders":
-            if "order_date" not in df.columns:
-                df = derive(df, "orders")
-            df = between_dates(df, since, until)
-        else:
-            df = derive(df, name)
-        types = {f.name: f.dataType for f in TABLES[name].schema}
-        missing = {c: F.lit(None).cast(types[c]) for c in columns if c not in df.columns}
-        return df.withColumns(missing) if missing else df
+        derived = DERIVED.get(name, {})
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in TABLES[name].schema
+                   if f.name not in df.columns and f.name not in derived}
+        df = derive(df.withColumns(missing) if missing else df, name)
+        return between_dates(df, since, until) if name == "orders" else df
 
     return Marketplace(spark, provide)
 
