@@ -60,7 +60,7 @@ def main() -> None:
         "partner_average_og1": lambda: delivery.partner_average(base),
         "single_month": lambda: base.orders("total_amount", since=date(2000, 3, 1), until=date(2000, 4, 1)).agg(
             F.sum("total_amount")),
-        "city_monthly_op5": lambda: operations.city_monthly_revenue(base),
+        "city_monthly_revenue": lambda: operations.city_monthly_revenue(base),
         "cohort_retention_cu1": lambda: customers.cohort_retention(base),
         "churn_risk_cu4": lambda: customers.churn_risk(base, AS_OF),
         "health_scores_re3": lambda: restaurants.health_scores(base, AS_OF),

@@ -1,7 +1,7 @@
 """Platform tiles, trends, unit economics."""
 
-from oracle.prelude import cavg, money, pct, rdiv
-from oracle.views import AS_OF, DAILY
+from oracle.prelude import money, pct, rdiv
+from oracle.views import DAILY
 
 
 def tiles(fix: bool) -> str:

@@ -18,22 +18,22 @@ SELECT zone_name, city_name, f AS friday_orders, {rdiv('s', 'k', 0)} AS avg_dail
 
 
 SQL = {
-    "op1_demand_plan": plan("false"),
-    "op1_demand_plan_late_night": plan("hour IN (23,0,1)"),
-    "op2_ticket_service": f"""SELECT issue_type, priority, count(*) AS total_tickets, count_if(status='Resolved')::BIGINT AS resolved, count_if(status IN ('Open','In Progress'))::BIGINT AS open_tickets,
+    "operations_1_demand_plan": plan("false"),
+    "operations_1_demand_plan_late_night": plan("hour IN (23,0,1)"),
+    "operations_2_ticket_service": f"""SELECT issue_type, priority, count(*) AS total_tickets, count_if(status='Resolved')::BIGINT AS resolved, count_if(status IN ('Open','In Progress'))::BIGINT AS open_tickets,
  count_if(breached)::BIGINT AS sla_breaches, {pct('count_if(breached)', 'count(*)', 1)} AS sla_breach_pct, {rdiv("sum(datediff('second', created_at, resolved_at))", 'count(resolved_at)*3600', 1)} AS avg_resolution_hrs,
  {ptile("datediff('second', created_at, resolved_at)", 90, 1, 3600)} AS p90_resolution_hrs FROM tk GROUP BY 1, 2""",
-    "op3_promotion_effect": f""", b AS (SELECT round({rdiv('sum(total_c)', 'count(*)', 0)})::BIGINT AS base_c FROM ord WHERE dlv AND pid IS NULL),
+    "operations_3_promotion_effect": f""", b AS (SELECT round({rdiv('sum(total_c)', 'count(*)', 0)})::BIGINT AS base_c FROM ord WHERE dlv AND pid IS NULL),
  p AS (SELECT pid, count(*) AS n, {rdiv('sum(total_c)', 'count(*)', 0)}::BIGINT AS aov_c, {cavg('disc_c')} AS avg_discount, sum(total_c) AS g, sum(disc_c) AS dc, sum(comm_c) AS k FROM ord WHERE dlv AND pid IS NOT NULL GROUP BY pid)
 SELECT promo_code, promo_name, promo_type, {money('value_c')} AS discount_value, n AS promo_orders, {money('aov_c')} AS avg_order_value, {money('base_c')} AS baseline_aov, {money('aov_c-base_c')} AS aov_lift, avg_discount,
  {money('g')} AS total_gmv, {money('dc')} AS total_discount_cost, {money('k')} AS total_commission, {money('k-dc')} AS net_platform_gain, {pct('k-dc', 'dc', 1)} AS promotion_roi_pct FROM p JOIN promo ON promotion_id=pid, b""",
-    "op4_order_funnel": f""", f AS (SELECT count(*) AS n, count_if(NOT can) AS a, count(confirmed_at) AS b, count(prepared_at) AS c, count(picked_up_at) AS d, count_if(dlv) AS e FROM ord),
+    "operations_4_order_funnel": f""", f AS (SELECT count(*) AS n, count_if(NOT can) AS a, count(confirmed_at) AS b, count(prepared_at) AS c, count(picked_up_at) AS d, count_if(dlv) AS e FROM ord),
  u AS (SELECT unnest(['Placed','Not Cancelled','Confirmed','Prepared','Picked Up','Delivered']) AS stage, unnest([n,a,b,c,d,e])::BIGINT AS orders, n FROM f) SELECT stage, orders, {pct('orders', 'n', 1)} AS conversion_pct FROM u""",
-    "op5_city_monthly_revenue": f""", g AS (SELECT city_id, m, count(*) AS n, sum(total_c) AS c, count(DISTINCT cid) AS u FROM ord JOIN (SELECT cid, city_id FROM cust) USING (cid) WHERE dlv GROUP BY 1, 2),
+    "operations_5_city_monthly_revenue": f""", g AS (SELECT city_id, m, count(*) AS n, sum(total_c) AS c, count(DISTINCT cid) AS u FROM ord JOIN (SELECT cid, city_id FROM cust) USING (cid) WHERE dlv GROUP BY 1, 2),
  w AS (SELECT *, lag(c) OVER v AS p, sum(c) OVER (v ROWS UNBOUNDED PRECEDING) AS cum, sum(c) OVER (v ROWS 2 PRECEDING) AS s3, count(*) OVER (v ROWS 2 PRECEDING) AS n3 FROM g WINDOW v AS (PARTITION BY city_id ORDER BY m))
 SELECT city_name, m AS month, n AS orders, {money('c')} AS revenue, u AS active_customers, {rdiv('c', 'n*100', 2)} AS aov, {money('p')} AS prev_month, {pct('c-p', 'p', 1)} AS mom_growth_pct, {money('cum')} AS cumulative_revenue,
  {rdiv('s3', 'n3*100', 2)} AS ma_3month FROM w JOIN city USING (city_id)""",
-    "op6_refund_leakage": f"""SELECT m AS month, count_if(refunded)::BIGINT AS refunded_orders, {money('sum(refund_c) FILTER (WHERE refunded)')} AS total_refunds, {money('sum(total_c)')} AS gross_revenue,
+    "operations_6_refund_leakage": f"""SELECT m AS month, count_if(refunded)::BIGINT AS refunded_orders, {money('sum(refund_c) FILTER (WHERE refunded)')} AS total_refunds, {money('sum(total_c)')} AS gross_revenue,
  {pct('sum(refund_c) FILTER (WHERE refunded)', 'sum(total_c)', 2)} AS refund_rate_pct, count_if(can)::BIGINT AS cancellations, {pct('count_if(can)', 'count(*)', 2)} AS cancellation_rate_pct, {money('sum(disc_c)')} AS discount_cost,
  {pct('sum(disc_c)', 'sum(total_c)', 2)} AS discount_rate_pct FROM ord GROUP BY m""",
     "i14_tickets_by_status": f"SELECT issue_type, status, count(*) AS tickets, {pct('count(*)', 'sum(count(*)) OVER (PARTITION BY issue_type)', 1)} AS pct_within_type FROM tk GROUP BY 1, 2",

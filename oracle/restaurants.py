@@ -1,7 +1,6 @@
 """Restaurants, cuisines, menus."""
 
-from oracle.prelude import cavg, money, pct, rdiv
-from oracle.views import AS_OF
+from oracle.prelude import money, pct, rdiv
 
 SALES = ", s AS (SELECT rid, count(*) AS n, sum(total_c) AS c FROM ord WHERE dlv GROUP BY rid)"
 ITEMS = ", it AS (SELECT item_id, count(order_item_id) AS n, sum(item_c) AS c FROM oi JOIN (SELECT oid FROM ord WHERE dlv) USING (oid) GROUP BY item_id)"

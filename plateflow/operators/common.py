@@ -50,11 +50,12 @@ def activity_months(m: Marketplace, only_delivered: bool = True) -> DataFrame:
         orders = delivered(m, "customer_id", "order_date")
     else:
         orders = m.orders("customer_id", "order_date")
-    months = orders.select("customer_id", month_of(F.col("order_date")).alias("month")).distinct()
-    # A customer has at most one row per calendar month here, so this window stays small.
-    first = F.min("month").over(W.partitionBy("customer_id"))
-    return months.withColumn("cohort", first).withColumn(
-        "month_number", months_apart(F.col("month"), F.col("cohort")))
+    # The set of months of a customer is as long as the calendar at most, and it is merged
+    # map-side: one shuffle gives the cohort and the months, where distinct rows and a
+    # window over them would take two.
+    per = orders.groupBy("customer_id").agg(F.collect_set(month_of(F.col("order_date"))).alias("_months"))
+    rows = per.select("customer_id", F.array_min("_months").alias("cohort"), F.explode("_months").alias("month"))
+    return rows.withColumn("month_number", months_apart(F.col("month"), F.col("cohort")))
 
 
 def cohort_counts(m: Marketplace, max_month: int | None, only_delivered: bool = True) -> DataFrame:
@@ -90,6 +91,11 @@ def catalog(m: Marketplace, *columns: str) -> DataFrame:
     return items.join(rest, "restaurant_id").drop("restaurant_id")
 
 
-def minutes_at(column: str, point: float) -> Column:
-    """Exact percentile of whole minutes; a task keeps one counter per distinct minute only."""
-    return F.expr(f"percentile({column}, {point})")
+def distinct(column: Column | str, approximate: bool = False) -> Column:
+    """Distinct values, exact unless told otherwise (a sketch needs no second shuffle of the values)."""
+    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+
+
+def minutes_at(column: str, point: float, approximate: bool = False) -> Column:
+    """Percentile of whole minutes; exact, with one counter per distinct minute, unless told otherwise."""
+    return F.expr(f"percentile{'_approx' if approximate else ''}({column}, {point})")

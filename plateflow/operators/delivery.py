@@ -26,14 +26,14 @@ def whole(value, places: int = 0):
     return F.round(value, places).cast(f"decimal(20,{places})")
 
 
-def delivery_times(m: Marketplace, as_of: date | None = None) -> DataFrame:
+def delivery_times(m: Marketplace, as_of: date | None = None, approximate: bool = False) -> DataFrame:
     """Mean, percentiles and service-level shares of completed deliveries."""
     trips = done_trips(m, "actual_time_mins", "sla_breached", "on_time").filter("actual_time_mins is not null")
     points = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     n, late, timely = F.count(F.lit(1)), count_where(F.col("sla_breached")), count_where(F.col("on_time"))
     return trips.agg(
         mean(F.col("actual_time_mins"), 1).alias("mean_mins"),
-        *[whole(minutes_at("actual_time_mins", p)).alias(f"{name}_mins") for name, p in points.items()],
+        *[whole(minutes_at("actual_time_mins", p, approximate)).alias(f"{name}_mins") for name, p in points.items()],
         n.alias("total_deliveries"), late.alias("sla_breaches"), percent(late, n, 2).alias("sla_breach_pct"),
         timely.alias("on_time_count"), percent(timely, n, 2).alias("on_time_rate_pct"))
 

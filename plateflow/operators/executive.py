@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import days_before, first_of_month, month_of, shift_months
 from plateflow.functions.exact import attach, count_where, growth, mean, percent, ratio, sum_where
 from plateflow.functions.ordering import desc, top
 from plateflow.model import Marketplace
-from plateflow.operators.common import activity_months, delivered, everything, is_cancelled, is_delivered, \
+from plateflow.operators.common import activity_months, delivered, distinct, everything, is_cancelled, is_delivered, \
     trailing, truncated_growth, upto
 from plateflow.operators.views import daily_kpi
 
@@ -165,10 +165,11 @@ def daily_growth(m: Marketplace, as_of: date, days: int = 90, w: int = 7, correc
 
 def daily_retention(m: Marketplace, as_of: date | None = None, w: int = 30, k: int = 60) -> DataFrame:
     """Share of each day's customers whose first month lies before, and its average over ``w`` rows."""
-    days = delivered(m, "customer_id", "order_date").select("customer_id", "order_date").distinct()
-    cohort = month_of(F.min("order_date").over(W.partitionBy("customer_id")))
+    # One shuffle: the days of a customer as a set, no longer than the calendar.
+    per = delivered(m, "customer_id", "order_date").groupBy("customer_id").agg(F.collect_set("order_date").alias("_days"))
+    days = per.select(month_of(F.array_min("_days")).alias("_cohort"), F.explode("_days").alias("order_date"))
     back = F.col("_cohort") < month_of(F.col("order_date"))
-    rows = days.withColumn("_cohort", cohort).groupBy("order_date").agg(
+    rows = days.groupBy("order_date").agg(
         count_where(back).alias("returning_customers"), F.count(F.lit(1)).alias("total_active"))
     share = percent(F.col("returning_customers"), F.col("total_active"), 10)
     frame = trailing("order_date", w - 1)
@@ -179,14 +180,14 @@ def daily_retention(m: Marketplace, as_of: date | None = None, w: int = 30, k: i
     return top(rows, k, desc("order_date")).drop("_share")
 
 
-def platform_kpis(m: Marketplace, as_of: date, days: int = 30) -> DataFrame:
+def platform_kpis(m: Marketplace, as_of: date, days: int = 30, approximate: bool = False) -> DataFrame:
     orders = m.orders("order_status", "total_amount", "customer_id", "restaurant_id", since=days_before(as_of, days))
     return orders.agg(
         count_where(is_delivered()).alias("delivered_orders"), count_where(is_cancelled()).alias("cancelled_orders"),
         sum_where(is_delivered(), F.col("total_amount")).alias("gmv"),
         mean(F.when(is_delivered(), F.col("total_amount")), 2, 2).alias("aov"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("restaurant_id").alias("unique_restaurants"))
+        distinct("customer_id", approximate).alias("unique_customers"),
+        distinct("restaurant_id", approximate).alias("unique_restaurants"))
 
 
 def platform_overview(m: Marketplace, as_of: date | None = None) -> DataFrame:

@@ -12,8 +12,8 @@ from plateflow.functions.exact import attach, count_where, growth, mean, percent
 from plateflow.functions.ordering import asc, desc, top
 from plateflow.functions.quantiles import histogram, percentiles, rounded
 from plateflow.model import TICKET_SLA_HOURS, Marketplace
-from plateflow.operators.common import activity_months, delivered, everything, is_cancelled, is_delivered, \
-    minutes_at, places, zone_names
+from plateflow.operators.common import activity_months, delivered, is_cancelled, is_delivered, minutes_at, places, \
+    zone_names
 from plateflow.operators.customers import rfm_summary
 from plateflow.operators.delivery import done_trips, partner_days, whole
 from plateflow.operators.restaurants import health_scores, onboarding_ramp

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from plateflow.functions.dates import day_name, month_of, seconds_between, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
-from plateflow.functions.ordering import asc, desc, top
 from plateflow.functions.quantiles import percentiles, rounded
 from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace

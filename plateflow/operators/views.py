@@ -12,7 +12,7 @@ from plateflow.functions.exact import count_where, mean, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
 from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace
-from plateflow.operators.common import delivered, everything, is_cancelled, is_delivered
+from plateflow.operators.common import delivered, distinct, everything, is_cancelled, is_delivered
 
 
 def materialised(dated: bool = False):
@@ -66,7 +66,8 @@ def order_detail(m: Marketplace, as_of: date | None = None) -> DataFrame:
 
 
 @materialised()
-def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = None) -> DataFrame:
+def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = None,
+              approximate: bool = False) -> DataFrame:
     """One row per day. ``peak_start_hour`` is the hour of the first order of the day."""
     orders = m.orders("order_date", "order_timestamp", "order_status", "customer_id", "restaurant_id",
                       "total_amount", "platform_commission", "discount_amount", since=since)
@@ -75,8 +76,8 @@ def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = No
         F.count(F.lit(1)).alias("total_orders"),
         count_where(is_delivered()).alias("delivered_orders"),
         count_where(is_cancelled()).alias("cancelled_orders"),
-        F.count_distinct("customer_id").alias("active_customers"),
-        F.count_distinct("restaurant_id").alias("active_restaurants"),
+        distinct("customer_id", approximate).alias("active_customers"),
+        distinct("restaurant_id", approximate).alias("active_restaurants"),
         F.sum("total_amount").alias("gross_revenue"),
         F.sum("platform_commission").alias("platform_revenue"),
         F.sum("discount_amount").alias("discounts_given"),

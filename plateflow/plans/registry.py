@@ -98,13 +98,13 @@ QUERIES: dict[str, Query] = {
     "i42_ordered_together": restaurants.ordered_together,
     "nb8_top_cuisines": restaurants.top_cuisines,
     # operations
-    "op1_demand_plan": operations.demand_plan,
-    "op1_demand_plan_late_night": partial(operations.demand_plan, late_night=True),
-    "op2_ticket_service": operations.ticket_service,
-    "op3_promotion_effect": operations.promotion_effect,
-    "op4_order_funnel": operations.order_funnel,
-    "op5_city_monthly_revenue": operations.city_monthly_revenue,
-    "op6_refund_leakage": operations.refund_leakage,
+    "operations_1_demand_plan": operations.demand_plan,
+    "operations_1_demand_plan_late_night": partial(operations.demand_plan, late_night=True),
+    "operations_2_ticket_service": operations.ticket_service,
+    "operations_3_promotion_effect": operations.promotion_effect,
+    "operations_4_order_funnel": operations.order_funnel,
+    "operations_5_city_monthly_revenue": operations.city_monthly_revenue,
+    "operations_6_refund_leakage": operations.refund_leakage,
     "i14_tickets_by_status": operations.tickets_by_status,
     "i35_order_values": operations.order_values,
     "i40_friday_zones": operations.friday_zones,

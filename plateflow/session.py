@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of finished queries need not stay on shared storage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from plateflow.model import TABLES, Marketplace, from_frames, with_month
 
@@ -33,4 +33,11 @@ def write_store(market: Marketplace, path: str, tables: Iterable[str] | None = N
 
 
 def open_store(spark: SparkSession, path: str, tables: Iterable[str] | None = None) -> Marketplace:
-    return from_frames(spark, {name: spark.read.parquet(f"{path}/{name}") for name in tables or TABLES})
+    """A marketplace over stored tables; declared schemas spare a look into the files."""
+    frames = {}
+    for name in tables or TABLES:
+        fields = list(TABLES[name].schema)
+        if name == "orders":
+            fields.append(T.StructField("order_month", T.DateType()))
+        frames[name] = spark.read.schema(T.StructType(fields)).parquet(f"{path}/{name}")
+    return from_frames(spark, frames)

@@ -27,8 +27,12 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/plateflow-{uuid.uuid4().hex}"
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """New Parquet files as a stream; ``max_files`` bounds a micro-batch and with it what one key can hold."""
     reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(path)
 
 
