@@ -19,7 +19,8 @@ def _div(a: Column, b: Column) -> Column:
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence[int], width: int = 65536) -> DataFrame:
-    """One row per group with ``p<point>``: the percentile times 100, as an exact integer.
+    """One row per group: ``n`` and ``total`` of the values, and per point ``p<point>``, the percentile
+    times 100 as an exact integer.
 
     ``keys`` must not be NULL; NULL values are ignored. Use :func:`rounded` on the result.
     """
@@ -31,12 +32,14 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_b", F.floor(F.col("_v") / F.lit(width)).cast("long"))
     )
-    coarse = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c"))
+    weighted = F.col("_v").cast("decimal(20,0)") * F.col("_c").cast("decimal(18,0)")
+    coarse = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c"), F.sum(weighted).alias("_s"))
     group = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     coarse = coarse.select(
         *keys,
         "_b",
         F.sum("_c").over(group).alias("_n"),
+        F.sum("_s").over(group).cast("decimal(38,0)").alias("_total"),
         F.sum("_c").over(group.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)).alias("_upto"),
         "_c",
     )
@@ -48,7 +51,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence
         wanted.append(F.struct(F.lit(point).alias("p"), F.lit(1).alias("side"), high.alias("at")))
     start = F.col("_upto") - F.col("_c")
     inside = F.filter(F.array(*wanted), lambda t: (t["at"] >= start) & (t["at"] < F.col("_upto")))
-    hits = coarse.select(*keys, "_b", "_n", F.transform(
+    hits = coarse.select(*keys, "_b", "_n", "_total", F.transform(
         inside, lambda t: F.struct(t["p"].alias("p"), t["side"].alias("side"), (t["at"] - start).alias("at"))
     ).alias("_t")).filter(F.size("_t") > 0)
 
@@ -57,10 +60,10 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence
     fine = fine.withColumn("_upto", F.sum("_c").over(cell))
     begin = F.col("_upto") - F.col("_c")
     found = fine.select(
-        *keys, "_v", "_n",
+        *keys, "_v", "_n", "_total",
         F.explode(F.filter("_t", lambda t: (t["at"] >= begin) & (t["at"] < F.col("_upto")))).alias("_t"),
     )
-    picks: list[Column] = [F.max("_n").alias("_n")]
+    picks: list[Column] = [F.max("_n").alias("_n"), F.max("_total").alias("_total")]
     for point in points:
         for side in (0, 1):
             at = (F.col("_t.p") == point) & (F.col("_t.side") == side)
@@ -70,7 +73,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence
     for point in points:
         rest = ((F.col("_n") - 1) * F.lit(point)) % F.lit(100)
         out.append((F.col(f"_{point}_0") * (F.lit(100) - rest) + F.col(f"_{point}_1") * rest).alias(f"p{point}"))
-    return grouped.select(*keys, *out)
+    return grouped.select(*keys, F.col("_n").alias("n"), F.col("_total").alias("total"), *out)
 
 
 def rounded(scaled: Column, places: int, scale: int = 0, unit: int = 1) -> Column:

@@ -9,15 +9,18 @@ HOT_ROWS = 1_000_000
 
 
 def join_spread(fact: DataFrame, keyed: DataFrame, key: str, row_id: str, how: str = "inner",
-                hot_rows: int = HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, counts: DataFrame | None = None, count_column: str | None = None) -> DataFrame:
     """``fact`` joined to ``keyed`` (unique on ``key``) with hot keys salted.
 
     Only keys above ``hot_rows`` are copied, one copy per ``hot_rows`` facts, so the
     copies add at most one row per ``hot_rows`` facts and the list of hot keys is small
     enough to broadcast: it has at most ``facts / hot_rows`` entries.
-    ``counts`` (key, n) saves the counting pass where the caller already has it.
+    ``counts`` (key, n) saves the counting pass where the caller already has it; so does
+    ``count_column``, where ``keyed`` itself holds the number of facts per key.
     """
-    if counts is None:
+    if count_column is not None:
+        counts = keyed.select(key, F.col(count_column).alias("n"))
+    elif counts is None:
         counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     hot = counts.filter((F.col("n") > hot_rows) & F.col(key).isNotNull()).select(
         key, F.expr(f"cast(n div {hot_rows} + 1 as int)").alias("_copies")
@@ -25,9 +28,12 @@ def join_spread(fact: DataFrame, keyed: DataFrame, key: str, row_id: str, how: s
     salted = fact.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(row_id), F.col("_copies")), F.lit(0)).cast("int")
     ).drop("_copies")
+    if count_column is not None:
+        sized = keyed.withColumn("_copies", F.expr(f"cast({count_column} div {hot_rows} + 1 as int)"))
+    else:
+        sized = keyed.join(F.broadcast(hot), key, "left")
     copied = (
-        keyed.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)))
+        sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)))
         .drop("_copies")
     )
     return salted.join(copied, [key, "_salt"], how).drop("_salt")

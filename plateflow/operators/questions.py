@@ -112,7 +112,7 @@ def above_own_average(m: Marketplace, as_of: date | None = None, ratio_percent:
     """
     orders = delivered(m, "order_id", "customer_id", "total_amount")
     own = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("_sum"))
-    df = join_spread(orders, own, "customer_id", "order_id", counts=own.select("customer_id", "n"))
+    df = join_spread(orders, own, "customer_id", "order_id", count_column="n")
     n = F.col("n").cast("decimal(12,0)")
     df = df.filter(F.col("total_amount") * n * 100 > F.col("_sum") * ratio_percent)
     df = df.withColumn("above_avg_by", ratio(

@@ -129,8 +129,12 @@ def test_spread_join_keeps_every_row(spark, how):
                                  "rid long, k long")
     keyed = spark.range(15).withColumnRenamed("id", "k").withColumn("name", F.concat(F.lit("n"), "k"))
     spread = join_spread(fact, keyed, "k", "rid", how=how, hot_rows=50)
-    assert sorted(map(repr, spread.select("rid", "k", "name").collect())) == sorted(
-        map(repr, fact.join(keyed, "k", how).select("rid", "k", "name").collect()))
+    want = sorted(map(repr, fact.join(keyed, "k", how).select("rid", "k", "name").collect()))
+    assert sorted(map(repr, spread.select("rid", "k", "name").collect())) == want
+    # The same where the keyed side knows its counts.
+    sized = keyed.join(fact.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", "left").fillna(1, ["n"])
+    spread = join_spread(fact, sized, "k", "rid", how=how, hot_rows=50, count_column="n")
+    assert sorted(map(repr, spread.select("rid", "k", "name").collect())) == want
 
 
 def test_name_search(spark):
