@@ -22,6 +22,14 @@ def day_name(value: Column) -> Column:
     return F.date_format(value.cast("date"), "EEEE")
 
 
+DAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
+
+def day_label(dow: Column) -> Column:
+    """Name of a weekday number (Sunday = 0); cheaper after an aggregation than formatting every row."""
+    return F.element_at(F.array(*[F.lit(d) for d in DAYS]), dow + 1)
+
+
 def month_label(value: Column) -> Column:
     return F.date_format(value.cast("date"), "yyyy-MM")
 

@@ -233,19 +233,16 @@ def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name:
         "_at", "_task", "_inside", "_carried")
 
 
-def rank_among(few: DataFrame, every: DataFrame, value: str, name: str) -> DataFrame:
-    """Descending rank of the rows of ``few`` (bounded, like a top-k) among all rows of ``every``.
+def rank_among(few: DataFrame, every: DataFrame, value: str, name: str, k: int) -> DataFrame:
+    """Descending rank of the at most ``k`` rows of ``few`` among all rows of ``every``.
 
-    Every row only finds its place among the few values; the counts per place add up to ranks.
+    One pass over ``every`` counts, for each of the few values, the rows above it; nothing is
+    sorted or moved.
     """
     marks = few.agg(F.array_sort(F.collect_set(value)).alias("_marks"))
-    placed = every.select(value).withColumn("_marks", marks.scalar())
-    below = F.size(F.filter("_marks", lambda v: v < F.col(value)))
-    counts = placed.groupBy(below.alias("_place")).agg(F.count(F.lit(1)).alias("_n"))
-    # Rows whose value is above mark i have at least i + 1 marks below them.
-    table = counts.agg(F.collect_list(F.struct("_place", "_n")).alias("_counts"))
-    own = F.array_position("_all", F.col(value))
-    above = F.aggregate(
-        F.filter("_counts", lambda c: c["_place"] >= own), F.lit(0).cast("long"), lambda acc, c: acc + c["_n"])
-    return few.withColumn("_counts", table.scalar()).withColumn("_all", marks.scalar()).withColumn(
-        name, above + 1).drop("_counts", "_all")
+    marked = every.select(value, marks.scalar().alias("_marks"))
+    above = marked.agg(F.array(*[
+        F.count(F.when(F.col(value) > F.get("_marks", F.lit(i)), F.lit(1))) for i in range(k)]).alias("_above"))
+    place = F.array_position("_marks", F.col(value)).cast("int") - 1
+    return few.withColumns({"_marks": marks.scalar(), "_above": above.scalar()}).withColumn(
+        name, F.get("_above", place) + 1).drop("_marks", "_above")

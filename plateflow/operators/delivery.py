@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from plateflow.functions.dates import day_name, days_before, seconds_between, sunday_zero
+from plateflow.functions.dates import day_label, days_before, seconds_between, sunday_zero
 from plateflow.functions.exact import count_where, half_up, mean, percent, ratio
 from plateflow.functions.ordering import asc, desc, top
 from plateflow.functions.quantiles import histogram
@@ -46,7 +46,6 @@ def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
     ts = F.col("order_timestamp")
     n, late = F.count(F.lit(1)), count_where(F.col("sla_breached"))
     cells = df.groupBy(sunday_zero(ts).alias("day_num"), F.hour(ts).alias("hour")).agg(
-        F.min(day_name(ts)).alias("day_name"),
         F.count("delivery_id").alias("deliveries"),
         mean(F.col("actual_time_mins"), 1).alias("avg_delivery_mins"),
         whole(minutes_at("actual_time_mins", 0.5)).alias("median_delivery_mins"),
@@ -56,7 +55,7 @@ def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
     w = everything()
     cells = cells.withColumns({"_total": F.sum("_avg").over(w), "_cells": F.count(F.lit(1)).over(w)})
     return cells.select(
-        "day_name", "day_num", "hour", "deliveries", "avg_delivery_mins", "median_delivery_mins", "sla_breaches",
+        day_label(F.col("day_num")).alias("day_name"), "day_num", "hour", "deliveries", "avg_delivery_mins", "median_delivery_mins", "sla_breaches",
         "sla_breach_pct", ratio(F.col("_avg") * F.col("_cells"), F.col("_total"), 3, num_scale=10, den_scale=10)
         .alias("congestion_index"))
 

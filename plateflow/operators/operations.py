@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from plateflow.functions.dates import day_name, month_of, seconds_between, sunday_zero
+from plateflow.functions.dates import day_label, month_of, seconds_between, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
 from plateflow.functions.quantiles import percentiles, rounded
 from plateflow.functions.skew import join_spread
@@ -22,7 +22,7 @@ def demand_plan(m: Marketplace, as_of: date | None = None, late_night: bool = Fa
     orders = m.orders("order_timestamp", "total_amount")
     ts = F.col("order_timestamp")
     cells = orders.groupBy(sunday_zero(ts).alias("day_of_week"), F.hour(ts).alias("hour")).agg(
-        F.min(day_name(ts)).alias("day_name"), F.count(F.lit(1)).alias("orders"),
+        F.count(F.lit(1)).alias("orders"),
         mean(F.col("total_amount"), 2, 2).alias("avg_order_value"))
     near = W.partitionBy("day_of_week").orderBy("hour").rowsBetween(-1, 1)
     w = everything()
@@ -40,7 +40,7 @@ def demand_plan(m: Marketplace, as_of: date | None = None, late_night: bool = Fa
         .when(load > F.col("_sum") * 8, "Normal staffing").otherwise("Reduced staffing OK")
     )
     return cells.select(
-        "day_name", "day_of_week", "hour", F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
+        day_label(F.col("day_of_week")).alias("day_name"), "day_of_week", "hour", F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
         .alias("hour_label"), "orders", half_up(F.col("_near"), 0).alias("smoothed_orders"), "avg_order_value",
         percent(F.col("orders") * F.col("_cells"), F.col("_sum"), 1).alias("demand_index"),
         period.alias("time_period"), staff.alias("staffing_recommendation"))
@@ -165,15 +165,14 @@ def order_values(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Mean and exact percentiles of order value by city and weekday."""
     orders = delivered(m, "order_id", "customer_id", "order_date", "total_amount")
     homes = m.customers("customer_id", "city_id").join(m.cities("city_id", "city_name"), "city_id").drop("city_id")
-    df = join_spread(orders, homes, "customer_id", "order_id").select(
+    counts = delivered(m, "customer_id").groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    df = join_spread(orders, homes, "customer_id", "order_id", counts=counts).select(
         "city_name", sunday_zero(F.col("order_date")).alias("dow"), (F.col("total_amount") * 100).cast("long").alias("_c"))
     keys = ["city_name", "dow"]
     # Counting equal amounts once serves the mean as well as the percentiles.
     out = percentiles(df, keys, "_c", [50, 75, 90])
-    names = F.element_at(F.array(*[F.lit(d) for d in ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
-                                                      "Saturday")]), F.col("dow") + 1)
     return out.select(
-        "city_name", "dow", names.alias("day_name"), F.col("n").alias("orders"),
+        "city_name", "dow", day_label(F.col("dow")).alias("day_name"), F.col("n").alias("orders"),
         ratio(F.col("total"), F.col("n") * 100, 2).alias("mean_aov"),
         rounded(F.col("p50"), 2, scale=2).alias("median_aov"), rounded(F.col("p75"), 2, scale=2).alias("p75_aov"),
         rounded(F.col("p90"), 2, scale=2).alias("p90_aov"))

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from plateflow.functions.dates import days_before, first_of_month, month_of, shift_months
+from plateflow.functions.dates import day_label, days_before, first_of_month, month_of, shift_months, sunday_zero
 from plateflow.functions.exact import count_where, mean, percent, ratio
 from plateflow.functions.ordering import asc, desc, top
 from plateflow.functions.skew import join_spread
@@ -163,9 +163,10 @@ def demand_by_day_name(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Demand by weekday name and hour over orders of every status."""
     ts = F.col("order_timestamp")
     cells = m.orders("order_timestamp", "total_amount").groupBy(
-        F.date_format(ts.cast("date"), "EEEE").alias("day_name"), F.hour(ts).alias("hour_of_day")).agg(
+        sunday_zero(ts).alias("_dow"), F.hour(ts).alias("hour_of_day")).agg(
         F.count(F.lit(1)).alias("orders"), mean(F.col("total_amount"), 2, 2).alias("avg_order_value"))
     w = everything()
     cells = cells.withColumns({"_sum": F.sum("orders").over(w), "_cells": F.count(F.lit(1)).over(w)})
-    return cells.withColumn("demand_index", ratio(F.col("orders") * F.col("_cells"), F.col("_sum"), 2)).drop(
-        "_sum", "_cells")
+    return cells.select(
+        day_label(F.col("_dow")).alias("day_name"), "hour_of_day", "orders", "avg_order_value",
+        ratio(F.col("orders") * F.col("_cells"), F.col("_sum"), 2).alias("demand_index"))

@@ -146,7 +146,7 @@ def top_items(m: Marketplace, as_of: date | None = None, k: int = 50) -> DataFra
     """
     sales = cut(item_sales(m))  # read by the top-k and by the ranking
     best = top(sales, k, desc("times_ordered"), asc("item_id"))
-    best = rank_among(best, sales, "total_revenue", "revenue_rank")
+    best = rank_among(best, sales, "total_revenue", "revenue_rank", k)
     info = catalog(m, "price", "is_vegetarian", "is_bestseller")
     rows = best.join(info, "item_id")
     by = F.desc("times_ordered")

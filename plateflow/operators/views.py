@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, functions as F
 
-from plateflow.functions.dates import day_name, sunday_zero
+from plateflow.functions.dates import day_label, day_name, sunday_zero
 from plateflow.functions.exact import count_where, mean, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
 from plateflow.functions.skew import join_spread
@@ -49,9 +49,10 @@ def order_detail(m: Marketplace, as_of: date | None = None) -> DataFrame:
                          "sla_breached", "on_time")
     partners = m.delivery_partners("partner_id", "partner_name")
     reviews = m.reviews("order_id", "food_rating", "delivery_rating", "overall_rating")
-    df = join_spread(orders, people, "customer_id", "order_id")
+    n = F.count(F.lit(1)).alias("n")
+    df = join_spread(orders, people, "customer_id", "order_id", counts=m.orders("customer_id").groupBy("customer_id").agg(n))
     df = join_spread(df, rests, "restaurant_id", "order_id",
-                     counts=orders.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("n")))
+                     counts=m.orders("restaurant_id").groupBy("restaurant_id").agg(n))
     df = (
         df.join(zones, "zone_id", "left").join(trips, "order_id", "left")
         .join(partners, "partner_id", "left").join(reviews, "order_id", "left")
@@ -138,14 +139,14 @@ def hourly_demand(m: Marketplace, as_of: date | None = None) -> DataFrame:
     orders = m.orders("order_timestamp", "order_status", "total_amount").filter(~is_cancelled())
     ts = F.col("order_timestamp")
     cells = orders.groupBy(sunday_zero(ts).alias("day_of_week"), F.hour(ts).alias("hour_of_day")).agg(
-        F.min(day_name(ts)).alias("day_name"),
         F.count(F.lit(1)).alias("order_count"),
         mean(F.col("total_amount"), 2, 2).alias("avg_order_value"),
         F.sum("total_amount").alias("total_revenue"),
     )
     total, count = F.sum("order_count").over(everything()), F.count(F.lit(1)).over(everything())
     return cells.withColumns({"_sum": total, "_cells": count}).select(
-        "day_of_week", "day_name", "hour_of_day", "order_count", "avg_order_value", "total_revenue",
+        "day_of_week", day_label(F.col("day_of_week")).alias("day_name"), "hour_of_day", "order_count",
+        "avg_order_value", "total_revenue",
         percent(F.col("order_count"), F.col("_sum"), 3).alias("pct_of_total"),
         ratio(F.col("order_count") * F.col("_cells"), F.col("_sum"), 3).alias("demand_index"))
 

@@ -100,7 +100,7 @@ def test_rank_among(spark):
     rows = [(i, (i * 7) % 50) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, v long")
     few = top(df, 9, desc("id"))
-    got = {r["id"]: r["rk"] for r in rank_among(few, df, "v", "rk").collect()}
+    got = {r["id"]: r["rk"] for r in rank_among(few, df, "v", "rk", 9).collect()}
     assert got == {i: 1 + sum(v > (i * 7) % 50 for _, v in rows) for i in range(391, 400)}
 
 
