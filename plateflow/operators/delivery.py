@@ -31,9 +31,9 @@ def delivery_times(m: Marketplace, as_of: date | None = None, approximate: bool
     trips = done_trips(m, "actual_time_mins", "sla_breached", "on_time").filter("actual_time_mins is not null")
     points = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     n, late, timely = F.count(F.lit(1)), count_where(F.col("sla_breached")), count_where(F.col("on_time"))
+    marks = [whole(minutes_at("actual_time_mins", p, approximate)).alias(f"{n}_mins") for n, p in points.items()]
     return trips.agg(
-        mean(F.col("actual_time_mins"), 1).alias("mean_mins"),
-        *[whole(minutes_at("actual_time_mins", p, approximate)).alias(f"{name}_mins") for name, p in points.items()],
+        mean(F.col("actual_time_mins"), 1).alias("mean_mins"), *marks,
         n.alias("total_deliveries"), late.alias("sla_breaches"), percent(late, n, 2).alias("sla_breach_pct"),
         timely.alias("on_time_count"), percent(timely, n, 2).alias("on_time_rate_pct"))
 
@@ -55,7 +55,8 @@ def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
     w = everything()
     cells = cells.withColumns({"_total": F.sum("_avg").over(w), "_cells": F.count(F.lit(1)).over(w)})
     return cells.select(
-        day_label(F.col("day_num")).alias("day_name"), "day_num", "hour", "deliveries", "avg_delivery_mins", "median_delivery_mins", "sla_breaches",
+        day_label(F.col("day_num")).alias("day_name"), "day_num", "hour", "deliveries",
+        "avg_delivery_mins", "median_delivery_mins", "sla_breaches",
         "sla_breach_pct", ratio(F.col("_avg") * F.col("_cells"), F.col("_total"), 3, num_scale=10, den_scale=10)
         .alias("congestion_index"))
 

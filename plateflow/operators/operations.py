@@ -40,7 +40,8 @@ def demand_plan(m: Marketplace, as_of: date | None = None, late_night: bool = Fa
         .when(load > F.col("_sum") * 8, "Normal staffing").otherwise("Reduced staffing OK")
     )
     return cells.select(
-        day_label(F.col("day_of_week")).alias("day_name"), "day_of_week", "hour", F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
+        day_label(F.col("day_of_week")).alias("day_name"), "day_of_week", "hour",
+        F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
         .alias("hour_label"), "orders", half_up(F.col("_near"), 0).alias("smoothed_orders"), "avg_order_value",
         percent(F.col("orders") * F.col("_cells"), F.col("_sum"), 1).alias("demand_index"),
         period.alias("time_period"), staff.alias("staffing_recommendation"))

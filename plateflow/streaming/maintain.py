@@ -95,7 +95,8 @@ def stream_totals(changes: DataFrame, key: str, amount: str, path: str, checkpoi
 
 def totals(ledger: DataFrame, key: str) -> DataFrame:
     return ledger.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.sum("n").alias("n"), F.sum("total").cast("decimal(24,2)").alias("total"), F.max("last").cast("timestamp_ntz").alias("last"))
+        F.sum("n").alias("n"), F.sum("total").cast("decimal(24,2)").alias("total"),
+        F.max("last").cast("timestamp_ntz").alias("last"))
 
 
 def batch_totals(changes: DataFrame, key: str, amount: str) -> DataFrame:
@@ -223,7 +224,11 @@ def batch_audit_log(events: DataFrame) -> DataFrame:
 # ---- live monitor and demand windows -------------------------------------------------
 
 def stream_latest_status(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Latest status per order; each batch writes the orders it touched."""
+    """Latest status per order; each batch writes the orders it touched.
+
+    The state holds one row per order seen; on an endless feed, start it from the orders
+    still open rather than from all history.
+    """
     latest = events.groupBy("order_id").agg(
         F.max_by("status", F.struct("changed_at", "event_id")).alias("status"),
         F.max(F.struct("changed_at", "event_id")).alias("at"))
