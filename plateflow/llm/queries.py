@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, fingerprints, sharding, token_counts, url_filters, word_bpe
+from plateflow.llm import bpe, decontamination, fingerprints, language_id, sharding, token_counts, url_filters, word_bpe
 from plateflow.llm.frames import table
 
 SHARDS = 16
@@ -26,6 +26,10 @@ def op5_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, directory, "documents"))
 
 
+def op6_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    return language_id.identify(table(spark, directory, "documents"))
+
+
 def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
     tokenizer = word_bpe.read_tokenizer(public_tokenizers.path(TOKENIZER))
     return bpe.round_trip(table(spark, directory, "documents"), tokenizer, keep=["doc_id"])
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
     "op5_fingerprints": op5_fingerprints,
+    "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
