@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, fingerprints, language_id, sharding, token_counts, url_filters, word_bpe
+from plateflow.llm import bpe, decontamination, fingerprints, language_id, sharding, token_counts, url_filters, warc, word_bpe
 from plateflow.llm.frames import table
 
 SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+#: The pages have no time of capture; their records carry this one.
+CAPTURED = "2001-01-01T00:00:00Z"
 
 
 def op1_sharding(spark: SparkSession, directory: str) -> DataFrame:
@@ -45,6 +47,12 @@ def op9_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, directory, "documents"), tokenizer, keep=["doc_id"])
 
 
+def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages")
+    records = warc.derive(warc.responses(pages, CAPTURED), keep=["page_id"])
+    return warc.flatten(records, keep=["page_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -53,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
