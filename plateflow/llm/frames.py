@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from plateflow.session import shared_dir
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -71,3 +76,43 @@ def texts(array: pa.Array, step: int = 512) -> Iterator[str]:
     for start in range(0, len(array), step):
         for value in array.slice(start, step).to_pylist():
             yield value or ""
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A new folder in the cluster's shared one, deleted when the block ends.
+
+    What is returned from the block must not read it: ``cut`` it first.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read again: cuts the lineage and keeps columns apart."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bitmap(values: DataFrame, name: str, bits: int) -> np.ndarray:
+    """A bit array of 2**bits (as bytes) in which the top bits of every 64-bit hash ``name`` are set.
+
+    Its size is fixed, whatever the data; on a larger input it only lets more through.
+    """
+    place = F.shiftrightunsigned(F.col(name), 64 - bits)
+    placed = values.select(F.shiftright(place, 15).cast("int").alias("block"), place.bitwiseAND(F.lit(32767)).alias("bit"))
+    blocks = placed.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for row in blocks.collect():
+        out[row["block"] * 4096:(row["block"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def in_bitmap(array: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit hashes have their bit set."""
+    place = hashes.view(np.uint64) >> np.uint64(64 - bits)
+    return (array[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, fingerprints, language_id, sharding, token_counts, url_filters, warc, word_bpe
+from plateflow.llm import bpe, decontamination, fingerprints, language_id, ngram_join, sharding, token_counts, url_filters, warc, word_bpe
 from plateflow.llm.frames import table
 
 SHARDS = 16
@@ -24,6 +24,10 @@ def op2_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     return url_filters.judge(table(spark, directory, "pages"))
 
 
+def op3_ngram_join(spark: SparkSession, directory: str) -> DataFrame:
+    return ngram_join.join(table(spark, directory, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, directory, "documents"))
 
@@ -56,6 +60,7 @@ def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
+    "op3_ngram_join": op3_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
