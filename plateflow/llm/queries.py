@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, fingerprints, language_id, ngram_join, sharding, token_counts, url_filters, warc, word_bpe
+from plateflow.llm import bpe, decontamination, fingerprints, language_id, line_dedup, ngram_join, sharding, token_counts, url_filters, warc, word_bpe
 from plateflow.llm.frames import table
 
 SHARDS = 16
@@ -28,6 +28,10 @@ def op3_ngram_join(spark: SparkSession, directory: str) -> DataFrame:
     return ngram_join.join(table(spark, directory, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, directory, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, directory, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
     "op3_ngram_join": op3_ngram_join,
+    "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
@@ -69,7 +74,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+#: levenshtein counts bytes in DuckDB, so the test data's letters beyond ASCII become one byte each.
+_LETTERS = "ßàáâäçèéêíîñóöúûüÄÇÈÉÊÍÑÓÖÜ"
+_SPARE = (*range(1, 9), 11, 12, *range(14, 32))
+_ONE_BYTE = " || ".join(f"chr({i})" for i in _SPARE[:len(_LETTERS)])
+_COUNTS = ", ".join(f"length(line) - length(replace(line, '{c}', '')) as n{i}" for i, c in enumerate(" entirsaohl"))
+_APART = " + ".join(f"abs(a.n{i} - b.n{i})" for i in range(11))
+
 ORACLE: dict[str, str] = {
+    "op4_line_dedup": f"""
+with every as (
+  select doc_id, unnest(string_split(text, chr(10))) as line,
+    unnest(range(len(string_split(text, chr(10))))) as no
+  from documents),
+lines as (
+  select line, length(line) as n, min(doc_id * 1000000000 + no) as first, {_COUNTS}
+  from every where trim(line) <> '' group by line),
+near as (
+  select greatest(a.first, b.first) as late
+  from (select *, unnest([n, n - 1, n - 2]) as m from lines where n >= 12) a
+  join lines b on b.n = a.m and b.n >= 12 and a.line <> b.line and {_APART} <= 4
+  where levenshtein(translate(a.line, '{_LETTERS}', {_ONE_BYTE}), translate(b.line, '{_LETTERS}', {_ONE_BYTE}))
+    <= least(2, b.n // 12)),
+state as (select line, first, first in (select late from near) as late from lines),
+marked as (
+  select e.doc_id, e.no, e.line, coalesce(e.doc_id * 1000000000 + e.no <> s.first, false) as repeated,
+    coalesce(s.late, false) as late
+  from every e left join state s on e.line = s.line)
+select doc_id,
+  coalesce(string_agg(line, chr(10) order by no) filter (not repeated and not late), '') as text,
+  count(*) as n_lines, count(*) filter (not repeated and not late) as n_kept,
+  count(*) filter (repeated) as n_exact, count(*) filter (late and not repeated) as n_near
+from marked group by doc_id
+""",
     "op2_url_filters": """
 with parts as (
   select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
