@@ -5,12 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, word_bpe
+from plateflow.llm import bpe, decontamination, language_id, line_dedup, ngram_join, word_bpe
 from plateflow.llm.frames import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a recognised language; the classifier learns from the labels among them."""
+    return language_id.accept(docs)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line repeats; those left with nothing go."""
+    return line_dedup.clean(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs)
+
+
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -23,8 +38,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", in_known_language),
+    ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
     ("benchmark decontamination", without_benchmarks),
-    ("BPE encoding", tokens),
+    ("BPE encoding and decoding", tokens),
 ]
 
 #: SQL has no counterpart of the stages; tests hold them against brute force.
