@@ -14,7 +14,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from plateflow.llm.frames import append, column, texts
+from plateflow.llm.frames import append, column, kept, texts
 
 #: Words in a window; an item of fewer is one window.
 WINDOW = 13
@@ -139,17 +139,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("id")), F.lit(0))).first()[0]
     passes = max(1, -(-total // pass_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(passes))
-    marks, names = "_hit_words", "_hit_items"
-    frame, inputs = docs, [text]
+    # Own names for the documents' columns, so that none meets a helper's.
+    own = {c: f"d{i}" for i, c in enumerate(docs.columns)}
+    frame, inputs = docs.toDF(*own.values()), [own[text]]
     for k in range(passes):
         # Bounded by pass_bytes: a part of the items, sorted so that each pass is the same again.
         some = sorted((r.id, r.text) for r in items.filter(part == k).collect())
         last = k == passes - 1
-        outputs = REPORT if last else f"{marks} {MARKS}, {names} array<string>"
+        outputs = REPORT if last else f"marks {MARKS}, names array<string>"
         frame = append(frame, inputs, outputs, _pass(some, size, automaton_bytes, last),
-                       keep if last else [*docs.columns])
-        inputs = [text, marks, names]
-    return frame
+                       [own[c] for c in keep] if last else [*own.values()])
+        inputs = [own[text], "marks", "names"]
+    results = frame.columns[-5:]
+    return frame.select(*[F.col(own[c]).alias(c) for c in kept(keep, results)], *results)
 
 
 def _pass(items: Sequence[Item], size: int, most: int, last: bool):
