@@ -12,21 +12,22 @@ EV = """, se AS (SELECT event_id, user_id AS order_id, ts AS changed_at, round(v
  CASE event_type WHEN 'signup' THEN 'Placed' WHEN 'view' THEN 'Confirmed' WHEN 'click' THEN 'Preparing' WHEN 'purchase' THEN 'Delivered' ELSE 'Cancelled' END AS status FROM events),
 lg AS (SELECT *, lag(status) OVER (PARTITION BY order_id ORDER BY changed_at, event_id) AS from_status FROM se)"""
 LOG = EV + " SELECT order_id, from_status, status, changed_at FROM lg WHERE status IS DISTINCT FROM from_status"
+FIRST = EV + " SELECT order_id, status, changed_at FROM lg WHERE from_status IS NULL"
 LIVE = EV + """, lt AS (SELECT order_id, arg_max(status, (changed_at, event_id)) AS status FROM se GROUP BY 1)
 SELECT status, count(*) AS orders, status NOT IN ('Delivered','Cancelled') AS is_open FROM lt GROUP BY 1"""
-CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+CLOSED = ", window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) AS is_closed"
 
 
-def windows(hours: int, where: str = "") -> str:
+def windows(hours: int, more: str = "") -> str:
     return EV + f""", sp AS (SELECT date_trunc('hour', changed_at) - to_hours(unnest(range({hours}))) AS window_start, cents FROM se),
-gr AS (SELECT window_start, window_start + INTERVAL {hours} HOUR AS window_end, count(*) AS events, sum(cents)::BIGINT AS cents FROM sp GROUP BY 1) SELECT * FROM gr {where}"""
+gr AS (SELECT window_start, window_start + INTERVAL {hours} HOUR AS window_end, count(*) AS events, sum(cents)::BIGINT AS cents FROM sp GROUP BY 1) SELECT *{more} FROM gr"""
 
 
 SQL = {
     "t1_restaurant_ratings": RATE, "t1_restaurant_ratings_stream": RATE,
     "t2_partner_ratings": PRATE, "t2_partner_ratings_stream": PRATE,
     "t3_audit_log": LOG, "t3_audit_log_stream": LOG,
-    "t3_first_status": EV + " SELECT order_id, status, changed_at FROM lg WHERE from_status IS NULL",
+    "t3_first_status": FIRST, "t3_first_status_stream": FIRST,
     "t4_customer_totals": CUST, "t4_customer_totals_stream": CUST,
     "t5_restaurant_totals": REST, "t5_restaurant_totals_stream": REST,
     "t6_promotion_usage": PROMO, "t6_promotion_usage_stream": PROMO,

@@ -237,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "f21_name_search": stored.name_search,
     "g1_global_order": stored.global_order,
     "t3_first_status": feeds.batch_first_status,
+    "t3_first_status_stream": feeds.stream_first_status,
     "t8_unassigned_orders": feeds.unassigned_orders,
 }
 

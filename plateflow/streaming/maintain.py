@@ -1,18 +1,18 @@
 """Streaming twins of the running totals, each next to its batch form.
 
-Totals are kept as a ledger of increments: every micro-batch writes one small
-aggregate under its own batch number, so a batch that is run again after a failure
-replaces what it wrote and nothing is counted twice. Replayed events inside the
-watermark delay are dropped before they reach the ledger.
+A stream keeps the events themselves, projected to the columns its figures need, one folder for
+each micro-batch: a batch that is run again after a failure replaces what it wrote. Repeats are
+removed by the events' keys on reading, so neither replays nor files that arrive late or in
+another order change a figure, and nothing is dropped for its age. No state is held between
+batches; ``compact`` bounds the number of files.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plateflow.functions.exact import ratio
 from plateflow.functions.ordering import add_previous, asc
@@ -27,84 +27,78 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/plateflow-{uuid.uuid4().hex}"
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    """New Parquet files as a stream; ``max_files`` bounds a micro-batch and with it what one key can hold."""
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """New Parquet files as a stream: those of a folder, or the one at ``path``; ``max_files`` bounds a micro-batch."""
+    # A pattern may name a folder or a file; a plain path must be a folder.
+    pattern = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(path)
+    return reader.parquet(pattern)
 
 
-def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "append") -> None:
+def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process what is there and stop; the same query with another trigger runs for ever."""
     query = (
-        stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
-def timed(stream: DataFrame, time: str, delay: str = DELAY) -> DataFrame:
-    """Set the watermark; it needs instants, so zone-less times are read in the session zone (and back on output)."""
-    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+# ---- event store ---------------------------------------------------------------------
 
+def keep_events(events: DataFrame, path: str, checkpoint: str, *keys: str) -> None:
+    """Write the events of each micro-batch under its number, each key once."""
+    spark = events.sparkSession
+    # A store without events can be read as well.
+    spark.createDataFrame([], events.schema).write.mode("ignore").parquet(f"{path}/batch=-1")
 
-# ---- ledger of increments -----------------------------------------------------------
-
-def once(stream: DataFrame, time: str, *keys: str, delay: str = DELAY) -> DataFrame:
-    """Drop repeats of an event that arrive within the delay."""
-    return timed(stream, time, delay).dropDuplicatesWithinWatermark(list(keys))
+    def write(batch: DataFrame, number: int) -> None:
+        _one_per_key(batch, keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+    run_available(events, write, checkpoint)
 
-def append_increments(path: str, *keys: str, **measures: Column) -> Callable[[DataFrame, int], None]:
-    """A batch function that writes one row per key and measure set under its batch number."""
 
-    def write(batch: DataFrame, number: int) -> None:
-        rows = batch.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
-        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def _one_per_key(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each key: that with the smallest other columns, whatever the order of arrival."""
+    rest = [c for c in events.columns if c not in keys]
+    one = events.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest"))
+    return one.select(*[F.col(c) if c in keys else F.col(f"_rest.{c}").alias(c) for c in events.columns])
 
-    return write
 
+def read_events(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """The events kept so far, each key once."""
+    return _one_per_key(spark.read.parquet(path).drop("batch"), keys)
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
 
-
-def compact_ledger(spark: SparkSession, path: str, target: str, keys: Sequence[str],
-                   measures: dict[str, Callable[[str], Column]]) -> None:
-    """Fold the increments so far into one batch of a new ledger, to bound the number of files."""
-    rows = read_ledger(spark, path).groupBy(*keys).agg(*[f(n).alias(n) for n, f in measures.items()])
-    rows.write.mode("overwrite").parquet(f"{target}/batch=-1")
+def compact(spark: SparkSession, path: str, target: str, *keys: str) -> None:
+    """The events so far as one batch of a new store."""
+    read_events(spark, path, *keys).write.mode("overwrite").parquet(f"{target}/batch=-1")
 
 
 # ---- totals of customers, restaurants, partners, promotions -------------------------
 
-def deliveries_of(changes: DataFrame) -> DataFrame:
-    """Changes to Delivered; a change feed has (order_id, status, changed_at, ...)."""
-    return changes.filter(F.col("status") == "Delivered")
+def deliveries_of(changes: DataFrame, key: str, amount: str) -> DataFrame:
+    """Changes to Delivered; a change feed has (order_id, status, changed_at, ...). The first one of an order counts."""
+    return changes.filter(F.col("status") == "Delivered").select("order_id", "changed_at", key, amount)
 
 
 def stream_totals(changes: DataFrame, key: str, amount: str, path: str, checkpoint: str) -> None:
-    """Count, sum and last time of delivered orders (or trips) per ``key``."""
-    feed = once(deliveries_of(changes), "changed_at", "order_id")
-    run_available(feed, append_increments(
-        path, key, n=F.count(F.lit(1)), total=F.sum(F.coalesce(amount, F.lit(0))), last=F.max("changed_at")), checkpoint)
+    """Keep the delivered orders (or trips) that ``totals`` sums."""
+    keep_events(deliveries_of(changes, key, amount), path, checkpoint, "order_id")
 
 
-def totals(ledger: DataFrame, key: str) -> DataFrame:
-    return ledger.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.sum("n").alias("n"), F.sum("total").cast("decimal(24,2)").alias("total"),
-        F.max("last").cast("timestamp_ntz").alias("last"))
+def totals(events: DataFrame, key: str, amount: str) -> DataFrame:
+    """Count, sum and last time of delivered orders (or trips) per ``key``."""
+    return events.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(amount, F.lit(0))).cast("decimal(24,2)").alias("total"),
+        F.max("changed_at").cast("timestamp_ntz").alias("last"))
 
 
 def batch_totals(changes: DataFrame, key: str, amount: str) -> DataFrame:
-    """The same from a full feed: each delivered order once."""
-    feed = deliveries_of(changes).dropDuplicates(["order_id"])
-    return totals(feed.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(amount, F.lit(0))).alias("total"),
-        F.max("changed_at").alias("last")), key)
+    """The same from a full feed."""
+    return totals(_one_per_key(deliveries_of(changes, key, amount), ["order_id"]), key, amount)
 
 
 def customer_totals(sums: DataFrame) -> DataFrame:
@@ -120,16 +114,19 @@ def partner_totals(sums: DataFrame) -> DataFrame:
     return sums.select("partner_id", F.col("n").alias("total_deliveries"), F.col("total").alias("total_earnings"))
 
 
+def placed_with_promotion(changes: DataFrame) -> DataFrame:
+    return changes.filter((F.col("status") == "Placed") & F.col("promotion_id").isNotNull()).select(
+        "order_id", "changed_at", "promotion_id")
+
+
 def stream_promotion_usage(changes: DataFrame, path: str, checkpoint: str) -> None:
-    """Count placed orders per promotion."""
-    placed = changes.filter((F.col("status") == "Placed") & F.col("promotion_id").isNotNull())
-    run_available(once(placed, "changed_at", "order_id"),
-                  append_increments(path, "promotion_id", n=F.count(F.lit(1))), checkpoint)
+    """Keep the placed orders with a promotion."""
+    keep_events(placed_with_promotion(changes), path, checkpoint, "order_id")
 
 
 def promotion_usage(uses: DataFrame, promotions: DataFrame) -> DataFrame:
     """Promotions with their uses; used-up ones are closed."""
-    counted = uses.groupBy("promotion_id").agg(F.sum("n").alias("_n"))
+    counted = uses.groupBy("promotion_id").agg(F.count(F.lit(1)).alias("_n"))
     n = F.coalesce("_n", F.lit(0)).cast("long")
     open_ = F.col("is_active") & (F.col("max_uses").isNull() | (n < F.col("max_uses")))
     return promotions.join(counted, "promotion_id", "left").select(
@@ -137,37 +134,18 @@ def promotion_usage(uses: DataFrame, promotions: DataFrame) -> DataFrame:
 
 
 def batch_promotion_usage(changes: DataFrame, promotions: DataFrame) -> DataFrame:
-    placed = changes.filter((F.col("status") == "Placed") & F.col("promotion_id").isNotNull()).dropDuplicates(["order_id"])
-    return promotion_usage(placed.groupBy("promotion_id").agg(F.count(F.lit(1)).alias("n")), promotions)
+    return promotion_usage(_one_per_key(placed_with_promotion(changes), ["order_id"]), promotions)
 
 
 # ---- ratings -------------------------------------------------------------------------
 
-def _rating_measures() -> dict[str, Column]:
-    """Changes of sum and count; a changed rating takes its old value back out."""
-    new, old = F.col("rating"), F.col("before")
-    return {
-        "stars": F.sum(F.coalesce(new, F.lit(0)) - F.coalesce(old, F.lit(0))).cast("long"),
-        "rated": F.sum(new.isNotNull().cast("long") - old.isNotNull().cast("long")),
-        "entries": F.sum(F.col("is_new").cast("long")),
-    }
-
-
 def stream_ratings(feed: DataFrame, key: str, path: str, checkpoint: str) -> None:
-    """Ratings per ``key`` from a feed (entry_id, version, rating, before, is_new, changed_at)."""
-    run_available(once(feed, "changed_at", "entry_id", "version"),
-                  append_increments(path, key, **_rating_measures()), checkpoint)
+    """Keep the versions of every entry of a feed (entry_id, version, rating, ...)."""
+    keep_events(feed.select("entry_id", "version", key, "rating"), path, checkpoint, "entry_id", "version")
 
 
-def ratings(ledger: DataFrame, key: str) -> DataFrame:
-    rows = ledger.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in ("stars", "rated", "entries")])
-    return rows.select(key, ratio(F.col("stars"), F.col("rated"), 2).alias("rating"),
-                       F.col("entries").alias("total_ratings"))
-
-
-def batch_ratings(feed: DataFrame, key: str) -> DataFrame:
-    """The same from a full feed: the last version of every entry."""
+def ratings(feed: DataFrame, key: str) -> DataFrame:
+    """Ratings per ``key``, from the last version of every entry."""
     last = feed.groupBy("entry_id", key).agg(F.max_by("rating", "version").alias("rating"))
     return last.filter(F.col(key).isNotNull()).groupBy(key).agg(
         ratio(F.sum("rating"), F.count("rating"), 2).alias("rating"), F.count(F.lit(1)).alias("total_ratings"))
@@ -175,81 +153,32 @@ def batch_ratings(feed: DataFrame, key: str) -> DataFrame:
 
 # ---- audit log -----------------------------------------------------------------------
 
-LOG = "order_id long, from_status string, status string, changed_at timestamp"
-
-
-def _log_changes(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Rows whose status differs from the one before; the state is the last status."""
-    last = state.get[0] if state.exists else None
-    rows = pd.concat(list(frames)).sort_values(["changed_at", "event_id"])
-    before = rows["status"].shift(1)
-    if len(rows):
-        before.iloc[0] = last
-    changed = rows["status"] != before
-    # An empty text stands for "none before"; it becomes NULL again when the log is read.
-    out = pd.DataFrame({"order_id": rows["order_id"], "from_status": before.fillna(""), "status": rows["status"],
-                        "changed_at": rows["changed_at"]})[changed]
-    if len(rows):
-        state.update((rows["status"].iloc[-1],))
-    yield out
-
+def stream_status(events: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep the status events (event_id, order_id, status, changed_at) from which log and monitor follow."""
+    keep_events(events.select("event_id", "order_id", "status", "changed_at"), path, checkpoint, "event_id")
 
-def stream_audit_log(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Append a row for the first status of an order and for every real change.
-
-    ``events`` is (event_id, order_id, status, changed_at); one order has few of them.
-    """
-    typed = events.withColumn("changed_at", F.col("changed_at").cast("timestamp"))
-    log = typed.groupBy("order_id").applyInPandasWithState(
-        _log_changes, LOG, "last string", "append", "NoTimeout")
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run_available(log, write, checkpoint)
-
-
-def audit_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(
-        "order_id", F.nullif("from_status", F.lit("")).alias("from_status"), "status",
-        F.col("changed_at").cast("timestamp_ntz").alias("changed_at"))
-
-
-def batch_audit_log(events: DataFrame) -> DataFrame:
+def audit_log(events: DataFrame) -> DataFrame:
+    """A row for the first status of an order and for every real change."""
     rows = add_previous(events, "order_id", (asc("changed_at"), asc("event_id")), "status", "from_status")
     return rows.filter(~F.col("status").eqNullSafe(F.col("from_status"))).select(
         "order_id", "from_status", "status", "changed_at")
 
 
-# ---- live monitor and demand windows -------------------------------------------------
-
-def stream_latest_status(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Latest status per order; each batch writes the orders it touched.
-
-    The state holds one row per order seen; on an endless feed, start it from the orders
-    still open rather than from all history.
-    """
-    latest = events.groupBy("order_id").agg(
-        F.max_by("status", F.struct("changed_at", "event_id")).alias("status"),
-        F.max(F.struct("changed_at", "event_id")).alias("at"))
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def first_status(log: DataFrame) -> DataFrame:
+    """The entry each order starts its log with."""
+    return log.filter("from_status is null").select("order_id", "status", "changed_at")
 
-    run_available(latest, write, checkpoint, mode="update")
 
+# ---- live monitor and demand windows -------------------------------------------------
 
-def live_monitor(latest: DataFrame) -> DataFrame:
-    """Orders by status, from the newest entry per order, with the open ones marked."""
-    rows = latest.groupBy("order_id").agg(F.max_by("status", "at").alias("status"))
+def live_monitor(events: DataFrame) -> DataFrame:
+    """Orders by status, from the newest event of each order, with the open ones marked."""
+    rows = events.groupBy("order_id").agg(F.max_by("status", F.struct("changed_at", "event_id")).alias("status"))
     return rows.groupBy("status").agg(F.count(F.lit(1)).alias("orders")).withColumn(
         "is_open", ~F.col("status").isin("Delivered", "Cancelled"))
 
 
-def batch_live_monitor(events: DataFrame) -> DataFrame:
-    return live_monitor(events.select("order_id", "status", F.struct("changed_at", "event_id").alias("at")))
-
-
 def unassigned_orders(m: Marketplace) -> DataFrame:
     """Open orders without a delivery per zone, the longest waiting first."""
     from plateflow.operators.requests import waiting_orders
@@ -258,25 +187,25 @@ def unassigned_orders(m: Marketplace) -> DataFrame:
         F.count(F.lit(1)).alias("unassigned"), F.min("order_timestamp").alias("waiting_since")).orderBy("waiting_since")
 
 
-def demand_windows(events: DataFrame, width: str = "1 hour", slide: str | None = None,
-                   delay: str | None = DELAY) -> DataFrame:
-    """Events and amounts per (sliding) window; works on streams and on tables alike.
+def stream_demand(events: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep the events (event_id, changed_at, cents) that ``demand_windows`` counts."""
+    keep_events(events.select("event_id", "changed_at", "cents"), path, checkpoint, "event_id")
 
-    Events older than the delay behind the newest one are not counted by a stream.
-    """
-    source = timed(events, "changed_at", delay) if delay else events
+
+def demand_windows(events: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Events and amounts per (sliding) window."""
     window = F.window("changed_at", width, slide) if slide else F.window("changed_at", width)
-    return source.groupBy(window.alias("w")).agg(
+    return events.groupBy(window.alias("w")).agg(
         F.count(F.lit(1)).alias("events"), F.sum("cents").alias("cents")).select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), "events", "cents")
 
 
-def stream_demand(events: DataFrame, path: str, checkpoint: str, width: str = "1 hour",
-                  slide: str | None = None) -> None:
-    """Windows that are complete, written once (append mode)."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def closing_windows(events: DataFrame, width: str = "1 hour", slide: str | None = None, delay: str = DELAY) -> DataFrame:
+    """``demand_windows`` with ``is_closed``: the newest event is ``delay`` or more past the window's end.
 
-    run_available(demand_windows(events, width, slide), write, checkpoint)
+    An event that comes after its window was closed still counts when the store is read again.
+    """
+    newest = events.agg(F.max("changed_at").alias("_newest")).select(
+        (F.col("_newest").cast("timestamp_ntz") - F.expr(f"interval {delay}")).alias("_until"))
+    return demand_windows(events, width, slide).withColumn("is_closed", F.col("window_end") <= newest.scalar())

@@ -21,7 +21,7 @@ def status_events(events: DataFrame) -> DataFrame:
 
 def event_stream(m: Marketplace) -> DataFrame:
     schema = m.source.raw("events").schema
-    return status_events(keep.file_stream(m.spark, m.source.directory, schema, "events.parquet"))
+    return status_events(keep.file_stream(m.spark, f"{m.source.directory}/events.parquet", schema))
 
 
 def order_changes(m: Marketplace) -> DataFrame:
@@ -38,68 +38,68 @@ def trip_changes(m: Marketplace) -> DataFrame:
 
 def _feed(rows: DataFrame, key: str, first, final) -> DataFrame:
     """Two versions of every entry: as first given, then changed."""
-    versions = F.array(
-        F.struct(F.lit(1).alias("version"), first.cast("int").alias("rating"), F.lit(None).cast("int").alias("before"),
-                 F.lit(True).alias("is_new"), F.col("at").alias("changed_at")),
-        F.struct(F.lit(2).alias("version"), final.cast("int").alias("rating"), first.cast("int").alias("before"),
-                 F.lit(False).alias("is_new"), (F.col("at") + F.expr("interval 1 hour")).alias("changed_at")))
+    versions = F.array(F.struct(F.lit(1).alias("version"), first.cast("int").alias("rating")),
+                       F.struct(F.lit(2).alias("version"), final.cast("int").alias("rating")))
     return rows.select("entry_id", key, F.explode(versions).alias("v")).select("entry_id", key, "v.*")
 
 
 def review_feed(m: Marketplace) -> DataFrame:
-    rows = m.reviews("review_id", "restaurant_id", "food_rating", "overall_rating", "created_at").withColumnsRenamed(
-        {"review_id": "entry_id", "created_at": "at"})
+    rows = m.reviews("review_id", "restaurant_id", "food_rating", "overall_rating").withColumnRenamed(
+        "review_id", "entry_id")
     return _feed(rows, "restaurant_id", F.col("food_rating"), F.col("overall_rating"))
 
 
 def trip_rating_feed(m: Marketplace) -> DataFrame:
-    rows = m.deliveries("delivery_id", "partner_id", "delivery_rating", "delivered_at").withColumnsRenamed(
-        {"delivery_id": "entry_id", "delivered_at": "at"})
+    rows = m.deliveries("delivery_id", "partner_id", "delivery_rating").withColumnRenamed(
+        "delivery_id", "entry_id")
     return _feed(rows, "partner_id", F.lit(None).cast("int"), F.col("delivery_rating"))
 
 
 def _replayed(m: Marketplace, feed: DataFrame) -> tuple[DataFrame, str]:
-    """The feed as a file stream that delivers every change twice, and a folder for the run."""
+    """The feed as a file stream and a folder for the run: every change comes twice, in three files
+    without any order, and each file is a micro-batch of its own."""
     base = keep.workspace(m.spark)
-    feed.unionByName(feed).write.parquet(f"{base}/in")
-    return keep.file_stream(m.spark, f"{base}/in", feed.schema), base
+    feed.unionByName(feed).repartition(3).write.parquet(f"{base}/in")
+    return keep.file_stream(m.spark, f"{base}/in", feed.schema, max_files=1), base
+
+
+def _stream_totals(m: Marketplace, changes: DataFrame, key: str, amount: str) -> DataFrame:
+    stream, base = _replayed(m, changes)
+    keep.stream_totals(stream, key, amount, f"{base}/out", f"{base}/cp")
+    return keep.totals(keep.read_events(m.spark, f"{base}/out", "order_id"), key, amount)
 
 
 def stream_customer_totals(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, order_changes(m))
-    keep.stream_totals(stream, "customer_id", "total_amount", f"{base}/out", f"{base}/cp")
-    return keep.customer_totals(keep.totals(keep.read_ledger(m.spark, f"{base}/out"), "customer_id"))
+    return keep.customer_totals(_stream_totals(m, order_changes(m), "customer_id", "total_amount"))
 
 
 def stream_restaurant_totals(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, order_changes(m))
-    keep.stream_totals(stream, "restaurant_id", "total_amount", f"{base}/out", f"{base}/cp")
-    return keep.restaurant_totals(keep.totals(keep.read_ledger(m.spark, f"{base}/out"), "restaurant_id"))
+    return keep.restaurant_totals(_stream_totals(m, order_changes(m), "restaurant_id", "total_amount"))
 
 
 def stream_partner_totals(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, trip_changes(m))
-    keep.stream_totals(stream, "partner_id", "partner_earnings", f"{base}/out", f"{base}/cp")
-    return keep.partner_totals(keep.totals(keep.read_ledger(m.spark, f"{base}/out"), "partner_id"))
+    return keep.partner_totals(_stream_totals(m, trip_changes(m), "partner_id", "partner_earnings"))
 
 
 def stream_promotion_usage(m: Marketplace, as_of=None) -> DataFrame:
     stream, base = _replayed(m, order_changes(m))
     keep.stream_promotion_usage(stream, f"{base}/out", f"{base}/cp")
     seeds = m.promotions("promotion_id", "promo_code", "max_uses").withColumn("is_active", F.lit(True))
-    return keep.promotion_usage(keep.read_ledger(m.spark, f"{base}/out"), seeds)
+    return keep.promotion_usage(keep.read_events(m.spark, f"{base}/out", "order_id"), seeds)
+
+
+def _stream_ratings(m: Marketplace, feed: DataFrame, key: str) -> DataFrame:
+    stream, base = _replayed(m, feed)
+    keep.stream_ratings(stream, key, f"{base}/out", f"{base}/cp")
+    return keep.ratings(keep.read_events(m.spark, f"{base}/out", "entry_id", "version"), key)
 
 
 def stream_restaurant_ratings(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, review_feed(m))
-    keep.stream_ratings(stream, "restaurant_id", f"{base}/out", f"{base}/cp")
-    return keep.ratings(keep.read_ledger(m.spark, f"{base}/out"), "restaurant_id")
+    return _stream_ratings(m, review_feed(m), "restaurant_id")
 
 
 def stream_partner_ratings(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, trip_rating_feed(m))
-    keep.stream_ratings(stream, "partner_id", f"{base}/out", f"{base}/cp")
-    return keep.ratings(keep.read_ledger(m.spark, f"{base}/out"), "partner_id").drop("total_ratings")
+    return _stream_ratings(m, trip_rating_feed(m), "partner_id").drop("total_ratings")
 
 
 def batch_customer_totals(m: Marketplace, as_of=None) -> DataFrame:
@@ -120,59 +120,68 @@ def batch_promotion_usage(m: Marketplace, as_of=None) -> DataFrame:
 
 
 def batch_restaurant_ratings(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.batch_ratings(review_feed(m), "restaurant_id")
+    return keep.ratings(review_feed(m), "restaurant_id")
 
 
 def batch_partner_ratings(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.batch_ratings(trip_rating_feed(m), "partner_id").drop("total_ratings")
+    return keep.ratings(trip_rating_feed(m), "partner_id").drop("total_ratings")
+
+
+def _kept_status(m: Marketplace, replayed: bool) -> DataFrame:
+    """The status events as a stream has kept them: from the table, or replayed in pieces without order."""
+    if replayed:
+        stream, base = _replayed(m, status_events(m.source.raw("events")))
+    else:
+        stream, base = event_stream(m), keep.workspace(m.spark)
+    keep.stream_status(stream, f"{base}/out", f"{base}/cp")
+    return keep.read_events(m.spark, f"{base}/out", "event_id")
 
 
 def stream_audit_log(m: Marketplace, as_of=None) -> DataFrame:
-    base = keep.workspace(m.spark)
-    keep.stream_audit_log(event_stream(m), f"{base}/out", f"{base}/cp")
-    return keep.audit_log(m.spark, f"{base}/out")
+    return keep.audit_log(_kept_status(m, replayed=True))
 
 
 def batch_audit_log(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.batch_audit_log(status_events(m.source.raw("events")))
+    return keep.audit_log(status_events(m.source.raw("events")))
+
+
+def stream_first_status(m: Marketplace, as_of=None) -> DataFrame:
+    return keep.first_status(keep.audit_log(_kept_status(m, replayed=True)))
 
 
 def batch_first_status(m: Marketplace, as_of=None) -> DataFrame:
-    """The entry each order starts its log with."""
-    return batch_audit_log(m).filter("from_status is null").select("order_id", "status", "changed_at")
+    return keep.first_status(batch_audit_log(m))
 
 
 def stream_live_monitor(m: Marketplace, as_of=None) -> DataFrame:
-    base = keep.workspace(m.spark)
-    keep.stream_latest_status(event_stream(m), f"{base}/out", f"{base}/cp")
-    return keep.live_monitor(m.spark.read.parquet(f"{base}/out"))
+    return keep.live_monitor(_kept_status(m, replayed=False))
 
 
 def batch_live_monitor(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.batch_live_monitor(status_events(m.source.raw("events")))
+    return keep.live_monitor(status_events(m.source.raw("events")))
 
 
 def unassigned_orders(m: Marketplace, as_of=None) -> DataFrame:
     return keep.unassigned_orders(m)
 
 
-def _windows(m: Marketplace, slide: str | None, width: str) -> DataFrame:
-    base = keep.workspace(m.spark)
-    keep.stream_demand(event_stream(m), f"{base}/out", f"{base}/cp", width, slide)
-    return m.spark.read.parquet(f"{base}/out").drop("batch")
+def _windows(m: Marketplace, width: str, slide: str | None, delay: str) -> DataFrame:
+    stream, base = _replayed(m, status_events(m.source.raw("events")))
+    keep.stream_demand(stream, f"{base}/out", f"{base}/cp")
+    return keep.closing_windows(keep.read_events(m.spark, f"{base}/out", "event_id"), width, slide, delay)
 
 
-def stream_hourly_demand(m: Marketplace, as_of=None) -> DataFrame:
-    return _windows(m, None, "1 hour")
+def stream_hourly_demand(m: Marketplace, as_of=None, delay: str = keep.DELAY) -> DataFrame:
+    return _windows(m, "1 hour", None, delay)
 
 
-def stream_smoothed_demand(m: Marketplace, as_of=None) -> DataFrame:
-    return _windows(m, "1 hour", "3 hours")
+def stream_smoothed_demand(m: Marketplace, as_of=None, delay: str = keep.DELAY) -> DataFrame:
+    return _windows(m, "3 hours", "1 hour", delay)
 
 
 def batch_hourly_demand(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.demand_windows(status_events(m.source.raw("events")), delay=None)
+    return keep.demand_windows(status_events(m.source.raw("events")))
 
 
 def batch_smoothed_demand(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.demand_windows(status_events(m.source.raw("events")), "3 hours", "1 hour", delay=None)
+    return keep.demand_windows(status_events(m.source.raw("events")), "3 hours", "1 hour")

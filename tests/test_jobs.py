@@ -251,36 +251,64 @@ def test_stream_counts_replays_once_and_survives_restarts(spark, tmp_path):
         feed(spark, rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
         stream = keep.file_stream(spark, f"{base}/in", feed(spark, first).schema)
         keep.stream_totals(stream, "customer_id", "total_amount", f"{base}/out", f"{base}/cp")
-        rows = dicts(keep.customer_totals(keep.totals(keep.read_ledger(spark, f"{base}/out"), "customer_id")))
+        kept = keep.read_events(spark, f"{base}/out", "order_id")
+        rows = dicts(keep.customer_totals(keep.totals(kept, "customer_id", "total_amount")))
         return {r["customer_id"]: (r["total_orders"], float(r["total_spent"])) for r in rows}
 
     assert step(first) == {5: (2, 30.0)}
     assert step(second) == {5: (2, 30.0), 6: (1, 7.0)}
-    keep.compact_ledger(spark, f"{base}/out", f"{base}/small", ["customer_id"], {"n": F.sum, "total": F.sum, "last": F.max})
-    assert {r["customer_id"]: r["n"] for r in dicts(keep.totals(keep.read_ledger(spark, f"{base}/small"), "customer_id"))} == {5: 2, 6: 1}
+    keep.compact(spark, f"{base}/out", f"{base}/small", "order_id")
+    small = keep.totals(keep.read_events(spark, f"{base}/small", "order_id"), "customer_id", "total_amount")
+    assert {r["customer_id"]: r["n"] for r in dicts(small)} == {5: 2, 6: 1}
 
 
-def test_late_event_is_left_out_of_closed_windows(spark, tmp_path):
+def test_late_files_count(spark, tmp_path):
+    """Three files of ten orders, the second one hours older than the first."""
     base = str(tmp_path)
-    rows = [["2024-01-01 10:05:00", "2024-01-01 12:30:00"], ["2024-01-01 10:10:00", "2024-01-01 14:30:00"]]
-    for part in rows:
-        df = spark.createDataFrame([(t, 100) for t in part], "t string, cents long")
-        df = df.select(F.col("t").cast("timestamp_ntz").alias("changed_at"), "cents")
-        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        stream = keep.file_stream(spark, f"{base}/in", df.schema)
-        keep.stream_demand(stream, f"{base}/out", f"{base}/cp")
-    got = {str(r["window_start"]): r["events"] for r in spark.read.parquet(f"{base}/out").collect()}
-    assert got == {"2024-01-01 10:00:00": 1, "2024-01-01 12:00:00": 1}   # 10:10 came after the watermark passed
+    for n, hour in enumerate((20, 3, 23)):
+        rows = [(10 * n + k, "Delivered", f"2024-01-01 {hour:02d}:{k:02d}:00", k % 3, 1.0) for k in range(10)]
+        feed(spark, rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = keep.file_stream(spark, f"{base}/in", feed(spark, rows).schema, max_files=1)
+    keep.stream_totals(stream, "customer_id", "total_amount", f"{base}/out", f"{base}/cp")
+    got = keep.totals(keep.read_events(spark, f"{base}/out", "order_id"), "customer_id", "total_amount")
+    assert sum(r["n"] for r in dicts(got)) == 30
 
 
-def test_audit_log_spans_batches(spark, tmp_path):
+@pytest.mark.parametrize("folder", [True, False])
+def test_a_late_event_counts_in_its_closed_window(spark, tmp_path, folder):
+    base = str(tmp_path)
+    rows = [(1, "2024-01-01 10:05:00"), (2, "2024-01-01 12:30:00"), (3, "2024-01-01 10:10:00"), (4, "2024-01-01 14:30:00")]
+    df = spark.createDataFrame(rows, "event_id long, t string").select(
+        "event_id", F.col("t").cast("timestamp_ntz").alias("changed_at"), F.lit(100).cast("long").alias("cents"))
+    df.repartition(3, "event_id").write.parquet(f"{base}/in")
+    if not folder:
+        df.coalesce(1).write.parquet(f"{base}/one")
+        name = next(p.name for p in (tmp_path / "one").iterdir() if p.name.endswith(".parquet"))
+        (tmp_path / "one" / name).rename(tmp_path / "events.parquet")
+    path = f"{base}/in" if folder else f"{base}/events.parquet"
+    keep.stream_demand(keep.file_stream(spark, path, df.schema, max_files=1), f"{base}/out", f"{base}/cp")
+    kept = keep.read_events(spark, f"{base}/out", "event_id")
+    got = {str(r["window_start"])[11:13]: (r["events"], r["is_closed"]) for r in keep.closing_windows(kept).collect()}
+    assert got == {"10": (2, True), "12": (1, True), "14": (1, False)}
+
+
+def test_audit_log_does_not_depend_on_arrival(spark, tmp_path):
     base = str(tmp_path)
-    parts = [[(1, 7, "Placed", "2024-01-01 10:00:00"), (2, 7, "Placed", "2024-01-01 10:01:00")],
-             [(3, 7, "Placed", "2024-01-01 10:02:00"), (4, 7, "Confirmed", "2024-01-01 10:03:00")]]
+    parts = [[(4, 7, "Confirmed", "2024-01-01 10:03:00"), (2, 7, "Placed", "2024-01-01 10:01:00")],
+             [(1, 7, "Placed", "2024-01-01 10:00:00"), (3, 7, "Placed", "2024-01-01 10:02:00"), (4, 7, "Confirmed", "2024-01-01 10:03:00")]]
     for part in parts:
         df = spark.createDataFrame(part, "event_id long, order_id long, status string, changed_at string").withColumn(
             "changed_at", F.col("changed_at").cast("timestamp_ntz"))
         df.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        keep.stream_audit_log(keep.file_stream(spark, f"{base}/in", df.schema), f"{base}/out", f"{base}/cp")
-    rows = sorted((r["from_status"] or "", r["status"]) for r in dicts(keep.audit_log(spark, f"{base}/out")))
-    assert rows == [("", "Placed"), ("Placed", "Confirmed")]
+        keep.stream_status(keep.file_stream(spark, f"{base}/in", df.schema), f"{base}/out", f"{base}/cp")
+    log = keep.audit_log(keep.read_events(spark, f"{base}/out", "event_id"))
+    assert sorted((r["from_status"] or "", r["status"]) for r in dicts(log)) == [("", "Placed"), ("Placed", "Confirmed")]
+    assert [str(r["changed_at"])[11:] for r in dicts(keep.first_status(log))] == ["10:00:00"]
+
+
+def test_a_stream_without_events(spark, tmp_path):
+    base = str(tmp_path)
+    feed(spark, []).write.parquet(f"{base}/in")
+    stream = keep.file_stream(spark, f"{base}/in", feed(spark, []).schema)
+    keep.stream_totals(stream, "customer_id", "total_amount", f"{base}/out", f"{base}/cp")
+    assert keep.read_events(spark, f"{base}/out", "order_id").collect() == []
