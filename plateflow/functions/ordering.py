@@ -1,10 +1,9 @@
 """Global rankings that never gather the table in one task.
 
-``row_number``, ``rank`` or ``ntile`` over the whole table (or over a partition
-that may hold a third of it) would run in a single task as a plain window. Above
-a checked row count the frame is range-partitioned on (partition, order, id)
-instead: every task numbers its own rows, and a summary of one row per task and
-partition key supplies the offsets.
+``row_number``, ``rank`` or ``ntile`` over the whole table (or over a partition that may hold a
+third of it) would run in a single task as a plain window. The frame is range-partitioned on
+(partition, order, id) instead: every task numbers its own rows, and a summary of one row per task
+and partition key supplies the offsets. Frames of any size go the same way.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plateflow.session import cut
 
-# At or below this many rows one task orders the frame faster than a range shuffle.
-ONE_TASK_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class By:
@@ -76,38 +72,14 @@ class Want:
     running: tuple[str, str] | None = None  # (new column, summed column)
 
 
-def add_orders(df: DataFrame, ids: Sequence[str], *wants: Want, one_task_rows: int | None = None) -> DataFrame:
-    """Add ranking columns. ``ids`` make every order total, so results are repeatable."""
-    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
-    base = cut(df)
-    if base.count() <= limit:
-        for want in wants:
-            base = _plain(base, ids, want)
-        return base
-    for want in wants:
-        base = _distributed(base, ids, want)
-    return base
-
+def add_orders(df: DataFrame, ids: Sequence[str], *wants: Want) -> DataFrame:
+    """Add ranking columns. ``ids`` make every order total, so results are repeatable.
 
-def _plain(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
-    window = W.partitionBy(*want.partition) if want.partition else W.partitionBy(F.lit(0))
-    values = [key.sort() for key in want.order]
-    total = window.orderBy(*values, *[F.col(i).asc() for i in ids])
-    peers = window.orderBy(*values)
-    added: dict[str, Column] = {}
-    if want.row_number:
-        added[want.row_number] = F.row_number().over(total).cast("long")
-    if want.rank:
-        added[want.rank] = F.rank().over(peers).cast("long")
-    if want.dense_rank:
-        added[want.dense_rank] = F.dense_rank().over(peers).cast("long")
-    if want.rows:
-        added[want.rows] = F.count(F.lit(1)).over(window)
-    if want.tiles:
-        added[want.tiles[0]] = F.ntile(want.tiles[1]).over(total)
-    if want.running:
-        added[want.running[0]] = F.sum(want.running[1]).over(total.rowsBetween(W.unboundedPreceding, 0))
-    return df.withColumns(added)
+    Each ordering is one range shuffle, written once to the shared folder.
+    """
+    for want in wants:
+        df = _distributed(df, ids, want)
+    return df
 
 
 def _distributed(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
@@ -179,8 +151,6 @@ def _distributed(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
 
     keep = [c for c in ("_lo", "_before", "_all", "_start", "_dense_before", "_sum_before") if c in blocks.columns]
     blocks = blocks.select("_task", *parts, *keep)
-    if not parts:
-        blocks = F.broadcast(blocks)  # one row per shuffle task
     left, right = rows.alias("r"), blocks.alias("s")
     on = F.col("r._task") == F.col("s._task")
     for p in parts:
@@ -208,17 +178,13 @@ def _distributed(df: DataFrame, ids: Sequence[str], want: Want) -> DataFrame:
     return joined.select(*original, *[c.alias(n) for n, c in added.items()])
 
 
-def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name: str,
-                 one_task_rows: int | None = None) -> DataFrame:
+def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name: str) -> DataFrame:
     """``value`` of the row before within ``key``, also where one key holds much of the table.
 
-    Small frames use ``lag``. Larger ones are range-partitioned on (key, order): a task looks
-    back inside its own rows, and its first row takes the last one of the task before.
+    The frame is range-partitioned on (key, order): a task looks back inside its own rows, and its
+    first row takes the last one of the task before.
     """
-    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
     keys = [F.col(key).asc_nulls_first(), *[k.sort() for k in order]]
-    if df.count() <= limit:
-        return df.withColumn(name, F.lag(value).over(W.partitionBy(key).orderBy(*keys[1:])))
     placed = cut(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     ).withColumn("_task", F.shiftright("_at", 33))
@@ -227,7 +193,7 @@ def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name:
     # One row per shuffle task; empty tasks have no row and are skipped.
     carried = ends.select("_task", F.lag("_end").over(W.partitionBy(F.lit(0)).orderBy("_task")).alias("_carried"))
     inside = F.lag(entry).over(W.partitionBy("_task").orderBy("_at"))
-    rows = placed.withColumn("_inside", inside).join(F.broadcast(carried), "_task")
+    rows = placed.withColumn("_inside", inside).join(carried, "_task")
     before = F.coalesce("_inside", "_carried")
     return rows.withColumn(name, F.when(before["k"].eqNullSafe(F.col(key)), before["v"])).drop(
         "_at", "_task", "_inside", "_carried")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -99,3 +100,9 @@ def distinct(column: Column | str, approximate: bool = False) -> Column:
 def minutes_at(column: str, point: float, approximate: bool = False) -> Column:
     """Percentile of whole minutes; exact, with one counter per distinct minute, unless told otherwise."""
     return F.expr(f"percentile{'_approx' if approximate else ''}({column}, {point})")
+
+
+def minutes_at_all(column: str, points: Sequence[float], approximate: bool = False) -> Column:
+    """An array of percentiles of whole minutes from one set of counters."""
+    listed = ", ".join(map(str, points))
+    return F.expr(f"percentile{'_approx' if approximate else ''}({column}, array({listed}))")

@@ -11,7 +11,7 @@ from plateflow.functions.exact import count_where, half_up, mean, percent, ratio
 from plateflow.functions.ordering import asc, desc, top
 from plateflow.functions.quantiles import histogram
 from plateflow.model import Marketplace
-from plateflow.operators.common import everything, is_cancelled, minutes_at, zone_names
+from plateflow.operators.common import everything, is_cancelled, minutes_at, minutes_at_all, zone_names
 from plateflow.operators.views import partner_performance
 
 
@@ -31,11 +31,14 @@ def delivery_times(m: Marketplace, as_of: date | None = None, approximate: bool
     trips = done_trips(m, "actual_time_mins", "sla_breached", "on_time").filter("actual_time_mins is not null")
     points = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     n, late, timely = F.count(F.lit(1)), count_where(F.col("sla_breached")), count_where(F.col("on_time"))
-    marks = [whole(minutes_at("actual_time_mins", p, approximate)).alias(f"{n}_mins") for n, p in points.items()]
-    return trips.agg(
-        mean(F.col("actual_time_mins"), 1).alias("mean_mins"), *marks,
+    found = trips.agg(
+        minutes_at_all("actual_time_mins", [*points.values()], approximate).alias("_marks"),
+        mean(F.col("actual_time_mins"), 1).alias("mean_mins"),
         n.alias("total_deliveries"), late.alias("sla_breaches"), percent(late, n, 2).alias("sla_breach_pct"),
         timely.alias("on_time_count"), percent(timely, n, 2).alias("on_time_rate_pct"))
+    marks = [whole(F.col("_marks")[i]).alias(f"{name}_mins") for i, name in enumerate(points)]
+    return found.select("mean_mins", *marks, "total_deliveries", "sla_breaches", "sla_breach_pct", "on_time_count",
+                        "on_time_rate_pct")
 
 
 def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
@@ -274,8 +277,9 @@ def time_percentiles(m: Marketplace, as_of: date | None = None, max_mins: int =
     """Seven percentiles, median and late share of deliveries below ``max_mins``."""
     trips = done_trips(m, "actual_time_mins").filter(F.col("actual_time_mins") < max_mins)
     n, late = F.count(F.lit(1)), count_where(F.col("actual_time_mins") > 45)
-    return trips.agg(*[whole(minutes_at("actual_time_mins", p / 100), 1).alias(f"p{p}") for p in points],
-                     percent(late, n, 1).alias("late_pct"), n.alias("deliveries"))
+    found = trips.agg(minutes_at_all("actual_time_mins", [p / 100 for p in points]).alias("_marks"),
+                      percent(late, n, 1).alias("late_pct"), n.alias("deliveries"))
+    return found.select(*[whole(F.col("_marks")[i], 1).alias(f"p{p}") for i, p in enumerate(points)], "late_pct", "deliveries")
 
 
 def time_histogram(m: Marketplace, as_of: date | None = None, max_mins: int = 120, bins: int = 50) -> DataFrame:

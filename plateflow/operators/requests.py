@@ -11,15 +11,16 @@ from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from plateflow.functions.ordering import Want, add_orders, asc
+from plateflow.functions.ordering import Want, add_orders, asc, desc
 from plateflow.functions.skew import join_spread
 from plateflow.model import DEFAULT_FEE, Marketplace
 
 ITEMS = "array<struct<item_id:long,quantity:int>>"
 # Error codes of the order service.
 NO_CUSTOMER, NO_RESTAURANT, NO_ITEM, NO_PARTNER = "P0001", "P0002", "P0003", "P0010"
+BAD_ITEMS = "22P02"
 
 
 @dataclass(frozen=True)
@@ -45,9 +46,12 @@ def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
 
     ``requests``: request_id, customer_id, restaurant_id, address_id, items (JSON array of
     item_id and quantity), promo_code, payment_method, order_channel, requested_at. The
-    request number becomes the order number.
+    request number becomes the order number. A list of items that is missing, no JSON array, or
+    has an entry without item or quantity is rejected before anything else is looked at.
     """
     parsed = requests.withColumn("_items", F.from_json("items", ITEMS))
+    whole = F.forall("_items", lambda x: x["item_id"].isNotNull() & x["quantity"].isNotNull())
+    parsed = parsed.withColumn("_broken", ~F.coalesce(whole, F.lit(False)))
     lines = parsed.select("request_id", F.posexplode("_items").alias("_pos", "_item")).select(
         "request_id", "_pos", "_item.item_id", "_item.quantity")
     menu = m.menu_items("item_id", "price", "is_available").withColumn("_found", F.lit(True))
@@ -64,11 +68,12 @@ def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
     df = join_spread(df, rests, "restaurant_id", "request_id", how="left")
     no = F.lit(False)
     code = (
-        F.when(~F.coalesce("_customer_ok", no), NO_CUSTOMER).when(~F.coalesce("_restaurant_ok", no), NO_RESTAURANT)
+        F.when(F.col("_broken"), BAD_ITEMS).when(~F.coalesce("_customer_ok", no), NO_CUSTOMER).when(~F.coalesce("_restaurant_ok", no), NO_RESTAURANT)
         .when(F.col("_bad_item").isNotNull(), NO_ITEM)
     )
     reason = (
-        F.when(F.col("error_code") == NO_CUSTOMER, F.concat(
+        F.when(F.col("error_code") == BAD_ITEMS, F.lit("Items are no list of item_id and quantity"))
+        .when(F.col("error_code") == NO_CUSTOMER, F.concat(
             F.lit("Customer "), F.col("customer_id").cast("string"), F.lit(" not found or inactive")))
         .when(F.col("error_code") == NO_RESTAURANT, F.concat(
             F.lit("Restaurant "), F.col("restaurant_id").cast("string"), F.lit(" not found or inactive")))
@@ -194,7 +199,11 @@ def process_refunds(m: Marketplace, requests: DataFrame) -> Applied:
 
 @dataclass(frozen=True)
 class Assigned:
+    """Changes to deliveries, to their orders and to their partners, and what was rejected."""
+
     deliveries: DataFrame
+    orders: DataFrame
+    partners: DataFrame
     rejects: DataFrame
 
 
@@ -210,15 +219,18 @@ def assign_partners(m: Marketplace, orders: DataFrame) -> Assigned:
 
     Inside a zone the k-th waiting order gets the k-th partner (verified; most deliveries,
     then best rating). Orders left over take any available partner of the city, in the
-    same k-th to k-th manner; orders beyond that are rejected.
+    same k-th to k-th manner; orders beyond that are rejected. All zones are served before any
+    city is: one by one, an earlier order could have taken a partner of a zone that a later order
+    of that zone gets here. Assigned orders are confirmed and their partners on delivery.
     """
     free = m.delivery_partners("partner_id", "partner_name", "zone_id", "is_active", "current_status",
                                "bg_verification", "total_deliveries", "rating").filter(
         F.col("is_active") & (F.col("current_status") == "Available"))
     zones = m.zones("zone_id", "city_id", "avg_delivery_time_mins")
-    best = W.partitionBy("zone_id").orderBy(F.desc("total_deliveries"), F.desc("rating"), "partner_id")
-    ranked = free.filter("bg_verification").select(
-        "zone_id", "partner_id", "partner_name", F.row_number().over(best).cast("long").alias("_k"))
+    ranked = add_orders(
+        free.filter("bg_verification").select("zone_id", "partner_id", "partner_name", "total_deliveries", "rating"), ["partner_id"],
+        Want((desc("total_deliveries"), desc("rating")), partition=("zone_id",), row_number="_k"),
+    ).select("zone_id", "partner_id", "partner_name", "_k")
     queue = add_orders(orders.select("order_id", "order_timestamp", "zone_id"), ["order_id"],
                        Want((asc("order_timestamp"),), partition=("zone_id",), row_number="_k"))
     first = queue.join(ranked, ["zone_id", "_k"], "left").drop("_k")
@@ -227,9 +239,8 @@ def assign_partners(m: Marketplace, orders: DataFrame) -> Assigned:
     rest = first.filter("partner_id is null").select("order_id", "order_timestamp", "zone_id").join(
         zones.select("zone_id", "city_id"), "zone_id", "left")
     spare = free.join(in_zone.select("partner_id"), "partner_id", "left_anti").join(
-        zones.select("zone_id", "city_id"), "zone_id").select(
-        "city_id", "partner_id", "partner_name",
-        F.row_number().over(W.partitionBy("city_id").orderBy("partner_id")).cast("long").alias("_k"))
+        zones.select("zone_id", "city_id"), "zone_id").select("city_id", "partner_id", "partner_name")
+    spare = add_orders(spare, ["partner_id"], Want((), partition=("city_id",), row_number="_k"))
     again = add_orders(rest, ["order_id"],
                        Want((asc("order_timestamp"),), partition=("city_id",), row_number="_k"))
     second = again.join(spare, ["city_id", "_k"], "left").drop("_k", "city_id")
@@ -243,28 +254,36 @@ def assign_partners(m: Marketplace, orders: DataFrame) -> Assigned:
         mins.alias("expected_time_mins"),
         (F.col("order_timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), mins)).alias("expected_delivery_time"),
         F.lit("Assigned").alias("delivery_status"))
-    return Assigned(done, rejects)
+    confirmed = done.select("order_id", F.lit("Confirmed").alias("order_status"), F.col("assigned_at").alias("confirmed_at"))
+    busy = done.select("partner_id", F.lit("On Delivery").alias("current_status"))
+    return Assigned(done, confirmed, busy, rejects)
 
 
 def complete_deliveries(m: Marketplace, requests: DataFrame) -> Assigned:
     """Close deliveries: time, distance and earnings. The last request of an order counts.
 
-    ``requests``: request_id, order_id, actual_mins, distance_km (may be NULL), requested_at.
+    ``requests``: request_id, order_id, actual_mins, distance_km (may be NULL), requested_at. A
+    distance given once stays until a later request gives another; earnings follow the last
+    request alone. The orders become Delivered and their partners available.
     """
-    last = requests.groupBy("order_id").agg(F.max_by(
-        F.struct("request_id", "actual_mins", "distance_km", "requested_at"),
-        F.struct("requested_at", "request_id")).alias("r"))
+    order = F.struct("requested_at", "request_id")
+    last = requests.groupBy("order_id").agg(
+        F.max_by(F.struct("request_id", "actual_mins", "distance_km", "requested_at"), order).alias("r"),
+        F.max_by("distance_km", F.when(F.col("distance_km").isNotNull(), order)).alias("_given"))
     trips = m.deliveries("delivery_id", "order_id", "partner_id", "distance_km", "delivery_fee")
     done = last.join(trips, "order_id").select(
         "delivery_id", "order_id", "partner_id", F.lit("Delivered").alias("delivery_status"),
         F.col("r.requested_at").alias("delivered_at"), F.col("r.actual_mins").alias("actual_time_mins"),
-        F.coalesce("r.distance_km", "distance_km").alias("distance_km"),
+        F.coalesce("_given", "distance_km").alias("distance_km"),
         _money(F.coalesce("delivery_fee", F.lit(DEFAULT_FEE)) * F.lit(Decimal("0.7"))
                + F.coalesce("r.distance_km", F.lit(Decimal("3.0"))) * 2, 8).alias("partner_earnings"))
     unknown = last.join(trips.select("order_id"), "order_id", "left_anti").select(
         "r.request_id", "order_id", F.concat(F.lit("No delivery record for order "), F.col("order_id").cast("string"))
         .alias("message"))
-    return Assigned(done, unknown)
+    delivered = done.select("order_id", F.lit("Delivered").alias("order_status"), "delivered_at")
+    back = done.filter("partner_id is not null").select("partner_id").distinct().withColumn(
+        "current_status", F.lit("Available"))
+    return Assigned(done, delivered, back, unknown)
 
 
 def restaurant_ratings(m: Marketplace, as_of: date | None = None) -> DataFrame:

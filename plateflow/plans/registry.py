@@ -204,8 +204,12 @@ QUERIES: dict[str, Query] = {
     "x5_rejects": lambda m, as_of: requests.process_refunds(m, asked.refund_requests(m)).rejects,
     "x6_restaurant_ratings": requests.restaurant_ratings,
     "x7_assigned": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).deliveries,
+    "x7_orders": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).orders,
+    "x7_partners": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).partners,
     "x7_rejects": lambda m, as_of: requests.assign_partners(m, requests.waiting_orders(m)).rejects,
     "x8_completed": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).deliveries,
+    "x8_orders": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).orders,
+    "x8_partners": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).partners,
     "x8_rejects": lambda m, as_of: requests.complete_deliveries(m, asked.completion_requests(m)).rejects,
     # running totals, batch and streaming
     "t1_restaurant_ratings": feeds.batch_restaurant_ratings,

@@ -102,9 +102,9 @@ def name_search(m: Marketplace, as_of: date | None = None, query: str = "blue ri
 
 
 def global_order(m: Marketplace, as_of: date | None = None) -> DataFrame:
-    """All rankings of customers by spend, through the distributed path whatever the size."""
+    """All rankings of customers by spend."""
     spend = delivered(m, "customer_id", "total_amount").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total_amount").cast("decimal(24,2)").alias("spent"))
     return add_orders(spend, ["customer_id"], Want(
         (desc("orders"),), row_number="position", rank="rank", dense_rank="dense_rank", rows="customers",
-        tiles=("tile", 7), running=("running_spent", "spent")), one_task_rows=0)
+        tiles=("tile", 7), running=("running_spent", "spent")))

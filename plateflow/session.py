@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; a temporary one only where none is configured."""
+    """The checkpoint folder of the cluster; on one machine a temporary one where none is configured.
+
+    Executors of a cluster cannot see a temporary folder of the driver, so there it must be set.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -44,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plateflow-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

@@ -16,7 +16,7 @@ CODES = ("WELCOME50", "SAVE20", "FREEDEL", "WEEKEND30", "LOYAL100", "FLASH40", "
 
 
 def order_requests(m: Marketplace) -> DataFrame:
-    """Every order asked for again: its lines as JSON, a promotion code by number."""
+    """Every order asked for again: its lines as JSON, a promotion code by number; two in 211 lists are broken."""
     lines = m.source.raw("lineitem").groupBy("l_orderkey").agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(
             (F.col("l_suppkey") * ITEM_FACTOR + F.col("l_partkey")).alias("item_id"),
@@ -26,7 +26,8 @@ def order_requests(m: Marketplace) -> DataFrame:
     pick = F.try_element_at(F.array(*[F.lit(c) for c in CODES]), (F.col("order_id") % 13 + 1).cast("int"))
     return orders.join(lines, F.col("order_id") == F.col("l_orderkey"), "left").select(
         F.col("order_id").alias("request_id"), "customer_id", "restaurant_id", "address_id",
-        F.coalesce("items", F.lit("[]")).alias("items"), pick.alias("promo_code"), "payment_method", "order_channel",
+        F.when(F.col("order_id") % 211 == 7, "{broken").when(F.col("order_id") % 211 == 8, '[{"item_id":1}]')
+        .otherwise(F.coalesce("items", F.lit("[]"))).alias("items"), pick.alias("promo_code"), "payment_method", "order_channel",
         F.col("order_timestamp").alias("requested_at"))
 
 

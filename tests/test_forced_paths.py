@@ -5,7 +5,7 @@ import importlib
 import compare
 import pytest
 
-from plateflow.functions import ordering, skew
+from plateflow.functions import skew
 
 entry = importlib.import_module("__spark_entry__")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -16,7 +16,6 @@ NAMES = ("v3_restaurant_performance", "v6_customer_rfm", "re1_monthly_ranking",
 
 @pytest.fixture(autouse=True)
 def forced(monkeypatch):
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
     small = tuple(5 if d == skew.HOT_ROWS else d for d in skew.join_spread.__defaults__)
     monkeypatch.setattr(skew.join_spread, "__defaults__", small)
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from plateflow.functions.bands import band
 from plateflow.functions.dates import months_apart, seconds_between, shift_months, sunday_zero
@@ -76,8 +76,14 @@ def ranked(spark, order, partition):
     df = spark.createDataFrame(rows, "id long, g string, v int").repartition(8)
     want = Want(order, partition=partition, row_number="rn", rank="rk", dense_rank="dr", rows="n", tiles=("t", 7),
                 running=("run", "v"))
-    return [sorted(map(tuple, add_orders(df, ["id"], want, one_task_rows=limit).collect()), key=lambda r: r[0])
-            for limit in (0, 10**9)]
+    window = W.partitionBy(*partition)
+    values = [key.sort() for key in order]
+    peers, total = window.orderBy(*values), window.orderBy(*values, "id")
+    plain = df.withColumns({
+        "rn": F.row_number().over(total), "rk": F.rank().over(peers), "dr": F.dense_rank().over(peers),
+        "n": F.count(F.lit(1)).over(window), "t": F.ntile(7).over(total),
+        "run": F.sum("v").over(total.rowsBetween(W.unboundedPreceding, 0))})
+    return [sorted(map(tuple, x.collect()), key=lambda r: r[0]) for x in (add_orders(df, ["id"], want), plain)]
 
 
 @pytest.mark.parametrize("order", [(asc("v"),), (desc("v"),), (desc("v", nulls_last=True),), (asc("g"), desc("v"))])
@@ -91,8 +97,8 @@ def test_previous_row_across_tasks(spark):
     rng = random.Random(3)
     rows = [(i, 1 if i % 3 == 0 else rng.randrange(60), rng.choice("abc")) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, k int, v string").repartition(8)
-    wide, plain = ({(r["id"], r["p"]) for r in add_previous(df, "k", (asc("id"),), "v", "p", one_task_rows=n).collect()}
-                   for n in (0, 10**9))
+    lag = df.withColumn("p", F.lag("v").over(W.partitionBy("k").orderBy("id")))
+    wide, plain = ({(r["id"], r["p"]) for r in x.collect()} for x in (add_previous(df, "k", (asc("id"),), "v", "p"), lag))
     assert wide == plain and len(wide) == 2000
 
 

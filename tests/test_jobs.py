@@ -79,10 +79,11 @@ def test_promotions(spark, shop):
 
 def test_rejects(spark, shop):
     cases = [{"customer": 2}, {"customer": 9}, {"restaurant": 2}, {"items": '[{"item_id":4,"quantity":1}]'},
-             {"items": '[{"item_id":1,"quantity":1},{"item_id":77,"quantity":1}]'}]
+             {"items": '[{"item_id":1,"quantity":1},{"item_id":77,"quantity":1}]'}, {"items": "{broken"}, {"items": None, "customer": 9},
+             {"items": '[{"item_id":1}]'}, {"items": '[{"quantity":1}]'}, {"items": "[null]"}]
     placed = requests.place_orders(shop, ask(spark, *cases), TODAY)
     assert {r["request_id"]: r["error_code"] for r in dicts(placed.rejects)} == {
-        1: "P0001", 2: "P0001", 3: "P0002", 4: "P0003", 5: "P0003"}
+        1: "P0001", 2: "P0001", 3: "P0002", 4: "P0003", 5: "P0003", **dict.fromkeys(range(6, 11), "22P02")}
     assert placed.orders.count() == placed.items.count() == 0
 
 
@@ -134,6 +135,8 @@ def test_assignment(spark):
     assert {r["order_id"]: (r["partner_id"], r["matched_by"]) for r in dicts(out.deliveries)} == {
         0: (2, "zone"), 1: (1, "zone"), 2: (3, "city")}
     assert [(r["order_id"], r["error_code"]) for r in dicts(out.rejects)] == [(3, "P0010")]
+    assert {(r["order_id"], r["order_status"]) for r in dicts(out.orders)} == {(i, "Confirmed") for i in range(3)}
+    assert {(r["partner_id"], r["current_status"]) for r in dicts(out.partners)} == {(i, "On Delivery") for i in (1, 2, 3)}
 
 
 def test_completion(spark, open_orders):
@@ -144,6 +147,11 @@ def test_completion(spark, open_orders):
     got = {r["order_id"]: (r["actual_time_mins"], r["partner_earnings"]) for r in dicts(out.deliveries)}
     assert got == {1: (35, Decimal("36.30")), 2: (20, Decimal("33.30"))}   # 39 x 0.7 + 4.5 x 2; defaults 39 and 3 km
     assert [r["order_id"] for r in dicts(out.rejects)] == [99]
+    assert {r["order_id"] for r in dicts(out.orders)} == {1, 2} and {r["partner_id"] for r in dicts(out.partners)} == {7, 8}
+    # A distance given once outlives a later request without one; earnings follow the last request.
+    rows = [(1, 1, 30, Decimal("5.0"), "2024-06-01"), (2, 1, 35, None, "2024-06-02")]
+    row = dicts(requests.complete_deliveries(open_orders, changes(spark, rows, names)).deliveries)[0]
+    assert (row["distance_km"], row["partner_earnings"]) == (Decimal("5.00"), Decimal("33.30"))
 
 
 def test_state_machines():
