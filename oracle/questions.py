@@ -22,6 +22,7 @@ SQL = {
     "i1_orders_per_city": "SELECT city_name, count(*) AS order_count FROM ord JOIN (SELECT cid, city_id FROM cust) USING (cid) JOIN city USING (city_id) WHERE m=DATE '2001-07-01' GROUP BY 1",
     "i3_value_by_payment": f"SELECT pay AS payment_method, count(*) AS orders, {cavg('total_c')} AS avg_order_value, {money('sum(total_c)')} AS total_revenue FROM ord WHERE dlv GROUP BY 1",
     "i4_never_ordered": "SELECT cid AS customer_id, customer_name, email, registration_date FROM cust WHERE cid NOT IN (SELECT cid FROM ord)",
+    "i4_never_ordered_1995": "SELECT cid AS customer_id, customer_name, email, registration_date FROM cust WHERE cid NOT IN (SELECT cid FROM ord WHERE d<DATE '1995-07-01')",
     "i4_dormant": "SELECT cid AS customer_id, customer_name, email, registration_date FROM cust WHERE cid NOT IN (SELECT cid FROM ord WHERE dlv AND d>=DATE '2000-08-02')",
     "i6_partners_by_vehicle": "SELECT city_name, vehicle_type, count(*) AS partner_count, count_if(is_active)::BIGINT AS active_partners FROM prt JOIN city USING (city_id) GROUP BY 1, 2",
     "i9_promotion_usage": f"SELECT count(pid) AS promo_orders, count(*) AS total_orders, {pct('count(pid)', 'count(*)', 2)} AS promo_usage_pct FROM ord",

@@ -18,18 +18,20 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence[int], width: int = 65536) -> DataFrame:
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence[int], width: int = 65536,
+                weight: str | None = None) -> DataFrame:
     """One row per group: ``n`` and ``total`` of the values, and per point ``p<point>``, the percentile
     times 100 as an exact integer.
 
-    ``keys`` must not be NULL; NULL values are ignored. Use :func:`rounded` on the result.
+    ``keys`` must not be NULL; NULL values are ignored. ``weight``: a column that says how often the
+    value counts. Use :func:`rounded` on the result.
     """
     keys = list(keys)
     counts = (
         df.filter(F.col(value).isNotNull())
-        .select(*keys, F.col(value).cast("long").alias("_v"))
+        .select(*keys, F.col(value).cast("long").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
         .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.sum("_w").alias("_c"))
         .withColumn("_b", F.floor(F.col("_v") / F.lit(width)).cast("long"))
     )
     weighted = F.col("_v").cast("decimal(20,0)") * F.col("_c").cast("decimal(18,0)")

@@ -13,8 +13,8 @@ def join_spread(fact: DataFrame, keyed: DataFrame, key: str, row_id: str, how: s
     """``fact`` joined to ``keyed`` (unique on ``key``) with hot keys salted.
 
     Only keys above ``hot_rows`` are copied, one copy per ``hot_rows`` facts, so the
-    copies add at most one row per ``hot_rows`` facts and the list of hot keys is small
-    enough to broadcast: it has at most ``facts / hot_rows`` entries.
+    copies add at most one row per ``hot_rows`` facts. The list of hot keys has at most
+    ``facts / hot_rows`` entries; whether it is broadcast is left to its size.
     ``counts`` (key, n) saves the counting pass where the caller already has it; so does
     ``count_column``, where ``keyed`` itself holds the number of facts per key.
     """
@@ -25,13 +25,13 @@ def join_spread(fact: DataFrame, keyed: DataFrame, key: str, row_id: str, how: s
     hot = counts.filter((F.col("n") > hot_rows) & F.col(key).isNotNull()).select(
         key, F.expr(f"cast(n div {hot_rows} + 1 as int)").alias("_copies")
     )
-    salted = fact.join(F.broadcast(hot), key, "left").withColumn(
+    salted = fact.join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(row_id), F.col("_copies")), F.lit(0)).cast("int")
     ).drop("_copies")
     if count_column is not None:
         sized = keyed.withColumn("_copies", F.expr(f"cast({count_column} div {hot_rows} + 1 as int)"))
     else:
-        sized = keyed.join(F.broadcast(hot), key, "left")
+        sized = keyed.join(hot, key, "left")
     copied = (
         sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)))
         .drop("_copies")

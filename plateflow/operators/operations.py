@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from plateflow.functions.dates import day_label, month_of, seconds_between, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
 from plateflow.functions.quantiles import percentiles, rounded
-from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, everything, is_cancelled, is_delivered, trailing, upto, zone_names
 
@@ -164,14 +163,14 @@ def friday_zones(m: Marketplace, as_of: date | None = None, dow: int = 5, ratio_
 
 def order_values(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Mean and exact percentiles of order value by city and weekday."""
-    orders = delivered(m, "order_id", "customer_id", "order_date", "total_amount")
+    # Equal amounts of a customer on a weekday are one row before the join, whatever their number.
+    amounts = delivered(m, "customer_id", "order_date", "total_amount").groupBy(
+        "customer_id", sunday_zero(F.col("order_date")).alias("dow"), (F.col("total_amount") * 100).cast("long").alias("_c")
+    ).agg(F.count(F.lit(1)).alias("_times"))
     homes = m.customers("customer_id", "city_id").join(m.cities("city_id", "city_name"), "city_id").drop("city_id")
-    counts = delivered(m, "customer_id").groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    df = join_spread(orders, homes, "customer_id", "order_id", counts=counts).select(
-        "city_name", sunday_zero(F.col("order_date")).alias("dow"), (F.col("total_amount") * 100).cast("long").alias("_c"))
     keys = ["city_name", "dow"]
     # Counting equal amounts once serves the mean as well as the percentiles.
-    out = percentiles(df, keys, "_c", [50, 75, 90])
+    out = percentiles(amounts.join(homes, "customer_id"), keys, "_c", [50, 75, 90], weight="_times")
     return out.select(
         "city_name", "dow", day_label(F.col("dow")).alias("day_name"), F.col("n").alias("orders"),
         ratio(F.col("total"), F.col("n") * 100, 2).alias("mean_aov"),

@@ -29,10 +29,11 @@ def value_by_payment(m: Marketplace, as_of: date | None = None) -> DataFrame:
         F.sum("total_amount").alias("total_revenue"))
 
 
-def never_ordered(m: Marketplace, as_of: date | None = None) -> DataFrame:
-    """Customers without any order."""
+def never_ordered(m: Marketplace, as_of: date | None = None, until: date | None = None) -> DataFrame:
+    """Customers without any order, or without one before ``until``, the latest registrations first."""
     people = m.customers("customer_id", "customer_name", "email", "registration_date")
-    return people.join(m.orders("customer_id").distinct(), "customer_id", "left_anti")
+    return people.join(m.orders("customer_id", until=until).distinct(), "customer_id", "left_anti").orderBy(
+        F.desc("registration_date"), "customer_id")
 
 
 def dormant(m: Marketplace, as_of: date, days: int = 365) -> DataFrame:

@@ -21,13 +21,13 @@ def peak_cells(m: Marketplace, as_of: date | None = None, k: int = 50) -> DataFr
 def top_restaurants(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFrame:
     rows = restaurant_performance(m).filter(F.col("revenue_rank") <= k)
     return rows.select("restaurant_name", "cuisine_type", "city_name", "total_orders", "gross_revenue",
-                       "avg_order_value", "avg_food_rating", "revenue_rank")
+                       "avg_order_value", "avg_food_rating", "revenue_rank").orderBy("revenue_rank", "restaurant_name")
 
 
 def rfm_segments(m: Marketplace, as_of: date) -> DataFrame:
     return customer_rfm(m, as_of).groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"), mean(F.col("monetary"), 2, 2).alias("avg_ltv"),
-        F.sum("monetary").alias("total_revenue"))
+        F.sum("monetary").alias("total_revenue")).orderBy(F.desc("avg_ltv"), "rfm_segment")
 
 
 def delivery_profiles(m: Marketplace, as_of: date | None = None, k: int = 30) -> DataFrame:
@@ -42,7 +42,7 @@ def churn_segments(m: Marketplace, as_of: date,
     rows = customer_rfm(m, as_of).filter(F.col("rfm_segment").isin(*segments))
     return rows.groupBy(F.col("rfm_segment").alias("churn_segment")).agg(
         F.count(F.lit(1)).alias("customers"), mean(F.col("recency_days"), 0).alias("avg_days_inactive"),
-        mean(F.col("monetary"), 2, 2).alias("avg_ltv"))
+        mean(F.col("monetary"), 2, 2).alias("avg_ltv")).orderBy(F.desc("avg_ltv"), "churn_segment")
 
 
 def rfm_distribution(m: Marketplace, as_of: date) -> DataFrame:

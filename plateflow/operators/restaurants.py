@@ -10,7 +10,6 @@ from plateflow.functions.bands import band
 from plateflow.functions.dates import days_before, first_of_month, month_of, shift_months, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
 from plateflow.functions.ordering import Want, add_orders, asc, desc, rank_among, top
-from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace
 from plateflow.operators.common import catalog, delivered, everything, is_cancelled, places, upto
 from plateflow.operators.views import percent_rank
@@ -313,15 +312,25 @@ def declining(m: Marketplace, as_of: date) -> DataFrame:
 
 def popular_items(m: Marketplace, as_of: date | None = None, k: int = 10) -> DataFrame:
     """Items by quantity over orders of every status; items of one name in one restaurant count together."""
-    lines = m.order_items("order_id", "item_id", "quantity").groupBy("order_id", "item_id").agg(
-        F.sum("quantity").alias("quantity"))
-    df = join_spread(lines, catalog(m), "item_id", "order_id")
-    rows = df.groupBy("item_name", "restaurant_name", "cuisine_type").agg(
-        F.sum("quantity").alias("total_quantity_ordered"),
-        F.count_distinct("order_id").alias("orders_containing_item"))
+    names = ("item_name", "restaurant_name", "cuisine_type")
+    # The facts carry the number of a name, not the name; one row an order and name needs no distinct count.
+    lines = m.order_items("order_id", "item_id", "quantity").join(_numbered(catalog(m), *names), "item_id")
+    sold = lines.groupBy("order_id", "_name").agg(F.sum("quantity").alias("_q")).groupBy("_name").agg(
+        F.sum("_q").alias("total_quantity_ordered"), F.count(F.lit(1)).alias("orders_containing_item"))
+    rows = sold.join(_named(catalog(m), *names), "_name").select(*names, "total_quantity_ordered", "orders_containing_item")
     return top(rows, k, desc("total_quantity_ordered"), asc("item_name"), asc("restaurant_name"))
 
 
+def _named(items: DataFrame, *names: str) -> DataFrame:
+    """Each combination of names with a number, the smallest item that has it."""
+    return items.groupBy(*names).agg(F.min("item_id").alias("_name"))
+
+
+def _numbered(items: DataFrame, *names: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """Items with the number of their names; joined among dimensions, before any fact."""
+    return items.join(_named(items, *names), list(names)).select("item_id", "_name", *also)
+
+
 CLASSES = ("A - Core (top 80%)", "B - Important (80-95%)", "C - Long Tail")
 
 
@@ -351,13 +360,16 @@ def ordered_together(m: Marketplace, as_of: date | None = None, cuisine: str = "
 
     Orders are matched by a semi join; pairs of items are never formed.
     """
-    lines = m.order_items("order_id", "item_id").distinct()
-    named = join_spread(lines, catalog(m).drop("restaurant_name"), "item_id", "order_id")
-    # One exchange by order serves both sides of the semi join.
-    mine = named.filter(F.col("cuisine_type") == cuisine).select("order_id").distinct()
-    others = named.filter(F.col("cuisine_type") != cuisine).select("order_id", "item_name", "cuisine_type").distinct()
-    rows = others.join(mine, "order_id", "left_semi").groupBy("item_name", "cuisine_type").agg(
-        F.count(F.lit(1)).alias("co_order_count"))
+    names = ("item_name", "cuisine_type")
+    items = _numbered(catalog(m), *names, also=("cuisine_type",)).select(
+        "item_id", "_name", (F.col("cuisine_type") == cuisine).alias("_mine"))
+    # An order's names of either kind once; names are numbers until the few results are known.
+    lines = m.order_items("order_id", "item_id").join(items, "item_id").groupBy("order_id", "_name", "_mine").agg(
+        F.lit(1).alias("_one"))
+    mine = lines.filter("_mine").select("order_id")
+    others = lines.filter("not _mine").join(mine, "order_id", "left_semi")
+    counted = others.groupBy("_name").agg(F.count(F.lit(1)).alias("co_order_count"))
+    rows = counted.join(_named(catalog(m), *names), "_name").select(*names, "co_order_count")
     return top(rows, k, desc("co_order_count"), asc("item_name"), asc("cuisine_type"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from plateflow.functions.dates import day_label, day_name, sunday_zero
 from plateflow.functions.exact import count_where, mean, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
-from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, distinct, everything, is_cancelled, is_delivered
 
@@ -49,13 +48,12 @@ def order_detail(m: Marketplace, as_of: date | None = None) -> DataFrame:
                          "sla_breached", "on_time")
     partners = m.delivery_partners("partner_id", "partner_name")
     reviews = m.reviews("order_id", "food_rating", "delivery_rating", "overall_rating")
-    n = F.count(F.lit(1)).alias("n")
-    df = join_spread(orders, people, "customer_id", "order_id", counts=m.orders("customer_id").groupBy("customer_id").agg(n))
-    df = join_spread(df, rests, "restaurant_id", "order_id",
-                     counts=m.orders("restaurant_id").groupBy("restaurant_id").agg(n))
+    # Orders without a delivery have no partner: their names are joined to the deliveries, not to the orders.
+    trips = trips.join(partners, "partner_id", "left")
+    # Large partitions of hot customers and restaurants are split when the plan runs.
     df = (
-        df.join(zones, "zone_id", "left").join(trips, "order_id", "left")
-        .join(partners, "partner_id", "left").join(reviews, "order_id", "left")
+        orders.join(people, "customer_id").join(rests, "restaurant_id").join(zones, "zone_id", "left")
+        .join(trips, "order_id", "left").join(reviews, "order_id", "left")
     )
     return df.select(
         "order_id", "order_timestamp", "order_date", "order_status", "order_channel", "customer_id",

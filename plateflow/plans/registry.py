@@ -131,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "i1_orders_per_city": questions.orders_per_city,
     "i3_value_by_payment": questions.value_by_payment,
     "i4_never_ordered": questions.never_ordered,
+    "i4_never_ordered_1995": partial(questions.never_ordered, until=date(1995, 7, 1)),
     "i4_dormant": questions.dormant,
     "i6_partners_by_vehicle": questions.partners_by_vehicle,
     "i9_promotion_usage": questions.promotion_usage,
