@@ -17,6 +17,16 @@ STORED = {"daily_kpi": "v2_daily_kpi", "restaurant_performance": "v3_restaurant_
           "partner_performance": "v5_partner_performance", "customer_rfm": "v6_customer_rfm"}
 
 
+FIGURES = {"daily_kpi": "total_orders", "restaurant_performance": "total_orders", "hourly_demand": "order_count",
+           "partner_performance": "total_deliveries", "customer_rfm": "recency_days"}
+REPORT_FIGURES = {"platform_kpis": "gmv", "peak_hours": "order_count", "top_restaurants": "gross_revenue",
+                  "rfm_segments": "total_revenue", "delivery_performance": "total_deliveries", "churn_segments": "customers"}
+
+
+def views(names) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS view, (SELECT count(*) FROM ({sql(VIEWS[STORED[n]])})) AS rows, (SELECT sum({FIGURES[n]})::BIGINT FROM ({sql(VIEWS[STORED[n]])})) AS figure" for n in names)
+
+
 def grams(word: str) -> str:
     return f"list_transform(range(1, length({word})+2), lambda i: substr('  '||{word}||' ', i::INT, 3))"
 
@@ -29,9 +39,11 @@ def pieces(text: str) -> str:
 SQL = {
     "s1_csv_round_trip": " UNION ALL ".join(f"SELECT '{t}' AS entity, count(*) AS rows, {money(f)} AS figure FROM {r}" for t, (r, f) in LOADED.items()),
     "s12_table_sizes": " UNION ALL ".join(f"SELECT '{t}' AS entity, count(*) AS rows FROM {r}" for t, r in SIZES.items()),
-    "s15_report_run": " UNION ALL ".join(f"SELECT '{n}' AS query, (SELECT count(*) FROM ({sql(q)})) AS rows, false AS failed" for n, q in REPORT.items()),
+    "s11_inserted_customers": "SELECT cid AS customer_id, CASE WHEN cid%2=0 THEN upper(customer_name) ELSE customer_name END || '!' AS customer_name FROM cust",
+    "s15_report_run": " UNION ALL ".join(f"SELECT '{n}' AS query, (SELECT count(*) FROM ({sql(q)})) AS rows, true AS as_stated, (SELECT sum({REPORT_FIGURES[n]})::DECIMAL(20,2) FROM ({sql(q)})) AS figure" for n, q in REPORT.items()),
     "s16_order_store": f"SELECT m AS month, count(*) AS orders, {money('sum(total_c)')} AS total_amount FROM ord GROUP BY 1",
-    "s18_refreshed_views": " UNION ALL ".join(f"SELECT '{n}' AS view, (SELECT count(*) FROM ({sql(VIEWS[q])})) AS rows" for n, q in STORED.items()),
+    "s18_refreshed_views": views(STORED),
+    "s19_after_load": views([n for n in STORED if n != "customer_rfm"]),
     "f21_name_search": f""", nm AS (SELECT DISTINCT item_name FROM item), g AS (SELECT item_name, {pieces('item_name')} AS a, {pieces("'blue rings'")} AS b FROM nm),
  h AS (SELECT item_name, len(list_intersect(a, b)) AS s, len(a)+len(b)-len(list_intersect(a, b)) AS u FROM g)
 SELECT item_name, round(s*1000.0/u)/10 AS similarity_pct FROM h WHERE u>0 AND s*100>=u*30""",

@@ -227,6 +227,10 @@ class Marketplace:
         # The object behind a provider, where a caller may need its raw tables.
         self.source: object | None = None
 
+    def detached(self) -> Marketplace:
+        """The same tables without stored views."""
+        return Marketplace(self.spark, self._provider)
+
     def table(self, name: str, *columns: str, since: date | None = None, until: date | None = None) -> DataFrame:
         wanted = list(columns) or TABLES[name].names
         df = self._provider(name, wanted, since, until)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import month_of
-from plateflow.functions.literal import table_of
 from plateflow.functions.ordering import Want, add_orders, desc
 from plateflow.functions.text import search_names
 from plateflow.model import TABLES, Marketplace
 from plateflow.operators.common import delivered
 from plateflow.sources.csv_tables import load_csv
-from plateflow.sources.seeds import row_counts
+from plateflow.sources.seeds import insert_missing, row_counts
 from plateflow.sources.store import open_store, write_store
 from plateflow.streaming.maintain import workspace
 
@@ -77,22 +77,61 @@ def table_sizes(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return row_counts(**{name: m.table(name, TABLES[name].key) for name in TABLES})
 
 
-def refreshed_views(m: Marketplace, as_of: date) -> DataFrame:
-    """Refresh all views and report what the stored copies hold."""
-    from plateflow.plans.refresh import refresh
+# A figure of each view that a wrong or missing row changes.
+FIGURES = {"daily_kpi": "total_orders", "restaurant_performance": "total_orders", "hourly_demand": "order_count",
+           "partner_performance": "total_deliveries", "customer_rfm": "recency_days"}
 
-    done = refresh(m, as_of, workspace(m.spark))
-    rows = [(name, entry["rows"]) for name, entry in done.items()]
-    return table_of(m.spark, rows, T.StructType.fromDDL("view string, rows long"))
+
+def refreshed_views(m: Marketplace, as_of: date, names: Iterable[str] | None = None) -> DataFrame:
+    """Refresh views (all by default) and report what the stored copies hold: rows, and the sum of a figure."""
+    from plateflow.plans.refresh import attach_views, refresh
+
+    path = workspace(m.spark)
+    done = refresh(m, as_of, path, names)
+    stored = attach_views(m.detached(), path).stored
+    out = None
+    for name in done:
+        one = stored[name][1].agg(F.count(F.lit(1)).alias("rows"), F.sum(FIGURES[name]).cast("long").alias("figure"))
+        one = one.select(F.lit(name).alias("view"), "rows", "figure")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def after_load(m: Marketplace, as_of: date) -> DataFrame:
+    """The short refresh that follows a load."""
+    from plateflow.plans.refresh import AFTER_LOAD
+
+    return refreshed_views(m, as_of, AFTER_LOAD)
+
+
+def inserted_customers(m: Marketplace, as_of: date | None = None) -> DataFrame:
+    """Customers inserted twice over those with even numbers, which keep what they had."""
+    people = m.customers("customer_id", "customer_name")
+    known = people.filter("customer_id % 2 = 0").withColumn("customer_name", F.upper("customer_name"))
+    return insert_missing(known, people.unionByName(people), "customer_id").select(
+        "customer_id", F.concat("customer_name", F.lit("!")).alias("customer_name"))
+
+
+REPORT_FIGURES = {"platform_kpis": "gmv", "peak_hours": "order_count", "top_restaurants": "gross_revenue",
+                  "rfm_segments": "total_revenue", "delivery_performance": "total_deliveries", "churn_segments": "customers"}
 
 
 def report_run(m: Marketplace, as_of: date) -> DataFrame:
-    """Run the standard report and list its queries with their rows."""
+    """Run the standard report and summarise the files it wrote."""
     from plateflow.plans.runner import run_report
 
-    report = run_report(m, as_of, workspace(m.spark))
-    rows = [(name, r.get("rows"), "error" in r) for name, r in report["results"].items()]
-    return table_of(m.spark, rows, T.StructType.fromDDL("query string, rows long, failed boolean"))
+    path = workspace(m.spark)
+    report = run_report(m, as_of, path)
+    out = None
+    for name, result in report["results"].items():
+        if "error" in result:
+            raise RuntimeError(f"{name}: {result['error']}")
+        written = m.spark.read.option("header", True).csv(f"{path}/{name}")
+        # The figure comes from the file, and the count the report states must be the file's.
+        one = written.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(REPORT_FIGURES[name]).cast("decimal(18,2)")).cast("decimal(20,2)").alias("figure"))
+        one = one.select(F.lit(name).alias("query"), "rows", (F.col("rows") == result["rows"]).alias("as_stated"), "figure")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def name_search(m: Marketplace, as_of: date | None = None, query: str = "blue rings") -> DataFrame:
