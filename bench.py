@@ -19,7 +19,7 @@ from plateflow.operators import customers, delivery, executive, operations, ques
 from plateflow.plans.refresh import attach_views, refresh
 from plateflow.session import local_session
 from plateflow.sources.star import AS_OF, star_market
-from plateflow.sources.store import open_store, write_store
+from plateflow.sources.store import open_store, order_history, write_store
 
 
 def timed(action) -> float:
@@ -52,7 +52,7 @@ def main() -> None:
     someone = 42
     history = ("order_id", "customer_id", "order_timestamp", "total_amount", "order_status")
     on_base = {
-        "customer_order_history": lambda: base.orders(*history).filter(F.col("customer_id") == someone),
+        "customer_order_history": lambda: order_history(spark, f"{work}/store", someone, *history),
         "monthly_rollup_i20": lambda: executive.monthly_growth(base),
         "delivery_times_de1": lambda: delivery.delivery_times(base),
         "rfm_v6": lambda: views.customer_rfm(base, AS_OF),

@@ -45,26 +45,37 @@ def truncated_growth(current: Column, previous: Column) -> Column:
     return (step * 100).cast("decimal(20,1)")
 
 
-def activity_months(m: Marketplace, only_delivered: bool = True) -> DataFrame:
-    """``customer_id, month, cohort, month_number``: one row per customer and active month."""
+def activity_months(m: Marketplace, only_delivered: bool = True, cohort: date | None = None,
+                    max_month: int | None = None) -> DataFrame:
+    """``customer_id, month, cohort, month_number``: one row per customer and active month.
+
+    With a ``cohort`` (its first day) only that one, from the orders up to its ``max_month``-th month.
+    """
+    until = None
+    if cohort is not None and max_month is not None:
+        months = cohort.year * 12 + cohort.month + max_month
+        until = date(months // 12, months % 12 + 1, 1)
     if only_delivered:
-        orders = delivered(m, "customer_id", "order_date")
+        orders = delivered(m, "customer_id", "order_date", until=until)
     else:
-        orders = m.orders("customer_id", "order_date")
+        orders = m.orders("customer_id", "order_date", until=until)
     # The set of months of a customer is as long as the calendar at most, and it is merged
     # map-side: one shuffle gives the cohort and the months, where distinct rows and a
     # window over them would take two.
     per = orders.groupBy("customer_id").agg(F.collect_set(month_of(F.col("order_date"))).alias("_months"))
+    if cohort is not None:
+        per = per.filter(F.array_min("_months") == F.lit(cohort))
     rows = per.select("customer_id", F.array_min("_months").alias("cohort"), F.explode("_months").alias("month"))
     return rows.withColumn("month_number", months_apart(F.col("month"), F.col("cohort")))
 
 
-def cohort_counts(m: Marketplace, max_month: int | None, only_delivered: bool = True) -> DataFrame:
-    """``cohort, month_number, active_customers, cohort_size``.
+def cohort_counts(m: Marketplace, max_month: int | None, only_delivered: bool = True,
+                  cohort: date | None = None) -> DataFrame:
+    """``cohort, month_number, active_customers, cohort_size``, of one cohort if it is given.
 
     Everyone is active in month 0 of their own cohort, so the size needs no second pass.
     """
-    counts = activity_months(m, only_delivered)
+    counts = activity_months(m, only_delivered, cohort, max_month)
     if max_month is not None:
         counts = counts.filter(F.col("month_number") <= max_month)
     counts = counts.groupBy("cohort", "month_number").agg(F.count(F.lit(1)).alias("active_customers"))

@@ -57,7 +57,7 @@ def mean_first_month_retention(m: Marketplace, as_of: date | None = None) -> Dat
 def retention_report(m: Marketplace, as_of: date | None = None, year: int = 1996, month: int = 1) -> DataFrame:
     """One cohort: how many came back exactly 1, 3 and 6 months later."""
     chosen = date(year, month, 1)
-    rows = cohort_counts(m, 6).filter(F.col("cohort") == F.lit(chosen))
+    rows = cohort_counts(m, 6, cohort=chosen)
     wide = rows.groupBy("cohort").agg(
         F.max("cohort_size").alias("cohort_size"),
         *[F.coalesce(F.max(F.when(F.col("month_number") == n, F.col("active_customers"))), F.lit(0))

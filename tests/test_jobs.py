@@ -218,6 +218,18 @@ def test_stored_orders_prune_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(order_month" in plan and "order_id" in plan.split("ReadSchema")[1]
 
 
+def test_a_customer_reads_one_folder(spark, tmp_path):
+    rows = [{"order_id": i, "customer_id": i % 40, "order_timestamp": f"2024-0{1 + i % 6}-01 00:00:00"} for i in range(200)]
+    m = market(spark, orders=rows)
+    store.write_store(m, str(tmp_path), ["orders"])
+    got = store.order_history(spark, str(tmp_path), 7, "order_id", "customer_id")
+    assert sorted(r["order_id"] for r in dicts(got)) == [i for i in range(200) if i % 40 == 7]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(customer_bucket" in plan and "PushedFilters: [IsNotNull(customer_id)" in plan
+    files = {r["f"].split("customer_bucket=")[1].split("/")[0] for r in got.select(F.input_file_name().alias("f")).collect()}
+    assert len(files) == 1
+
+
 def test_refresh_switches_versions(spark, tmp_path):
     def shop_of(n):
         return market(spark, orders=[{"order_id": i, "order_timestamp": "2024-01-15 10:00:00", "order_status": "Delivered",
