@@ -202,13 +202,16 @@ def add_previous(df: DataFrame, key: str, order: Sequence[By], value: str, name:
 def rank_among(few: DataFrame, every: DataFrame, value: str, name: str, k: int) -> DataFrame:
     """Descending rank of the at most ``k`` rows of ``few`` among all rows of ``every``.
 
-    One pass over ``every`` counts, for each of the few values, the rows above it; nothing is
-    sorted or moved.
+    One pass over ``every`` counts the rows between the few values, in at most ``k`` + 1 groups;
+    nothing is sorted or moved.
     """
-    marks = few.agg(F.array_sort(F.collect_set(value)).alias("_marks"))
-    marked = every.select(value, marks.scalar().alias("_marks"))
-    above = marked.agg(F.array(*[
-        F.count(F.when(F.col(value) > F.get("_marks", F.lit(i)), F.lit(1))) for i in range(k)]).alias("_above"))
-    place = F.array_position("_marks", F.col(value)).cast("int") - 1
-    return few.withColumns({"_marks": marks.scalar(), "_above": above.scalar()}).withColumn(
-        name, F.get("_above", place) + 1).drop("_marks", "_above")
+    if k < 1:
+        return few.withColumn(name, F.lit(None).cast("long"))
+    marks = few.agg(F.array_sort(F.collect_set(value)).alias("_marks")).scalar()
+    marked = every.select(value, marks.alias("_marks"))
+    below = marked.select(F.size(F.filter("_marks", lambda m: m < F.col(value))).alias("_b"))
+    counts = below.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.agg(F.collect_list(F.struct("_b", "_n")).alias("_c")).scalar()
+    ahead = F.filter("_c", lambda c: c["_b"] >= F.array_position("_marks", F.col(value)))
+    return few.withColumns({"_marks": marks, "_c": counts}).withColumn(
+        name, F.aggregate(ahead, F.lit(1).cast("long"), lambda total, c: total + c["_n"])).drop("_marks", "_c")
