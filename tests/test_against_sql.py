@@ -5,6 +5,8 @@ import importlib
 import compare
 import pytest
 
+from plateflow.plans import registry
+
 entry = importlib.import_module("__spark_entry__")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -15,10 +17,10 @@ def con(data_dir):
 
 
 def test_every_query_has_sql():
-    assert not set(QUERIES) - set(SQL)
+    assert not set(registry.QUERIES) - set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, data_dir, name):
     problem, _, _ = compare.difference(spark, con, data_dir, QUERIES[name], SQL.get(name))
     assert problem is None, problem
