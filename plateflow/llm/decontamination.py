@@ -7,7 +7,6 @@ of word numbers, and these are mapped back to code point offsets of the text as
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 import ahocorasick

@@ -28,6 +28,9 @@ def kept(columns: Sequence[str], outputs: Sequence[str]) -> list[str]:
     return [name for name in columns if name.lower() not in taken]
 
 
+#: Rows worked on and sent back at a time; bounds what either side holds of a batch.
+ROWS_AT_ONCE = 2048
+
 Compute = Callable[[Sequence[pa.Array]], Sequence[Sequence | pa.Array]]
 
 
@@ -35,14 +38,17 @@ def append(df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[]
            keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns of ``df`` followed by the columns that ``make()`` computes from ``inputs``.
 
-    ``make`` runs once per task and returns a function from the Arrow arrays of a batch to the
+    ``make`` runs once per task and returns a function from the Arrow arrays of some rows to the
     output columns. One row in, one row out, in place: no shuffle. A kept column whose name is
     that of an output is replaced by the output.
     """
     added = T._parse_datatype_string(outputs)
     carry = kept(keep, added.names)
+    # An input that is kept crosses to Python once.
+    more = [c for c in dict.fromkeys(inputs) if c not in carry]
+    place = [carry.index(c) if c in carry else len(carry) + more.index(c) for c in inputs]
     frame = df.select(*[column(df, c).alias(f"k{i}") for i, c in enumerate(carry)],
-                      *[column(df, c).alias(f"x{i}") for i, c in enumerate(inputs)])
+                      *[column(df, c).alias(f"x{i}") for i, c in enumerate(more)])
     schema = T.StructType(
         [T.StructField(f"k{i}", frame.schema[f"k{i}"].dataType) for i in range(len(carry))] + list(added.fields))
     n = len(carry)
@@ -54,10 +60,12 @@ def append(df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[]
             if batch.num_rows == 0:
                 continue
             compute = compute or make()
-            results = compute([batch.column(i) for i in range(n, batch.num_columns)])
-            arrays = [batch.column(i) for i in range(n)]
-            arrays += [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(results, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(start, ROWS_AT_ONCE)
+                results = compute([some.column(i) for i in place])
+                arrays = [some.column(i) for i in range(n)]
+                arrays += [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(results, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return frame.mapInArrow(run, schema).toDF(*carry, *added.names)
 
@@ -88,8 +96,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard(spark, folder)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

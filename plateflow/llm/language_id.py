@@ -30,7 +30,7 @@ SIZE = 1 << 12  # hashed features
 GRAMS = (2, 3, 4)
 PIECE = 1 << 20  # bytes hashed at a time
 #: Labelled rows that the model is fitted on, over all languages.
-SAMPLE_ROWS = 2400
+SAMPLE_ROWS = 1600
 
 _letter = regex.compile(r"\p{L}").search
 _ONLY_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -58,8 +58,7 @@ def features(text: str) -> np.ndarray | None:
 
 
 def fit_svm(x: np.ndarray, positive: np.ndarray, cost: float = 10.0, rounds: int = 30) -> np.ndarray:
-    """Weights (the last one is the bias) of a linear SVM by dual coordinate descent; classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    """Weights of a linear SVM by dual coordinate descent; the last column of ``x`` is 1, classes weigh the same."""
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, positive.mean(), 1 - positive.mean())
     limit = cost / (2 * share)
@@ -117,14 +116,15 @@ def _share(margin: float) -> float:
 
 def fit(x: np.ndarray, languages: Sequence[str]) -> Model:
     """A model of the languages that occur among the labels of the rows of ``x``."""
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     family = np.array([FAMILY_OF.get(name, name) for name in languages])
     names = np.array(languages)
     families = tuple(sorted(set(family.tolist())))
     members = {f: tuple(sorted(set(names[family == f].tolist()))) for f in families}
     if len(families) == 1:
-        weights = np.zeros((1, x.shape[1] + 1), np.float32)
+        weights = np.zeros((1, x.shape[1]), np.float32)
     else:
-        weights = np.array([fit_svm(x, family == f) for f in families]).reshape(len(families), x.shape[1] + 1)
+        weights = np.array([fit_svm(x, family == f) for f in families])
     pairs = {}
     for f, inside in members.items():
         rows = []
