@@ -18,28 +18,56 @@ threshold that step 3 has not already put into one component.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plateflow.llm.components import connected
-from plateflow.llm.frames import bitmap, column, in_bitmap, scratch, stored, texts
+from plateflow.llm.frames import bitmap, column, discard, in_bitmap, scratch, stored, texts
 from plateflow.session import cut
 
 WORDS = 5
 #: Similarity as a fraction, so that bounds are exact.
 ABOVE, OF = 75, 100
-SKETCH_BITS = 20  # counters of the sketch: 4 MB for every worker
+SKETCH_BITS = 23  # counters of the sketch: 32 MB for every worker
 COLUMN_BITS = 27  # bits that mark shared columns: 16 MB for every worker
 ROW_BITS = 24  # bits that mark rows to compare: 2 MB for every worker
+PAIRS_SENT = 500_000  # pairs sent to every worker at once, 24 MB; more are joined by a shuffle
 TILE = 512  # rows on each side of a tile
 
-_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_hash = xxhash.xxh3_64_intdigest
+#: A-Z to a-z, white space to spaces.
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
+PIECE = 1 << 20  # bytes hashed at a time
+#: A polynomial hash modulo 2**64: a number for each byte, an odd base, its powers and its inverse's.
+_BYTES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15 | 3
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_BASE, 2 * PIECE), _powers(pow(_BASE, -1, 1 << 64), 2 * PIECE)
+
+
+def _spans(data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of data[begins[i]:ends[i]]; spans start within PIECE of the first one."""
+    powers, inverse = _tables() if len(data) <= 2 * PIECE else (_powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data)))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[np.frombuffer(data, np.uint8)] * powers[:len(data)], out=sums[1:])
+    value = (sums[ends] - sums[begins]) * inverse[begins]
+    value ^= value >> np.uint64(32)
+    value *= np.uint64(0xD6E8FEB86659FD93)
+    return value ^ (value >> np.uint64(32))
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -48,21 +76,31 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     A-Z is lower-cased; words are what stands between spaces, tabs, line ends, vertical tabs and
     form feeds. Fewer words than ``words`` make one n-gram, none makes none.
     """
-    parts = text.encode("utf-8").translate(_LOWER).split()
-    if not parts:
+    joined = text.encode("utf-8").translate(_LOWER).strip(b" ")
+    if not joined:
         return np.zeros(0, np.int64)
-    joined = b" ".join(parts)
-    if len(parts) <= words:
-        return np.array([_hash(joined)], np.uint64).view(np.int64)
-    ends = [e - 1 for e in accumulate(len(p) + 1 for p in parts)]
-    begins = [0, *(e + 1 for e in ends[:-words])]
-    hashes = np.fromiter((_hash(joined[lo:hi]) for lo, hi in zip(begins, ends[words - 1:], strict=True)), np.uint64, len(begins))
-    return np.unique(hashes).view(np.int64)
+    if b"  " in joined:
+        joined = b" ".join(joined.split())
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
+    size = min(words, len(spaces) + 1)
+    begins, ends = np.zeros(len(spaces) + 2 - size, np.int64), np.full(len(spaces) + 2 - size, len(joined), np.int64)
+    begins[1:] = spaces[:len(begins) - 1] + 1
+    ends[:-1] = spaces[size - 1:]
+    hashes = []
+    at = 0
+    while at < len(begins):
+        # Spans that begin in the same piece; a hash does not depend on where its span lies.
+        until = int(np.searchsorted(begins, begins[at] + PIECE))
+        base = int(begins[at])
+        hashes.append(_spans(joined[base:int(ends[until - 1])], begins[at:until] - base, ends[at:until] - base))
+        at = until
+    out = np.sort(np.concatenate(hashes))
+    return out[np.append(True, out[1:] != out[:-1])].view(np.int64)
 
 
 def row_key(hashes: np.ndarray) -> int:
     """A 64-bit name of a set of hashes; equal sets have equal names."""
-    value = _hash(hashes.tobytes())
+    value = xxhash.xxh3_64_intdigest(hashes.tobytes())
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -86,7 +124,7 @@ def _count(docs: DataFrame, words: int) -> np.ndarray:
     size, blocks, groups = 1 << SKETCH_BITS, 64, 32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.int32)
         seen, salt = False, 0
         for batch in batches:
             for text in texts(batch.column(0)):
@@ -95,25 +133,38 @@ def _count(docs: DataFrame, words: int) -> np.ndarray:
                     seen, salt = True, int(hashes[0] % np.uint64(groups))
                     np.add.at(total, (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if seen:
-            parts = np.split(total, blocks)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(blocks), pa.int32()), pa.array([salt] * blocks, pa.int32()),
-                 pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "salt", "counts"])
+                 pa.array([_packed(p) for p in np.split(total, blocks)], pa.binary())], names=["block", "salt", "counts"])
 
     def add(key, frame):
         import pandas as pd
 
-        total = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
-        return pd.DataFrame({"block": [int(key[0])], "salt": [0], "counts": [total.tobytes()]})
+        total = np.zeros(size // blocks, np.int64)
+        for counts in frame["counts"]:
+            total += _unpacked(counts)
+        # An order needs no more than 31 bits.
+        total = np.minimum(total, 2**31 - 1).astype(np.int32)
+        return pd.DataFrame({"block": [int(key[0])], "salt": [0], "counts": [_packed(total)]})
 
     schema = "block int, salt int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
     parts = parts.groupBy("block", "salt").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
-    out = np.zeros(size, np.int64)
+    out = np.zeros(size, np.int32)
     width = size // blocks
     for row in parts.collect():
-        out[row["block"] * width:(row["block"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    return out.astype(np.int32) if out.max(initial=0) < 1 << 31 else out
+        out[row["block"] * width:(row["block"] + 1) * width] = _unpacked(row["counts"])
+    return out
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters in as few bytes each as the largest takes, compressed."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return bytes([kind.itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[0]}")
 
 
 def _features(docs: DataFrame, sketch, words: int) -> DataFrame:
@@ -131,35 +182,42 @@ def _features(docs: DataFrame, sketch, words: int) -> DataFrame:
 
 
 def _entries(features: DataFrame, marked, bits: int) -> DataFrame:
-    """(g, key, n, place, share) for the leading columns that may be shared; share: how many of a thousand are."""
+    """(g, key, n, left, reach, share) for the leading columns that may be shared.
+
+    ``left``: the columns of the row from this one on. ``reach``: this one, the marked leading ones
+    after it, and all that follow the leading ones. ``share``: marked ones in a thousand.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        array, seen = marked.value, set()
+        array = marked.value
         for batch in batches:
             lists, keys, sizes = batch.column(2), batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            offsets = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy()
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy()[offsets[0]:offsets[-1]]
+            offsets -= offsets[0]
             # Equal sets once a batch is enough here; the rest meets below.
-            seen.clear()
-            fresh = np.array([not (k in seen or seen.add(k)) for k in keys.tolist()], bool)
+            fresh = np.zeros(len(keys), bool)
+            fresh[np.unique(keys, return_index=True)[1]] = True
             lengths = np.diff(offsets)
             row = np.repeat(np.arange(len(keys)), lengths)
-            flat = flat[offsets[0]:offsets[-1]]
-            place = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], lengths)
+            place = np.arange(len(flat)) - offsets[row]
             hit = in_bitmap(array, bits, flat)
-            share = (1000 * np.bincount(row, hit, len(keys)) / np.maximum(lengths, 1)).astype(np.int32)
+            before = np.append(0, np.cumsum(hit))
+            after = before[offsets[row + 1]] - before[1:]
+            share = (1000 * (before[offsets[1:]] - before[offsets[:-1]]) // np.maximum(lengths, 1)).astype(np.int32)
             at = np.flatnonzero(hit & fresh[row])
+            own = row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[at]), pa.array(keys[row[at]]), pa.array(sizes[row[at]]),
-                 pa.array(place[at].astype(np.int32)), pa.array(share[row[at]])],
-                names=["g", "key", "n", "place", "share"])
-
-    return features.select("key", "n", "columns").mapInArrow(run, "g long, key long, n long, place int, share int")
+                [pa.array(flat[at]), pa.array(keys[own]), pa.array(sizes[own]),
+                 pa.array((sizes[own] - place[at]).astype(np.int32)),
+                 pa.array((1 + after[at] + sizes[own] - lengths[own]).astype(np.int32)), pa.array(share[own])],
+                names=["g", "key", "n", "left", "reach", "share"])
 
+    return features.select("key", "n", "columns").mapInArrow(
+        run, "g long, key long, n long, left int, reach int, share int")
 
-def _sets(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """key and hashes of the rows whose key is among ``keys`` (and a few others, and some twice)."""
-    marked = docs.sparkSession.sparkContext.broadcast(bitmap(keys, "key", ROW_BITS))
 
+def _sets(docs: DataFrame, marked, words: int) -> DataFrame:
+    """key and hashes of the rows whose key has its bit set in ``marked``, some of them twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = marked.value
         for batch in batches:
@@ -172,27 +230,47 @@ def _sets(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, hashes array<long>")
 
 
-def _links(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """Those of the ``pairs`` (a, b) whose sets are similar enough, by the whole sets."""
+def _links(docs: DataFrame, pairs: DataFrame, words: int, path: str) -> DataFrame:
+    """Those of the ``pairs`` (a, b) whose sets are similar enough, by the whole sets; written to ``path``."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    sets = _sets(docs, keys, words)
-    left = pairs.select("a", "b").join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("left")), "a")
-    both = left.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("right")), "b")
+    marked = docs.sparkSession.sparkContext.broadcast(bitmap(keys, "key", ROW_BITS))
+    sets = stored(_sets(docs, marked, words), f"{path}-sets")
+    marked.destroy()
+    # A row for either side of a pair; few of them go to every worker, so that only sets that are
+    # compared move, once for each pair.
+    sides = pairs.select(F.col("a").alias("key"), "a", "b").union(pairs.select(F.col("b").alias("key"), "a", "b"))
+    if pairs.count() <= PAIRS_SENT:
+        sides = F.broadcast(sides)
+    met = sets.join(sides, "key")
+    both = met.groupBy("a", "b").agg(
+        F.first(F.when(F.col("key") == F.col("a"), F.col("hashes")), ignorenulls=True).alias("left"),
+        F.first(F.when(F.col("key") == F.col("b"), F.col("hashes")), ignorenulls=True).alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - shared
-    return both.filter(OF * shared >= ABOVE * union).select("a", "b").distinct()
+    links = stored(both.filter(OF * shared >= ABOVE * union).select("a", "b"), path)
+    discard(docs.sparkSession, f"{path}-sets")
+    return links
+
 
+def _bounds(x: str, y: str) -> Column:
+    """Whether two entries of a column may be the first one that rows above the threshold share.
 
-def _size_bound(n: str, m: str):
-    return OF * F.least(n, m) >= ABOVE * F.greatest(n, m)
+    By their sizes; by what is left of both from here on; and by their reach. Of two rows, the one
+    whose leading columns end first has all it shares up to there among the other's leading ones
+    too, where they are marked, so one of the two reaches holds for both.
+    """
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    need = F.ceil((n + m) * ABOVE / (ABOVE + OF) - F.lit(1e-9))
+    return ((OF * F.least(n, m) >= ABOVE * F.greatest(n, m)) & (F.least(f"{x}.left", f"{y}.left") >= need)
+            & (F.greatest(f"{x}.reach", f"{y}.reach") >= need))
 
 
 def _one_each(entries: DataFrame) -> DataFrame:
     """Pairs (a, b): every row with the row of its columns that it meets most, of those most shared."""
-    middle = entries.groupBy("g").agg(F.max(F.struct("share", "n", "key")).alias("m"))
-    met = entries.join(middle.select("g", F.col("m.key").alias("b"), F.col("m.n").alias("m")), "g").filter(
-        (F.col("key") != F.col("b")) & _size_bound("n", "m"))
-    often = met.groupBy(F.col("key").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"))
+    middle = entries.groupBy("g").agg(F.max(F.struct("share", "n", "key", "left", "reach")).alias("m")).select("g", "m.*")
+    e, m = entries.alias("e"), middle.alias("m")
+    met = e.join(m, (F.col("e.g") == F.col("m.g")) & (F.col("e.key") != F.col("m.key")) & _bounds("e", "m"))
+    often = met.groupBy(F.col("e.key").alias("a"), F.col("m.key").alias("b")).agg(F.count(F.lit(1)).alias("times"))
     return often.groupBy("a").agg(F.max(F.struct("times", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
 
@@ -218,41 +296,52 @@ def _remaining(entries: DataFrame, roots: DataFrame) -> DataFrame:
                     lambda i: F.struct(F.lit(0).alias("kind"), i.alias("i"), F.col("chunk").alias("j"))),
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks1") - 1),
                     lambda j: F.struct(F.lit(1).alias("kind"), F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j"))))
-    tiles = rows.select("g", F.explode(mixed.otherwise(others)).alias("t"), "side", "chunk", "key", "root", "n", "place")
-    tiles = tiles.select("g", "t.kind", "t.i", "t.j", "side", "chunk", "key", "root", "n", "place")
+    tiles = rows.select("g", F.explode(mixed.otherwise(others)).alias("t"), "side", "chunk", "key", "root", "n", "left", "reach")
+    tiles = tiles.select("g", "t.kind", "t.i", "t.j", "side", "chunk", "key", "root", "n", "left", "reach")
     dealt = tiles.repartition("g", "kind", "i", "j").sortWithinPartitions("g", "kind", "i", "j")
     return dealt.mapInArrow(_multiply, "a long, b long").distinct()
 
 
 def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles come one after the other; pairs that several columns give are sent once while they are remembered."""
+    """Tiles come one after the other, all of a batch are multiplied together.
+
+    Pairs that several columns give are sent once while they are remembered.
+    """
     rest: list[np.ndarray] | None = None
-    sent: set[tuple[int, int]] = set()
-
-    def out(tile: list[np.ndarray]):
-        kind, i, j, side, chunk, key, root, n, place = tile[1:]
-        if kind[0] == 0:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        else:
-            left, right = np.flatnonzero(chunk == i[0]), np.flatnonzero(chunk == j[0])
-        small, large = np.minimum(n[left][:, None], n[right]), np.maximum(n[left][:, None], n[right])
+    sent = np.zeros((0, 2), np.int64)
+
+    def good(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        _, kind, i, j, side, chunk, _, root, n, left, reach = rows
+        # Sides 0 and 1 meet in tiles of kind 0; in others chunk i meets chunk j, or all meet where these are one.
+        meet = np.where(kind[x] == 0, side[x] != side[y], (i[x] == j[x]) | (chunk[x] != chunk[y])) & (root[x] != root[y])
+        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
         need = -(-ABOVE * (small + large) // (ABOVE + OF))
-        most = np.minimum((n - place)[left][:, None], (n - place)[right])
-        good = (root[left][:, None] != root[right]) & (OF * small >= ABOVE * large) & (most >= need)
-        for x, y in zip(*(v.tolist() for v in np.nonzero(good)), strict=True):
-            a, b = int(key[left[x]]), int(key[right[y]])
-            pair = (a, b) if a < b else (b, a)
-            if pair not in sent:
-                if len(sent) >= 1_000_000:
-                    sent.clear()
-                sent.add(pair)
-                yield pair
-
-    def flush(columns: list[np.ndarray]):
-        pairs = [p for p in out(columns)]
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())],
-                                             names=["a", "b"])
+        return (meet & (OF * small >= ABOVE * large) & (np.minimum(left[x], left[y]) >= need)
+                & (np.maximum(reach[x], reach[y]) >= need))
+
+    def found(rows: list[np.ndarray], edges: np.ndarray) -> np.ndarray:
+        """Pairs of all tiles: each row with the k-th after it, for every k, while that is in its tile."""
+        end = np.repeat(edges[1:], np.diff(edges))
+        at, pairs, k = np.arange(len(end)), [np.zeros((0, 2), np.int64)], 0
+        while True:
+            k += 1
+            at = at[at + k < end[at]]
+            if not len(at):
+                break
+            ok = at[good(rows, at, at + k)]
+            a, b = rows[6][ok], rows[6][ok + k]
+            pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+        return np.unique(np.concatenate(pairs), axis=0)
+
+    def flush(rows: list[np.ndarray], edges: np.ndarray):
+        nonlocal sent
+        pairs = found(rows, edges)
+        both = np.concatenate([sent, pairs])
+        _, first = np.unique(both, axis=0, return_index=True)
+        fresh = both[np.sort(first[first >= len(sent)])]
+        if len(fresh):
+            sent = fresh if len(both) > 1_000_000 else np.concatenate([sent, fresh])
+            yield pa.RecordBatch.from_arrays([pa.array(fresh[:, 0]), pa.array(fresh[:, 1])], names=["a", "b"])
 
     for batch in batches:
         if batch.num_rows == 0:
@@ -263,12 +352,13 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = np.zeros(len(columns[0]), bool)
         for c in columns[:4]:
             change[1:] |= c[1:] != c[:-1]
-        edges = [0, *np.flatnonzero(change).tolist()]
-        for lo, hi in zip(edges, edges[1:], strict=False):
-            yield from flush([c[lo:hi] for c in columns])
+        edges = np.append(0, np.flatnonzero(change))
+        if edges[-1]:
+            yield from flush([c[:edges[-1]] for c in columns], edges)
+        # The last tile may go on in the next batch.
         rest = [c[edges[-1]:] for c in columns]
     if rest is not None:
-        yield from flush(rest)
+        yield from flush(rest, np.array([0, len(rest[0])]))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -286,19 +376,27 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     with scratch(spark) as folder:
         sketch = spark.sparkContext.broadcast(_count(docs, words))
         features = stored(_features(docs, sketch, words), f"{folder}/features")
+        sketch.destroy()
+        listed = cut(features.select("doc_id", "key", "n"))
         # Columns that two different rows share, found from the smallest and the largest key.
         every = features.select("key", F.explode("columns").alias("g"))
-        shared = every.groupBy("g").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi")
+        # 32 bits of each are enough to tell, as what is marked by mistake is found out below; the
+        # row's bits differ from column to column, so no two rows are taken for one throughout.
+        top = F.shiftright("g", 32).cast("int")
+        tag = F.hash("key", "g")
+        shared = every.select(top.alias("top"), tag.alias("tag")).groupBy("top").agg(
+            F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi").select(
+            F.shiftleft(F.col("top").cast("long"), 32).alias("g"))
         marked = spark.sparkContext.broadcast(bitmap(shared, "g", COLUMN_BITS))
         entries = _entries(features, marked, COLUMN_BITS).groupBy("g", "key").agg(
-            F.min("n").alias("n"), F.min("place").alias("place"), F.min("share").alias("share"))
+            *[F.min(c).alias(c) for c in ("n", "left", "reach", "share")])
         entries = stored(entries, f"{folder}/entries")
-        first = stored(_links(docs, stored(_one_each(entries), f"{folder}/pairs1"), words), f"{folder}/links1")
-        roots = connected(first)
-        others = stored(_remaining(entries, roots), f"{folder}/pairs2")
-        links = first.union(_links(docs, others, words))
-        roots = connected(links)
-        listed = cut(features.select("doc_id", "key", "n"))
+        marked.destroy()
+        discard(spark, f"{folder}/features")
+        pairs = stored(_one_each(entries), f"{folder}/pairs1")
+        first = _links(docs, pairs, words, f"{folder}/links1")
+        others = stored(_remaining(entries, connected(first)), f"{folder}/pairs2")
+        roots = connected(first.union(_links(docs, others, words, f"{folder}/links2")))
     lowest = listed.groupBy("key").agg(F.min("doc_id").alias("low"))
     grouped = lowest.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -71,8 +71,9 @@ def noisy(n, seed=3):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_all_pairs(spark, seed):
+@pytest.mark.parametrize(("seed", "crowd"), [(1, ld.CROWD), (2, 2), (3, 0)])
+def test_against_all_pairs(spark, seed, crowd, monkeypatch):
+    monkeypatch.setattr(ld, "CROWD", crowd)
     docs = noisy(90, seed)
     got = result(ld.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)))
     assert got == expected(docs)

@@ -51,9 +51,10 @@ def near_copies(n, seed=0):
     return out
 
 
-@pytest.mark.parametrize("tile", [4, 512])
-def test_near_copies(spark, tile, monkeypatch):
+@pytest.mark.parametrize(("tile", "sent"), [(4, 0), (512, nj.PAIRS_SENT)])
+def test_near_copies(spark, tile, sent, monkeypatch):
     monkeypatch.setattr(nj, "TILE", tile)
+    monkeypatch.setattr(nj, "PAIRS_SENT", sent)
     check(spark, near_copies(150))
 
 
