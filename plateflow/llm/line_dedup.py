@@ -6,7 +6,9 @@ its three segments in an index and probes it with the substrings that a line up
 shorter could share: beginning and end lie where they lay, the middle may have moved by one. What
 meets is verified by a banded bit-parallel edit distance.
 
-Lines travel as 64-bit hashes; only the text of lines that meet another one is moved.
+Lines travel as 64-bit hashes; only the text of lines that meet another one is moved. Copies of a
+line are one entry of the index from the map side on. Segments that very many lines share give no
+pairs: those lines are joined by halves, of which two lines within two edits share one as well.
 """
 
 from __future__ import annotations
@@ -20,49 +22,40 @@ from plateflow.session import cut
 EDITS = 2
 #: One edit is allowed for every so many characters of the shorter line, so short lines must be equal.
 CHARACTERS = 12
-#: Bits that mark lines that meet another one: 512 KB in every task.
+#: Bits that mark lines by their hashes: 512 KB in every task, whatever the data.
 MARK_BITS = 22
+#: Lines with a segment in common that are paired by it; more of them are paired by halves.
+CROWD = 32
+#: Pieces of a line of which all but ``EDITS`` must reappear; a cheap sieve before the distance.
+PIECES = 8
 
 
-def _lines(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, no (from 0), line: the lines of each text that are not blank."""
-    every = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter("trim(line) != ''")
-    return every.select("doc_id", "no", "line", F.xxhash64("line").alias("h"), *more)
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, t, no (from 0), line, h: the lines of each text that are not blank; t and h are hashes of text and line."""
+    every = docs.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    every = every.filter("trim(line) != ''")
+    return every.withColumn("h", F.xxhash64("line"))
 
 
-def _segment(length: Column) -> Column:
-    """Characters of the first and the last segment of a line of that length."""
-    return F.greatest(F.lit(4), F.floor(F.floor(length / 16) * 16 / 3).cast("int"))
-
-
-def _letters(line: Column) -> Column:
-    """Counts of four letters, 16 bits each; every edit changes at most two of them by one."""
-    def count(letter: str) -> Column:
-        return F.least(F.lit(32767), F.length(line) - F.length(F.replace(line, F.lit(letter)))).cast("long")
+def _step(length: Column) -> Column:
+    return F.floor(length / 16) * 16
 
-    packed = count(" ")
-    for letter in "ent":
-        packed = packed * 65536 + count(letter)
-    return packed
 
+def _thirds(length: Column) -> Column:
+    """Characters of the first and the last segment of a line of that length."""
+    return F.greatest(F.lit(4), F.floor(_step(length) / 3).cast("int"))
 
-def _apart(a: Column, b: Column) -> Column:
-    """The sum of the differences of packed counts."""
-    def part(x: Column, k: int) -> Column:
-        return F.shiftright(x, 16 * k).bitwiseAND(F.lit(65535))
 
-    total = F.abs(part(a, 0) - part(b, 0))
-    for k in range(1, 4):
-        total = total + F.abs(part(a, k) - part(b, k))
-    return total
+def _quarters(length: Column) -> Column:
+    return F.greatest(F.lit(3), F.floor(_step(length) / 4).cast("int"))
 
 
-def _segments(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The index (key, h, n, letters) and the probes (the same), one row for each segment or substring."""
+def _segments(lines: DataFrame, indexed: bool) -> DataFrame:
+    """(key, h, n): the three segments of every line, or all substrings it could share one as."""
     n, line = F.col("n"), F.col("line")
     wide = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
-    wide = wide.withColumns({f"s{d}": _segment(n - d) for d in range(EDITS + 1)}).withColumn("letters", _letters(line))
-    s = [F.col(f"s{d}") for d in range(EDITS + 1)]
+    wide = wide.withColumns({f"s{d}": _thirds(n - d) for d in ((0,) if indexed else (0, 1, EDITS))})
+    s = {d: F.col(f"s{d}") for d in (0, 1, EDITS)}
 
     def first(size: Column) -> Column:
         return F.xxhash64(F.lit(0), size, F.substr(line, F.lit(1), size))
@@ -74,29 +67,92 @@ def _segments(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         size = s[shorter]
         return F.xxhash64(F.lit(2), n - shorter, F.substr(line, size + 1 + moved, n - shorter - 2 * size))
 
-    entered = F.array(first(s[0]), last(s[0]), middle(0, 0))
-    # A shorter line's segments may be one step smaller.
-    sought = F.array(
-        first(s[0]), last(s[0]), F.when(s[2] != s[0], first(s[2])), F.when(s[2] != s[0], last(s[2])),
-        *[F.when(n - shorter >= CHARACTERS, middle(shorter, moved)) for shorter in range(EDITS + 1)
-          for moved in (-1, 0, 1) if abs(shorter - moved) <= 1])
-    index = wide.select(F.explode(entered).alias("key"), "h", "n", "letters")
-    probes = wide.select(F.explode(F.array_compact(sought)).alias("key"), "h", "n", "letters")
-    return index, probes
-
-
-def _meetings(lines: DataFrame) -> DataFrame:
-    """Pairs (long, short) of hashes of different lines that share a segment and may be near."""
-    index, probes = _segments(lines)
-    # Copies of a line are one entry from the map side on.
-    index = index.groupBy("key", "h").agg(F.min("n").alias("n"), F.min("letters").alias("letters"))
-    probes = probes.groupBy("key", "h").agg(F.min("n").alias("n"), F.min("letters").alias("letters"))
-    i, p = index.alias("i"), probes.alias("p")
+    keys = [first(s[0]), last(s[0]), middle(0, 0)]
+    if not indexed:
+        # A shorter line's segments may be one step smaller.
+        keys += [F.when(s[2] != s[0], first(s[2])), F.when(s[2] != s[0], last(s[2]))]
+        keys += [F.when(n - shorter >= CHARACTERS, middle(shorter, moved)) for shorter in range(EDITS + 1)
+                 for moved in (-1, 0, 1) if abs(shorter - moved) <= 1 and (shorter, moved) != (0, 0)]
+    return wide.select(F.explode(F.array(*keys)).alias("key"), "h", "n").filter("key is not null")
+
+
+def _halves(lines: DataFrame, indexed: bool) -> DataFrame:
+    """(key, h, n): as ``_segments``, by what amounts to half of a line each.
+
+    Of four quarters, counted from both ends, two edits leave two alone: the first two, the last
+    two, the first and the last; or, where one edit is in either half, the inner ones moved by one
+    at most, the last and the second, or the first and the third.
+    """
+    n, line = F.col("n"), F.col("line")
+    wide = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
+    wide = wide.withColumns({"q0": _quarters(n), "q2": _quarters(n - EDITS)})
+
+    def part(start: Column, size: Column) -> Column:
+        return F.substr(line, start, size)
+
+    def keys(q: Column, moves: tuple[int, ...]) -> list[Column]:
+        one = F.lit(1)
+        left, right = part(one, q), part(n - q + 1, q)
+        out = [F.xxhash64(F.lit(3), q, part(one, 2 * q)), F.xxhash64(F.lit(4), q, part(n - 2 * q + 1, 2 * q)),
+               F.xxhash64(F.lit(5), q, left, right)]
+        for moved in moves:
+            out += [F.xxhash64(F.lit(6), q, part(q + 1 + moved, 2 * q)),
+                    F.xxhash64(F.lit(7), q, right, part(q + 1 + moved, q)),
+                    F.xxhash64(F.lit(8), q, left, part(n - 2 * q + 1 + moved, q))]
+        return out
+
+    every = keys(F.col("q0"), (0,) if indexed else (-1, 0, 1))
+    if not indexed:
+        every += [F.when(F.col("q2") != F.col("q0"), k) for k in keys(F.col("q2"), (-1, 0, 1))]
+    return wide.select(F.explode(F.array(*every)).alias("key"), "h", "n", "line").filter("key is not null")
+
+
+def _pairs(probes: DataFrame, index: DataFrame, more: Column | None = None) -> DataFrame:
+    """(long, short) hashes that share a key and pass ``more``, a pair as often as it does; ``short`` is null for a mark."""
+    p, i = probes.alias("p"), index.alias("i")
     longer = F.col("p.n") - F.col("i.n")
     near = longer.between(0, EDITS) & ((longer > 0) | (F.col("p.h") > F.col("i.h"))) & (F.col("p.h") != F.col("i.h"))
-    near &= _apart(F.col("p.letters"), F.col("i.letters")) <= 2 * EDITS
-    met = p.join(i, (F.col("p.key") == F.col("i.key")) & near)
-    return met.select(F.col("p.h").alias("long"), F.col("i.h").alias("short")).distinct()
+    near = near if more is None else near & more
+    met = p.join(i, (F.col("p.key") == F.col("i.key")) & (F.col("i.h").isNull() | near))
+    return met.select(F.col("p.h").alias("long"), F.col("i.h").alias("short"))
+
+
+def _meetings(lines: DataFrame, folder: str) -> DataFrame:
+    """Pairs (long, short) of hashes of different lines that share a segment and may be near.
+
+    A segment of more than ``CROWD`` lines gives no pairs. A mark stands for them in the index; the
+    lines that meet a mark are fetched, and paired by halves instead.
+    """
+    index = _segments(lines, True).groupBy("key", "h").agg(F.min("n").alias("n"))
+    index = stored(index, f"{folder}/index")
+    crowds = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).select("key"),
+                    f"{folder}/crowds")
+    marks = crowds.select("key", F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("n"))
+    sparse = index.join(crowds, "key", "left_anti").select("key", "h", "n")
+    met = stored(_pairs(_segments(lines, False), sparse.unionByName(marks)).distinct(), f"{folder}/segments")
+    crowd = met.filter("short is null").select(F.col("long").alias("h"))
+    many = _fetched(lines, crowd, f"{folder}/crowd")
+    # These few carry their text, so that no pair leaves the join that the sieve would stop.
+    more = _pairs(_halves(many, False), _halves(many, True), _sieve(F.col("p.line"), F.col("i.line")))
+    return met.filter("short is not null").union(more).distinct()
+
+
+def _fetched(lines: DataFrame, ids: DataFrame, path: str) -> DataFrame:
+    """(h, line) once for each of the hashes ``h`` (and for a few others)."""
+    some = lines.filter(_marked(F.col("h"), _marks(ids)))
+    return stored(some.groupBy("h").agg(F.min("line").alias("line")), path)
+
+
+def _sieve(long: Column, short: Column) -> Column:
+    """Whether all but ``EDITS`` pieces of ``short`` are in ``long``, moved by ``EDITS`` at most."""
+    size = F.floor(F.length(short) / PIECES).cast("int")
+    found = F.lit(0)
+    for k in range(PIECES):
+        at = size * k + 1
+        begin = F.greatest(F.lit(1), at - EDITS)
+        window = F.substr(long, begin, at + size + EDITS - begin)
+        found = found + F.contains(window, F.substr(short, at, size)).cast("int")
+    return found >= PIECES - EDITS
 
 
 def edit_distance(long: Column, short: Column, most: int = EDITS) -> Column:
@@ -118,10 +174,8 @@ def edit_distance(long: Column, short: Column, most: int = EDITS) -> Column:
     def no(x: Column) -> Column:
         return F.bitwise_not(x).bitwiseAND(full)
 
-    a, b = F.split(long, ""), F.split(short, "")
-
-    def step(state: Column, j: Column) -> Column:
-        letter = F.get(b, j - 1)
+    def step(line: Column, state: Column, j: Column) -> Column:
+        a, letter, apart = line["a"], F.get(line["b"], j - 1), line["apart"]
         pm = bits(0)
         for i in range(width):
             same = F.coalesce(F.get(a, j - most + i - 1) == letter, F.lit(False))
@@ -148,8 +202,16 @@ def edit_distance(long: Column, short: Column, most: int = EDITS) -> Column:
 
     start = F.struct(bits(((1 << most) - 1) << (most + 1)).alias("vp"), bits((1 << (most + 1)) - 1).alias("vn"),
                      apart.cast("long").alias("distance"))
-    steps = F.when(F.length(short) > 0, F.sequence(F.lit(1), F.length(short))).otherwise(F.array().cast("array<int>"))
-    return F.when(apart.between(0, most), F.aggregate(steps, start, step)["distance"]).otherwise(F.lit(most + 1).cast("long"))
+    def distance(line: Column) -> Column:
+        size = F.size(line["b"])
+        steps = F.when(line["empty"], F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), size))
+        return F.aggregate(steps, start, lambda state, j: step(line, state, j))["distance"]
+
+    # A one-element array names what every step uses, so that it is made once.
+    line = F.struct(F.split(long, "").alias("a"), F.split(short, "").alias("b"), apart.alias("apart"),
+                    (F.length(short) == 0).alias("empty"))
+    return F.when(apart.between(0, most), F.element_at(F.transform(F.array(line), distance), 1)).otherwise(
+        F.lit(most + 1).cast("long"))
 
 
 def _marks(values: DataFrame) -> Column:
@@ -162,47 +224,54 @@ def _marks(values: DataFrame) -> Column:
     return listed.select(F.transform("x", lambda e: e["bits"]).alias("x")).scalar()
 
 
-def near_lines(docs: DataFrame) -> DataFrame:
+def _marked(h: Column, marks: Column) -> Column:
+    """Whether the bit of hash ``h`` is set."""
+    place = F.shiftrightunsigned(h, 64 - MARK_BITS)
+    word = F.get(marks, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def near_lines(docs: DataFrame, folder: str) -> DataFrame:
     """Pairs (long, short) of hashes of different lines within the edits that their length allows.
 
     ``docs`` has ``doc_id`` and ``text``. Each pair once; ``long`` is not shorter than ``short``.
     """
     lines = _lines(docs)
-    with scratch(docs.sparkSession) as folder:
-        met = stored(_meetings(lines), f"{folder}/met")
-        ids = met.select(F.col("long").alias("h")).union(met.select("short"))
-        place = F.shiftrightunsigned("h", 64 - MARK_BITS)
-        word = F.get(_marks(ids), F.shiftright(place, 6).cast("int"))
-        text = lines.filter(F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-        text = text.groupBy("h").agg(F.min("line").alias("line"))
-        pairs = met.join(text.select(F.col("h").alias("long"), F.col("line").alias("a")), "long").join(
-            text.select(F.col("h").alias("short"), F.col("line").alias("b")), "short")
-        allowed = F.least(F.lit(EDITS), F.floor(F.length("b") / CHARACTERS))
-        return cut(pairs.filter(edit_distance(F.col("a"), F.col("b")) <= allowed).select("long", "short"))
+    met = stored(_meetings(lines, folder), f"{folder}/met")
+    text = _fetched(lines, met.select(F.col("long").alias("h")).union(met.select("short")), f"{folder}/text")
+    pairs = met.join(text.select(F.col("h").alias("long"), F.col("line").alias("a")), "long").join(
+        text.select(F.col("h").alias("short"), F.col("line").alias("b")), "short")
+    likely = pairs.filter(_sieve(F.col("a"), F.col("b")))
+    allowed = F.least(F.lit(EDITS), F.floor(F.length("b") / CHARACTERS))
+    return stored(likely.filter(edit_distance(F.col("a"), F.col("b")) <= allowed).select("long", "short"), f"{folder}/near")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, no, near: the lines to leave out, ``near`` where the line is no exact repeat.
+    """doc_id, t (hash of the text), gone (line numbers), near, exact: which lines to leave out, and how many.
 
     ``docs`` has ``doc_id`` and ``text``. A line goes if an equal one, or a different one within
     the allowed edits, comes before it by (doc_id, line number); that one may itself be left out.
     """
-    places = _lines(docs).select("doc_id", "no", "h", F.xxhash64(F.lit(1), "line").alias("h2"))
-    first = places.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "no")).alias("first"))
-    by_hash = first.groupBy("h").agg(F.min("first").alias("first"))
-    pairs = near_lines(docs)
-    one = pairs.join(by_hash.select(F.col("h").alias("long"), F.col("first").alias("a")), "long").join(
-        by_hash.select(F.col("h").alias("short"), F.col("first").alias("b")), "short")
-    late = one.select(F.when(F.col("a") > F.col("b"), F.col("long")).otherwise(F.col("short")).alias("h")).distinct()
-    state = first.join(late.withColumn("near", F.lit(True)), "h", "left").select(
-        "h", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    # Lines that occur once and are near none have no row here.
-    state = state.filter("near").unionByName(
-        places.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h", "h2")
-        .join(state.filter("not near"), ["h", "h2"]).select("h", "h2", "first", "near"))
-    seen = places.join(state, ["h", "h2"])
-    repeat = ~F.struct("doc_id", "no").eqNullSafe(F.col("first"))
-    return seen.filter(repeat | F.col("near")).select("doc_id", "no", (~repeat).alias("near"))
+    with scratch(docs.sparkSession) as folder:
+        places = stored(_lines(docs).select("doc_id", "t", "no", "h", F.xxhash64(F.lit(1), "line").alias("h2")), f"{folder}/places")
+        lines = places.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "t", "no")).alias("first"), F.count(F.lit(1)).alias("times"))
+        lines = stored(lines, f"{folder}/lines")
+        pairs = near_lines(docs, folder)
+        known = lines.select("h", "first")
+        one = pairs.join(known.select(F.col("h").alias("long"), F.col("first").alias("a")), "long").join(
+            known.select(F.col("h").alias("short"), F.col("first").alias("b")), "short")
+        late = one.select(F.when(F.col("a") > F.col("b"), F.col("long")).otherwise(F.col("short")).alias("h")).distinct()
+        # The other lines occur once and are near none before them.
+        state = lines.join(late.withColumn("near", F.lit(True)), "h", "left").filter("near or times > 1").select(
+            "h", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+        seen = places.join(state, ["h", "h2"])
+        repeat = ~F.struct("doc_id", "t", "no").eqNullSafe(F.col("first"))
+        gone = seen.filter(repeat | F.col("near")).select("doc_id", "t", "no", (~repeat).alias("near"))
+        # Rows that are equal have each place once.
+        gone = gone.groupBy("doc_id", "t").agg(F.collect_set(F.struct("no", "near")).alias("gone"))
+        near = F.size(F.filter("gone", lambda x: x["near"])).cast("long")
+        return cut(gone.select("doc_id", "t", F.transform("gone", lambda x: x["no"]).alias("gone"), near.alias("near"),
+                               (F.size("gone") - near).alias("exact")))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] | list[str] = ("doc_id",)) -> DataFrame:
@@ -214,28 +283,24 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tup
     within two edits, one for every ``CHARACTERS`` characters of the shorter, so lines of fewer
     must be equal. A line goes if such a line comes before it, also where that one goes as well.
     Blank lines stay. A null text stays null with no lines; an empty one has one blank line. Rows
-    that repeat a doc_id and a line at its place share that line's fate. An empty table gives an
-    empty result. Kept columns named like an output are replaced.
+    equal in doc_id and text are one document; others that share a doc_id follow by the hash of
+    their text. An empty table gives an empty result. Kept columns named like an output are replaced.
     """
     outputs = ("text", "n_lines", "n_kept", "n_exact", "n_near")
     names = [f"d{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
     frame = docs.toDF(*names)
     slim = frame.select(F.col(at[doc_id]).alias("doc_id"), F.col(at[text]).alias("text"))
-    lines = dropped_lines(slim).groupBy("doc_id").agg(
-        F.collect_set("no").alias("gone"), F.count_if("near").alias("near"), F.count(F.lit(1)).alias("all"))
-    # A doc_id that rows share has each place once.
-    lines = lines.select(F.col("doc_id").alias("of"), "gone", "near", (F.col("all") - F.col("near")).alias("exact"))
-    joined = frame.join(lines, F.col(at[doc_id]).eqNullSafe(F.col("of")), "left")
-    split = F.split(at[text], "\n")
-    number = F.size(split)
-    stay = F.when(F.col("gone").isNull(), F.sequence(F.lit(0), number - 1)).otherwise(
-        F.array_except(F.sequence(F.lit(0), number - 1), F.col("gone")))
-    cleaned = F.when(F.col("gone").isNull() | F.col(at[text]).isNull(), F.col(at[text])).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n"))
-    zero = F.lit(0).cast("long")
-    n_lines = F.when(F.col(at[text]).isNull(), zero).otherwise(number.cast("long"))
-    n_kept = F.when(F.col(at[text]).isNull(), zero).otherwise(F.size(stay).cast("long"))
+    lines = dropped_lines(slim).withColumnRenamed("doc_id", "of")
+    joined = frame.join(lines, F.col(at[doc_id]).eqNullSafe(F.col("of")) & (F.xxhash64(at[text]) == F.col("t")), "left")
+    value, zero = F.col(at[text]), F.lit(0).cast("long")
+    number = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("\n"), F.lit(""))) + 1
+    # A one-element array names the lines, so that a text is split once.
+    cleaned = F.when(F.col("gone").isNull(), value).otherwise(F.element_at(F.transform(
+        F.array(F.split(value, "\n")), lambda every: F.array_join(F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")), lambda i: F.get(every, i)), "\n")), 1))
+    n_lines = F.coalesce(number.cast("long"), zero)
+    n_kept = n_lines - F.when(F.col("gone").isNull(), zero).otherwise(F.size("gone").cast("long"))
     carry = kept(list(keep), outputs)
     return joined.select(*[column(joined, at[c]).alias(c) for c in carry], cleaned.alias("text"), n_lines.alias("n_lines"),
                          n_kept.alias("n_kept"), F.coalesce("exact", zero).alias("n_exact"), F.coalesce("near", zero).alias("n_near"))
