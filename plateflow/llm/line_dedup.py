@@ -132,8 +132,8 @@ def _meetings(lines: DataFrame, folder: str) -> DataFrame:
     met = stored(_pairs(_segments(lines, False), sparse.unionByName(marks)).distinct(), f"{folder}/segments")
     crowd = met.filter("short is null").select(F.col("long").alias("h"))
     many = _fetched(lines, crowd, f"{folder}/crowd")
-    # These few carry their text, so that no pair leaves the join that the sieve would stop.
-    more = _pairs(_halves(many, False), _halves(many, True), _sieve(F.col("p.line"), F.col("i.line")))
+    # These few carry their text, so that no pair leaves the join that is not near.
+    more = _pairs(_halves(many, False), _halves(many, True), _near(F.col("p.line"), F.col("i.line")))
     return met.filter("short is not null").union(more).distinct()
 
 
@@ -224,6 +224,37 @@ def _marks(values: DataFrame) -> Column:
     return listed.select(F.transform("x", lambda e: e["bits"]).alias("x")).scalar()
 
 
+def _near(long: Column, short: Column) -> Column:
+    """Whether two lines are within the edits that the length of the shorter allows.
+
+    The pieces that both have in common at their beginning and at their end are cut off first:
+    that leaves the distance as it is, and little to go through.
+    """
+    size = F.floor(F.length(short) / PIECES).cast("int")
+
+    def most(same, room: Column) -> Column:
+        chain = F.when(F.lit(False), 0)
+        for k in range(PIECES, 0, -1):
+            chain = chain.when((room >= k) & same(size * k), k)
+        return chain.otherwise(0)
+
+    lead = most(lambda n: F.substr(long, F.lit(1), n) == F.substr(short, F.lit(1), n), F.lit(PIECES))
+
+    def trail(room: Column) -> Column:
+        return most(lambda n: F.substr(long, F.length(long) - n + 1, n) == F.substr(short, F.length(short) - n + 1, n), room)
+
+    def core(x: Column) -> Column:
+        gone = (x["lead"] + x["trail"]) * size
+        return F.struct(F.substr(long, x["lead"] * size + 1, F.length(long) - gone).alias("long"),
+                        F.substr(short, x["lead"] * size + 1, F.length(short) - gone).alias("short"))
+
+    # One-element arrays name what is used more than once.
+    ends = F.transform(F.array(lead), lambda n: F.struct(n.alias("lead"), trail(F.lit(PIECES) - n).alias("trail")))
+    allowed = F.least(F.lit(EDITS), F.floor(F.length(short) / CHARACTERS))
+    near = F.transform(F.transform(ends, core), lambda x: edit_distance(x["long"], x["short"]) <= allowed)
+    return _sieve(long, short) & F.element_at(near, 1)
+
+
 def _marked(h: Column, marks: Column) -> Column:
     """Whether the bit of hash ``h`` is set."""
     place = F.shiftrightunsigned(h, 64 - MARK_BITS)
@@ -241,9 +272,7 @@ def near_lines(docs: DataFrame, folder: str) -> DataFrame:
     text = _fetched(lines, met.select(F.col("long").alias("h")).union(met.select("short")), f"{folder}/text")
     pairs = met.join(text.select(F.col("h").alias("long"), F.col("line").alias("a")), "long").join(
         text.select(F.col("h").alias("short"), F.col("line").alias("b")), "short")
-    likely = pairs.filter(_sieve(F.col("a"), F.col("b")))
-    allowed = F.least(F.lit(EDITS), F.floor(F.length("b") / CHARACTERS))
-    return stored(likely.filter(edit_distance(F.col("a"), F.col("b")) <= allowed).select("long", "short"), f"{folder}/near")
+    return stored(pairs.filter(_near(F.col("a"), F.col("b"))).select("long", "short"), f"{folder}/near")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
