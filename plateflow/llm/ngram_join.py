@@ -168,17 +168,18 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _features(docs: DataFrame, sketch, words: int) -> DataFrame:
-    """doc_id, key, n and the leading columns of every document."""
+    """doc_id, t (hash of the text), key, n and the leading columns of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
-            sets = [shingles(t, words) for t in texts(batch.column(1))]
+            sets = [shingles(t, words) for t in texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([row_key(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(1), pa.array([row_key(s) for s in sets], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()), _lists([leading(s, counts) for s in sets])],
-                names=["doc_id", "key", "n", "columns"])
+                names=["doc_id", "t", "key", "n", "columns"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key long, n long, columns array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(
+        run, "doc_id long, t long, key long, n long, columns array<long>")
 
 
 def _entries(features: DataFrame, marked, bits: int) -> DataFrame:
@@ -361,23 +362,14 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(rest, np.array([0, len(rest[0])]))
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """The components of documents linked by a Jaccard similarity of 0.75 or more of their word n-grams.
-
-    Returns one row a document: doc_id long, n_shingles long (distinct n-grams; fewer words than
-    ``words`` are one n-gram), component_id long (the smallest doc_id reachable by links, its own
-    included). A null text, or one without words, has no n-grams and is linked with nothing.
-    Repeated rows are linked with each other. A null doc_id is passed over in the smallest one
-    unless the whole component has no id. An empty table gives an empty result; other columns are
-    not read. N-grams are compared by 64-bit hashes.
-    """
+def _linked(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Every row as (doc_id, t, key, n), t being a hash of its text; and (node, root) of the keys that are linked."""
     spark = docs.sparkSession
-    docs = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, text).alias("text"))
     with scratch(spark) as folder:
         sketch = spark.sparkContext.broadcast(_count(docs, words))
         features = stored(_features(docs, sketch, words), f"{folder}/features")
         sketch.destroy()
-        listed = cut(features.select("doc_id", "key", "n"))
+        listed = cut(features.select("doc_id", "t", "key", "n"))
         # Columns that two different rows share, found from the smallest and the largest key.
         every = features.select("key", F.explode("columns").alias("g"))
         # 32 bits of each are enough to tell, as what is marked by mistake is found out below; the
@@ -397,6 +389,21 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         first = _links(docs, pairs, words, f"{folder}/links1")
         others = stored(_remaining(entries, connected(first)), f"{folder}/pairs2")
         roots = connected(first.union(_links(docs, others, words, f"{folder}/links2")))
+    return listed, roots
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """The components of documents linked by a Jaccard similarity of 0.75 or more of their word n-grams.
+
+    Returns one row a document: doc_id long, n_shingles long (distinct n-grams; fewer words than
+    ``words`` are one n-gram), component_id long (the smallest doc_id reachable by links, its own
+    included). A null text, or one without words, has no n-grams and is linked with nothing.
+    Repeated rows are linked with each other. A null doc_id is passed over in the smallest one
+    unless the whole component has no id. An empty table gives an empty result; other columns are
+    not read. N-grams are compared by 64-bit hashes.
+    """
+    docs = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, text).alias("text"))
+    listed, roots = _linked(docs, words)
     lowest = listed.groupBy("key").agg(F.min("doc_id").alias("low"))
     grouped = lowest.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -407,15 +414,25 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest doc_id, all columns as they were.
+    """One document of each component, that with the smallest (doc_id, hash of the text), all columns as they were.
 
-    Rows that repeat the doc_id that stays all stay; documents without words
-    all stay, and so do all with a null doc_id.
+    Rows decide by themselves, not by their doc_id: of several texts with one doc_id, or without
+    any, each stays or goes with its own component. A null doc_id comes after all others. Rows
+    equal in doc_id and text are one document and stay or go together; rows without words all stay.
     """
     names = [f"d{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names, strict=True))
     frame = docs.toDF(*names)
-    first = join(frame, at[doc_id], at[text]).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n_shingles"))
-    drop = first.filter("n_shingles > 0 and doc_id != component_id").select(F.col("doc_id").alias(at[doc_id]))
-    return frame.join(drop, at[doc_id], "left_anti").select(*names).toDF(*docs.columns)
+    number, mark = F.col(at[doc_id]).cast("long"), F.xxhash64(at[text])
+    listed, roots = _linked(frame.select(number.alias("doc_id"), F.col(at[text]).alias("text")), WORDS)
+    # The rows of a set are one from the map side on.
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t")
+    own = listed.filter("n > 0").groupBy("key").agg(F.min(place).alias("low"))
+    known = own.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    stay = known.groupBy("root").agg(F.min("low").alias("low")).select(
+        F.col("low.doc_id").alias("of"), F.col("low.t").alias("t"))
+    # Left without a match are the rows without words and those that stay.
+    rows = listed.filter("n > 0").select(F.col("doc_id").alias("of"), "t").distinct()
+    same = rows["of"].eqNullSafe(stay["of"]) & (rows["t"] == stay["t"])
+    drop = rows.join(stay, same, "left_anti")
+    return frame.join(drop, number.eqNullSafe(F.col("of")) & (mark == F.col("t")), "left_anti").select(*names).toDF(*docs.columns)

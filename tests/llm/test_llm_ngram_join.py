@@ -77,6 +77,16 @@ def test_one_of_each(spark):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([1, 1, 4, 5, 6, 7, 8, 10, 11, 12, None], key=str)
 
 
+def test_one_of_each_decides_by_row(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    some = [(1, a), (5, a + " tail"), (5, b), (5, None), (6, c), (6, c + " end"), (None, b + " tail"), (None, prose(4, 60)),
+            (None, prose(4, 60) + " end"), (None, " "), (7, "alone"), (7, "other")]
+    left = [tuple(r) for r in nj.one_of_each(spark.createDataFrame(some, "doc_id long, text string").repartition(3)).collect()]
+    # Either of two near texts with one id, or with none, may be the one that stays.
+    assert sorted(map(str, left)) in [sorted(map(str, [(1, a), (5, b), (5, None), (6, x), (None, y), (None, " "), (7, "alone"), (7, "other")]))
+                                      for x in (c, c + " end") for y in (prose(4, 60), prose(4, 60) + " end")]
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)],
                                    [(i, j) for i in range(5) for j in range(5)] + [(10, 11), (11, 12), (12, 9)]])
 def test_components(spark, edges):
