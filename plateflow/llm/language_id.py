@@ -29,7 +29,7 @@ UNKNOWN = "und"
 SIZE = 1 << 12  # hashed features
 GRAMS = (2, 3, 4)
 PIECE = 1 << 20  # bytes hashed at a time
-#: Labelled rows that the model is fitted on, over all languages.
+#: Labelled rows that the model is fitted on, over all languages; one of each where there are more languages.
 SAMPLE_ROWS = 1600
 
 _letter = regex.compile(r"\p{L}").search
@@ -142,20 +142,22 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     The rows are those with the smallest hash of their id within a language. Texts become vectors
     on the executors; the driver gets ``sample_rows`` vectors of ``SIZE`` numbers at most. Rows
-    without letters teach nothing.
+    without letters teach nothing. Of more languages than ``sample_rows`` each gives one row, one
+    with letters if it has any: all are learned, and the vectors grow with them, the time of fitting
+    with their square.
     """
     rows = labelled.select(column(labelled, doc_id).cast("string").alias("id"), column(labelled, text).alias("text"),
                            column(labelled, lang).alias("lang")).filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(sample_rows + 1).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return Model((), np.zeros((0, SIZE + 1), np.float32), {}, {})
     if len(counts) > sample_rows:
-        raise ValueError("more languages than sampled rows")
-    each = sample_rows // len(counts)
+        rows = rows.filter(F.col("text").rlike(r"\p{L}"))
+    each = max(1, sample_rows // len(counts))
     span = 1 << 30
-    # A first cut by hash, twice as wide as needed, keeps the sorted remainder small.
+    # A first cut by hash, more than twice as wide as needed, keeps the sorted remainder small.
     widest = F.create_map(*[F.lit(v) for name, n in counts.items()
-                            for v in (name, min(span, int(span * 2 * each / n) + span // 1000))])
+                            for v in (name, min(span, int(span * (2 * each + 30) / n) + span // 1000))])
     mark = F.xxhash64("id")
     some = rows.withColumn("mark", mark).filter(F.pmod("mark", F.lit(span)) < widest[F.col("lang")])
     first = W.partitionBy("lang").orderBy(F.pmod("mark", F.lit(span)), "mark", "id", F.xxhash64("text"))

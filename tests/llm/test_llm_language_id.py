@@ -57,6 +57,16 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in lid.identify(one).collect()} == {"qq"}
 
 
+def test_more_languages_than_sampled_rows(spark):
+    words = {"aa": "kala maja", "bb": "sturm und drang", "cc": "zwyx qvut", "dd": "fjord hygge", "ee": "pueblo ojo"}
+    docs = [(i, words[lang] + " " + words[lang], lang) for i in range(60) for lang in [sorted(words)[i % 5]]]
+    # Letters may be rare among the rows of a language.
+    docs += [(100 + i, "12 34", "ff") for i in range(60)] + [(400, "\u4e2d\u6587", "ff"), (401, "\u4e2d\u6587", "ff")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = lid.identify(df, keep=["doc_id", "lang"], sample_rows=3).filter("score > 0").collect()
+    assert len(got) == 62 and all(r.lang == r.lang_pred for r in got)
+
+
 @pytest.mark.parametrize("languages", [("aa", "bb"), ("en", "de", "nl", "fr", "aa")])
 def test_hierarchy(languages):
     rng = np.random.default_rng(1)
