@@ -13,7 +13,8 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from plateflow.llm.frames import append, column, kept, texts
+from plateflow.llm.frames import append, column, discard, kept, scratch, stored, texts
+from plateflow.session import cut
 
 #: Words in a window; an item of fewer is one window.
 WINDOW = 13
@@ -131,24 +132,37 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     Words: A-Z lower-cased, then runs of digits, letters a-z and code points beyond ASCII. A null
     text, of document or item, has no words; an item without words matches nothing; a null item id
     is the empty string; repeated items count once; an empty benchmark hits nothing. Whole texts
-    are scanned. The documents are not shuffled. Kept columns named like an output are replaced.
+    are scanned. The documents are not shuffled; with several passes they are written once a pass,
+    so that the driver and a task hold the items of one pass only. Kept columns named like an output are replaced.
     """
     items = benchmark.select(F.coalesce(column(benchmark, item_id).cast("string"), F.lit("")).alias("id"),
-                             column(benchmark, item_text).alias("text")).filter("text is not null")
+                             column(benchmark, item_text).alias("text")).filter("text is not null").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("id")), F.lit(0))).first()[0]
     passes = max(1, -(-total // pass_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(passes))
     # Own names for the documents' columns, so that none meets a helper's.
     own = {c: f"d{i}" for i, c in enumerate(docs.columns)}
-    frame, inputs = docs.toDF(*own.values()), [own[text]]
-    for k in range(passes):
+
+    def scanned(frame: DataFrame, k: int) -> DataFrame:
         # Bounded by pass_bytes: a part of the items, sorted so that each pass is the same again.
         some = sorted((r.id, r.text) for r in items.filter(part == k).collect())
         last = k == passes - 1
         outputs = REPORT if last else f"marks {MARKS}, names array<string>"
-        frame = append(frame, inputs, outputs, _pass(some, size, automaton_bytes, last),
-                       [own[c] for c in keep] if last else [*own.values()])
-        inputs = [own[text], "marks", "names"]
+        return append(frame, [own[text]] if k == 0 else [own[text], "marks", "names"], outputs,
+                      _pass(some, size, automaton_bytes, last),
+                      list(dict.fromkeys(own[c] for c in keep)) if last else list(dict.fromkeys(own[c] for c in [*keep, text])))
+
+    frame = docs.toDF(*own.values())
+    if passes == 1:
+        frame = scanned(frame, 0)
+    else:
+        with scratch(docs.sparkSession) as folder:
+            for k in range(passes - 1):
+                # Written before the next part is fetched; what it was made from goes.
+                frame = stored(scanned(frame, k), f"{folder}/pass{k}")
+                if k:
+                    discard(docs.sparkSession, f"{folder}/pass{k - 1}")
+            frame = cut(scanned(frame, passes - 1))
     results = frame.columns[-5:]
     return frame.select(*[F.col(own[c]).alias(c) for c in kept(keep, results)], *results)
 

@@ -63,6 +63,27 @@ def test_against_all_windows(spark, automaton, piece):
         assert (r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans], r.contaminated) == wanted, r.text
 
 
+def test_passes_hold_one_part_of_the_items(spark, monkeypatch):
+    parts, given = [], dc._pass
+
+    def one_pass(items, *rest):
+        # Parts before this one are in the scratch folder by now, not in the plan.
+        parts.append(list(items))
+        return given(items, *rest)
+
+    plans, appended = [], dc.append
+    monkeypatch.setattr(dc, "_pass", one_pass)
+    monkeypatch.setattr(dc, "append", lambda df, *a, **k: plans.append(df._jdf.queryExecution().logical().toString()) or appended(df, *a, **k))
+    docs = spark.createDataFrame(list(enumerate(documents())), "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS + [ITEMS[0]] * 50, "item_id string, text string")
+    got = dc.find_contamination(docs, items, keep=["doc_id", "text"], pass_bytes=200).collect()
+    for r in got:
+        assert (r.n_words, r.n_hit, r["items"]) == expected(r.text, ITEMS)[:3]
+    assert len(parts) > 1 and not any("MapInArrow" in p for p in plans)
+    # Items that repeat are one, and count once for the number of passes.
+    assert sum(map(len, parts)) == len(set(ITEMS)) - 1 and len(parts) <= 3
+
+
 def test_spans_are_of_the_text_as_it_was(spark):
     text = "\U0001f600 \u00e9t\u00e9: Two,  WORDS; end"
     row = dc.find_contamination(spark.createDataFrame([(1, text)], "doc_id int, text string"),
