@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import bpe, decontamination, fingerprints, language_id, line_dedup, ngram_join, sharding, token_counts, url_filters, warc, word_bpe
+from plateflow.llm import (bpe, decontamination, fingerprints, language_id, line_dedup, merkle, ngram_join, piece_bpe,
+                           resampling, sharding, token_counts, url_filters, warc, word_bpe)
 from plateflow.llm.frames import table
+from plateflow.llm.oracle import MERKLE, RESAMPLING
 
 SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 #: The pages have no time of capture; their records carry this one.
 CAPTURED = "2001-01-01T00:00:00Z"
 
@@ -61,6 +64,19 @@ def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
     return warc.flatten(records, keep=["page_id"])
 
 
+def op11_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    model = piece_bpe.read_model(public_tokenizers.path(PIECES))
+    return piece_bpe.round_trip(table(spark, directory, "documents"), model, keep=["doc_id"])
+
+
+def op12_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    return resampling.resample(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    return merkle.manifest(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -72,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_resampling": op12_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: levenshtein counts bytes in DuckDB, so the test data's letters beyond ASCII become one byte each.
@@ -127,4 +146,6 @@ fits as (
     and starts_with(s.path, r.rule_path))
 select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from fits where place = 1
 """,
+    "op12_resampling": RESAMPLING,
+    "op13_merkle_manifest": MERKLE,
 }
