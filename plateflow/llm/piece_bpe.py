@@ -5,7 +5,9 @@ no merge inside a token depends on its neighbours, and the first merge across a
 happen in the two tokens beside it. So a prefix of a text has one valid encoding at most. The
 encoder takes the longest token at each position (one pass of an Aho-Corasick automaton), checks it
 against the token before it by merging the two again, and goes on to shorter ones; where none fits,
-the position has failed for good, whatever comes before it, and is entered in a bit field.
+the position has failed for good, whatever comes before it, and is entered in a bit field. Merging
+two tokens again comes down to their border: each token's own merges are known, and undoing them
+from the last one back shows all pairs of symbols that ever met there.
 
 Texts are cut where no token of the vocabulary reaches across: before each run of spaces, and around
 control characters without a token. Each distinct stretch is encoded once for a batch.
@@ -34,7 +36,7 @@ UNKNOWN = " ⁇ "
 #: Kinds of tokens in a model file.
 NORMAL, UNKNOWN_KIND, CONTROL, BYTE = 1, 2, 3, 6
 #: Results remembered between batches; bounds memory, not the result.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 @dataclass(frozen=True)
@@ -122,6 +124,9 @@ class Pieces:
         self.byte_ids = [0] * 256
         for i, byte in self.bytes.items():
             self.byte_ids[byte] = i
+        #: Of each token its id as little-endian 32-bit integer, and what the id is decoded to.
+        self.packed = {t: struct.pack("<I", i) for t, i in self.ids.items()}
+        self.plain = {t: t.replace(SPACE, " ") for t in self.ids}
         # A letter inside a token takes part in merges even where it is no token itself.
         letters = {c for token in self.order for c in token}
         self.automaton = ahocorasick.Automaton()
@@ -136,6 +141,7 @@ class Pieces:
             alone = re.escape(alone)
             self._stretches = re.compile(
                 f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone)).findall
+        self._splits: dict[str, tuple[str, str] | None] = {}
         self._whole: dict[str, bool] = {}
         self._fits: dict[tuple[str, str], bool] = {}
         self._shorter: dict[str, int] = {}
@@ -160,21 +166,58 @@ class Pieces:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
+    def _split(self, token: str) -> tuple[str, str] | None:
+        """The two symbols whose merge makes ``token`` in the end, or None if it is not made of its letters by merges
+        of ever later order."""
+        parts, order, last = list(token), self.order, None
+        while len(parts) > 1:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                rank = order.get(parts[i] + parts[i + 1])
+                if rank is not None and (best is None or rank < best):
+                    best, at = rank, i
+            if best is None:
+                return None
+            if len(parts) == 2:
+                last = parts[0], parts[1]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return last if all(len(x) == 1 or order[x] < order[token] and self.split(x) for x in last) else None
+
+    def split(self, token: str) -> tuple[str, str] | None:
+        if token not in self._splits:
+            self._splits[token] = self._split(token)
+        return self._splits[token]
+
     def whole(self, token: str) -> bool:
         """Whether merging the letters of ``token`` gives it."""
         known = self._whole.get(token)
         if known is None:
-            known = self._whole[token] = self.merge(token) == [token]
+            known = self._whole[token] = len(token) == 1 or self.split(token) is not None or self.merge(token) == [token]
         return known
 
     def fits(self, left: str, right: str) -> bool:
         """Whether merging the letters of both tokens gives these two."""
-        known = self._fits.get((left, right))
-        if known is None:
-            if len(self._fits) >= REMEMBERED:
-                self._fits.clear()
-            known = self._fits[left, right] = self.merge(left + right) == [left, right]
-        return known
+        a, b, order, splits = left, right, self.order, self._splits
+        if len(a) > 1 and not self.split(a) or len(b) > 1 and not self.split(b):
+            return self.merge(left + right) == [left, right]
+        rank = order.get(a + b)
+        while rank is None:
+            # Undo the later of the two merges; of equal ones the right one came later.
+            rank_a = order[a] if len(a) > 1 else None
+            rank_b = order[b] if len(b) > 1 else None
+            if rank_a is not None and (rank_b is None or rank_a > rank_b):
+                a = splits[a][1]
+                rank = order.get(a + b)
+                if rank is not None and rank >= rank_a:  # the merge inside the left token came first
+                    rank = None
+            elif rank_b is not None:
+                b = splits[b][0]
+                rank = order.get(a + b)
+                if rank is not None and rank > rank_b:
+                    rank = None
+            else:
+                return True
+        return False
 
     def shorter(self, token: str) -> int:
         """The length of the longest token that ``token`` begins with, itself excepted; 0 if there is none."""
@@ -186,11 +229,13 @@ class Pieces:
 
     def tokens(self, stretch: str) -> list[str]:
         """The tokens of a stretch; a letter that no token holds stands alone."""
-        if self.order.get(stretch) is not None and self.whole(stretch):
+        if stretch in self.order and self.whole(stretch):
             return [stretch]
         longest = [0] * len(stretch)
         for last, size in self.automaton.iter(stretch):
             longest[last - size + 1] = size  # later matches from the same place are longer
+        if 0 not in longest:
+            return self._between(stretch, 0, len(stretch), longest)
         out: list[str] = []
         at = 0
         while at < len(stretch):
@@ -208,23 +253,34 @@ class Pieces:
     def _between(self, text: str, low: int, high: int, longest: list[int]) -> list[str]:
         """The tokens of a part of ``text`` all of whose letters are known."""
         failed = bytearray((high - low >> 3) + 1)
+        known, compatible = self._whole, self._fits
         out: list[str] = []
-        at, size = low, longest[low]
+        at, size, last = low, longest[low], None
         while at < high:
             while size:
+                token = text[at:at + size]
                 place = at + size - low
-                if not failed[place >> 3] >> (place & 7) & 1:
-                    token = text[at:at + size]
-                    if self.whole(token) and (not out or self.fits(out[-1], token)):
+                if not failed[place >> 3] >> (place & 7) & 1 and (known.get(token) or self.whole(token)):
+                    if last is None:
+                        break
+                    pair = last, token
+                    fit = compatible.get(pair)
+                    if fit is None:
+                        if len(compatible) >= REMEMBERED:
+                            compatible.clear()
+                        fit = compatible[pair] = self.fits(last, token)
+                    if fit:
                         break
-                size = self.shorter(text[at:at + size])
+                size = self.shorter(token)
             if size:
                 out.append(token)
+                last = token
                 at += size
                 size = longest[at] if at < high else 0
             else:
                 failed[at - low >> 3] |= 1 << (at - low & 7)
                 token = out.pop()
+                last = out[-1] if out else None
                 at -= len(token)
                 size = self.shorter(token)
         return out
@@ -293,8 +349,14 @@ class Remembered(dict):
         self.pieces = pieces
 
     def __missing__(self, stretch: str) -> tuple[bytes, str]:
-        ids = self.pieces.encode(stretch)
-        found = self[stretch] = np.array(ids, "<u4").tobytes(), self.pieces.spell(ids)
+        pieces = self.pieces
+        tokens = pieces.tokens(stretch)
+        try:
+            found = b"".join([pieces.packed[t] for t in tokens]), "".join([pieces.plain[t] for t in tokens])
+        except KeyError:  # bytes stand for a letter
+            ids = pieces.encode(stretch)
+            found = np.array(ids, "<u4").tobytes(), pieces.spell(ids)
+        self[stretch] = found
         return found
 
     def trim(self) -> None:
