@@ -1,16 +1,20 @@
 """Streaming twins of the running totals, each next to its batch form.
 
-A stream keeps the events themselves, projected to the columns its figures need, one folder for
-each micro-batch: a batch that is run again after a failure replaces what it wrote. Repeats are
-removed by the events' keys on reading, so neither replays nor files that arrive late or in
-another order change a figure, and nothing is dropped for its age. No state is held between
-batches; ``compact`` bounds the number of files.
+Figures that are read often are kept in ledgers (``ledger.py``) and the audit log in chains
+(``chain.py``): a micro-batch touches the buckets its keys fall into, and reading opens no event.
+The plain event store below keeps the events themselves, one folder for each micro-batch, for
+whoever asks another question later: a batch that is run again after a failure replaces what it
+wrote, repeats are removed by the events' keys on reading, and ``compact`` bounds the number of
+files. In both, neither replays nor files that arrive late or in another order change a figure,
+and nothing is dropped for its age.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -18,6 +22,8 @@ from plateflow.functions.exact import ratio
 from plateflow.functions.ordering import add_previous, asc
 from plateflow.model import Marketplace, tier_for
 from plateflow.session import shared_dir
+from plateflow.streaming.ledger import Ledger
+from plateflow.streaming.state import delete
 
 DELAY = "10 minutes"
 
@@ -27,6 +33,16 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/plateflow-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def passing_workspace(spark: SparkSession) -> Iterator[str]:
+    """A workspace that is deleted when the block ends; ``cut`` what is to outlive it."""
+    base = workspace(spark)
+    try:
+        yield base
+    finally:
+        delete(spark, base)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """New Parquet files as a stream: those of a folder, or the one at ``path``; ``max_files`` bounds a micro-batch."""
     # A pattern may name a folder or a file; a plain path must be a folder.
@@ -101,6 +117,28 @@ def batch_totals(changes: DataFrame, key: str, amount: str) -> DataFrame:
     return totals(_one_per_key(deliveries_of(changes, key, amount), ["order_id"]), key, amount)
 
 
+def _shape(*columns: tuple[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in columns)
+
+
+def totals_ledger(key: str, amount: str) -> Ledger:
+    """Delivered orders (or trips): count, sum and last time per ``key``; the first delivery of an order counts."""
+    return Ledger(_shape(("order_id", "long"), ("changed_at", "timestamp_ntz"), (key, "long"), (amount, "decimal(10,2)")),
+                  ("order_id",), key, {"total": amount}, latest="changed_at")
+
+
+def fold_totals(changes: DataFrame, key: str, amount: str, path: str, checkpoint: str) -> None:
+    """Take a change feed into a ledger of totals."""
+    fold = totals_ledger(key, amount).consumer(path)
+    run_available(deliveries_of(changes, key, amount), fold, checkpoint)
+
+
+def ledger_totals(spark: SparkSession, key: str, amount: str, path: str) -> DataFrame:
+    """What ``totals`` gives, from a ledger's figures."""
+    return totals_ledger(key, amount).figures(spark, path).select(
+        key, "n", F.col("total").cast("decimal(24,2)").alias("total"), F.col("latest").alias("last"))
+
+
 def customer_totals(sums: DataFrame) -> DataFrame:
     return sums.select("customer_id", F.col("n").alias("total_orders"), F.col("total").alias("total_spent"),
                        F.col("last").alias("last_order_date"), tier_for(F.col("total")).alias("customer_tier"))
@@ -124,9 +162,21 @@ def stream_promotion_usage(changes: DataFrame, path: str, checkpoint: str) -> No
     keep_events(placed_with_promotion(changes), path, checkpoint, "order_id")
 
 
+USES = Ledger("order_id long, changed_at timestamp_ntz, promotion_id long", ("order_id",), "promotion_id")
+
+
+def fold_promotion_usage(changes: DataFrame, path: str, checkpoint: str) -> None:
+    run_available(placed_with_promotion(changes), USES.consumer(path), checkpoint)
+
+
 def promotion_usage(uses: DataFrame, promotions: DataFrame) -> DataFrame:
     """Promotions with their uses; used-up ones are closed."""
-    counted = uses.groupBy("promotion_id").agg(F.count(F.lit(1)).alias("_n"))
+    return with_usage(promotions, uses.groupBy("promotion_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def with_usage(promotions: DataFrame, counted: DataFrame) -> DataFrame:
+    """Promotions with the counts (promotion_id, n) of their uses; used-up ones are closed."""
+    counted = counted.withColumnRenamed("n", "_n")
     n = F.coalesce("_n", F.lit(0)).cast("long")
     open_ = F.col("is_active") & (F.col("max_uses").isNull() | (n < F.col("max_uses")))
     return promotions.join(counted, "promotion_id", "left").select(
@@ -145,12 +195,28 @@ def stream_ratings(feed: DataFrame, key: str, path: str, checkpoint: str) -> Non
 
 
 def ratings(feed: DataFrame, key: str) -> DataFrame:
-    """Ratings per ``key``, from the last version of every entry."""
-    last = feed.groupBy("entry_id", key).agg(F.max_by("rating", "version").alias("rating"))
+    """Ratings per ``key``, from the last version of every entry; one that moved to another key left its first."""
+    last = feed.groupBy("entry_id").agg(F.max(F.struct("version", key, "rating")).alias("_v")).select("_v.*")
     return last.filter(F.col(key).isNotNull()).groupBy(key).agg(
         ratio(F.sum("rating"), F.count("rating"), 2).alias("rating"), F.count(F.lit(1)).alias("total_ratings"))
 
 
+def ratings_ledger(key: str) -> Ledger:
+    """Ratings per ``key``: an entry's old rating goes out as its new one comes in."""
+    return Ledger(_shape(("entry_id", "long"), ("version", "int"), (key, "long"), ("rating", "int")), ("entry_id",), key,
+                  {"stars": "rating", "rated": "if(rating is null, 0, 1)"}, newest=("version",))
+
+
+def fold_ratings(feed: DataFrame, key: str, path: str, checkpoint: str) -> None:
+    run_available(feed.select("entry_id", "version", key, "rating"), ratings_ledger(key).consumer(path), checkpoint)
+
+
+def ledger_ratings(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """What ``ratings`` gives, from a ledger's figures."""
+    return ratings_ledger(key).figures(spark, path).select(
+        key, ratio(F.col("stars"), F.col("rated"), 2).alias("rating"), F.col("n").alias("total_ratings"))
+
+
 # ---- audit log -----------------------------------------------------------------------
 
 def stream_status(events: DataFrame, path: str, checkpoint: str) -> None:
@@ -179,6 +245,21 @@ def live_monitor(events: DataFrame) -> DataFrame:
         "is_open", ~F.col("status").isin("Delivered", "Cancelled"))
 
 
+#: The newest status of every order, counted by status.
+NEWEST = Ledger("order_id long, changed_at timestamp, event_id long, status string", ("order_id",), "status",
+                newest=("changed_at", "event_id"))
+
+
+def fold_monitor(events: DataFrame, path: str, checkpoint: str) -> None:
+    run_available(events.select(*NEWEST.entry.names), NEWEST.consumer(path), checkpoint)
+
+
+def ledger_monitor(spark: SparkSession, path: str) -> DataFrame:
+    """What ``live_monitor`` gives, from a ledger's figures: one row for each status is read."""
+    return NEWEST.figures(spark, path).select(
+        "status", F.col("n").alias("orders"), (~F.col("status").isin("Delivered", "Cancelled")).alias("is_open"))
+
+
 def unassigned_orders(m: Marketplace) -> DataFrame:
     """Open orders without a delivery per zone, the longest waiting first."""
     from plateflow.operators.requests import waiting_orders
@@ -209,3 +290,44 @@ def closing_windows(events: DataFrame, width: str = "1 hour", slide: str | None
     newest = events.agg(F.max("changed_at").alias("_newest")).select(
         (F.col("_newest").cast("timestamp_ntz") - F.expr(f"interval {delay}")).alias("_until"))
     return demand_windows(events, width, slide).withColumn("is_closed", F.col("window_end") <= newest.scalar())
+
+
+@dataclass(frozen=True)
+class Demand:
+    """Demand in partial windows of ``slide``; a window of ``times`` slides adds up as many partials on reading."""
+
+    slide: str = "1 hour"
+    times: int = 1
+    delay: str = DELAY
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger("event_id long, changed_at timestamp, start timestamp, cents long, late int", ("event_id",), "start",
+                      {"cents": "cents", "late": "late"}, latest="changed_at")
+
+    def fold(self, events: DataFrame, path: str, checkpoint: str) -> None:
+        """Take events (event_id, changed_at, cents); those that come after their partial was closed count and are marked late."""
+        spark = events.sparkSession
+
+        def each(batch: DataFrame, number: int) -> None:
+            newest = self.ledger.figures(spark, path).agg(F.max("latest").alias("_newest"))
+            window = F.window("changed_at", self.slide)
+            closed = newest.select(F.col("_newest") - F.expr(f"interval {self.delay}")).scalar()
+            rows = batch.select("event_id", "changed_at", window["start"].alias("start"), "cents",
+                                F.coalesce((window["end"] <= closed).cast("int"), F.lit(0)).alias("late"))
+            self.ledger.fold(rows, number, path)
+
+        run_available(events.select("event_id", "changed_at", "cents"), each, checkpoint)
+
+    def windows(self, spark: SparkSession, path: str) -> DataFrame:
+        """window_start, window_end, events, cents, is_closed and late (events that came after their partial was closed)."""
+        partials = self.ledger.figures(spark, path)
+        step = F.expr(f"interval {self.slide}")
+        starts = F.transform(F.sequence(F.lit(0), F.lit(self.times - 1)), lambda i: F.col("start") - step * i)
+        spread = partials.select(F.explode(starts).alias("window_start"), "n", "cents", "late")
+        newest = partials.agg((F.max("latest").cast("timestamp_ntz") - F.expr(f"interval {self.delay}")).alias("_until"))
+        end = (F.col("window_start") + step * F.lit(self.times)).cast("timestamp_ntz")
+        return spread.groupBy("window_start").agg(
+            F.sum("n").alias("events"), F.sum("cents").alias("cents"), F.sum("late").alias("late")).select(
+            F.col("window_start").cast("timestamp_ntz").alias("window_start"), end.alias("window_end"), "events", "cents",
+            "late").withColumn("is_closed", F.col("window_end") <= newest.scalar())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from plateflow.model import Marketplace
-from plateflow.streaming import maintain as keep
+from plateflow.session import cut
+from plateflow.streaming import chain, maintain as keep
 
 # Event types read as order states.
 STATES = {"signup": "Placed", "view": "Confirmed", "click": "Preparing", "purchase": "Delivered", "error": "Cancelled"}
@@ -55,18 +58,19 @@ def trip_rating_feed(m: Marketplace) -> DataFrame:
     return _feed(rows, "partner_id", F.lit(None).cast("int"), F.col("delivery_rating"))
 
 
-def _replayed(m: Marketplace, feed: DataFrame) -> tuple[DataFrame, str]:
-    """The feed as a file stream and a folder for the run: every change comes twice, in three files
-    without any order, and each file is a micro-batch of its own."""
-    base = keep.workspace(m.spark)
-    feed.unionByName(feed).repartition(3).write.parquet(f"{base}/in")
-    return keep.file_stream(m.spark, f"{base}/in", feed.schema, max_files=1), base
+def _replayed(m: Marketplace, feed: DataFrame, take: Callable[[DataFrame, str, str], None],
+              read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` finds after ``take`` got the feed as a file stream: every change comes twice, in three
+    files without any order, and each file is a micro-batch of its own. The stream's folder is deleted."""
+    with keep.passing_workspace(m.spark) as base:
+        feed.unionByName(feed).repartition(3).write.parquet(f"{base}/in")
+        take(keep.file_stream(m.spark, f"{base}/in", feed.schema, max_files=1), f"{base}/state", f"{base}/cp")
+        return cut(read(f"{base}/state"))
 
 
 def _stream_totals(m: Marketplace, changes: DataFrame, key: str, amount: str) -> DataFrame:
-    stream, base = _replayed(m, changes)
-    keep.stream_totals(stream, key, amount, f"{base}/out", f"{base}/cp")
-    return keep.totals(keep.read_events(m.spark, f"{base}/out", "order_id"), key, amount)
+    return _replayed(m, changes, lambda s, path, cp: keep.fold_totals(s, key, amount, path, cp),
+                     lambda path: keep.ledger_totals(m.spark, key, amount, path))
 
 
 def stream_customer_totals(m: Marketplace, as_of=None) -> DataFrame:
@@ -82,16 +86,14 @@ def stream_partner_totals(m: Marketplace, as_of=None) -> DataFrame:
 
 
 def stream_promotion_usage(m: Marketplace, as_of=None) -> DataFrame:
-    stream, base = _replayed(m, order_changes(m))
-    keep.stream_promotion_usage(stream, f"{base}/out", f"{base}/cp")
     seeds = m.promotions("promotion_id", "promo_code", "max_uses").withColumn("is_active", F.lit(True))
-    return keep.promotion_usage(keep.read_events(m.spark, f"{base}/out", "order_id"), seeds)
+    return _replayed(m, order_changes(m), keep.fold_promotion_usage,
+                     lambda path: keep.with_usage(seeds, keep.USES.figures(m.spark, path)))
 
 
 def _stream_ratings(m: Marketplace, feed: DataFrame, key: str) -> DataFrame:
-    stream, base = _replayed(m, feed)
-    keep.stream_ratings(stream, key, f"{base}/out", f"{base}/cp")
-    return keep.ratings(keep.read_events(m.spark, f"{base}/out", "entry_id", "version"), key)
+    return _replayed(m, feed, lambda s, path, cp: keep.fold_ratings(s, key, path, cp),
+                     lambda path: keep.ledger_ratings(m.spark, key, path))
 
 
 def stream_restaurant_ratings(m: Marketplace, as_of=None) -> DataFrame:
@@ -127,18 +129,15 @@ def batch_partner_ratings(m: Marketplace, as_of=None) -> DataFrame:
     return keep.ratings(trip_rating_feed(m), "partner_id").drop("total_ratings")
 
 
-def _kept_status(m: Marketplace, replayed: bool) -> DataFrame:
-    """The status events as a stream has kept them: from the table, or replayed in pieces without order."""
-    if replayed:
-        stream, base = _replayed(m, status_events(m.source.raw("events")))
-    else:
-        stream, base = event_stream(m), keep.workspace(m.spark)
-    keep.stream_status(stream, f"{base}/out", f"{base}/cp")
-    return keep.read_events(m.spark, f"{base}/out", "event_id")
+def _audit(m: Marketplace) -> DataFrame:
+    def take(stream: DataFrame, path: str, checkpoint: str) -> None:
+        keep.run_available(stream, lambda batch, number: chain.fold(batch, number, path), checkpoint)
+
+    return _replayed(m, status_events(m.source.raw("events")), take, lambda path: chain.read_log(m.spark, path))
 
 
 def stream_audit_log(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.audit_log(_kept_status(m, replayed=True))
+    return _audit(m)
 
 
 def batch_audit_log(m: Marketplace, as_of=None) -> DataFrame:
@@ -146,7 +145,7 @@ def batch_audit_log(m: Marketplace, as_of=None) -> DataFrame:
 
 
 def stream_first_status(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.first_status(keep.audit_log(_kept_status(m, replayed=True)))
+    return keep.first_status(_audit(m))
 
 
 def batch_first_status(m: Marketplace, as_of=None) -> DataFrame:
@@ -154,7 +153,9 @@ def batch_first_status(m: Marketplace, as_of=None) -> DataFrame:
 
 
 def stream_live_monitor(m: Marketplace, as_of=None) -> DataFrame:
-    return keep.live_monitor(_kept_status(m, replayed=False))
+    with keep.passing_workspace(m.spark) as base:
+        keep.fold_monitor(event_stream(m), f"{base}/state", f"{base}/cp")
+        return cut(keep.ledger_monitor(m.spark, f"{base}/state"))
 
 
 def batch_live_monitor(m: Marketplace, as_of=None) -> DataFrame:
@@ -165,18 +166,17 @@ def unassigned_orders(m: Marketplace, as_of=None) -> DataFrame:
     return keep.unassigned_orders(m)
 
 
-def _windows(m: Marketplace, width: str, slide: str | None, delay: str) -> DataFrame:
-    stream, base = _replayed(m, status_events(m.source.raw("events")))
-    keep.stream_demand(stream, f"{base}/out", f"{base}/cp")
-    return keep.closing_windows(keep.read_events(m.spark, f"{base}/out", "event_id"), width, slide, delay)
+def _windows(m: Marketplace, demand: keep.Demand) -> DataFrame:
+    feed = status_events(m.source.raw("events"))
+    return _replayed(m, feed, demand.fold, lambda path: demand.windows(m.spark, path)).drop("late")
 
 
 def stream_hourly_demand(m: Marketplace, as_of=None, delay: str = keep.DELAY) -> DataFrame:
-    return _windows(m, "1 hour", None, delay)
+    return _windows(m, keep.Demand(delay=delay))
 
 
 def stream_smoothed_demand(m: Marketplace, as_of=None, delay: str = keep.DELAY) -> DataFrame:
-    return _windows(m, "3 hours", "1 hour", delay)
+    return _windows(m, keep.Demand(times=3, delay=delay))
 
 
 def batch_hourly_demand(m: Marketplace, as_of=None) -> DataFrame:
