@@ -22,10 +22,18 @@ r1 AS (SELECT *, coalesce(asked, paid) AS ref, min(CASE WHEN coalesce(asked, pai
 rr_ AS (SELECT *, CASE WHEN paid IS NULL OR (at_, id)>win THEN 'No completed payment for order '||oid WHEN ref>paid THEN 'Refund amount ('||printf('%d.%02d', ref//100, ref%100)||') exceeds paid amount ('||printf('%d.%02d', paid//100, paid%100)||')' END AS msg FROM r1)"""
 DONE = EV + """, kq AS (SELECT *, CASE WHEN et<>'view' THEN (vc+50)//100 END AS km FROM ev),
 lq AS (SELECT *, arg_max(km, (at_, id)) FILTER (km IS NOT NULL) OVER (PARTITION BY oid) AS given FROM kq QUALIFY row_number() OVER (PARTITION BY oid ORDER BY at_ DESC, id DESC)=1)"""
-ASSIGN = """, wt AS (SELECT oid, ts, zid, zid//10 AS city_id FROM ord WHERE st='On The Way' AND oid NOT IN (SELECT oid FROM dl)), fp AS (SELECT * FROM prt WHERE is_active AND current_status='Available'),
-a1 AS (SELECT oid, partner_id FROM (SELECT *, row_number() OVER (PARTITION BY zid ORDER BY ts, oid) AS k FROM wt) w JOIN (SELECT partner_id, zone_id, row_number() OVER (PARTITION BY zone_id ORDER BY total_deliveries DESC, rating_c DESC, partner_id) AS k FROM fp WHERE bg_verification) p ON zone_id=zid AND p.k=w.k),
-a2 AS (SELECT oid, partner_id FROM (SELECT *, row_number() OVER (PARTITION BY city_id ORDER BY ts, oid) AS k FROM wt WHERE oid NOT IN (SELECT oid FROM a1)) w JOIN (SELECT partner_id, city_id, row_number() OVER (PARTITION BY city_id ORDER BY partner_id) AS k FROM fp WHERE partner_id NOT IN (SELECT partner_id FROM a1)) p ON p.city_id=w.city_id AND p.k=w.k),
-aa AS (SELECT *, 'zone' AS matched_by FROM a1 UNION ALL SELECT *, 'city' FROM a2)"""
+ASSIGN = """, wt AS (SELECT oid, ts, zid, zid//10 AS city_id, row_number() OVER (PARTITION BY zid//10 ORDER BY ts, oid) AS k FROM ord WHERE st='On The Way' AND oid NOT IN (SELECT oid FROM dl)),
+fp AS (SELECT * FROM prt WHERE is_active AND current_status='Available'),
+wish AS (SELECT w.city_id, k, oid, partner_id, zone_id=zid AND bg_verification AS near,
+ CASE WHEN zone_id=zid AND bg_verification THEN {'a': 0, 'b': -total_deliveries, 'c': -rating_c, 'd': partner_id} ELSE {'a': 1, 'b': 0, 'c': 0, 'd': partner_id} END AS pref FROM wt w JOIN fp p ON p.city_id=w.city_id),
+turns AS (WITH RECURSIVE r(city_id, k, oid, pick, taken) AS (
+ SELECT DISTINCT city_id, 0::BIGINT, NULL::BIGINT, {'p': NULL::BIGINT, 'near': NULL::BOOLEAN}, []::BIGINT[] FROM wt
+ UNION ALL
+ SELECT city_id, k, oid, pick, list_append(taken, pick.p) FROM (
+  SELECT r.city_id, w.k, w.oid, r.taken, arg_min({'p': w.partner_id, 'near': w.near}, w.pref) AS pick
+  FROM r JOIN wish w ON w.city_id=r.city_id AND w.k=r.k+1 AND NOT list_contains(r.taken, w.partner_id) GROUP BY ALL))
+ SELECT * FROM r),
+aa AS (SELECT oid, pick.p AS partner_id, CASE WHEN pick.near THEN 'zone' ELSE 'city' END AS matched_by FROM turns WHERE k>0)"""
 
 SQL = {
     "x3_placed_orders": CART + f""" SELECT oid AS order_id, cid AS customer_id, rid AS restaurant_id, cid AS address_id, zone_id, p AS promotion_id, ts AS order_timestamp, 'Placed' AS order_status, channel AS order_channel, {money('sub')} AS subtotal_amount,

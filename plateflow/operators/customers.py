@@ -10,6 +10,7 @@ from plateflow.functions.bands import band
 from plateflow.functions.dates import days_before, month_label
 from plateflow.functions.exact import count_where, half_up, mean, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
+from plateflow.functions.tiles import Tiles, add_tiles
 from plateflow.model import Marketplace
 from plateflow.operators.common import cohort_counts, delivered, everything, is_cancelled
 from plateflow.operators.views import customer_rfm, percent_rank
@@ -227,7 +228,7 @@ def spending_quintiles(m: Marketplace, as_of: date | None = None, n: int = 5) ->
     """Customers in ``n`` equal groups by spend."""
     spend = delivered(m, "customer_id", "total_amount").groupBy("customer_id").agg(
         F.sum("total_amount").alias("_spent"))
-    tiles = add_orders(spend, ["customer_id"], Want((asc("_spent"),), tiles=("quintile", n)))
+    tiles = add_tiles(spend, "customer_id", Tiles(asc("_spent"), "quintile", n))
     return tiles.groupBy("quintile").agg(
         F.count(F.lit(1)).alias("customers"), F.min("_spent").alias("min_spend"), F.max("_spent").alias("max_spend"),
         mean(F.col("_spent"), 2, 2).alias("avg_spend"), F.sum("_spent").alias("total_revenue"))
@@ -235,8 +236,7 @@ def spending_quintiles(m: Marketplace, as_of: date | None = None, n: int = 5) ->
 
 def value_quintiles(m: Marketplace, as_of: date, n: int = 5, horizon: int = 12) -> DataFrame:
     """Customers in ``n`` equal groups by value, best first, with a projection per group."""
-    tiles = add_orders(customer_value(m, as_of), ["customer_id"],
-                       Want((desc("historical_ltv"),), tiles=("ltv_quintile", n)))
+    tiles = add_tiles(customer_value(m, as_of), "customer_id", Tiles(desc("historical_ltv"), "ltv_quintile", n))
     pace, aov = F.col("orders_per_month"), F.col("avg_order_value")
     wide = "decimal(38,2)"
     rows = tiles.groupBy("ltv_quintile").agg(

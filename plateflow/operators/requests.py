@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateflow.functions.ordering import Want, add_orders, asc, desc
@@ -214,42 +215,60 @@ def waiting_orders(m: Marketplace) -> DataFrame:
     return open_.join(m.deliveries("order_id"), "order_id", "left_anti")
 
 
+PAIRS = "order_id long, partner_id long, matched_by string"
+
+
+def _first_come(orders: pd.DataFrame, partners: pd.DataFrame) -> pd.DataFrame:
+    """One city: each order in turn takes the best partner of its zone that is left, else the first one of the city."""
+    partners = partners.sort_values("_choice")
+    lines = {zone: iter(rows["partner_id"].tolist()) for zone, rows in partners[partners["_in_zone"]].groupby("zone_id")}
+    anyone = iter(sorted(partners["partner_id"].tolist()))
+    taken, pairs = set(), []
+    for order, zone in orders.sort_values("_k")[["order_id", "zone_id"]].itertuples(index=False):
+        found, by = next((p for p in lines.get(zone, ()) if p not in taken), None), "zone"
+        if found is None:
+            found, by = next((p for p in anyone if p not in taken), None), "city"
+        if found is not None:
+            taken.add(found)
+            pairs.append((order, found, by))
+    return pd.DataFrame(pairs, columns=["order_id", "partner_id", "matched_by"])
+
+
 def assign_partners(m: Marketplace, orders: DataFrame) -> Assigned:
-    """Give waiting orders to available partners.
+    """Give waiting orders to available partners, one by one in the order of (order_timestamp, order_id).
+
+    An order takes the best free partner of its zone (verified; most deliveries, then best rating,
+    then number), else the free partner of its city with the smallest number; an earlier order may
+    so take a partner that a later order of that partner's zone would have got. Assigned orders are
+    confirmed and their partners on delivery; the others are rejected.
 
-    Inside a zone the k-th waiting order gets the k-th partner (verified; most deliveries,
-    then best rating). Orders left over take any available partner of the city, in the
-    same k-th to k-th manner; orders beyond that are rejected. All zones are served before any
-    city is: one by one, an earlier order could have taken a partner of a zone that a later order
-    of that zone gets here. Assigned orders are confirmed and their partners on delivery.
+    Every order of a city that finds anyone takes one partner of that city, so a city with p free
+    partners serves exactly its first p orders. Orders are numbered over all tasks, those beyond
+    are rejected at once, and a city's turn is played on at most p orders and p partners.
     """
     free = m.delivery_partners("partner_id", "partner_name", "zone_id", "is_active", "current_status",
                                "bg_verification", "total_deliveries", "rating").filter(
         F.col("is_active") & (F.col("current_status") == "Available"))
     zones = m.zones("zone_id", "city_id", "avg_delivery_time_mins")
     ranked = add_orders(
-        free.filter("bg_verification").select("zone_id", "partner_id", "partner_name", "total_deliveries", "rating"), ["partner_id"],
-        Want((desc("total_deliveries"), desc("rating")), partition=("zone_id",), row_number="_k"),
-    ).select("zone_id", "partner_id", "partner_name", "_k")
-    queue = add_orders(orders.select("order_id", "order_timestamp", "zone_id"), ["order_id"],
-                       Want((asc("order_timestamp"),), partition=("zone_id",), row_number="_k"))
-    first = queue.join(ranked, ["zone_id", "_k"], "left").drop("_k")
-    in_zone = first.filter("partner_id is not null").withColumn("matched_by", F.lit("zone"))
-
-    rest = first.filter("partner_id is null").select("order_id", "order_timestamp", "zone_id").join(
-        zones.select("zone_id", "city_id"), "zone_id", "left")
-    spare = free.join(in_zone.select("partner_id"), "partner_id", "left_anti").join(
-        zones.select("zone_id", "city_id"), "zone_id").select("city_id", "partner_id", "partner_name")
-    spare = add_orders(spare, ["partner_id"], Want((), partition=("city_id",), row_number="_k"))
-    again = add_orders(rest, ["order_id"],
-                       Want((asc("order_timestamp"),), partition=("city_id",), row_number="_k"))
-    second = again.join(spare, ["city_id", "_k"], "left").drop("_k", "city_id")
-    in_city = second.filter("partner_id is not null").withColumn("matched_by", F.lit("city"))
-    rejects = second.filter("partner_id is null").select(
+        free.join(zones.select("zone_id", "city_id"), "zone_id").filter("city_id is not null"), ["partner_id"],
+        Want((desc("total_deliveries"), desc("rating")), partition=("city_id",), row_number="_choice"))
+    seats = ranked.groupBy("city_id").agg(F.count(F.lit(1)).alias("_seats"))
+    queue = orders.select("order_id", "order_timestamp", "zone_id").join(zones.select("zone_id", "city_id"), "zone_id", "left")
+    queue = add_orders(queue, ["order_id"], Want((asc("order_timestamp"),), partition=("city_id",), row_number="_k"))
+    queue = queue.join(seats, "city_id", "left")
+    served = F.coalesce(F.col("_k") <= F.col("_seats"), F.lit(False))
+    turn = queue.filter(served)
+    asking = turn.select(F.col("city_id").alias("asking"), "order_id", "zone_id", "_k")
+    offered = ranked.select(F.col("city_id").alias("offered"), "partner_id", "zone_id", "_choice",
+                            F.coalesce("bg_verification", F.lit(False)).alias("_in_zone"))
+    pairs = asking.groupBy("asking").cogroup(offered.groupBy("offered")).applyInPandas(_first_come, PAIRS)
+    rejects = queue.filter(~served).select(
         "order_id", F.lit(NO_PARTNER).alias("error_code"),
         F.concat(F.lit("No available delivery partners for order "), F.col("order_id").cast("string")).alias("message"))
     mins = F.col("avg_delivery_time_mins")
-    done = in_zone.unionByName(in_city).join(zones.drop("city_id"), "zone_id", "left").select(
+    done = pairs.join(turn.select("order_id", "order_timestamp", "zone_id"), "order_id").join(
+        ranked.select("partner_id", "partner_name"), "partner_id").join(zones.drop("city_id"), "zone_id", "left").select(
         "order_id", "partner_id", "partner_name", "matched_by", F.col("order_timestamp").alias("assigned_at"),
         mins.alias("expected_time_mins"),
         (F.col("order_timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), mins)).alias("expected_delivery_time"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from plateflow.functions.dates import day_label, day_name, sunday_zero
 from plateflow.functions.exact import count_where, mean, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
+from plateflow.functions.tiles import Tiles, add_tiles
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, distinct, everything, is_cancelled, is_delivered
 
@@ -216,12 +217,9 @@ def customer_rfm(m: Marketplace, as_of: date, bands: int = 5, dictionary: bool =
         F.count("order_id").alias("frequency"),
         F.sum("total_amount").alias("monetary"),
     ).withColumn("recency_days", F.datediff(F.lit(as_of), F.col("_last"))).drop("_last")
-    scored = add_orders(
-        base, ["customer_id"],
-        Want((desc("recency_days"),), tiles=("r_score", bands)),
-        Want((asc("frequency"),), tiles=("f_score", bands)),
-        Want((asc("monetary"),), tiles=("m_score", bands)),
-    )
+    scored = add_tiles(
+        base, "customer_id", Tiles(desc("recency_days"), "r_score", bands), Tiles(asc("frequency"), "f_score", bands),
+        Tiles(asc("monetary"), "m_score", bands))
     return scored.join(m.customers("customer_id", "customer_name", "customer_tier"), "customer_id").select(
         "customer_id", "customer_name", "customer_tier", "recency_days", "frequency", "monetary", "r_score",
         "f_score", "m_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_total"),

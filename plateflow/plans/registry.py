@@ -235,13 +235,15 @@ QUERIES: dict[str, Query] = {
     "t9_smoothed_demand_stream": feeds.stream_smoothed_demand,
     # loading, storing, refreshing, reporting
     "s1_csv_round_trip": stored.csv_round_trip,
-    "s11_inserted_customers": stored.inserted_customers,
+    "s10_inserted_customers": stored.inserted_customers,
+    "s11_filled_zones": stored.filled_zones,
     "s12_table_sizes": stored.table_sizes,
     "s15_report_run": stored.report_run,
     "s16_order_store": stored.order_store,
     "s18_refreshed_views": stored.refreshed_views,
     "s19_after_load": stored.after_load,
     "f21_name_search": stored.name_search,
+    "f21_indexed_search": stored.indexed_search,
     "g1_global_order": stored.global_order,
     "t3_first_status": feeds.batch_first_status,
     "t3_first_status_stream": feeds.stream_first_status,

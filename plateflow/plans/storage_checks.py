@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import month_of
 from plateflow.functions.ordering import Want, add_orders, desc
-from plateflow.functions.text import search_names
+from plateflow.functions.text import search_index, search_names, write_name_index
 from plateflow.model import TABLES, Marketplace
 from plateflow.operators.common import delivered
 from plateflow.sources.csv_tables import load_csv
-from plateflow.sources.seeds import insert_missing, row_counts
+from plateflow.sources.seeds import fill_zones, insert_missing, row_counts
 from plateflow.sources.store import open_store, write_store
-from plateflow.streaming.maintain import workspace
+from plateflow.session import cut
+from plateflow.streaming.maintain import passing_workspace
 
 # Columns of the generated files, per table.
 CSV_COLUMNS = {
@@ -48,9 +49,12 @@ def write_csv_tables(m: Marketplace, path: str) -> None:
 
 def csv_round_trip(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Write all tables as CSV, load them with their types, and summarise what arrived."""
-    path = workspace(m.spark)
-    write_csv_tables(m, path)
-    loaded = load_csv(m.spark, path)
+    with passing_workspace(m.spark) as path:
+        write_csv_tables(m, path)
+        return cut(_loaded(load_csv(m.spark, path)))
+
+
+def _loaded(loaded: Marketplace) -> DataFrame:
     figures = {
         "restaurants": F.sum("rating"), "menu_items": F.sum("price"), "customers": F.sum("city_id"),
         "delivery_partners": F.sum("rating"), "orders": F.sum("total_amount"), "order_items": F.sum("item_total"),
@@ -66,11 +70,11 @@ def csv_round_trip(m: Marketplace, as_of: date | None = None) -> DataFrame:
 
 def order_store(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Orders written by month and read back."""
-    path = workspace(m.spark)
-    write_store(m, path, ["orders"])
-    stored = open_store(m.spark, path, ["orders"])
-    return stored.orders("order_date", "total_amount").groupBy(month_of(F.col("order_date")).alias("month")).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("total_amount"))
+    with passing_workspace(m.spark) as path:
+        write_store(m, path, ["orders"])
+        stored = open_store(m.spark, path, ["orders"])
+        return cut(stored.orders("order_date", "total_amount").groupBy(month_of(F.col("order_date")).alias("month")).agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("total_amount")))
 
 
 def table_sizes(m: Marketplace, as_of: date | None = None) -> DataFrame:
@@ -86,15 +90,15 @@ def refreshed_views(m: Marketplace, as_of: date, names: Iterable[str] | None = N
     """Refresh views (all by default) and report what the stored copies hold: rows, and the sum of a figure."""
     from plateflow.plans.refresh import attach_views, refresh
 
-    path = workspace(m.spark)
-    done = refresh(m, as_of, path, names)
-    stored = attach_views(m.detached(), path).stored
-    out = None
-    for name in done:
-        one = stored[name][1].agg(F.count(F.lit(1)).alias("rows"), F.sum(FIGURES[name]).cast("long").alias("figure"))
-        one = one.select(F.lit(name).alias("view"), "rows", "figure")
-        out = one if out is None else out.unionByName(one)
-    return out
+    with passing_workspace(m.spark) as path:
+        done = refresh(m, as_of, path, names)
+        stored = attach_views(m.detached(), path).stored
+        out = None
+        for name in done:
+            one = stored[name][1].agg(F.count(F.lit(1)).alias("rows"), F.sum(FIGURES[name]).cast("long").alias("figure"))
+            one = one.select(F.lit(name).alias("view"), "rows", "figure")
+            out = one if out is None else out.unionByName(one)
+        return cut(out)
 
 
 def after_load(m: Marketplace, as_of: date) -> DataFrame:
@@ -112,6 +116,16 @@ def inserted_customers(m: Marketplace, as_of: date | None = None) -> DataFrame:
         "customer_id", F.concat("customer_name", F.lit("!")).alias("customer_name"))
 
 
+def filled_zones(m: Marketplace, as_of: date | None = None, per_city: int = 10) -> DataFrame:
+    """Numbered zones of every city; orders per city say how much they will have to serve."""
+    load = m.orders("zone_id").join(m.zones("zone_id", "city_id"), "zone_id").groupBy("city_id").agg(
+        F.count(F.lit(1)).alias("orders_in_city"))
+    filled = fill_zones(m.cities("city_id", "city_name"), per_city)
+    return filled.join(load, "city_id", "left").select(
+        "zone_id", "city_id", "zone_name", "avg_delivery_time_mins", "is_active",
+        F.coalesce("orders_in_city", F.lit(0)).alias("orders_in_city"))
+
+
 REPORT_FIGURES = {"platform_kpis": "gmv", "peak_hours": "order_count", "top_restaurants": "gross_revenue",
                   "rfm_segments": "total_revenue", "delivery_performance": "total_deliveries", "churn_segments": "customers"}
 
@@ -120,18 +134,19 @@ def report_run(m: Marketplace, as_of: date) -> DataFrame:
     """Run the standard report and summarise the files it wrote."""
     from plateflow.plans.runner import run_report
 
-    path = workspace(m.spark)
-    report = run_report(m, as_of, path)
-    out = None
-    for name, result in report["results"].items():
-        if "error" in result:
-            raise RuntimeError(f"{name}: {result['error']}")
-        written = m.spark.read.option("header", True).csv(f"{path}/{name}")
-        # The figure comes from the file, and the count the report states must be the file's.
-        one = written.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(REPORT_FIGURES[name]).cast("decimal(18,2)")).cast("decimal(20,2)").alias("figure"))
-        one = one.select(F.lit(name).alias("query"), "rows", (F.col("rows") == result["rows"]).alias("as_stated"), "figure")
-        out = one if out is None else out.unionByName(one)
-    return out
+    with passing_workspace(m.spark) as path:
+        report = run_report(m, as_of, path)
+        out = None
+        for name, result in report["results"].items():
+            if "error" in result:
+                raise RuntimeError(f"{name}: {result['error']}")
+            written = m.spark.read.option("header", True).csv(f"{path}/{name}")
+            # The figure comes from the file, and the count the report states must be the file's.
+            figure = F.sum(F.col(REPORT_FIGURES[name]).cast("decimal(18,2)")).cast("decimal(20,2)").alias("figure")
+            one = written.agg(F.count(F.lit(1)).alias("rows"), figure)
+            one = one.select(F.lit(name).alias("query"), "rows", (F.col("rows") == result["rows"]).alias("as_stated"), "figure")
+            out = one if out is None else out.unionByName(one)
+        return cut(out)
 
 
 def name_search(m: Marketplace, as_of: date | None = None, query: str = "blue rings") -> DataFrame:
@@ -140,6 +155,18 @@ def name_search(m: Marketplace, as_of: date | None = None, query: str = "blue ri
     return search_names(names, "item_name", query)
 
 
+#: Misspelt names looked for together.
+SEARCHES = ("blue rings", "gren froste", "smoke almnd linen", "x", "")
+
+
+def indexed_search(m: Marketplace, as_of: date | None = None, searches: tuple[str, ...] = SEARCHES) -> DataFrame:
+    """Menu item names close to any of several misspelt ones, by a stored index."""
+    queries = m.spark.createDataFrame(list(enumerate(searches)), "query_id int, query string")
+    with passing_workspace(m.spark) as path:
+        write_name_index(m.menu_items("item_name"), "item_name", path)
+        return cut(search_index(m.spark, path, queries))
+
+
 def global_order(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """All rankings of customers by spend."""
     spend = delivered(m, "customer_id", "total_amount").groupBy("customer_id").agg(

@@ -46,13 +46,15 @@ def cities(spark: SparkSession) -> DataFrame:
     return table_of(spark, rows, TABLES["cities"].schema)
 
 
-def zones(spark: SparkSession, per_city: int = 10) -> DataFrame:
-    """Named areas where known; the other cities get numbered zones with 20 + 2z target minutes."""
-    named = [(name, z, f" - {area}", mins) for name, areas in AREAS.items() for z, (area, mins) in enumerate(areas, 1)]
-    areas = table_of(spark, named, T.StructType.fromDDL("city_name string, z int, suffix string, mins int"))
-    grid = cities(spark).withColumn("z", F.explode(F.sequence(F.lit(1), F.lit(per_city))))
-    filled = grid.join(areas, ["city_name", "z"], "left")
-    return filled.select(
+def fill_zones(places: DataFrame, per_city: int = 10, named: DataFrame | None = None) -> DataFrame:
+    """``per_city`` numbered zones for each of ``places`` (city_id, city_name) with 20 + 2z target minutes; ``named``
+    (city_name, z, suffix, mins) overrides name and target where it has an entry."""
+    grid = places.select("city_id", "city_name", F.explode(F.sequence(F.lit(1), F.lit(per_city))).alias("z"))
+    if named is None:
+        grid = grid.withColumns({"suffix": F.lit(None).cast("string"), "mins": F.lit(None).cast("int")})
+    else:
+        grid = grid.join(named, ["city_name", "z"], "left")
+    return grid.select(
         ((F.col("city_id") - 1) * per_city + F.col("z")).alias("zone_id"),
         "city_id",
         F.concat("city_name", F.lit(" Zone "), F.col("z").cast("string"), F.coalesce("suffix", F.lit("")))
@@ -62,6 +64,13 @@ def zones(spark: SparkSession, per_city: int = 10) -> DataFrame:
     )
 
 
+def zones(spark: SparkSession, per_city: int = 10) -> DataFrame:
+    """Named areas where known; the other cities get numbered zones with 20 + 2z target minutes."""
+    named = [(name, z, f" - {area}", mins) for name, areas in AREAS.items() for z, (area, mins) in enumerate(areas, 1)]
+    areas = table_of(spark, named, T.StructType.fromDDL("city_name string, z int, suffix string, mins int"))
+    return fill_zones(cities(spark), per_city, areas)
+
+
 def promotions(spark: SparkSession) -> DataFrame:
     def money(x: int) -> Decimal:
         return Decimal(x).quantize(Decimal("0.01"))

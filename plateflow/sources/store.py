@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plateflow.model import TABLES, Marketplace, from_frames, with_month
+from plateflow.session import files
 
 
 def write_orders(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -22,29 +23,56 @@ def write_orders(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-#: Folders of the second layout of orders; a look-up reads one of them.
-CUSTOMER_BUCKETS = 64
+#: Rows of a folder of the second layout of orders, about; their number follows the volume.
+CUSTOMER_ROWS = 2_000_000
+FEWEST_FOLDERS, MOST_FOLDERS = 16, 4096
 
 
-def _bucket(customer_id: Column) -> Column:
-    return F.pmod(F.hash(customer_id.cast("long")), F.lit(CUSTOMER_BUCKETS))
+def _hidden_number(spark: SparkSession, path: str, value: int | None = None) -> int | None:
+    """A number kept beside data in a file that readers of the folder pass over; with a value, written."""
+    fs, make = files(spark, path)
+    target = make(f"{path}/_folders")
+    if value is not None:
+        out = fs.create(target, True)
+        out.write(bytearray(str(value), "utf-8"))
+        out.close()
+        return value
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return int(text)
 
 
 def write_customer_orders(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Orders by a hash of the customer, sorted by customer and time inside each file."""
+    """Orders by a hash of the customer. Rows are dealt by ranges of (folder, customer, time), so of a folder's files
+    each holds customers of its own, sorted, and a customer with very many orders is spread over several."""
+    spark = orders.sparkSession
+    folders = _hidden_number(spark, path) if mode == "append" else None
+    if folders is None:
+        folders = min(MOST_FOLDERS, max(FEWEST_FOLDERS, -(-orders.count() // CUSTOMER_ROWS)))
+    keys = ["customer_bucket", "customer_id", "order_timestamp"]
+    bucket = F.pmod(F.hash(F.col("customer_id").cast("long")), F.lit(folders))
     (
-        orders.withColumn("customer_bucket", _bucket(F.col("customer_id"))).hint("rebalance", "customer_bucket")
-        .sortWithinPartitions("customer_bucket", "customer_id", "order_timestamp")
+        orders.withColumn("customer_bucket", bucket).repartitionByRange(*keys).sortWithinPartitions(*keys)
         .write.mode(mode).partitionBy("customer_bucket").parquet(path)
     )
+    _hidden_number(spark, path, folders)
 
 
 def order_history(spark: SparkSession, path: str, customer_id: int, *columns: str) -> DataFrame:
-    """The orders of one customer: one folder of the store, and in it the row groups that may hold them."""
+    """The orders of one customer: one folder of the store is listed, and in it the row groups that may hold them are read."""
+    root = f"{path}/orders_by_customer"
     fields = [*TABLES["orders"].schema, T.StructField("customer_bucket", T.IntegerType())]
-    rows = spark.read.schema(T.StructType(fields)).parquet(f"{path}/orders_by_customer")
-    wanted = F.lit(customer_id).cast("long")
-    rows = rows.filter((F.col("customer_bucket") == _bucket(wanted)) & (F.col("customer_id") == wanted))
+    # The number that Spark's hash function gives for this customer.
+    hashed = spark._jvm.org.apache.spark.unsafe.hash.Murmur3_x86_32.hashLong(customer_id, 42)
+    bucket = hashed % (_hidden_number(spark, root) or FEWEST_FOLDERS)
+    fs, make = files(spark, root)
+    folder = f"{root}/customer_bucket={bucket}"
+    reader = spark.read.schema(T.StructType(fields)).option("basePath", root)
+    rows = reader.parquet(folder) if fs.exists(make(folder)) else spark.createDataFrame([], T.StructType(fields))
+    rows = rows.filter((F.col("customer_bucket") == bucket) & (F.col("customer_id") == F.lit(customer_id).cast("long")))
     return rows.select(*(columns or TABLES["orders"].names))
 
 

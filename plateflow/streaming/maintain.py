@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from plateflow.functions.exact import ratio
 from plateflow.functions.ordering import add_previous, asc
 from plateflow.model import Marketplace, tier_for
-from plateflow.session import shared_dir
+from plateflow.session import delete, shared_dir
 from plateflow.streaming.ledger import Ledger
-from plateflow.streaming.state import delete
 
 DELAY = "10 minutes"
 

@@ -12,21 +12,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from plateflow.session import files
+
 #: Batches of files a bucket may consist of before it is written anew as one.
 MOST_FILES = 16
 
 
-def files(spark: SparkSession, path: str):
-    """The file system of a path, and the class of its paths."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    return hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop.Path
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, make = files(spark, path)
-    fs.delete(make(path), True)
-
-
 def bucket_of(keys: tuple[str, ...] | list[str], buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
 
@@ -95,8 +86,9 @@ class Store:
                 fs.delete(make(f"{self.path}/manifests/{old.number}"), False)
 
     def write(self, table: str, number: int, rows: DataFrame) -> None:
-        """Rows with their ``bucket``, under a batch's number; a repeated run replaces what it wrote."""
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{table}/batch={number}")
+        """Rows with their ``bucket``, under a batch's number; a repeated run replaces what it wrote. The hint sizes the
+        files: small buckets have one each, a large one is split."""
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{table}/batch={number}")
 
     def read(self, table: str, schema: T.StructType, parts: list[tuple[int, int]]) -> DataFrame:
         """The rows of these files, with ``bucket``; nothing else is listed or opened."""

@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pytest
 
+from plateflow import session
 from plateflow.streaming import chain, ledger as ledgers, maintain as keep, state
 
 CHANGES = "order_id long, status string, changed_at timestamp_ntz, customer_id long, total_amount decimal(10,2)"
@@ -85,7 +86,7 @@ def test_reading_costs_the_keys_and_not_the_events(spark, tmp_path):
             ledger.fold(keep.deliveries_of(batch, "customer_id", "total_amount"), number, path)
         read = keep.ledger_totals(spark, "customer_id", "total_amount", path).inputFiles()
         assert read and all("/figures/" in f for f in read)
-        fs, make = state.files(spark, path)
+        fs, make = session.files(spark, path)
         sizes[events] = sum(fs.getFileStatus(make(f)).getLen() for f in read)
     assert sizes[4000] < 1.2 * sizes[200]
 
