@@ -78,3 +78,10 @@ def between_dates(df: DataFrame, since: date | None, until: date | None, column:
         if partitioned:
             df = df.filter(F.col(month) < F.lit(until))
     return df
+
+
+def between_months(df: DataFrame, since: date | None, until: date | None, month: str) -> DataFrame:
+    """Keep the months that ``since <= day < until`` touches."""
+    if since is not None:
+        df = df.filter(F.col(month) >= F.lit(first_of_month(since)))
+    return df if until is None else df.filter(F.col(month) < F.lit(until))

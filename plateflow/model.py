@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from plateflow.functions.dates import between_dates, month_of
+from plateflow.functions.dates import between_dates, between_months, month_of
 
 # States, categories and limits of the marketplace.
 ORDER_STATUSES = ("Placed", "Confirmed", "Preparing", "Ready", "Picked Up", "On The Way", "Delivered", "Cancelled")
@@ -215,8 +215,11 @@ def derive(df: DataFrame, table: str) -> DataFrame:
 class Marketplace:
     """Named tables. ``m.orders("order_id", "total_amount")`` reads just those columns.
 
-    ``provider(table, columns, since, until)`` returns a DataFrame with at least the asked
-    columns; a provider that has to join for a column joins only when it is asked for.
+    ``provider(table, columns, since, until, own_since)`` returns a DataFrame with at least the asked
+    columns; a provider that has to join for a column joins only when it is asked for. For ``orders`` the
+    bounds are exact. For the other facts they let a store skip whole months: ``since`` and ``until`` by the
+    date of the row's order, ``own_since`` by the row's own date; rows outside may still come, so a caller
+    joins with bounded orders or filters as well.
     """
 
     def __init__(self, spark: SparkSession, provider: Callable[..., DataFrame]):
@@ -231,9 +234,10 @@ class Marketplace:
         """The same tables without stored views."""
         return Marketplace(self.spark, self._provider)
 
-    def table(self, name: str, *columns: str, since: date | None = None, until: date | None = None) -> DataFrame:
+    def table(self, name: str, *columns: str, since: date | None = None, until: date | None = None,
+              own_since: date | None = None) -> DataFrame:
         wanted = list(columns) or TABLES[name].names
-        df = self._provider(name, wanted, since, until)
+        df = self._provider(name, wanted, since, until, own_since)
         return df if df.columns == wanted else df.select(*wanted)
 
     def __getattr__(self, name: str) -> Callable[..., DataFrame]:
@@ -245,7 +249,8 @@ class Marketplace:
 def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Marketplace:
     """A marketplace over given DataFrames, for example tables read from storage."""
 
-    def provide(name: str, columns: Iterable[str], since: date | None, until: date | None) -> DataFrame:
+    def provide(name: str, columns: Iterable[str], since: date | None, until: date | None,
+                own_since: date | None) -> DataFrame:
         if name not in frames:
             return spark.createDataFrame([], TABLES[name].schema)
         df = frames[name]
@@ -253,11 +258,20 @@ def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Marketp
         missing = {f.name: F.lit(None).cast(f.dataType) for f in TABLES[name].schema
                    if f.name not in df.columns and f.name not in derived}
         df = derive(df.withColumns(missing) if missing else df, name)
-        return between_dates(df, since, until) if name == "orders" else df
+        if name == "orders":
+            return between_dates(df, since, until)
+        if "order_month" in df.columns:
+            df = between_months(df, since, until, "order_month")
+        return between_months(df, own_since, None, "own_month") if "own_month" in df.columns else df
 
     return Marketplace(spark, provide)
 
 
+#: Facts other than orders, with the date of a row's own that readers ask for.
+FACTS = {"order_items": None, "deliveries": "delivered_at", "payments": "payment_timestamp", "reviews": "created_at",
+         "support_tickets": "created_at", "order_status_history": "changed_at"}
+
+
 def with_month(orders: DataFrame) -> DataFrame:
     """Add the partition column of stored orders."""
     return orders.withColumn("order_month", month_of(F.col("order_date")))

@@ -69,12 +69,44 @@ def activity_months(m: Marketplace, only_delivered: bool = True, cohort: date |
     return rows.withColumn("month_number", months_apart(F.col("month"), F.col("cohort")))
 
 
+#: Months in a word of the bitmap of active months.
+BITMAP_MONTHS = 60
+
+
+def cohorts_of(months: DataFrame, max_month: int) -> DataFrame:
+    """cohort, month_number, active_customers, cohort_size from the bitmap, by shifting and counting bits.
+
+    A customer's first set bit is the cohort; the bits from there on, of two words at most, say in which of
+    the following months (up to 59) the customer was active.
+    """
+    words = months.groupBy("customer_id").agg(F.min(F.struct("word", "bits")).alias("one"),
+                                              F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("all"))
+    # The lowest set bit, by counting the bits below it.
+    first = F.bit_count(F.col("one.bits").bitwiseAND(-F.col("one.bits")) - F.lit(1)).cast("int")
+    later = F.coalesce(F.try_element_at("all", F.col("one.word") + 1), F.lit(0).cast("long"))
+    window = F.call_function("shiftrightunsigned", F.col("one.bits"), first).bitwiseOR(
+        F.when(first > 0, F.call_function("shiftleft", later, F.lit(BITMAP_MONTHS) - first)).otherwise(F.lit(0).cast("long")))
+    start = F.col("one.word") * BITMAP_MONTHS + first
+    rows = words.select(F.make_date(F.call_function("div", start, F.lit(12)).cast("int"), (start % 12 + 1).cast("int"), F.lit(1)).alias("cohort"),
+                        window.alias("w"))
+    active = [F.sum(F.shiftrightunsigned("w", n).bitwiseAND(F.lit(1))).alias(f"m{n}") for n in range(max_month + 1)]
+    counted = rows.groupBy("cohort").agg(*active)
+    entries = F.array(*[F.struct(F.lit(n).alias("month_number"), F.col(f"m{n}").alias("active_customers")) for n in range(max_month + 1)])
+    return counted.select("cohort", F.col("m0").alias("cohort_size"), F.explode(entries).alias("e")).select(
+        "cohort", "e.month_number", "e.active_customers", "cohort_size").filter("active_customers > 0")
+
+
 def cohort_counts(m: Marketplace, max_month: int | None, only_delivered: bool = True,
                   cohort: date | None = None) -> DataFrame:
     """``cohort, month_number, active_customers, cohort_size``, of one cohort if it is given.
 
-    Everyone is active in month 0 of their own cohort, so the size needs no second pass.
+    Everyone is active in month 0 of their own cohort, so the size needs no second pass. Where the months of
+    every customer are stored as bits, they are read instead of orders.
     """
+    kept = m.stored.get("customer_months")
+    if kept is not None and only_delivered and max_month is not None and max_month < BITMAP_MONTHS:
+        found = cohorts_of(kept[1], max_month)
+        return found if cohort is None else found.filter(F.col("cohort") == F.lit(cohort))
     counts = activity_months(m, only_delivered, cohort, max_month)
     if max_month is not None:
         counts = counts.filter(F.col("month_number") <= max_month)

@@ -15,9 +15,9 @@ from plateflow.operators.common import everything, is_cancelled, minutes_at, min
 from plateflow.operators.views import partner_performance
 
 
-def done_trips(m: Marketplace, *columns: str) -> DataFrame:
-    """Completed deliveries."""
-    return m.deliveries(*dict.fromkeys((*columns, "delivery_status"))).filter(
+def done_trips(m: Marketplace, *columns: str, **bounds: date | None) -> DataFrame:
+    """Completed deliveries; bounds as of ``Marketplace.table``."""
+    return m.deliveries(*dict.fromkeys((*columns, "delivery_status")), **bounds).filter(
         F.col("delivery_status") == "Delivered")
 
 
@@ -27,14 +27,23 @@ def whole(value, places: int = 0):
 
 
 def delivery_times(m: Marketplace, as_of: date | None = None, approximate: bool = False) -> DataFrame:
-    """Mean, percentiles and service-level shares of completed deliveries."""
-    trips = done_trips(m, "actual_time_mins", "sla_breached", "on_time").filter("actual_time_mins is not null")
+    """Mean, percentiles and service-level shares of completed deliveries, from stored counts where there are some."""
     points = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
-    n, late, timely = F.count(F.lit(1)), count_where(F.col("sla_breached")), count_where(F.col("on_time"))
-    found = trips.agg(
-        minutes_at_all("actual_time_mins", [*points.values()], approximate).alias("_marks"),
-        mean(F.col("actual_time_mins"), 1).alias("mean_mins"),
-        n.alias("total_deliveries"), late.alias("sla_breaches"), percent(late, n, 2).alias("sla_breach_pct"),
+    kept = None if approximate else m.stored.get("delivery_minutes")
+    if kept is not None:
+        counts, mins, marks = kept[1], F.col("mins"), ", ".join(map(str, points.values()))
+        n, total = F.sum("trips"), F.sum(mins * F.col("trips"))
+        late, timely = (F.coalesce(F.sum(F.when(F.col(c), F.col("trips"))), F.lit(0)) for c in ("late", "timely"))
+        marks = F.expr(f"percentile(mins, array({marks}), trips)")
+    else:
+        counts, mins = done_trips(m, "actual_time_mins", "sla_breached", "on_time"), F.col("actual_time_mins")
+        counts = counts.filter("actual_time_mins is not null")
+        n, total = F.count(F.lit(1)), F.sum(mins)
+        late, timely = count_where(F.col("sla_breached")), count_where(F.col("on_time"))
+        marks = minutes_at_all("actual_time_mins", [*points.values()], approximate)
+    found = counts.agg(
+        marks.alias("_marks"), ratio(total, n, 1).alias("mean_mins"),
+        F.coalesce(n, F.lit(0)).alias("total_deliveries"), late.alias("sla_breaches"), percent(late, n, 2).alias("sla_breach_pct"),
         timely.alias("on_time_count"), percent(timely, n, 2).alias("on_time_rate_pct"))
     marks = [whole(F.col("_marks")[i]).alias(f"{name}_mins") for i, name in enumerate(points)]
     return found.select("mean_mins", *marks, "total_deliveries", "sla_breaches", "sla_breach_pct", "on_time_count",
@@ -180,11 +189,10 @@ def partner_earnings(m: Marketplace, as_of: date | None = None, util: int = 8, k
 
 def zone_performance(m: Marketplace, as_of: date, start: date | None = None, end: date | None = None) -> DataFrame:
     """Completed deliveries per zone for orders placed from ``start`` to ``end`` (30 days by default)."""
-    end = end or as_of
-    orders = m.orders("order_id", "zone_id", "order_date", since=start or days_before(as_of, 30),
-                      until=days_before(end, -1)).drop("order_date")
+    bounds = {"since": start or days_before(as_of, 30), "until": days_before(end or as_of, -1)}
+    orders = m.orders("order_id", "zone_id", "order_date", **bounds).drop("order_date")
     trips = done_trips(m, "order_id", "actual_time_mins", "sla_breached", "on_time", "distance_km",
-                       "partner_earnings")
+                       "partner_earnings", **bounds)
     df = orders.join(trips, "order_id").join(zone_names(m), "zone_id")
     n = F.count(F.lit(1))
     return df.groupBy("zone_name", "city_name").agg(

@@ -77,7 +77,7 @@ def unit_economics(m: Marketplace, as_of: date, days: int = 30) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("restaurant_id").alias("unique_restaurants"))
     start = F.lit(datetime(since.year, since.month, since.day)).cast("timestamp_ntz")
-    paid = m.deliveries("delivered_at", "delivery_status", "partner_earnings").filter(
+    paid = m.deliveries("delivered_at", "delivery_status", "partner_earnings", own_since=since).filter(
         (F.col("delivered_at") >= start) & (F.col("delivery_status") == "Delivered")).agg(
         F.sum("partner_earnings").alias("delivery_cost"))
     c = F.col

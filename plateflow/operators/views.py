@@ -8,13 +8,16 @@ from functools import wraps
 from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import day_label, day_name, sunday_zero
-from plateflow.functions.exact import count_where, mean, percent, ratio
+from plateflow.functions.exact import count_where, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, asc, desc
 from plateflow.functions.tiles import Tiles, add_tiles
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, distinct, everything, is_cancelled, is_delivered
 
 
+MONEY = "decimal(24,2)"
+
+
 def materialised(dated: bool = False):
     """Read the stored copy of a view where the marketplace has one; a dated view must match the day."""
 
@@ -71,23 +74,30 @@ def daily_kpi(m: Marketplace, as_of: date | None = None, since: date | None = No
     """One row per day. ``peak_start_hour`` is the hour of the first order of the day."""
     orders = m.orders("order_date", "order_timestamp", "order_status", "customer_id", "restaurant_id",
                       "total_amount", "platform_commission", "discount_amount", since=since)
-    days = orders.groupBy(F.col("order_date").alias("day")).agg(
-        F.hour(F.min("order_timestamp")).alias("peak_start_hour"),
-        F.count(F.lit(1)).alias("total_orders"),
-        count_where(is_delivered()).alias("delivered_orders"),
-        count_where(is_cancelled()).alias("cancelled_orders"),
-        distinct("customer_id", approximate).alias("active_customers"),
-        distinct("restaurant_id", approximate).alias("active_restaurants"),
-        F.sum("total_amount").alias("gross_revenue"),
-        F.sum("platform_commission").alias("platform_revenue"),
-        F.sum("discount_amount").alias("discounts_given"),
-        mean(F.col("total_amount"), 2, 2).alias("avg_order_value"),
-    )
+    return daily_rows(orders.groupBy(F.col("order_date").alias("day")).agg(
+        F.min("order_timestamp").alias("first_at"),
+        F.count(F.lit(1)).alias("orders"),
+        count_where(is_delivered()).alias("done"),
+        count_where(is_cancelled()).alias("lost"),
+        distinct("customer_id", approximate).alias("people"),
+        distinct("restaurant_id", approximate).alias("places"),
+        F.sum("total_amount").alias("gross"),
+        F.sum("platform_commission").alias("platform"),
+        F.sum("discount_amount").alias("discounts"),
+        F.count("total_amount").alias("counted"),
+    ))
+
+
+def daily_rows(days: DataFrame) -> DataFrame:
+    """The daily view from one row of figures per day."""
+    c = F.col
     return days.select(
-        "day", sunday_zero(F.col("day")).alias("day_of_week"), day_name(F.col("day")).alias("day_name"),
-        "peak_start_hour", "total_orders", "delivered_orders", "cancelled_orders", "active_customers",
-        "active_restaurants", "gross_revenue", "platform_revenue", "discounts_given", "avg_order_value",
-        percent(F.col("cancelled_orders"), F.col("total_orders"), 2).alias("cancellation_rate_pct"))
+        "day", sunday_zero(c("day")).alias("day_of_week"), day_name(c("day")).alias("day_name"),
+        F.hour("first_at").alias("peak_start_hour"), c("orders").alias("total_orders"), c("done").alias("delivered_orders"),
+        c("lost").alias("cancelled_orders"), c("people").alias("active_customers"), c("places").alias("active_restaurants"),
+        c("gross").cast(MONEY).alias("gross_revenue"), c("platform").cast(MONEY).alias("platform_revenue"),
+        c("discounts").cast(MONEY).alias("discounts_given"), ratio(c("gross"), c("counted"), 2, num_scale=2).alias("avg_order_value"),
+        percent(c("lost"), c("orders"), 2).alias("cancellation_rate_pct"))
 
 
 @materialised()
@@ -95,18 +105,31 @@ def restaurant_performance(m: Marketplace, as_of: date | None = None) -> DataFra
     """One row per restaurant with revenue ranks, overall and within its cuisine."""
     orders = m.orders("restaurant_id", "order_status", "total_amount", "platform_commission", "customer_id")
     sold = orders.filter(~is_cancelled()).groupBy("restaurant_id").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        count_where(is_delivered()).alias("delivered_orders"),
-        F.sum("total_amount").alias("gross_revenue"),
-        F.sum("platform_commission").alias("platform_revenue"),
-        mean(F.col("total_amount"), 2, 2).alias("avg_order_value"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count(F.lit(1)).alias("orders"),
+        count_where(is_delivered()).alias("done"),
+        F.sum("total_amount").alias("gross"),
+        F.sum("platform_commission").alias("platform"),
+        F.count("total_amount").alias("counted"),
+        F.count_distinct("customer_id").alias("people"),
     )
     rated = m.reviews("restaurant_id", "food_rating", "overall_rating").groupBy("restaurant_id").agg(
-        F.count(F.lit(1)).alias("review_count"),
-        mean(F.col("food_rating"), 2).alias("avg_food_rating"),
-        mean(F.col("overall_rating"), 2).alias("avg_overall_rating"),
+        F.count(F.lit(1)).alias("reviews"),
+        F.sum("food_rating").alias("food"), F.count("food_rating").alias("n_food"),
+        F.sum("overall_rating").alias("overall"), F.count("overall_rating").alias("n_overall"),
     )
+    return restaurant_rows(m, sold, rated)
+
+
+def restaurant_rows(m: Marketplace, sold: DataFrame, rated: DataFrame) -> DataFrame:
+    """The view of restaurants from their figures: of orders that were not cancelled, and of reviews."""
+    c = F.col
+    sold = sold.select(
+        "restaurant_id", c("orders").alias("total_orders"), c("done").alias("delivered_orders"),
+        c("gross").cast(MONEY).alias("gross_revenue"), c("platform").cast(MONEY).alias("platform_revenue"),
+        ratio(c("gross"), c("counted"), 2, num_scale=2).alias("avg_order_value"), c("people").alias("unique_customers"))
+    rated = rated.select(
+        "restaurant_id", c("reviews").alias("review_count"), ratio(c("food"), c("n_food"), 2).alias("avg_food_rating"),
+        ratio(c("overall"), c("n_overall"), 2).alias("avg_overall_rating"))
     rests = m.restaurants("restaurant_id", "restaurant_name", "cuisine_type", "city_id", "rating", "is_active",
                           "joining_date")
     df = (
@@ -137,17 +160,19 @@ def hourly_demand(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Weekday by hour, against the total and against the average cell."""
     orders = m.orders("order_timestamp", "order_status", "total_amount").filter(~is_cancelled())
     ts = F.col("order_timestamp")
-    cells = orders.groupBy(sunday_zero(ts).alias("day_of_week"), F.hour(ts).alias("hour_of_day")).agg(
-        F.count(F.lit(1)).alias("order_count"),
-        mean(F.col("total_amount"), 2, 2).alias("avg_order_value"),
-        F.sum("total_amount").alias("total_revenue"),
-    )
-    total, count = F.sum("order_count").over(everything()), F.count(F.lit(1)).over(everything())
+    return demand_rows(orders.groupBy(sunday_zero(ts).alias("day_of_week"), F.hour(ts).alias("hour_of_day")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("amount"), F.count("total_amount").alias("counted")))
+
+
+def demand_rows(cells: DataFrame) -> DataFrame:
+    """The demand view from orders and money per cell."""
+    c = F.col
+    total, count = F.sum("orders").over(everything()), F.count(F.lit(1)).over(everything())
     return cells.withColumns({"_sum": total, "_cells": count}).select(
-        "day_of_week", day_label(F.col("day_of_week")).alias("day_name"), "hour_of_day", "order_count",
-        "avg_order_value", "total_revenue",
-        percent(F.col("order_count"), F.col("_sum"), 3).alias("pct_of_total"),
-        ratio(F.col("order_count") * F.col("_cells"), F.col("_sum"), 3).alias("demand_index"))
+        "day_of_week", day_label(c("day_of_week")).alias("day_name"), "hour_of_day", c("orders").alias("order_count"),
+        ratio(c("amount"), c("counted"), 2, num_scale=2).alias("avg_order_value"), c("amount").cast(MONEY).alias("total_revenue"),
+        percent(c("orders"), c("_sum"), 3).alias("pct_of_total"),
+        ratio(c("orders") * c("_cells"), c("_sum"), 3).alias("demand_index"))
 
 
 @materialised()
@@ -156,14 +181,24 @@ def partner_performance(m: Marketplace, as_of: date | None = None) -> DataFrame:
     trips = m.deliveries("partner_id", "delivery_id", "delivery_status", "actual_time_mins", "distance_km",
                          "partner_earnings", "sla_breached", "on_time").filter(F.col("partner_id").isNotNull())
     done = trips.groupBy("partner_id").agg(
-        F.count("delivery_id").alias("_n"),
-        count_where(F.col("delivery_status") == "Delivered").alias("_done"),
-        mean(F.col("actual_time_mins"), 1).alias("avg_delivery_time"),
-        mean(F.col("distance_km"), 2, 2).alias("avg_distance_km"),
-        F.sum("partner_earnings").alias("total_earnings"),
-        count_where(F.col("sla_breached")).alias("_late"),
-        count_where(F.col("on_time")).alias("_on_time"),
+        F.count("delivery_id").alias("trips"),
+        count_where(F.col("delivery_status") == "Delivered").alias("done"),
+        F.sum("actual_time_mins").alias("mins"), F.count("actual_time_mins").alias("n_mins"),
+        F.sum("distance_km").alias("km"), F.count("distance_km").alias("n_km"),
+        F.sum("partner_earnings").alias("earned"),
+        count_where(F.col("sla_breached")).alias("late"),
+        count_where(F.col("on_time")).alias("timely"),
     )
+    return partner_rows(m, done)
+
+
+def partner_rows(m: Marketplace, done: DataFrame) -> DataFrame:
+    """The view of partners from the figures of their deliveries."""
+    c = F.col
+    done = done.select(
+        "partner_id", c("trips").alias("_n"), c("done").alias("_done"), ratio(c("mins"), c("n_mins"), 1).alias("avg_delivery_time"),
+        ratio(c("km"), c("n_km"), 2, num_scale=2).alias("avg_distance_km"), c("earned").cast(MONEY).alias("total_earnings"),
+        c("late").alias("_late"), c("timely").alias("_on_time"))
     partners = m.delivery_partners("partner_id", "partner_name", "vehicle_type", "city_id", "zone_id", "rating",
                                    "joining_date", "is_active").filter("is_active")
     zero = F.lit(0).cast("long")
@@ -213,10 +248,14 @@ def _segment(dictionary: bool):
 def customer_rfm(m: Marketplace, as_of: date, bands: int = 5, dictionary: bool = False) -> DataFrame:
     """Recency, frequency and money scores of customers with a delivered order."""
     base = delivered(m, "customer_id", "order_id", "order_date", "total_amount").groupBy("customer_id").agg(
-        F.max("order_date").alias("_last"),
-        F.count("order_id").alias("frequency"),
-        F.sum("total_amount").alias("monetary"),
-    ).withColumn("recency_days", F.datediff(F.lit(as_of), F.col("_last"))).drop("_last")
+        F.max("order_date").alias("last"), F.count("order_id").alias("orders"), F.sum("total_amount").alias("amount"))
+    return rfm_rows(m, base, as_of, bands, dictionary)
+
+
+def rfm_rows(m: Marketplace, spend: DataFrame, as_of: date, bands: int = 5, dictionary: bool = False) -> DataFrame:
+    """Scores from the last day, number and sum of every customer's delivered orders."""
+    base = spend.select("customer_id", F.datediff(F.lit(as_of), F.col("last")).alias("recency_days"),
+                        F.col("orders").alias("frequency"), F.col("amount").cast(MONEY).alias("monetary"))
     scored = add_tiles(
         base, "customer_id", Tiles(desc("recency_days"), "r_score", bands), Tiles(asc("frequency"), "f_score", bands),
         Tiles(asc("monetary"), "m_score", bands))

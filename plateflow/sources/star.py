@@ -380,7 +380,7 @@ def star_market(spark: SparkSession, directory: str) -> Marketplace:
     """The star under ``directory`` as a lazily built marketplace."""
     star = _Star(spark, directory)
 
-    def provide(table: str, columns: list[str], since: date | None, until: date | None) -> DataFrame:
+    def provide(table: str, columns: list[str], since: date | None, until: date | None, own_since: date | None) -> DataFrame:
         types = {f.name: f.dataType.simpleString() for f in TABLES[table].schema}
         df = star.provide(table, columns, since, until)
         return df.selectExpr(*[f"cast({c} as {types[c]}) as {c}" for c in columns])

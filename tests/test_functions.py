@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -14,7 +15,8 @@ from plateflow.functions.exact import growth, percent, ratio
 from plateflow.functions.ordering import Want, add_orders, add_previous, asc, desc, rank_among, tile_of, top
 from plateflow.functions.quantiles import histogram, percentiles, rounded
 from plateflow.functions.skew import join_spread
-from plateflow.functions.text import search_names
+from plateflow.functions import tiles
+from plateflow.functions.text import search_index, search_names, write_name_index
 
 
 def one(spark, column):
@@ -147,3 +149,46 @@ def test_name_search(spark):
     df = spark.createDataFrame([("Biryani House",), ("Burger Point",), ("Biriyani Hut",), ("",)], "n string")
     hits = {r["n"] for r in search_names(df, "n", "biryani house").collect()}
     assert "Biryani House" in hits and "Burger Point" not in hits and "" not in hits
+
+
+@pytest.mark.parametrize("few", [60_000, 0])
+def test_tiles_equal_ntile(spark, few, monkeypatch):
+    """Ties, nulls, dates, decimals, both directions, fewer rows than tiles; found by fetching or by counting alone."""
+    monkeypatch.setattr(tiles, "FEW", few)
+    rng = random.Random(4)
+    for n in (0, 3, 400):
+        rows = [(i * 7 - 50, rng.choice([None, 1, 1, 1, 2, rng.randrange(10**6)]), None if i % 9 == 0 else rng.randrange(20)) for i in range(n)]
+        df = spark.createDataFrame(rows, "id long, a long, b int").withColumns(
+            {"c": (F.col("a") / 100).cast("decimal(20,2)"), "d": F.date_add(F.lit(date(2000, 1, 1)), F.col("b"))})
+        got = tiles.add_tiles(df, "id", tiles.Tiles(desc("c"), "t1", 5), tiles.Tiles(asc("b"), "t2", 4),
+                              tiles.Tiles(asc("d", nulls_last=False), "t3", 7))
+        want = got.withColumns({"w1": F.ntile(5).over(W.orderBy(F.col("c").desc_nulls_first(), "id")),
+                                "w2": F.ntile(4).over(W.orderBy(F.col("b").asc_nulls_last(), "id")),
+                                "w3": F.ntile(7).over(W.orderBy(F.col("d").asc_nulls_first(), "id"))})
+        assert got.count() == n and want.filter("t1 <> w1 or t2 <> w2 or t3 <> w3").count() == 0
+    plan = got._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    with pytest.raises(TypeError):
+        tiles.add_tiles(spark.range(3).withColumn("x", F.lit("a")), "id", tiles.Tiles(asc("x"), "t", 2))
+
+
+def test_indexed_search_finds_what_a_scan_finds(spark, tmp_path):
+    rng = random.Random(2)
+    parts = ["blue", "ring", "almond", "linen", "ghost", "lime", "blu", "rings", "x1"]
+    names = [(" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))),) for _ in range(120)] + [("",), (None,), ("!!",)] * 2
+    df = spark.createDataFrame(names, "item string")
+    write_name_index(df, "item", str(tmp_path))
+    queries = [(1, "blue rings"), (2, "almnd linnen"), (3, "zzz"), (4, ""), (5, None), (6, "lime")]
+    got = search_index(spark, str(tmp_path), spark.createDataFrame(queries, "query_id int, query string"))
+    want = set()
+    for number, query in queries:
+        if query:
+            for r in search_names(df.filter("item is not null").distinct(), "item", query).collect():
+                want.add((number, r["item"], r["similarity_pct"]))
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 5
+    nothing = search_index(spark, str(tmp_path), spark.createDataFrame([(1, "")], "query_id int, query string"))
+    assert nothing.collect() == [] and nothing.columns == ["query_id", "name", "similarity_pct"]
+    # The one name found is read from one folder.
+    one = search_index(spark, str(tmp_path), spark.createDataFrame([(1, "x1 x1 x1")], "query_id int, query string"), 99)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() >= 1 and re.search(r"PartitionFilters: \[[^\]]*folder#\d+ (=|IN)", plan)

@@ -332,3 +332,51 @@ def test_a_stream_without_events(spark, tmp_path):
     stream = keep.file_stream(spark, f"{base}/in", feed(spark, []).schema)
     keep.stream_totals(stream, "customer_id", "total_amount", f"{base}/out", f"{base}/cp")
     assert keep.read_events(spark, f"{base}/out", "order_id").collect() == []
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_assignment_is_that_of_a_loop(spark, seed):
+    """Orders one by one against the batch: zones run dry, fallbacks take partners that later orders wanted."""
+    import random
+
+    rng = random.Random(seed)
+    zones = {z: 1 + z % 2 for z in range(6)}
+    partners = [{"partner_id": i, "partner_name": f"P{i}", "zone_id": rng.randrange(6), "is_active": rng.random() > 0.1,
+                 "current_status": rng.choice(["Available", "Available", "Offline"]), "bg_verification": rng.random() > 0.3,
+                 "total_deliveries": rng.randrange(4), "rating": rng.choice([None, 3, 4])} for i in range(40)]
+    orders = [{"order_id": i, "order_status": "Placed", "zone_id": rng.choice([*range(6), 99, None]),
+               "order_timestamp": f"2024-06-01 10:{rng.randrange(30):02d}:00"} for i in range(60)]
+    m = market(spark, delivery_partners=partners, orders=orders, zones=[
+        {"zone_id": z, "city_id": c, "avg_delivery_time_mins": 30} for z, c in zones.items()])
+    free = {p["partner_id"]: p for p in partners if p["is_active"] and p["current_status"] == "Available"}
+    want, lost = {}, set()
+    for o in sorted(orders, key=lambda o: (o["order_timestamp"], o["order_id"])):
+        near = [p for p in free.values() if p["zone_id"] == o["zone_id"] and p["bg_verification"]]
+        city = zones.get(o["zone_id"])
+        far = [p for p in free.values() if city is not None and zones[p["zone_id"]] == city]
+        if near:
+            one = min(near, key=lambda p: (-p["total_deliveries"], p["rating"] is not None, -(p["rating"] or 0), p["partner_id"]))
+        elif far:
+            one = min(far, key=lambda p: p["partner_id"])
+        else:
+            lost.add(o["order_id"])
+            continue
+        want[o["order_id"]] = (one["partner_id"], "zone" if near else "city")
+        del free[one["partner_id"]]
+    out = requests.assign_partners(m, requests.waiting_orders(m))
+    assert {r["order_id"]: (r["partner_id"], r["matched_by"]) for r in dicts(out.deliveries)} == want
+    assert {r["order_id"] for r in dicts(out.rejects)} == lost
+
+
+def test_filled_zones(spark):
+    places = spark.createDataFrame([(3, "Bangalore"), (4, "Hyderabad")], "city_id long, city_name string")
+    rows = {r["zone_id"]: (r["zone_name"], r["avg_delivery_time_mins"]) for r in dicts(seeds.fill_zones(places, 2))}
+    assert rows == {5: ("Bangalore Zone 1", 22), 6: ("Bangalore Zone 2", 24), 7: ("Hyderabad Zone 1", 22), 8: ("Hyderabad Zone 2", 24)}
+
+
+def test_a_customer_with_most_orders_spreads_over_files(spark, tmp_path):
+    rows = [{"order_id": i, "customer_id": 5 if i % 2 else i, "order_timestamp": f"2024-01-01 00:{i % 60:02d}:00"} for i in range(400)]
+    store.write_store(market(spark, orders=rows), str(tmp_path), ["orders"])
+    got = store.order_history(spark, str(tmp_path), 5, "order_id")
+    assert got.count() == 200 and store.order_history(spark, str(tmp_path), 10**9).count() == 0
+    assert got.select(F.input_file_name()).distinct().count() > 1
