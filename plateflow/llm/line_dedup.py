@@ -7,13 +7,17 @@ shorter could share: beginning and end lie where they lay, the middle may have m
 meets is verified by a banded bit-parallel edit distance.
 
 Lines travel as 64-bit hashes; only the text of lines that meet another one is moved. Copies of a
-line are one entry of the index from the map side on. Segments that very many lines share give no
-pairs: those lines are joined by halves, of which two lines within two edits share one as well.
+line are one entry of the index from the map side on. A line only has to find one earlier near line,
+so it is first compared with the earliest of each of its segments, which takes as many comparisons as
+the line has segments. Lines found late need no further earlier line: what is left to compare are
+pairs whose later line was not found so. Segments in which many such lines are left give no pairs:
+those lines are joined by halves, of which two lines within two edits share one as well, again with
+the earliest one first, and what then is left in tiles of bounded size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plateflow.llm.frames import column, kept, scratch, stored
 from plateflow.session import cut
@@ -22,10 +26,12 @@ from plateflow.session import cut
 EDITS = 2
 #: One edit is allowed for every so many characters of the shorter line, so short lines must be equal.
 CHARACTERS = 12
-#: Bits that mark lines by their hashes: 512 KB in every task, whatever the data.
-MARK_BITS = 22
-#: Lines with a segment in common that are paired by it; more of them are paired by halves.
+#: Bits for each line that is fetched, in an array that every task has; beyond ``MOST_MARKED`` lines they are joined.
+MARK_FACTOR, MOST_MARKED = 16, 1 << 22
+#: Lines left in a segment, not found late, that are paired by it; more of them are paired by halves.
 CROWD = 32
+#: Lines of a half that are compared in one task with another line.
+TILE = 512
 #: Pieces of a line of which all but ``EDITS`` must reappear; a cheap sieve before the distance.
 PIECES = 8
 
@@ -37,6 +43,12 @@ def _lines(docs: DataFrame) -> DataFrame:
     return every.withColumn("h", F.xxhash64("line"))
 
 
+def _dated(lines: DataFrame) -> DataFrame:
+    """With ``d``, by which lines are ordered as by their first document; the same for all if doc_id is no whole number."""
+    number = isinstance(lines.schema["doc_id"].dataType, T.IntegralType)
+    return lines.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if number else F.lit(0).cast("long"))
+
+
 def _step(length: Column) -> Column:
     return F.floor(length / 16) * 16
 
@@ -51,40 +63,35 @@ def _quarters(length: Column) -> Column:
 
 
 def _segments(lines: DataFrame, indexed: bool) -> DataFrame:
-    """(key, h, n): the three segments of every line, or all substrings it could share one as."""
-    n, line = F.col("n"), F.col("line")
-    wide = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
-    wide = wide.withColumns({f"s{d}": _thirds(n - d) for d in ((0,) if indexed else (0, 1, EDITS))})
-    s = {d: F.col(f"s{d}") for d in (0, 1, EDITS)}
+    """(key, h, n, d): the three segments of every line, or all substrings it could share one as.
 
-    def first(size: Column) -> Column:
-        return F.xxhash64(F.lit(0), size, F.substr(line, F.lit(1), size))
-
-    def last(size: Column) -> Column:
-        return F.xxhash64(F.lit(1), size, F.substr(line, n - size + 1, size))
+    A key holds the length of the indexed line, so that lines meet only where their lengths allow it.
+    """
+    n, line = F.col("n"), F.col("line")
+    wide = lines.select("h", "d", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
+    wide = wide.withColumns({f"s{e}": _thirds(n - e) for e in ((0,) if indexed else range(EDITS + 1))})
 
-    def middle(shorter: int, moved: int) -> Column:
-        size = s[shorter]
-        return F.xxhash64(F.lit(2), n - shorter, F.substr(line, size + 1 + moved, n - shorter - 2 * size))
+    def keys(shorter: int) -> list[Column]:
+        size, length = F.col(f"s{shorter}"), n - shorter
+        moves = (0,) if indexed else [m for m in (-1, 0, 1) if abs(shorter - m) <= 1]
+        own = [F.xxhash64(F.lit(0), length, F.substr(line, F.lit(1), size)),
+               F.xxhash64(F.lit(1), length, F.substr(line, n - size + 1, size))]
+        own += [F.xxhash64(F.lit(2), length, F.substr(line, size + 1 + moved, length - 2 * size)) for moved in moves]
+        return own if shorter == 0 else [F.when(length >= CHARACTERS, k) for k in own]
 
-    keys = [first(s[0]), last(s[0]), middle(0, 0)]
-    if not indexed:
-        # A shorter line's segments may be one step smaller.
-        keys += [F.when(s[2] != s[0], first(s[2])), F.when(s[2] != s[0], last(s[2]))]
-        keys += [F.when(n - shorter >= CHARACTERS, middle(shorter, moved)) for shorter in range(EDITS + 1)
-                 for moved in (-1, 0, 1) if abs(shorter - moved) <= 1 and (shorter, moved) != (0, 0)]
-    return wide.select(F.explode(F.array(*keys)).alias("key"), "h", "n").filter("key is not null")
+    every = [k for shorter in range(1 if indexed else EDITS + 1) for k in keys(shorter)]
+    return wide.select(F.explode(F.array(*every)).alias("key"), "h", "n", "d").filter("key is not null")
 
 
 def _halves(lines: DataFrame, indexed: bool) -> DataFrame:
-    """(key, h, n): as ``_segments``, by what amounts to half of a line each.
+    """(key, h, n, d, first, line): as ``_segments``, by what amounts to half of a line each.
 
     Of four quarters, counted from both ends, two edits leave two alone: the first two, the last
     two, the first and the last; or, where one edit is in either half, the inner ones moved by one
     at most, the last and the second, or the first and the third.
     """
     n, line = F.col("n"), F.col("line")
-    wide = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
+    wide = lines.select("h", "d", "first", "line", F.length("line").alias("n")).filter(F.col("n") >= CHARACTERS)
     wide = wide.withColumns({"q0": _quarters(n), "q2": _quarters(n - EDITS)})
 
     def part(start: Column, size: Column) -> Column:
@@ -104,43 +111,48 @@ def _halves(lines: DataFrame, indexed: bool) -> DataFrame:
     every = keys(F.col("q0"), (0,) if indexed else (-1, 0, 1))
     if not indexed:
         every += [F.when(F.col("q2") != F.col("q0"), k) for k in keys(F.col("q2"), (-1, 0, 1))]
-    return wide.select(F.explode(F.array(*every)).alias("key"), "h", "n", "line").filter("key is not null")
+    return wide.select(F.explode(F.array_distinct(F.array(*every))).alias("key"), "h", "n", "d", "first", "line").filter("key is not null")
 
 
-def _pairs(probes: DataFrame, index: DataFrame, more: Column | None = None) -> DataFrame:
-    """(long, short) hashes that share a key and pass ``more``, a pair as often as it does; ``short`` is null for a mark."""
-    p, i = probes.alias("p"), index.alias("i")
-    longer = F.col("p.n") - F.col("i.n")
-    near = longer.between(0, EDITS) & ((longer > 0) | (F.col("p.h") > F.col("i.h"))) & (F.col("p.h") != F.col("i.h"))
-    near = near if more is None else near & more
-    met = p.join(i, (F.col("p.key") == F.col("i.key")) & (F.col("i.h").isNull() | near))
-    return met.select(F.col("p.h").alias("long"), F.col("i.h").alias("short"))
+def _fetched(lines: DataFrame, ids: DataFrame, path: str) -> DataFrame:
+    """(h, d, line) once for each of the hashes ``h`` (and for a few others)."""
+    ids = stored(ids.select("h").distinct(), f"{path}-ids")
+    n = ids.count()
+    if n <= MOST_MARKED:
+        bits = max(16, (n * MARK_FACTOR).bit_length())
+        some = lines.filter(_marked(F.col("h"), _marks(ids, bits), bits))
+    else:
+        some = lines.join(ids, "h", "left_semi")
+    return stored(some.groupBy("h").agg(F.min("d").alias("d"), F.min("line").alias("line")), path)
 
 
-def _meetings(lines: DataFrame, folder: str) -> DataFrame:
-    """Pairs (long, short) of hashes of different lines that share a segment and may be near.
+def _order(p: str, i: str) -> Column:
+    """Whether probe ``p`` and indexed line ``i`` are a pair to compare: longer by up to the edits, equal lengths one way round."""
+    longer = F.col(f"{p}.n") - F.col(f"{i}.n")
+    return longer.between(0, EDITS) & ((longer > 0) | (F.col(f"{p}.h") > F.col(f"{i}.h"))) & (F.col(f"{p}.h") != F.col(f"{i}.h"))
 
-    A segment of more than ``CROWD`` lines gives no pairs. A mark stands for them in the index; the
-    lines that meet a mark are fetched, and paired by halves instead.
-    """
-    index = _segments(lines, True).groupBy("key", "h").agg(F.min("n").alias("n"))
-    index = stored(index, f"{folder}/index")
-    crowds = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).select("key"),
-                    f"{folder}/crowds")
-    marks = crowds.select("key", F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("n"))
-    sparse = index.join(crowds, "key", "left_anti").select("key", "h", "n")
-    met = stored(_pairs(_segments(lines, False), sparse.unionByName(marks)).distinct(), f"{folder}/segments")
-    crowd = met.filter("short is null").select(F.col("long").alias("h"))
-    many = _fetched(lines, crowd, f"{folder}/crowd")
-    # These few carry their text, so that no pair leaves the join that is not near.
-    more = _pairs(_halves(many, False), _halves(many, True), _near(F.col("p.line"), F.col("i.line")))
-    return met.filter("short is not null").union(more).distinct()
 
+def _left(p: str, i: str) -> Column:
+    """Whether the later of the two may be one that was not found late."""
+    earlier = F.col(f"{p}.d") < F.col(f"{i}.d")
+    later = F.col(f"{p}.d") > F.col(f"{i}.d")
+    return ~(earlier & F.col(f"{i}.late")) & ~(later & F.col(f"{p}.late")) & ~(F.col(f"{p}.late") & F.col(f"{i}.late"))
+
+
+def _flagged(rows: DataFrame, late: DataFrame) -> DataFrame:
+    return rows.join(late.withColumn("late", F.lit(True)), "h", "left").withColumn("late", F.coalesce("late", F.lit(False)))
 
-def _fetched(lines: DataFrame, ids: DataFrame, path: str) -> DataFrame:
-    """(h, line) once for each of the hashes ``h`` (and for a few others)."""
-    some = lines.filter(_marked(F.col("h"), _marks(ids)))
-    return stored(some.groupBy("h").agg(F.min("line").alias("line")), path)
+
+def _later(a: str, b: str) -> Column:
+    """Of two lines the one that comes first later."""
+    return F.when(F.col(f"{a}.first") > F.col(f"{b}.first"), F.col(f"{a}.h")).otherwise(F.col(f"{b}.h")).alias("h")
+
+
+def _late(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(h): the later line of those pairs (long, short) that are within the edits their length allows."""
+    a, b = known.select("h", "first", "line").alias("a"), known.select("h", "first", "line").alias("b")
+    both = pairs.distinct().join(a, F.col("long") == F.col("a.h")).join(b, F.col("short") == F.col("b.h"))
+    return both.filter(_near(F.col("a.line"), F.col("b.line"))).select(_later("a", "b")).distinct()
 
 
 def _sieve(long: Column, short: Column) -> Column:
@@ -214,12 +226,12 @@ def edit_distance(long: Column, short: Column, most: int = EDITS) -> Column:
         F.lit(most + 1).cast("long"))
 
 
-def _marks(values: DataFrame) -> Column:
-    """A bit array of fixed size, as longs, in which the top bits of every ``h`` are set."""
-    place = F.shiftrightunsigned("h", 64 - MARK_BITS)
+def _marks(values: DataFrame, bits: int) -> Column:
+    """An array of 2**bits bits, as longs, in which the top bits of every ``h`` are set."""
+    place = F.shiftrightunsigned("h", 64 - bits)
     words = values.select(F.shiftright(place, 6).alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
     words = words.groupBy("id").agg(F.bit_or("bit").alias("bits"))
-    every = values.sparkSession.range(1 << (MARK_BITS - 6)).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    every = values.sparkSession.range(1 << (bits - 6)).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     listed = every.agg(F.sort_array(F.collect_list(F.struct("id", "bits"))).alias("x"))
     return listed.select(F.transform("x", lambda e: e["bits"]).alias("x")).scalar()
 
@@ -255,24 +267,67 @@ def _near(long: Column, short: Column) -> Column:
     return _sieve(long, short) & F.element_at(near, 1)
 
 
-def _marked(h: Column, marks: Column) -> Column:
+def _marked(h: Column, marks: Column, bits: int) -> Column:
     """Whether the bit of hash ``h`` is set."""
-    place = F.shiftrightunsigned(h, 64 - MARK_BITS)
+    place = F.shiftrightunsigned(h, 64 - bits)
     word = F.get(marks, F.shiftright(place, 6).cast("int"))
     return F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def near_lines(docs: DataFrame, folder: str) -> DataFrame:
-    """Pairs (long, short) of hashes of different lines within the edits that their length allows.
+def late_lines(lines: DataFrame, first: DataFrame, folder: str) -> DataFrame:
+    """(h): lines that have a different line within the edits that their length allows before them.
 
-    ``docs`` has ``doc_id`` and ``text``. Each pair once; ``long`` is not shorter than ``short``.
+    ``lines`` has h, d and line for every place of a line; ``first`` (h, first) says where each comes first.
     """
-    lines = _lines(docs)
-    met = stored(_meetings(lines, folder), f"{folder}/met")
-    text = _fetched(lines, met.select(F.col("long").alias("h")).union(met.select("short")), f"{folder}/text")
-    pairs = met.join(text.select(F.col("h").alias("long"), F.col("line").alias("a")), "long").join(
-        text.select(F.col("h").alias("short"), F.col("line").alias("b")), "short")
-    return stored(pairs.filter(_near(F.col("a"), F.col("b"))).select("long", "short"), f"{folder}/near")
+    index = _segments(lines, True).groupBy("key", "h").agg(F.min("n").alias("n"), F.min("d").alias("d"))
+    index = stored(index, f"{folder}/index")
+    # The earliest line of each segment, and how many lines have it.
+    hubs = index.groupBy("key").agg(F.min(F.struct("d", "h", "n")).alias("hub"), F.count(F.lit(1)).alias("c"))
+    met = _segments(lines, False).join(hubs, "key").filter((F.col("hub.h") != F.col("h")) | (F.col("c") > 1))
+    met = stored(met.groupBy("key", "h").agg(F.min("n").alias("n"), F.min("d").alias("d"), F.first("hub").alias("hub"),
+                                             F.first("c").alias("c")), f"{folder}/met")
+    # Of the lines that meet another one text and place are fetched, once.
+    meeting = met.select("h").union(met.select("hub.h"))
+    known = _fetched(lines, meeting, f"{folder}/text").join(first, "h")
+    known = stored(known, f"{folder}/known")
+    late = stored(_late(met.filter(F.col("hub.h") != F.col("h")).select(F.col("h").alias("long"), F.col("hub.h").alias("short")), known),
+                  f"{folder}/late1")
+
+    # What is left: pairs of a segment whose later line was not found late.
+    probes = stored(_flagged(met.filter("c > 1").select("key", "h", "n", "d", F.col("hub.h").alias("hub"), "c"), late), f"{folder}/probes")
+    keys = probes.groupBy("key").agg(F.count(F.when(~F.col("late"), 1)).alias("left"), F.max("c").alias("c"))
+    keys = stored(keys.withColumn("crowded", (F.col("left") > CROWD) & (F.col("c") > CROWD)), f"{folder}/keys")
+    entries = stored(_flagged(index.join(keys.select("key", "crowded"), "key"), late), f"{folder}/entries")
+    p, i = probes.join(keys.filter("not crowded").select("key"), "key", "left_semi"), entries.filter("not crowded")
+    more = [a.alias("p").join(b.alias("i"), (F.col("p.key") == F.col("i.key")) & _order("p", "i") & _left("p", "i")
+                              & (F.col("i.h") != F.col("p.hub"))).select(F.col("p.h").alias("long"), F.col("i.h").alias("short"))
+            # Apart, so that lines found late never meet each other.
+            for a, b in ((p.filter("not late"), i), (p.filter("late"), i.filter("not late")))]
+    late = stored(late.union(_late(more[0].union(more[1]), known)).distinct(), f"{folder}/late2")
+
+    crowd = probes.join(keys.filter("crowded").select("key"), "key", "left_semi").select("h").union(
+        entries.filter("crowded").select("h")).distinct()
+    many = stored(known.join(crowd, "h", "left_semi"), f"{folder}/crowd")
+    return stored(late.union(_crowded(many, late, folder)).distinct(), f"{folder}/late")
+
+
+def _crowded(lines: DataFrame, late: DataFrame, folder: str) -> DataFrame:
+    """(h): late lines among those of crowded segments, by halves; rows carry their text, so only near pairs leave a join."""
+    near = _near(F.col("p.line"), F.col("i.line"))
+    index = stored(_halves(lines, True), f"{folder}/halves")
+    hubs = index.groupBy("key").agg(F.min(F.struct("d", "h", "n", "first", "line")).alias("hub"), F.count(F.lit(1)).alias("c"))
+    hubs = stored(hubs.select("key", "hub.*", "c"), f"{folder}/hubs")
+    once = _halves(lines, False).alias("p").join(hubs.alias("i"), (F.col("p.key") == F.col("i.key")) & _order("p", "i") & near)
+    late = stored(late.union(once.select(_later("p", "i"))).distinct(), f"{folder}/late3")
+    # The lines of a half are dealt to tiles; a line that asks goes to each of them.
+    sizes = hubs.filter("c > 1").select("key", F.call_function("div", F.col("c") - 1, F.lit(TILE)).alias("tiles"), F.col("h").alias("hub"))
+    entries = _flagged(index, late).join(sizes, "key").withColumn("tile", F.pmod(F.col("h"), F.col("tiles") + 1))
+    asking = _flagged(_halves(lines, False), late).join(sizes, "key").withColumn(
+        "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles"))))
+    pairs = [a.alias("p").join(b.alias("i"), (F.col("p.key") == F.col("i.key")) & (F.col("p.tile") == F.col("i.tile")) & _order("p", "i")
+                               & _left("p", "i") & (F.col("i.h") != F.col("p.hub")) & near).select(_later("p", "i"))
+             for a, b in ((asking.filter("not late"), entries), (asking.filter("late"), entries.filter("not late")))]
+    return late.union(pairs[0]).union(pairs[1])
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -285,11 +340,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         places = stored(_lines(docs).select("doc_id", "t", "no", "h", F.xxhash64(F.lit(1), "line").alias("h2")), f"{folder}/places")
         lines = places.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "t", "no")).alias("first"), F.count(F.lit(1)).alias("times"))
         lines = stored(lines, f"{folder}/lines")
-        pairs = near_lines(docs, folder)
-        known = lines.select("h", "first")
-        one = pairs.join(known.select(F.col("h").alias("long"), F.col("first").alias("a")), "long").join(
-            known.select(F.col("h").alias("short"), F.col("first").alias("b")), "short")
-        late = one.select(F.when(F.col("a") > F.col("b"), F.col("long")).otherwise(F.col("short")).alias("h")).distinct()
+        late = late_lines(_dated(_lines(docs)), lines.select("h", "first"), folder)
         # The other lines occur once and are near none before them.
         state = lines.join(late.withColumn("near", F.lit(True)), "h", "left").filter("near or times > 1").select(
             "h", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
