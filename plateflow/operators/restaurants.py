@@ -13,6 +13,7 @@ from plateflow.functions.ordering import Want, add_orders, asc, desc, rank_among
 from plateflow.model import Marketplace
 from plateflow.operators.common import catalog, delivered, everything, is_cancelled, places, upto
 from plateflow.operators.views import percent_rank
+from plateflow.session import cut
 
 
 def monthly_ranking(m: Marketplace, as_of: date | None = None) -> DataFrame:
@@ -142,7 +143,7 @@ def top_items(m: Marketplace, as_of: date | None = None, k: int = 50) -> DataFra
     Items ahead by frequency are themselves among the ``k``; only the revenue rank looks
     at the others, and it does so without sorting them.
     """
-    sales = item_sales(m)  # the top-k and the ranking share its exchange
+    sales = cut(item_sales(m))  # one row per item; the top-k and the ranking read it, the facts are read once
     best = top(sales, k, desc("times_ordered"), asc("item_id"))
     best = rank_among(best, sales, "total_revenue", "revenue_rank", k)
     info = catalog(m, "price", "is_vegetarian", "is_bestseller")
