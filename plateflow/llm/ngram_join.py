@@ -35,10 +35,11 @@ WORDS = 5
 #: Similarity as a fraction, so that bounds are exact.
 ABOVE, OF = 75, 100
 SKETCH_BITS = 23  # counters of the sketch: 32 MB for every worker
-COLUMN_BITS = 27  # bits that mark shared columns: 16 MB for every worker
-ROW_BITS = 24  # bits that mark rows to compare: 2 MB for every worker
+MARK_FACTOR = 16  # bits for each of what is marked in a bit array sent to every worker,
+MOST_BITS = 29  # which has 64 MB at most; beyond that it lets more through and loses nothing
 PAIRS_SENT = 500_000  # pairs sent to every worker at once, 24 MB; more are joined by a shuffle
 TILE = 512  # rows on each side of a tile
+GROUP = 256  # rows compared with the same row in one task
 
 #: A-Z to a-z, white space to spaces.
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
@@ -217,7 +218,12 @@ def _entries(features: DataFrame, marked, bits: int) -> DataFrame:
         run, "g long, key long, n long, left int, reach int, share int")
 
 
-def _sets(docs: DataFrame, marked, words: int) -> DataFrame:
+def _bits(marked: int) -> int:
+    """The size of a bit array for so many marks, as a power of two."""
+    return min(MOST_BITS, max(16, (marked * MARK_FACTOR).bit_length()))
+
+
+def _sets(docs: DataFrame, marked, bits: int, words: int) -> DataFrame:
     """key and hashes of the rows whose key has its bit set in ``marked``, some of them twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = marked.value
@@ -225,31 +231,66 @@ def _sets(docs: DataFrame, marked, words: int) -> DataFrame:
             sets = [shingles(t, words) for t in texts(batch.column(0))]
             names = np.array([row_key(s) for s in sets], np.int64)
             _, first = np.unique(names, return_index=True)
-            at = [i for i in first.tolist() if len(sets[i]) and in_bitmap(array, ROW_BITS, names[i:i + 1])[0]]
+            at = [i for i in first.tolist() if len(sets[i]) and in_bitmap(array, bits, names[i:i + 1])[0]]
             yield pa.RecordBatch.from_arrays([pa.array(names[at]), _lists([sets[i] for i in at])], names=["key", "hashes"])
 
     return docs.select("text").mapInArrow(run, "key long, hashes array<long>")
 
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups one after the other, in each its center first: the members that are similar enough, by the whole sets."""
+    group, center = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        centers, parts, members = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        lists = batch.column(3)
+        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        pairs = []
+        for i, name in enumerate(zip(centers.tolist(), parts.tolist(), strict=True)):
+            own = flat[offsets[i]:offsets[i + 1]]
+            if members[i] == centers[i]:
+                group, center = name, own.copy()
+            elif group == name and len(own):
+                at = np.searchsorted(center, own)
+                shared = int(np.count_nonzero(center[np.minimum(at, len(center) - 1)] == own))
+                if OF * shared >= ABOVE * (len(center) + len(own) - shared):
+                    pairs.append((name[0], int(members[i])))
+        if pairs:
+            a, b = zip(*pairs, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _links(docs: DataFrame, pairs: DataFrame, words: int, path: str) -> DataFrame:
-    """Those of the ``pairs`` (a, b) whose sets are similar enough, by the whole sets; written to ``path``."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    marked = docs.sparkSession.sparkContext.broadcast(bitmap(keys, "key", ROW_BITS))
-    sets = stored(_sets(docs, marked, words), f"{path}-sets")
+    """Those of the ``pairs`` (a, b) whose sets are similar enough, by the whole sets; written to ``path``.
+
+    Of a pair the row with more pairs is the center: it lies where its members come to, once for
+    ``GROUP`` of them. So a set moves once for each pair that it is the lesser row of, and no group is large.
+    """
+    spark = docs.sparkSession
+    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    degree = both.select(F.col("a").alias("key")).union(both.select("b")).groupBy("key").agg(F.count(F.lit(1)).alias("d"))
+    degree = stored(degree, f"{path}-degree")
+    ranked = both.join(degree.select(F.col("key").alias("a"), F.col("d").alias("da")), "a").join(
+        degree.select(F.col("key").alias("b"), F.col("d").alias("db")), "b")
+    first = F.col("da") >= F.col("db")
+    roles = ranked.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("center"),
+                          F.when(first, F.col("b")).otherwise(F.col("a")).alias("member"),
+                          F.call_function("div", F.greatest("da", "db") - 1, F.lit(GROUP)).alias("parts"))
+    roles = roles.withColumn("part", F.pmod(F.col("member"), F.col("parts") + 1)).drop("parts")
+    sides = roles.select(F.col("member").alias("key"), "center", "part").union(
+        roles.select(F.col("center").alias("key"), "center", "part").distinct())
+    sides = stored(sides, f"{path}-sides")
+    bits = _bits(degree.count())
+    marked = spark.sparkContext.broadcast(bitmap(degree, "key", bits))
+    sets = _sets(docs, marked, bits, words)
+    few = sides.count() <= PAIRS_SENT
+    # A row that several texts have sends its set from each of them; the comparison may then say so twice.
+    met = sets.join(F.broadcast(sides) if few else sides, "key").select("center", "part", F.col("key").alias("member"), "hashes")
+    order = ["center", "part", F.col("member") != F.col("center"), "member"]
+    links = met.repartition("center", "part").sortWithinPartitions(*order).mapInArrow(_compare, "a long, b long")
+    links = stored(links.distinct(), path)
     marked.destroy()
-    # A row for either side of a pair; few of them go to every worker, so that only sets that are
-    # compared move, once for each pair.
-    sides = pairs.select(F.col("a").alias("key"), "a", "b").union(pairs.select(F.col("b").alias("key"), "a", "b"))
-    if pairs.count() <= PAIRS_SENT:
-        sides = F.broadcast(sides)
-    met = sets.join(sides, "key")
-    both = met.groupBy("a", "b").agg(
-        F.first(F.when(F.col("key") == F.col("a"), F.col("hashes")), ignorenulls=True).alias("left"),
-        F.first(F.when(F.col("key") == F.col("b"), F.col("hashes")), ignorenulls=True).alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - shared
-    links = stored(both.filter(OF * shared >= ABOVE * union).select("a", "b"), path)
-    discard(docs.sparkSession, f"{path}-sets")
+    for part in ("degree", "sides"):
+        discard(spark, f"{path}-{part}")
     return links
 
 
@@ -290,16 +331,21 @@ def _remaining(entries: DataFrame, roots: DataFrame) -> DataFrame:
     rows = rows.join(sizes, "g").withColumn("side", (F.col("root") != F.col("main")).cast("int"))
     chunk = F.pmod(F.xxhash64("key"), F.when(F.col("side") == 0, F.col("chunks0")).otherwise(F.col("chunks1")))
     rows = rows.withColumn("chunk", chunk)
-    mixed = F.when(F.col("side") == 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks1") - 1),
-                                                   lambda j: F.struct(F.lit(0).alias("kind"), F.col("chunk").alias("i"), j.alias("j"))))
+    # Sides 0 and 1 meet in tiles of kind 0 (i of side 0, j of side 1); in kind 1 chunk i meets chunk j of side 1,
+    # or all meet where these are one. A row's part in a tile says whom it meets: those of the other part, all if 2.
+    def tile(kind: int, i: Column, j: Column, part: Column) -> Column:
+        return F.struct(F.xxhash64(F.col("g"), F.lit(kind), i, j).alias("tile"), part.cast("byte").alias("part"))
+
+    zero = F.lit(0).cast("long")
+    mine = F.col("chunk")
+    mixed = F.transform(F.sequence(zero, F.col("chunks1") - 1), lambda j: tile(0, mine, j, F.lit(0)))
     others = F.concat(
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks0") - 1),
-                    lambda i: F.struct(F.lit(0).alias("kind"), i.alias("i"), F.col("chunk").alias("j"))),
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks1") - 1),
-                    lambda j: F.struct(F.lit(1).alias("kind"), F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j"))))
-    tiles = rows.select("g", F.explode(mixed.otherwise(others)).alias("t"), "side", "chunk", "key", "root", "n", "left", "reach")
-    tiles = tiles.select("g", "t.kind", "t.i", "t.j", "side", "chunk", "key", "root", "n", "left", "reach")
-    dealt = tiles.repartition("g", "kind", "i", "j").sortWithinPartitions("g", "kind", "i", "j")
+        F.transform(F.sequence(zero, F.col("chunks0") - 1), lambda i: tile(0, i, mine, F.lit(1))),
+        F.transform(F.sequence(zero, F.col("chunks1") - 1), lambda j: tile(
+            1, F.least(mine, j), F.greatest(mine, j), F.when(mine == j, 2).when(mine < j, 0).otherwise(1))))
+    tiles = rows.select(F.explode(F.when(F.col("side") == 0, mixed).otherwise(others)).alias("t"), "key", "root", "n", "left", "reach")
+    tiles = tiles.select("t.tile", "t.part", "key", "root", F.col("n").cast("int").alias("n"), "left", "reach")
+    dealt = tiles.repartition("tile").sortWithinPartitions("tile")
     return dealt.mapInArrow(_multiply, "a long, b long").distinct()
 
 
@@ -312,10 +358,9 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sent = np.zeros((0, 2), np.int64)
 
     def good(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        _, kind, i, j, side, chunk, _, root, n, left, reach = rows
-        # Sides 0 and 1 meet in tiles of kind 0; in others chunk i meets chunk j, or all meet where these are one.
-        meet = np.where(kind[x] == 0, side[x] != side[y], (i[x] == j[x]) | (chunk[x] != chunk[y])) & (root[x] != root[y])
-        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        _, part, _, root, n, left, reach = rows
+        meet = ((part[x] != part[y]) | (part[x] == 2)) & (root[x] != root[y])
+        small, large = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
         need = -(-ABOVE * (small + large) // (ABOVE + OF))
         return (meet & (OF * small >= ABOVE * large) & (np.minimum(left[x], left[y]) >= need)
                 & (np.maximum(reach[x], reach[y]) >= need))
@@ -330,7 +375,7 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(at):
                 break
             ok = at[good(rows, at, at + k)]
-            a, b = rows[6][ok], rows[6][ok + k]
+            a, b = rows[2][ok], rows[2][ok + k]
             pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
         return np.unique(np.concatenate(pairs), axis=0)
 
@@ -350,10 +395,7 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if rest is not None:
             columns = [np.concatenate([r, c]) for r, c in zip(rest, columns, strict=True)]
-        change = np.zeros(len(columns[0]), bool)
-        for c in columns[:4]:
-            change[1:] |= c[1:] != c[:-1]
-        edges = np.append(0, np.flatnonzero(change))
+        edges = np.append(0, np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1)
         if edges[-1]:
             yield from flush([c[:edges[-1]] for c in columns], edges)
         # The last tile may go on in the next batch.
@@ -379,12 +421,15 @@ def _linked(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
         shared = every.select(top.alias("top"), tag.alias("tag")).groupBy("top").agg(
             F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi").select(
             F.shiftleft(F.col("top").cast("long"), 32).alias("g"))
-        marked = spark.sparkContext.broadcast(bitmap(shared, "g", COLUMN_BITS))
-        entries = _entries(features, marked, COLUMN_BITS).groupBy("g", "key").agg(
+        shared = stored(shared, f"{folder}/shared")
+        bits = _bits(shared.count())
+        marked = spark.sparkContext.broadcast(bitmap(shared, "g", bits))
+        entries = _entries(features, marked, bits).groupBy("g", "key").agg(
             *[F.min(c).alias(c) for c in ("n", "left", "reach", "share")])
         entries = stored(entries, f"{folder}/entries")
         marked.destroy()
-        discard(spark, f"{folder}/features")
+        for part in ("features", "shared"):
+            discard(spark, f"{folder}/{part}")
         pairs = stored(_one_each(entries), f"{folder}/pairs1")
         first = _links(docs, pairs, words, f"{folder}/links1")
         others = stored(_remaining(entries, connected(first)), f"{folder}/pairs2")
