@@ -1,16 +1,20 @@
 """Benchmark decontamination by one Aho-Corasick automaton over normalised test items.
 
-Texts are brought to words joined by single spaces, and every window of 13 consecutive item words
-is a key of the automaton, spaces on both sides. Each text is scanned once; matches are intervals
-of word numbers, and these are mapped back to code point offsets of the text as it was.
+The words of all items are numbered, and every window of 13 consecutive item words is a key of the
+automaton, which so takes one node a word. It is built once, on the driver, and sent to the workers.
+Each text is scanned once: words become numbers, and stretches in which any two neighbours are
+neighbours in some item run through the automaton. Matches are intervals of word numbers, and these
+are mapped back to code point offsets of the text as it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, functions as F
 
 from plateflow.llm.frames import append, column, discard, kept, scratch, stored, texts
@@ -18,11 +22,11 @@ from plateflow.session import cut
 
 #: Words in a window; an item of fewer is one window.
 WINDOW = 13
-#: Normalised bytes of items in one automaton. Tries grow to some 70 nodes a window, so this
-#: bounds a worker's memory to about 150 MB; larger parts are scanned one automaton after the other.
-AUTOMATON_BYTES = 256 << 10
+#: Normalised bytes of items in one automaton. 1 MB of items took 100 MB in every worker, 74 MB to send and
+#: 1.9 s to build; larger parts make several automata.
+AUTOMATON_BYTES = 2 << 20
 #: Bytes of items sent to the workers at once; a larger benchmark is scanned in several passes.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 2 << 20
 
 #: Bytes of UTF-8: A-Z to a-z; digits, letters and everything beyond ASCII stay; the rest separates.
 TO_WORDS = bytes(
@@ -32,7 +36,7 @@ TO_WORDS = bytes(
 Item = tuple[str, str]  # id, text
 
 
-def windows(words: Sequence[bytes], size: int = WINDOW) -> list[tuple[bytes, ...]]:
+def windows(words: Sequence, size: int = WINDOW) -> list[tuple]:
     if not words:
         return []
     if len(words) < size:
@@ -62,36 +66,53 @@ def automata(items: Sequence[Item], size: int, most: int) -> list[list[tuple[str
     return groups
 
 
-def build(group: Sequence[tuple[str, bytes]], size: int) -> ahocorasick.Automaton:
-    found: dict[str, tuple[int, list[str]]] = {}
-    for name, normal in group:
-        for window in windows(normal.split(b" "), size):
-            key = (b" " + b" ".join(window) + b" ").decode("latin-1")
-            found.setdefault(key, (len(window), []))[1].append(name)
-    automaton = ahocorasick.Automaton()
-    for key, value in found.items():
-        automaton.add_word(key, value)
-    automaton.make_automaton()
-    return automaton
-
-
 class Scanner:
-    """The automata of one pass; a single one is kept, several are built in turn for each batch."""
-
-    def __init__(self, items: Sequence[Item], size: int, most: int) -> None:
-        self.groups, self.size = automata(items, size, most), size
-        self.only = build(self.groups[0], size) if len(self.groups) == 1 else None
-
-    def scan(self, normals: Sequence[str]) -> list[tuple[list[tuple[int, int]], set[str]]]:
-        """Per text the matches as (end offset, words) and the items they come from."""
-        out: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in normals]
-        for group in self.groups:
-            automaton = self.only or build(group, self.size)
-            for normal, (ends, names) in zip(normals, out, strict=True):
-                for end, (length, items) in automaton.iter(normal):
-                    ends.append((end, length))
-                    names.update(items)
-        return out
+    """One automaton: numbers of words, windows as sequences of numbers, and which words are neighbours."""
+
+    def __init__(self, group: Sequence[tuple[str, bytes]], size: int) -> None:
+        self.numbers: dict[bytes, int] = {}  # from 1; 0 is a word of no item
+        found: dict[tuple[int, ...], list[str]] = {}
+        pairs: set[tuple[int, int]] = set()
+        for name, normal in group:
+            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in normal.split(b" ")]
+            pairs.update(zip(words, words[1:]))
+            for window in windows(words, size):
+                found.setdefault(window, []).append(name)
+        self.lengths = [len(w) for w in found]
+        self.names = list(found.values())
+        self.least = min(self.lengths)
+        self.base = len(self.numbers) + 1
+        self.pairs = np.array(sorted(a * self.base + b for a, b in pairs), np.int64)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for i, window in enumerate(found):
+            self.automaton.add_word(window, i)
+        self.automaton.make_automaton()
+
+    def scan(self, words: Sequence[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """The occurrences of windows as half-open intervals of word numbers, and the items they come from."""
+        marks: list[tuple[int, int]] = []
+        names: set[str] = set()
+        if len(words) < self.least:
+            return marks, names
+        numbers = np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))
+        for lo, hi in self._stretches(numbers):
+            for end, which in self.automaton.iter(tuple(numbers[lo:hi].tolist())):
+                marks.append((lo + end + 1 - self.lengths[which], lo + end + 1))
+                names.update(self.names[which])
+        return marks, names
+
+    def _stretches(self, numbers: np.ndarray) -> list[tuple[int, int]]:
+        """Intervals of words outside which no window can lie."""
+        if self.least > 1:
+            pairs = numbers[:-1] * self.base + numbers[1:]
+            at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+            good, more = self.pairs[at] == pairs, 1
+        else:
+            good, more = numbers > 0, 0
+        edge = np.diff(np.concatenate([[False], good, [False]]).astype(np.int8))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + more
+        long = ends - starts >= self.least
+        return list(zip(starts[long].tolist(), ends[long].tolist(), strict=True))
 
 
 def _joined(intervals: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,47 +189,33 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
 
 def _pass(items: Sequence[Item], size: int, most: int, last: bool):
-    def make():
-        scanner = Scanner(items, size, most)
+    # Built here, once; a worker unpacks it once.
+    scanners = SparkContext.getOrCreate().broadcast([Scanner(group, size) for group in automata(items, size, most)])
 
+    def make():
         def compute(columns):
             earlier = zip(columns[1].to_pylist(), columns[2].to_pylist(), strict=True) if len(columns) > 1 else None
             rows: list[tuple] = []
-            chunk: list[bytes] = []
-            weight = 0
-
-            def flush():
-                nonlocal weight
-                split = [data.translate(TO_WORDS).split() for data in chunk]
-                normals = [(b" " + b" ".join(words) + b" ").decode("latin-1") for words in split]
-                for data, words, normal, (ends, names) in zip(chunk, split, normals, scanner.scan(normals), strict=True):
-                    marks = []
-                    if ends:
-                        spaces = np.flatnonzero(np.frombuffer(normal.encode("latin-1"), np.uint8) == 0x20)
-                        at = np.searchsorted(spaces, [end for end, _ in ends])
-                        marks = [(int(j) - length, int(j)) for j, (_, length) in zip(at, ends, strict=True)]
-                    if earlier is not None:
-                        before, known = next(earlier)
-                        marks += [(m["first"], m["last"]) for m in before]
-                        names = names | set(known)
-                    marks = _joined(marks)
-                    if last:
-                        hit = sum(hi - lo for lo, hi in marks)
-                        rows.append((len(words), hit, sorted(names), _offsets(data, marks) if marks else [],
-                                     hit > 0 and 20 * hit >= len(words)))
-                    else:
-                        rows.append((marks, sorted(names)))
-                chunk.clear()
-                weight = 0
-
-            # With one automaton there is no need to hold many texts at a time.
-            most_bytes = 1 << 20 if scanner.only else 64 << 20
             for value in texts(columns[0]):
-                chunk.append(value.encode("utf-8"))
-                weight += len(chunk[-1])
-                if weight >= most_bytes:
-                    flush()
-            flush()
+                data = value.encode("utf-8")
+                words = data.translate(TO_WORDS).split()
+                marks: list[tuple[int, int]] = []
+                names: set[str] = set()
+                for scanner in scanners.value:
+                    found, of = scanner.scan(words)
+                    marks += found
+                    names |= of
+                if earlier is not None:
+                    before, known = next(earlier)
+                    marks += [(m["first"], m["last"]) for m in before]
+                    names |= set(known)
+                marks = _joined(marks)
+                if last:
+                    hit = sum(hi - lo for lo, hi in marks)
+                    rows.append((len(words), hit, sorted(names), _offsets(data, marks) if marks else [],
+                                 hit > 0 and 20 * hit >= len(words)))
+                else:
+                    rows.append((marks, sorted(names)))
             if last:
                 a, b, c, d, e = zip(*rows, strict=True)
                 return a, b, c, [[{"first": lo, "last": hi} for lo, hi in x] for x in d], e

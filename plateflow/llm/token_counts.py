@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
 from plateflow.llm.bpe import Numbers, merge_words
@@ -39,9 +40,12 @@ def count_tokens(docs: DataFrame, tokenizer: TokenizerFile, text: str = "text",
     replaced by it.
     """
 
+    # Proved here, once; the list travels to the workers.
+    proved = SparkContext.getOrCreate().broadcast(tuple(dict.fromkeys(whole_tokens(tokenizer))))
+
     def make():
         vocabulary = tokenizer.load()
-        single = Numbers((w, i) for i, w in enumerate(dict.fromkeys(whole_tokens(tokenizer))))
+        single = Numbers((w, i) for i, w in enumerate(proved.value))
 
         def compute(columns):
             numbers = Numbers(single)

@@ -1,13 +1,14 @@
 """Vocabulary, normalisation and pre-tokens of a word-end BPE tokenizer file.
 
 The file is read on the driver and travels with the job, so executors need no path. Classes and
-case follow the Unicode versions of ``regex`` and Python; code points first assigned in Unicode 16
-or 17 may be split or cased otherwise by other libraries.
+case follow the tokenizers library: where ``regex`` or Python have another Unicode version, the code
+points that differ are listed below; a test compares every code point.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
@@ -15,6 +16,32 @@ from functools import lru_cache
 import regex
 
 
+#: Fixed values, found by comparing every code point with the tokenizers library: what ``regex`` has as letters, and as
+#: numbers, and the library as neither (first and last of each range).
+NO_LETTERS = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+    (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4),
+    (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F),
+)
+NO_NUMBERS = (
+    (0x11DE0, 0x11DE9), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16FF4, 0x16FF6),
+)
+#: Capitals that the library lower-cases and this Python does not (first, last, distance to the small letter).
+MORE_CAPITALS = ((0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+                 (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27))
+
+
+def _set(ranges) -> str:
+    return "[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b, *_ in ranges) + "]"
+
+
 @dataclass(frozen=True)
 class TokenizerFile:
     """The content of a tokenizer file; ``load`` builds its tables once per worker."""
@@ -67,6 +94,11 @@ class Vocabulary:
         self.byte_of = {c: b for b, c in enumerate(letters)}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(split).findall
+        # Texts with code points of the lists above are rare; they take a slower pattern.
+        self._listed = re.compile(_set(NO_LETTERS)[:-1] + _set(NO_NUMBERS)[1:-1] + _set(MORE_CAPITALS)[1:]).search
+        exact = split.replace(r"\p{L}", "[\\p{L}--" + _set(NO_LETTERS) + "]").replace(r"\p{N}", "[\\p{N}--" + _set(NO_NUMBERS) + "]")
+        self._exact_words = regex.compile(exact, regex.V1).findall
+        self._capitals = {c: c + far for a, b, far in MORE_CAPITALS for c in range(a, b + 1)}
         # Longest first, as the strings may begin alike.
         marks = sorted(map(regex.escape, self.specials), key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(marks) + ")") if marks else None
@@ -87,6 +119,8 @@ class Vocabulary:
         if not text.isascii():
             # Letter by letter: a final sigma is no special case here.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if self._listed(text):
+                return self._exact_words(text.translate(self._capitals).lower())
         return self._words(text.lower())
 
     def symbols(self, word: str) -> list[int]:

@@ -109,3 +109,14 @@ def test_whole_table_against_the_library(spark, data_dir, tokenizer, library):
         wanted = digests(library, text)
         assert (trips[i].n_tokens, trips[i].ids_sha256, trips[i].decoded_sha256) == wanted
         assert counts[i].n_tokens == wanted[0]
+
+
+def test_every_code_point_is_split_and_cased_as_by_the_library(tokenizer, library):
+    """Each code point behind a letter and before a digit, and between signs."""
+    vocabulary = tokenizer.load()
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for start in range(0, len(points), 100_000):
+        some = [f"a{chr(c)}1 !{chr(c)}!" for c in points[start:start + 100_000]]
+        batch = Batch(vocabulary, pa.array(some))
+        for text, row, known in zip(some, batch.rows, library.encode_batch(some, add_special_tokens=False), strict=True):
+            assert batch.encoded(row).tolist() == known.ids, hex(ord(text[1]))
