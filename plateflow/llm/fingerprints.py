@@ -159,25 +159,29 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     of their texts; the last one is followed by the first). A null text is empty. Returns the
     columns of ``SCHEMA``, one row a document; an empty table gives none. Other columns are not read.
 
-    Documents are dealt by ranges of doc_id and sorted within; each range also gets the first
-    document of the next. Texts cross the network once. The driver sees one id per range.
+    Documents are dealt by ranges of doc_id, those without one by ranges of the beginning of their
+    text, and sorted within; each range also gets the first document of the next. Texts cross the
+    network once. The driver sees one id per range.
     """
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(column(docs, doc_id).cast("long").alias("doc_id"),
                        F.coalesce(column(docs, text), F.lit("")).alias("text"))
-    cuts = [i / ranges for i in range(1, ranges)]
     # Bounds only even out the ranges; any would give the same result.
-    bounds = sorted({int(x) for x in slim.approxQuantile("doc_id", cuts, 1 / (8 * ranges))}) if cuts else []
-    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(
-        _ascending(bounds, F.col("doc_id"))).cast("int")
+    rows, named = slim.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    without = -(-ranges * (rows - named) // max(1, rows))
+    starts = _bounds(slim.filter("doc_id is null").select(_beginning(F.col("text")).alias("b")), "b", without)
+    bounds = _bounds(slim.select("doc_id"), "doc_id", ranges - without)
+    place = F.when(F.col("doc_id").isNull(), _ascending(starts, _beginning(F.col("text")))).otherwise(
+        _ascending(bounds, F.col("doc_id")) + len(starts)).cast("int")
     placed = slim.withColumn("at", place)
+    ranges = len(starts) + len(bounds) + 1
     heads = {r["at"]: r["id"] for r in placed.groupBy("at").agg(F.min("doc_id").alias("id")).collect()}
     order = sorted(heads)
     before = {at: order[i - 1] for i, at in enumerate(order)}
     ids = [i for i in heads.values() if i is not None]
-    first = placed.filter(F.col("doc_id").isin(ids) | ((F.col("at") == 0) & F.col("doc_id").isNull()))
-    # In the first range null ids come before its smallest id.
+    first = placed.filter(F.col("doc_id").isin(ids) | F.col("doc_id").isNull())
+    # In a range that has both, null ids come before its smallest id.
     key = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "text")
     first = first.groupBy("at").agg(F.min(key).alias("k"))
     target = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map(F.lit(0), F.lit(0))
@@ -188,6 +192,17 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return ordered.select("doc_id", "text", "at", "extra").mapInArrow(_along, SCHEMA)
 
 
+def _beginning(text):
+    """The first seven bytes of a text as a number; texts in order have these in order."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def _bounds(values: DataFrame, name: str, ranges: int) -> list[int]:
+    """At most ``ranges`` - 1 ascending bounds that cut the values into like parts, about."""
+    cuts = [i / ranges for i in range(1, ranges)]
+    return sorted({int(x) for x in values.approxQuantile(name, cuts, 1 / (8 * ranges))}) if cuts else []
+
+
 def _ascending(bounds: Sequence[int], value):
     """How many of the ascending ``bounds`` are at or below ``value``, by binary search."""
     if not bounds:

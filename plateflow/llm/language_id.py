@@ -140,7 +140,7 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
           sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model fitted on at most ``sample_rows`` of the rows with a language, equally many of each.
 
-    The rows are those with the smallest hash of their id within a language. Texts become vectors
+    The rows are those with the smallest hash of id and text within a language. Texts become vectors
     on the executors; the driver gets ``sample_rows`` vectors of ``SIZE`` numbers at most. Rows
     without letters teach nothing. Of more languages than ``sample_rows`` each gives one row, one
     with letters if it has any: all are learned, and the vectors grow with them, the time of fitting
@@ -158,7 +158,8 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     # A first cut by hash, more than twice as wide as needed, keeps the sorted remainder small.
     widest = F.create_map(*[F.lit(v) for name, n in counts.items()
                             for v in (name, min(span, int(span * (2 * each + 30) / n) + span // 1000))])
-    mark = F.xxhash64("id")
+    # Rows without an id have marks of their own, too.
+    mark = F.xxhash64("id", "text")
     some = rows.withColumn("mark", mark).filter(F.pmod("mark", F.lit(span)) < widest[F.col("lang")])
     first = W.partitionBy("lang").orderBy(F.pmod("mark", F.lit(span)), "mark", "id", F.xxhash64("text"))
     some = some.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= each)

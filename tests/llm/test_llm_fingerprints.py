@@ -100,3 +100,18 @@ def test_awkward_rows(spark, partitions):
         assert f.fingerprints(one).first().near_next == 1.0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_documents_without_id_are_spread(spark):
+    docs = [(None if k % 3 == 0 else k, prose(k, 12)) for k in range(300)] + [(None, ""), (None, None), (None, "\U0001f600")]
+    order = sorted(((i is not None, i or 0, t or "") for i, t in docs))
+    want = []
+    for (some, i, text), (_, _, after) in zip(order, order[1:] + order[:1], strict=True):
+        other = f.edited(text, after)
+        a, b, c = f.fingerprint(text), f.fingerprint(other), f.fingerprint(after)
+        want.append(str((i if some else None, len(text), hashlib.sha256(other.encode()).hexdigest(), a, b, *f.likeness([(a, b), (a, c)]))))
+    got = f.fingerprints(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(want)
+    from pyspark.sql import functions as F
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
