@@ -3,6 +3,7 @@
 from oracle.prelude import cavg, money, rdiv
 from oracle.views import DEMAND, PARTPERF, RESTPERF, RFM
 
+# Names and bounds of the bands.
 BANDS = "CASE WHEN recency_days<=14 THEN 'Active (0-14d)' WHEN recency_days<=30 THEN 'Cooling (15-30d)' WHEN recency_days<=60 THEN 'At Risk (31-60d)' WHEN recency_days<=90 THEN 'Churning (61-90d)' ELSE 'Churned (90d+)' END"
 
 SQL = {

@@ -8,8 +8,9 @@ and partition key supplies the offsets. Frames of any size go the same way.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -40,6 +41,20 @@ def desc(column: str, nulls_last: bool | None = None) -> By:
     return By(column, True, nulls_last)
 
 
+def ordered(*keys: By | Callable[[], Column]):
+    """Let an operator return its rows in this order, after the last join. A key that is no column of the result is
+    given as a function that makes the sort expression. Whoever aggregates or joins the result on pays no sort."""
+
+    def wrap(operator):
+        @wraps(operator)
+        def run(*args, **parameters) -> DataFrame:
+            return operator(*args, **parameters).orderBy(*[k.sort() if isinstance(k, By) else k() for k in keys])
+
+        return run
+
+    return wrap
+
+
 def top(df: DataFrame, k: int | None, *keys: By) -> DataFrame:
     """The first ``k`` rows of a total order (a per-task heap, not a global sort)."""
     ordered = df.orderBy(*[key.sort() for key in keys])

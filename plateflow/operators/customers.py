@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 from plateflow.functions.bands import band
 from plateflow.functions.dates import days_before, month_label
 from plateflow.functions.exact import count_where, half_up, mean, percent, ratio
-from plateflow.functions.ordering import Want, add_orders, asc, desc
+from plateflow.functions.ordering import Want, add_orders, asc, desc, ordered
 from plateflow.functions.tiles import Tiles, add_tiles
 from plateflow.model import Marketplace
 from plateflow.operators.common import cohort_counts, delivered, everything, is_cancelled
 from plateflow.operators.views import customer_rfm, percent_rank
 
 
+@ordered(asc("cohort"), asc("month_number"))
 def cohort_retention(m: Marketplace, as_of: date | None = None, max_month: int = 12) -> DataFrame:
     """Share of each monthly cohort that ordered again, by months since the first order."""
     rows = cohort_counts(m, max_month)
@@ -26,6 +27,7 @@ def cohort_retention(m: Marketplace, as_of: date | None = None, max_month: int =
         percent(size - active, size, 1).alias("cumulative_churn_pct"))
 
 
+@ordered(asc("cohort"))
 def cohort_matrix(m: Marketplace, as_of: date | None = None, months: tuple[int, ...] = (0, 1, 3, 6)) -> DataFrame:
     """Cohorts as rows, retention in the chosen months as columns."""
     rows = cohort_counts(m, max(months)).filter(F.col("month_number").isin(*months))
@@ -75,6 +77,7 @@ def cohort_activity_all(m: Marketplace, as_of: date | None = None, max_month: in
         month_label(F.col("cohort")).alias("cohort"), "month_number", "active_customers")
 
 
+@ordered(desc("avg_lifetime_spend"))
 def rfm_summary(m: Marketplace, as_of: date) -> DataFrame:
     """Segments with their share of customers and revenue."""
     seg = customer_rfm(m, as_of).groupBy("rfm_segment").agg(
@@ -108,6 +111,7 @@ def customer_value(m: Marketplace, as_of: date) -> DataFrame:
         "orders_per_month", ratio(F.col("total_orders") * 30, F.col("customer_age_days"), 2))
 
 
+@ordered(desc("historical_ltv"), asc("customer_id"))
 def lifetime_value(m: Marketplace, as_of: date, horizon: int = 12) -> DataFrame:
     """Historical and projected value with rank, decile and percentile over all customers."""
     people = m.customers("customer_id", "customer_name", "customer_tier", "acquisition_channel", "city_id").join(
@@ -130,6 +134,7 @@ ACTIONS = ("🚨 Win-Back VIP — send ₹100 voucher", "⚠️  Retention offer
            "📧 Re-engagement push notification", "— Standard flow")
 
 
+@ordered(desc("days_since_last_order"), asc("customer_id"))
 def churn_risk(m: Marketplace, as_of: date, recent: int = 30, prev: int = 60, ticket_days: int = 90,
                corrected: bool = False) -> DataFrame:
     """Recency, trend and advice per active customer.
@@ -181,6 +186,7 @@ def churn_risk(m: Marketplace, as_of: date, recent: int = 30, prev: int = 60, ti
         "order_trend": trend, "churn_segment": band(idle, (14, 30, 60, 90), names), "recommended_action": advice})
 
 
+@ordered(desc("avg_ltv"))
 def acquisition_channels(m: Marketplace, as_of: date | None = None, corrected: bool = False) -> DataFrame:
     """Activation, orders and value per channel.
 
@@ -224,6 +230,7 @@ def recency_bands(m: Marketplace, as_of: date, bounds: tuple[int, ...] = (7, 14,
                        percent(F.col("customers"), F.col("_all"), 2).alias("pct_of_customers"))
 
 
+@ordered(asc("quintile"))
 def spending_quintiles(m: Marketplace, as_of: date | None = None, n: int = 5) -> DataFrame:
     """Customers in ``n`` equal groups by spend."""
     spend = delivered(m, "customer_id", "total_amount").groupBy("customer_id").agg(
@@ -234,6 +241,7 @@ def spending_quintiles(m: Marketplace, as_of: date | None = None, n: int = 5) ->
         mean(F.col("_spent"), 2, 2).alias("avg_spend"), F.sum("_spent").alias("total_revenue"))
 
 
+@ordered(asc("ltv_quintile"))
 def value_quintiles(m: Marketplace, as_of: date, n: int = 5, horizon: int = 12) -> DataFrame:
     """Customers in ``n`` equal groups by value, best first, with a projection per group."""
     tiles = add_tiles(customer_value(m, as_of), "customer_id", Tiles(desc("historical_ltv"), "ltv_quintile", n))

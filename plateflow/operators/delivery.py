@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from plateflow.functions.dates import day_label, days_before, seconds_between, sunday_zero
 from plateflow.functions.exact import count_where, half_up, mean, percent, ratio
-from plateflow.functions.ordering import asc, desc, top
+from plateflow.functions.ordering import asc, desc, ordered, top
 from plateflow.functions.quantiles import histogram
 from plateflow.model import Marketplace
 from plateflow.operators.common import everything, is_cancelled, minutes_at, minutes_at_all, zone_names
@@ -50,6 +50,7 @@ def delivery_times(m: Marketplace, as_of: date | None = None, approximate: bool
                         "on_time_rate_pct")
 
 
+@ordered(asc("day_num"), asc("hour"))
 def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Weekday by hour: volume, minutes, breaches and congestion against the average cell."""
     trips = done_trips(m, "order_id", "delivery_id", "actual_time_mins", "sla_breached").filter(
@@ -77,6 +78,7 @@ def delivery_heatmap(m: Marketplace, as_of: date | None = None) -> DataFrame:
 PARTNER_TIERS = ("🌟 Top Performer", "✅ Good", "📊 Average", "⚠️  Needs Coaching")
 
 
+@ordered(desc("performance_score", nulls_last=True), asc("partner_id"))
 def partner_scores(m: Marketplace, as_of: date | None = None, k: int | None = 100,
                    corrected: bool = False) -> DataFrame:
     """Composite score of rating, punctuality, experience and speed.
@@ -108,6 +110,7 @@ def partner_scores(m: Marketplace, as_of: date | None = None, k: int | None = 10
 ZONE_RISKS = ("🚨 High Risk — Increase partner supply", "⚠️  Medium Risk — Monitor closely", "✅ On Target")
 
 
+@ordered(desc("sla_breach_pct"))
 def zone_risk(m: Marketplace, as_of: date | None = None, min_deliveries: int = 100,
               corrected: bool = False) -> DataFrame:
     """Service level, target gap and partner density per zone.
@@ -138,6 +141,7 @@ def zone_risk(m: Marketplace, as_of: date | None = None, min_deliveries: int = 1
         ratio(F.col("total_deliveries"), F.col("active_partners"), 1).alias("deliveries_per_partner"))
 
 
+@ordered(desc("cancellations"), asc("cancellation_reason"))
 def cancellation_reasons(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Why orders were cancelled, what was lost, how soon and at which hour."""
     orders = m.orders("cancellation_reason", "order_status", "total_amount", "cancelled_at", "order_timestamp")
@@ -168,6 +172,7 @@ def partner_days(m: Marketplace) -> DataFrame:
         F.sum("distance_km").alias("km"), mean(F.col("actual_time_mins"), 10).alias("avg_time"))
 
 
+@ordered(desc("total_earnings"), asc("partner_id"))
 def partner_earnings(m: Marketplace, as_of: date | None = None, util: int = 8, k: int = 50) -> DataFrame:
     """Earnings and utilisation of active partners over their working days."""
     n = F.count(F.lit(1))
@@ -205,6 +210,7 @@ def zone_performance(m: Marketplace, as_of: date, start: date | None = None, end
         F.sum("partner_earnings").alias("total_earnings"))
 
 
+@ordered(desc("mins_above_zone_avg"), asc("partner_name"))
 def slow_partners(m: Marketplace, as_of: date | None = None, min_deliveries: int = 20,
                   ratio_percent: int = 130) -> DataFrame:
     """Partners whose average exceeds their zone's by the given percentage."""
@@ -242,6 +248,7 @@ def inactive_partners(m: Marketplace, as_of: date, risk: int = 30, churn: int =
         "total_deliveries", "partner_status")
 
 
+@ordered(desc("avg_mins"), asc("zone_name"))
 def slow_zones(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFrame:
     """Zones by average minutes, ranked within their city."""
     trips = done_trips(m, "order_id", "delivery_id", "actual_time_mins", "distance_km")
@@ -254,6 +261,7 @@ def slow_zones(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFr
         "zone_name", "city_name", "avg_mins", "avg_km", "deliveries", "slow_rank")
 
 
+@ordered(desc("gmv_at_risk"))
 def unassigned_risk(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Open orders without a delivery, and their value, per zone."""
     orders = m.orders("order_id", "zone_id", "order_status", "total_amount").filter(
@@ -266,6 +274,7 @@ def unassigned_risk(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return named.select("unassigned_active_orders", "gmv_at_risk", "zone_name", "city_name")
 
 
+@ordered(desc("actual_time_mins"), asc("order_id"))
 def late_orders(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFrame:
     """The slowest deliveries beyond the service level; only the ``k`` kept rows are looked up further."""
     trips = m.deliveries("order_id", "actual_time_mins", "expected_time_mins", "sla_breached").filter("sla_breached")

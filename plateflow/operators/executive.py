@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import days_before, first_of_month, month_of, shift_months
 from plateflow.functions.exact import attach, count_where, growth, mean, percent, ratio, sum_where
-from plateflow.functions.ordering import desc, top
+from plateflow.functions.ordering import asc, desc, ordered, top
 from plateflow.model import Marketplace
 from plateflow.operators.common import activity_months, delivered, distinct, everything, is_cancelled, is_delivered, \
     trailing, truncated_growth, upto
@@ -49,6 +49,7 @@ def month_tiles(m: Marketplace, as_of: date, corrected: bool = False) -> DataFra
         growth(c("gmv"), c("gmv0"), 1, 2).alias("gmv_mom_growth_pct"), customers.alias("customer_mom_growth_pct"))
 
 
+@ordered(desc("month"))
 def gmv_trend(m: Marketplace, as_of: date, months: int = 24, lag: int = 12) -> DataFrame:
     """The first day of each month, with running total, three-row average and the row ``lag`` before."""
     days = daily_kpi(m, as_of, since=shift_months(as_of, -months)).filter(F.dayofmonth("day") == 1)
@@ -95,6 +96,7 @@ def unit_economics(m: Marketplace, as_of: date, days: int = 30) -> DataFrame:
         "unique_restaurants")
 
 
+@ordered(desc("month"))
 def new_and_returning(m: Marketplace, as_of: date | None = None, k: int = 24, corrected: bool = False) -> DataFrame:
     """Customers in their first month against returning ones; the latest ``k`` months."""
     fresh = F.col("month_number") == 0
@@ -111,6 +113,7 @@ def new_and_returning(m: Marketplace, as_of: date | None = None, k: int = 24, co
         "prev_new_customers", change.alias("new_customer_growth_pct"))
 
 
+@ordered(desc("month"))
 def monthly_growth(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Delivered value per month, growth and running total."""
     rows = delivered(m, "order_date", "total_amount").groupBy(month_of(F.col("order_date")).alias("month")).agg(
@@ -121,6 +124,7 @@ def monthly_growth(m: Marketplace, as_of: date | None = None) -> DataFrame:
         "cumulative_gmv": F.sum("gmv").over(upto("month"))})
 
 
+@ordered(desc("order_date"))
 def moving_orders(m: Marketplace, as_of: date | None = None, w: tuple[int, int] = (7, 30), k: int = 90) -> DataFrame:
     """Daily delivered orders with averages over the last rows (days without orders have no row)."""
     rows = delivered(m, "order_date").groupBy("order_date").agg(F.count(F.lit(1)).alias("daily_orders"))
@@ -140,6 +144,7 @@ def moving_orders_calendar(m: Marketplace, as_of: date | None = None, days: int
     return full.withColumn("ma_days", ratio(F.sum("daily_orders").over(frame), F.count(F.lit(1)).over(frame), 1))
 
 
+@ordered(desc("order_date"))
 def platform_revenue_trend(m: Marketplace, as_of: date | None = None, w: int = 30, lag: int = 30,
                            k: int = 60) -> DataFrame:
     rows = delivered(m, "order_date", "platform_commission").groupBy("order_date").agg(
@@ -152,6 +157,7 @@ def platform_revenue_trend(m: Marketplace, as_of: date | None = None, w: int = 3
     return top(rows, k, desc("order_date"))
 
 
+@ordered(desc("order_date"))
 def daily_growth(m: Marketplace, as_of: date, days: int = 90, w: int = 7, corrected: bool = False) -> DataFrame:
     """Day-over-day growth of delivered orders; published with whole-number division."""
     rows = delivered(m, "order_date", since=days_before(as_of, days)).groupBy("order_date").agg(
@@ -163,6 +169,7 @@ def daily_growth(m: Marketplace, as_of: date, days: int = 90, w: int = 7, correc
         "dod_growth_pct": change, "ma_7d": ratio(F.sum("orders").over(frame), F.count(F.lit(1)).over(frame), 1)})
 
 
+@ordered(desc("order_date"))
 def daily_retention(m: Marketplace, as_of: date | None = None, w: int = 30, k: int = 60) -> DataFrame:
     """Share of each day's customers whose first month lies before, and its average over ``w`` rows."""
     # One shuffle: the days of a customer as a set, no longer than the calendar.

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from plateflow.functions.dates import day_label, month_of, seconds_between, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
+from plateflow.functions.ordering import asc, desc, ordered
 from plateflow.functions.quantiles import percentiles, rounded
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, everything, is_cancelled, is_delivered, trailing, upto, zone_names
 
 
+@ordered(asc("day_of_week"), asc("hour"))
 def demand_plan(m: Marketplace, as_of: date | None = None, late_night: bool = False) -> DataFrame:
     """Weekday by hour with smoothing, rush label and staffing advice.
 
@@ -71,6 +73,7 @@ def ticket_service(m: Marketplace, as_of: date | None = None) -> DataFrame:
         "p90_resolution_hrs")
 
 
+@ordered(desc("net_platform_gain"), asc("promo_code"))
 def promotion_effect(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Promotions against orders without one; both come from a single pass over the orders."""
     per = delivered(m, "promotion_id", "total_amount", "discount_amount", "platform_commission").groupBy(
@@ -89,6 +92,7 @@ def promotion_effect(m: Marketplace, as_of: date | None = None) -> DataFrame:
         percent(gain, F.col("total_discount_cost"), 1, num_scale=2, den_scale=2).alias("promotion_roi_pct"))
 
 
+@ordered(desc("orders"))
 def order_funnel(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Orders reaching each stage, from one scan."""
     orders = m.orders("order_status", "confirmed_at", "prepared_at", "picked_up_at")
@@ -103,6 +107,7 @@ def order_funnel(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return out.select("s.stage", "s.orders", percent(F.col("s.orders"), F.col("_all"), 1).alias("conversion_pct"))
 
 
+@ordered(asc("city_name"), desc("month"))
 def city_monthly_revenue(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Revenue per city and month with growth, running total and three-month average.
 
@@ -128,6 +133,7 @@ def city_monthly_revenue(m: Marketplace, as_of: date | None = None) -> DataFrame
         growth(F.col("revenue"), F.col("prev_month"), 1, 2).alias("mom_growth_pct"), "cumulative_revenue", "ma_3month")
 
 
+@ordered(desc("month"))
 def refund_leakage(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Refunds, cancellations and discounts per month."""
     orders = m.orders("order_date", "order_status", "is_refunded", "refund_amount", "total_amount", "discount_amount")
@@ -141,6 +147,7 @@ def refund_leakage(m: Marketplace, as_of: date | None = None) -> DataFrame:
         percent(discounts, total, 2, **cents).alias("discount_rate_pct"))
 
 
+@ordered(asc("issue_type"), desc("tickets"))
 def tickets_by_status(m: Marketplace, as_of: date | None = None) -> DataFrame:
     rows = m.support_tickets("issue_type", "status").groupBy("issue_type", "status").agg(
         F.count(F.lit(1)).alias("tickets"))
@@ -148,6 +155,7 @@ def tickets_by_status(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return rows.withColumn("pct_within_type", share)
 
 
+@ordered(desc("friday_spike"), asc("zone_name"))
 def friday_zones(m: Marketplace, as_of: date | None = None, dow: int = 5, ratio_percent: int = 130) -> DataFrame:
     """Zones whose orders on the given weekday exceed their weekday average."""
     days = delivered(m, "zone_id", "order_date").groupBy("zone_id", sunday_zero(F.col("order_date")).alias("_dow")).agg(
@@ -161,6 +169,7 @@ def friday_zones(m: Marketplace, as_of: date | None = None, dow: int = 5, ratio_
         ratio(F.col("friday_orders") * F.col("_days"), F.col("_sum"), 2).alias("friday_spike"))
 
 
+@ordered(asc("city_name"), asc("dow"))
 def order_values(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Mean and exact percentiles of order value by city and weekday."""
     # Equal amounts of a customer on a weekday are one row before the join, whatever their number.

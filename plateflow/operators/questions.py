@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from plateflow.functions.dates import day_label, days_before, first_of_month, month_of, shift_months, sunday_zero
 from plateflow.functions.exact import count_where, mean, percent, ratio
-from plateflow.functions.ordering import asc, desc, top
+from plateflow.functions.ordering import asc, desc, ordered, top
 from plateflow.functions.skew import join_spread
 from plateflow.model import Marketplace
 from plateflow.operators.common import delivered, everything, is_cancelled
 from plateflow.session import cut
 
 
+@ordered(desc("order_count"), asc("city_name"))
 def orders_per_city(m: Marketplace, as_of: date) -> DataFrame:
     """Orders of the previous calendar month by the customer's city."""
     start = first_of_month(as_of)
@@ -24,6 +25,7 @@ def orders_per_city(m: Marketplace, as_of: date) -> DataFrame:
     return rows.groupBy("city_name").agg(F.sum("_n").alias("order_count"))
 
 
+@ordered(desc("avg_order_value"))
 def value_by_payment(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return delivered(m, "payment_method", "total_amount").groupBy("payment_method").agg(
         F.count(F.lit(1)).alias("orders"), mean(F.col("total_amount"), 2, 2).alias("avg_order_value"),
@@ -44,6 +46,7 @@ def dormant(m: Marketplace, as_of: date, days: int = 365) -> DataFrame:
     return people.join(seen, "customer_id", "left_anti")
 
 
+@ordered(asc("city_name"), desc("partner_count"))
 def partners_by_vehicle(m: Marketplace, as_of: date | None = None) -> DataFrame:
     partners = m.delivery_partners("city_id", "vehicle_type", "is_active").join(
         m.cities("city_id", "city_name"), "city_id")
@@ -57,12 +60,14 @@ def promotion_usage(m: Marketplace, as_of: date | None = None) -> DataFrame:
                                         percent(used, n, 2).alias("promo_usage_pct"))
 
 
+@ordered(desc("order_count"), asc("hour"))
 def orders_by_hour(m: Marketplace, as_of: date | None = None) -> DataFrame:
     orders = m.orders("order_timestamp", "order_status", "total_amount").filter(~is_cancelled())
     return orders.groupBy(F.hour("order_timestamp").alias("hour")).agg(
         F.count(F.lit(1)).alias("order_count"), mean(F.col("total_amount"), 2, 2).alias("avg_order_value"))
 
 
+@ordered(desc("spend_last_30d"), asc("customer_id"))
 def big_spenders(m: Marketplace, as_of: date, days: int = 30, min_spend: int = 10000) -> DataFrame:
     rows = delivered(m, "customer_id", "total_amount", since=days_before(as_of, days)).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("orders_last_30d"), F.sum("total_amount").alias("spend_last_30d"))
@@ -71,6 +76,7 @@ def big_spenders(m: Marketplace, as_of: date, days: int = 30, min_spend: int = 1
         "customer_id", "customer_name", "customer_tier", "orders_last_30d", "spend_last_30d")
 
 
+@ordered(desc("unique_cuisines_tried"), asc("customer_id"))
 def food_explorers(m: Marketplace, as_of: date | None = None, min_cuisines: int = 5) -> DataFrame:
     """Customers who ordered from several cuisines."""
     pairs = delivered(m, "customer_id", "restaurant_id").groupBy("customer_id", "restaurant_id").agg(
@@ -84,6 +90,7 @@ def food_explorers(m: Marketplace, as_of: date | None = None, min_cuisines: int
         "customer_id", "customer_name", "customer_tier", "unique_cuisines_tried", "unique_restaurants", "total_orders")
 
 
+@ordered(desc("total_deliveries"), asc("partner_name"))
 def seasoned_partners(m: Marketplace, as_of: date | None = None, min_deliveries: int = 500,
                       min_rating: float = 4.5) -> DataFrame:
     partners = m.delivery_partners("partner_name", "vehicle_type", "city_id", "rating", "total_deliveries",
@@ -93,6 +100,7 @@ def seasoned_partners(m: Marketplace, as_of: date | None = None, min_deliveries:
         "partner_name", "vehicle_type", "city_name", "rating", "total_deliveries", "total_earnings")
 
 
+@ordered(desc("active_months"), asc("customer_id"))
 def active_every_month(m: Marketplace, as_of: date, months: int = 6) -> DataFrame:
     """Customers with a delivered order in each of the last ``months`` calendar months."""
     start = shift_months(first_of_month(as_of), 1 - months)
@@ -106,6 +114,7 @@ def active_every_month(m: Marketplace, as_of: date, months: int = 6) -> DataFram
         "customer_id", "customer_name", "customer_tier", "active_months")
 
 
+@ordered(desc("above_avg_by"), asc("order_id"))
 def above_own_average(m: Marketplace, as_of: date | None = None, ratio_percent: int = 150, k: int = 20) -> DataFrame:
     """Orders well above the customer's own average.
 
@@ -144,6 +153,7 @@ def first_and_last(m: Marketplace, as_of: date | None = None, k: int | None = 20
         "last_restaurant", "total_orders")
 
 
+@ordered(desc("improvement"), asc("customer_name"))
 def more_in_second_quarter(m: Marketplace, as_of: date, q: tuple[int, int] = (1, 2), k: int = 20) -> DataFrame:
     """Customers with more orders in the later of two quarters of this year."""
     year = as_of.year

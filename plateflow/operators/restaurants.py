@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from plateflow.functions.bands import band
 from plateflow.functions.dates import days_before, first_of_month, month_of, shift_months, sunday_zero
 from plateflow.functions.exact import attach, count_where, growth, half_up, mean, percent, ratio, sum_where
-from plateflow.functions.ordering import Want, add_orders, asc, desc, rank_among, top
+from plateflow.functions.ordering import Want, add_orders, asc, desc, ordered, rank_among, top
 from plateflow.model import Marketplace
 from plateflow.operators.common import catalog, delivered, everything, is_cancelled, places, upto
 from plateflow.operators.views import percent_rank
 from plateflow.session import cut
 
 
+@ordered(desc("month"), desc("revenue"))
 def monthly_ranking(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Revenue per restaurant and month, growth over its previous active month, standing within the month."""
     rows = delivered(m, "restaurant_id", "order_date", "customer_id", "total_amount", "platform_commission").groupBy(
@@ -45,6 +46,7 @@ def restaurant_sales(m: Marketplace) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum("total_amount").alias("_rev"))
 
 
+@ordered(desc("total_revenue"))
 def cuisine_share(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Market share per cuisine. The average rating is weighted by orders."""
     rests = m.restaurants("restaurant_id", "cuisine_type", "rating")
@@ -69,6 +71,7 @@ def cuisine_share(m: Marketplace, as_of: date | None = None) -> DataFrame:
 STATUSES = ("⭐ Star Partner", "✅ Good Partner", "⚠️  Needs Improvement", "📊 Average")
 
 
+@ordered(desc("health_score", nulls_last=True), asc("restaurant_id"))
 def health_scores(m: Marketplace, as_of: date, recent: int = 30, corrected: bool = False) -> DataFrame:
     """Five-part health score of active restaurants.
 
@@ -137,6 +140,7 @@ def item_sales(m: Marketplace) -> DataFrame:
         F.count("order_item_id").alias("times_ordered"), F.sum("item_total").alias("total_revenue"))
 
 
+@ordered(desc("times_ordered"), asc("item_id"))
 def top_items(m: Marketplace, as_of: date | None = None, k: int = 50) -> DataFrame:
     """The ``k`` most ordered items with three ranks.
 
@@ -158,6 +162,7 @@ def top_items(m: Marketplace, as_of: date | None = None, k: int = 50) -> DataFra
         F.col("is_bestseller").alias("officially_bestseller"))
 
 
+@ordered(asc("days_to_100_orders"), asc("restaurant_name"))
 def onboarding_ramp(m: Marketplace, as_of: date | None = None, milestones: tuple[int, int] = (100, 500),
                     min_orders: int = 100) -> DataFrame:
     """Days from joining to the 100th and 500th delivered order.
@@ -183,11 +188,13 @@ def onboarding_ramp(m: Marketplace, as_of: date | None = None, milestones: tuple
         band(first, (30, 60, 90), names).alias("ramp_category"))
 
 
+@ordered(desc("rating"), asc("restaurant_id"))
 def rated_active(m: Marketplace, as_of: date | None = None, min_rating: float = 4.5) -> DataFrame:
     return m.restaurants("restaurant_id", "restaurant_name", "cuisine_type", "rating", "total_orders",
                          "is_active").filter("is_active").filter(F.col("rating") > min_rating).drop("is_active")
 
 
+@ordered(desc("cancel_rate_pct"), asc("cuisine_type"))
 def cancellation_by_cuisine(m: Marketplace, as_of: date | None = None) -> DataFrame:
     per = m.orders("restaurant_id", "order_status").groupBy("restaurant_id").agg(
         F.count(F.lit(1)).alias("_n"), count_where(is_cancelled()).alias("_c"))
@@ -196,6 +203,7 @@ def cancellation_by_cuisine(m: Marketplace, as_of: date | None = None) -> DataFr
     return rows.withColumn("cancel_rate_pct", percent(F.col("cancellations"), F.col("total_orders"), 2))
 
 
+@ordered(desc("total_orders"), asc("restaurant_id"))
 def recent_busy(m: Marketplace, as_of: date, months: int = 3, min_orders: int = 100) -> DataFrame:
     """Restaurants that joined in the last ``months`` and already have many orders."""
     df = places(m, "restaurant_name", "cuisine_type", "joining_date", "total_orders", "rating")
@@ -204,6 +212,7 @@ def recent_busy(m: Marketplace, as_of: date, months: int = 3, min_orders: int =
         "restaurant_id", "restaurant_name", "cuisine_type", "city_name", "joining_date", "total_orders", "rating")
 
 
+@ordered(desc("avg_food_rating"), asc("cuisine_type"))
 def ratings_by_cuisine(m: Marketplace, as_of: date | None = None, min_reviews: int = 50) -> DataFrame:
     per = m.reviews("restaurant_id", "food_rating", "delivery_rating").groupBy("restaurant_id").agg(
         *[f("food_rating").alias(f"_f{i}") for i, f in enumerate((F.sum, F.count))],
@@ -215,6 +224,7 @@ def ratings_by_cuisine(m: Marketplace, as_of: date | None = None, min_reviews: i
     return rows.filter(F.col("review_count") >= min_reviews)
 
 
+@ordered(desc("total_orders"), asc("restaurant_id"))
 def unreviewed(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Active restaurants without any review."""
     df = places(m, "restaurant_name", "cuisine_type", "joining_date", "total_orders", "is_active").filter("is_active")
@@ -222,6 +232,7 @@ def unreviewed(m: Marketplace, as_of: date | None = None) -> DataFrame:
         "restaurant_id", "restaurant_name", "cuisine_type", "city_name", "joining_date", "total_orders")
 
 
+@ordered(asc("city_name"), asc("city_rank"))
 def city_ranking(m: Marketplace, as_of: date | None = None) -> DataFrame:
     """Restaurants by revenue within their city and overall."""
     rows = restaurant_sales(m).join(places(m, "restaurant_name"), "restaurant_id").withColumnRenamed("_rev", "revenue")
@@ -232,6 +243,7 @@ def city_ranking(m: Marketplace, as_of: date | None = None) -> DataFrame:
     return rows.select("city_name", "restaurant_name", "revenue", "city_rank", "overall_dense_rank")
 
 
+@ordered(asc("city_name"))
 def nth_cuisine(m: Marketplace, as_of: date | None = None, place: int = 2) -> DataFrame:
     """The cuisine in the given place per city by orders; ties share the place."""
     rows = restaurant_sales(m).join(places(m, "cuisine_type"), "restaurant_id").groupBy(
@@ -240,6 +252,7 @@ def nth_cuisine(m: Marketplace, as_of: date | None = None, place: int = 2) -> Da
     return rows.withColumn("_rank", rank).filter(F.col("_rank") == place).drop("_rank")
 
 
+@ordered(desc("peak_hour_orders"), asc("restaurant_name"))
 def peak_hours(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFrame:
     """The busiest hour of each restaurant (the earlier one on a tie), busiest restaurants first."""
     hours = delivered(m, "restaurant_id", "order_timestamp").groupBy(
@@ -253,6 +266,7 @@ def peak_hours(m: Marketplace, as_of: date | None = None, k: int = 20) -> DataFr
         "peak_hour_orders")
 
 
+@ordered(desc("improvement"), asc("restaurant_name"))
 def improved_ratings(m: Marketplace, as_of: date, months: int = 3) -> DataFrame:
     """Restaurants whose average food rating this month beats the one ``months`` ago."""
     now, then = first_of_month(as_of), shift_months(first_of_month(as_of), -months)
@@ -269,6 +283,7 @@ def improved_ratings(m: Marketplace, as_of: date, months: int = 3) -> DataFrame:
         half_up(F.col("current_rating") - F.col("rating_3m_ago"), 2).alias("improvement"))
 
 
+@ordered(desc("longest_streak_days"), asc("restaurant_name"))
 def longest_streaks(m: Marketplace, as_of: date | None = None, k: int = 10) -> DataFrame:
     """Longest run of consecutive days with delivered orders, per restaurant name."""
     days = delivered(m, "restaurant_id", "order_date").select("restaurant_id", "order_date").distinct()
@@ -281,6 +296,7 @@ def longest_streaks(m: Marketplace, as_of: date | None = None, k: int = 10) -> D
     return top(rows, k, desc("longest_streak_days"), asc("restaurant_name"))
 
 
+@ordered(lambda: (F.col("weekend_aov") - F.col("weekday_aov")).desc_nulls_last(), asc("restaurant_name"))
 def weekday_weekend(m: Marketplace, as_of: date | None = None, min_orders: int = 100, k: int = 20) -> DataFrame:
     """Average order value on weekdays and weekends, per restaurant name."""
     weekend = sunday_zero(F.col("order_date")).isin(0, 6)
@@ -296,6 +312,7 @@ def weekday_weekend(m: Marketplace, as_of: date | None = None, min_orders: int =
     return top(rows, k, desc("_gap", nulls_last=True), asc("restaurant_name")).drop("_gap")
 
 
+@ordered(lambda: (F.col("current_revenue") / F.nullif(F.col("prev_3m"), F.lit(0))).asc_nulls_last(), asc("restaurant_name"))
 def declining(m: Marketplace, as_of: date) -> DataFrame:
     """Restaurants whose revenue fell in each of the last three active months up to this one."""
     rows = delivered(m, "restaurant_id", "order_date", "total_amount").groupBy(
@@ -310,6 +327,7 @@ def declining(m: Marketplace, as_of: date) -> DataFrame:
         "restaurant_name", "cuisine_type", "city_name", "month", "current_revenue", "prev_1m", "prev_2m", "prev_3m")
 
 
+@ordered(desc("total_quantity_ordered"), asc("item_name"))
 def popular_items(m: Marketplace, as_of: date | None = None, k: int = 10) -> DataFrame:
     """Items by quantity over orders of every status; items of one name in one restaurant count together."""
     names = ("item_name", "restaurant_name", "cuisine_type")
@@ -334,6 +352,7 @@ def _numbered(items: DataFrame, *names: str, also: tuple[str, ...] = ()) -> Data
 CLASSES = ("A - Core (top 80%)", "B - Important (80-95%)", "C - Long Tail")
 
 
+@ordered(desc("revenue"), asc("item_name"))
 def abc_classes(m: Marketplace, as_of: date | None = None, cuts: tuple[int, int] = (80, 95),
                 k: int | None = 50) -> DataFrame:
     """Items by cumulative share of revenue.
@@ -355,6 +374,7 @@ def abc_classes(m: Marketplace, as_of: date | None = None, cuts: tuple[int, int]
                        band(F.col("cumulative_pct"), cuts, CLASSES).alias("abc_class"))
 
 
+@ordered(desc("co_order_count"), asc("item_name"))
 def ordered_together(m: Marketplace, as_of: date | None = None, cuisine: str = "Pizza", k: int = 15) -> DataFrame:
     """Items of other cuisines in orders that contain the given cuisine.
 
