@@ -79,11 +79,10 @@ def cohorts_of(months: DataFrame, max_month: int) -> DataFrame:
     A customer's first set bit is the cohort; the bits from there on, of two words at most, say in which of
     the following months (up to 59) the customer was active.
     """
-    words = months.groupBy("customer_id").agg(F.min(F.struct("word", "bits")).alias("one"),
-                                              F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("all"))
+    words = months.select(F.col("words")[0].alias("one"), F.try_element_at("words", F.lit(2)).alias("two"))
     # The lowest set bit, by counting the bits below it.
     first = F.bit_count(F.col("one.bits").bitwiseAND(-F.col("one.bits")) - F.lit(1)).cast("int")
-    later = F.coalesce(F.try_element_at("all", F.col("one.word") + 1), F.lit(0).cast("long"))
+    later = F.when(F.col("two.word") == F.col("one.word") + 1, F.col("two.bits")).otherwise(F.lit(0).cast("long"))
     window = F.call_function("shiftrightunsigned", F.col("one.bits"), first).bitwiseOR(
         F.when(first > 0, F.call_function("shiftleft", later, F.lit(BITMAP_MONTHS) - first)).otherwise(F.lit(0).cast("long")))
     start = F.col("one.word") * BITMAP_MONTHS + first

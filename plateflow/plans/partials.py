@@ -44,6 +44,7 @@ SCHEMAS = {
              "late long, timely long",
     "minutes": "mins int, late boolean, timely boolean, trips long",
 }
+WORDS = "customer_id long, words array<struct<word:int,bits:long>>"
 FROM_ORDERS = ("days", "cells", "pairs", "spend")
 FACTS = {"orders": FROM_ORDERS, "reviews": ("ratings",), "deliveries": ("trips", "minutes")}
 
@@ -96,8 +97,12 @@ class Partials:
         return bool(self._seen())
 
     def months(self) -> DataFrame:
-        """customer_id, word, bits: bit b of word w is month 60 w + b, counted from year 0."""
-        return self.spark.read.schema("customer_id long, word int, bits long").parquet(f"{self.path}/months/{self._seen()['bitmap']}")
+        """customer_id, words (word, bits; ascending): bit b of word w is month 60 w + b, counted from year 0."""
+        return self.spark.read.schema(WORDS).parquet(f"{self.path}/months/{self._seen()['bitmap']}")
+
+    def minutes(self) -> DataFrame:
+        """``minutes`` of all months together: as many rows as there are different times and flags."""
+        return self.spark.read.schema(SCHEMAS["minutes"]).parquet(f"{self.path}/all_minutes/{self._seen()['counts']}")
 
     def _seen(self) -> dict:
         fs, make = files(self.spark, self.path)
@@ -138,10 +143,15 @@ class Partials:
                 fs.mkdirs(make(f"{self.path}/{table}"))
         live = {fact: [month for month in changed[fact] if month in now[fact]] for fact in FACTS}
         _together(*[lambda of=getattr(self, f"_of_{fact}"), months=live[fact]: of(m, months) for fact in FACTS if live[fact]])
-        bitmap = self._merge_months(seen.get("bitmap"), changed["orders"]) if changed["orders"] else seen.get("bitmap")
-        self._remember({**now, "bitmap": bitmap})
-        if bitmap != seen.get("bitmap") and seen.get("bitmap") is not None:
-            delete(self.spark, f"{self.path}/months/{seen['bitmap']}")
+        made = {"bitmap": seen.get("bitmap"), "counts": seen.get("counts")}
+        if changed["orders"] or made["bitmap"] is None:
+            made["bitmap"] = self._merge_months(made["bitmap"], changed["orders"])
+        if changed["deliveries"] or made["counts"] is None:
+            made["counts"] = self._merge_minutes(now["deliveries"])
+        self._remember({**now, **made})
+        for table, key in (("months", "bitmap"), ("all_minutes", "counts")):
+            if seen.get(key) not in (None, made[key]):
+                delete(self.spark, f"{self.path}/{table}/{seen[key]}")
         return changed
 
     def _put(self, table: str, rows: DataFrame) -> None:
@@ -223,11 +233,20 @@ class Partials:
             for word in sorted({i // BITMAP_MONTHS for i in index}):
                 mask = sum(1 << (i % BITMAP_MONTHS) for i in index if i // BITMAP_MONTHS == word)
                 keep = F.when(F.col("word") == word, F.lit(~mask).cast("long")).otherwise(keep)
-            before = self.months().withColumn("bits", F.col("bits").bitwiseAND(keep))
+            before = self.months().select("customer_id", F.explode("words").alias("w")).select("customer_id", "w.*")
+            before = before.withColumn("bits", F.col("bits").bitwiseAND(keep))
             bits = before.unionByName(bits).groupBy("customer_id", "word").agg(F.bit_or("bits").alias("bits")).filter("bits != 0")
         version = hash_of(f"{old} {changed} {json.dumps(self._seen())}")
-        bits.select("customer_id", F.col("word").cast("int").alias("word"), "bits").write.mode("overwrite").parquet(
-            f"{self.path}/months/{version}")
+        # One row a customer, so that reading needs no grouping.
+        words = F.sort_array(F.collect_list(F.struct(F.col("word").cast("int").alias("word"), "bits"))).alias("words")
+        bits.groupBy("customer_id").agg(words).write.mode("overwrite").parquet(f"{self.path}/months/{version}")
+        return version
+
+    def _merge_minutes(self, now: dict[str, str]) -> str:
+        """A new version of the counts over all months, from the months' counts."""
+        version = hash_of(str(sorted(now.items())))
+        rows = self.read("minutes").groupBy("mins", "late", "timely").agg(F.sum("trips").alias("trips"))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/all_minutes/{version}")
         return version
 
 

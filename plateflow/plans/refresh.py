@@ -156,6 +156,6 @@ def attach_views(m: Marketplace, path: str) -> Marketplace:
                               m.spark.read.parquet(f"{path}/{name}/{entry['version']}"))
     partials = Partials(m.spark, f"{path}/partials")
     if partials.exist():
-        m.stored["delivery_minutes"] = (None, partials.read("minutes"))
+        m.stored["delivery_minutes"] = (None, partials.minutes())
         m.stored["customer_months"] = (None, partials.months())
     return m

@@ -131,7 +131,8 @@ def test_retention_by_bits(spark, max_month):
     bits = Counter()
     for customer, index in active:
         bits[customer, index // 60] |= 1 << index % 60
-    got = common.cohorts_of(spark.createDataFrame([(c, w, b) for (c, w), b in bits.items()], "customer_id long, word int, bits long"), max_month)
+    words = [(c, sorted((w, b) for (d, w), b in bits.items() if d == c)) for c in {c for c, _ in bits}]
+    got = common.cohorts_of(spark.createDataFrame(words, partials.WORDS), max_month)
     first = {c: min(i for d, i in active if d == c) for c, _ in active}
     want = Counter((date(first[c] // 12, first[c] % 12 + 1, 1), i - first[c]) for c, i in active if i - first[c] <= max_month)
     assert {(r.cohort, r.month_number): r.active_customers for r in got.collect()} == want
