@@ -83,5 +83,5 @@ def test_registered():
 
     names = __spark_entry__.queries()
     assert {*queries.QUERIES, "pipeline"} <= set(names)
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert "corpus_pipeline" in sys.modules
