@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,8 @@ from plateflow.llm.word_bpe import TokenizerFile, Vocabulary
 
 #: Distinct pre-tokens laid out at once; bounds the arrays, not the result.
 LAYOUT = 200_000
+#: Bytes of text worked on at once, one text at least; bounds what a worker holds, not the result.
+BYTES_AT_ONCE = 1 << 20
 
 
 def merge_words(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -39,21 +40,16 @@ def merge_words(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarra
 
 
 def _merge(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    specials = vocabulary.specials
-    laid = [[specials[w]] if w in specials else vocabulary.symbols(w) for w in words]
-    sizes = np.fromiter(map(len, laid), np.int64, len(laid))
-    n = int(sizes.sum())
-    symbol = np.fromiter(chain.from_iterable(laid), np.int64, n)
-    del laid
-    word = np.repeat(np.arange(len(sizes)), sizes)
+    laid, sizes = vocabulary.symbols(words)
+    n = len(laid)
+    symbol = np.append(laid, np.int32(-1))
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     # Links to the neighbours inside the word; n stands for none and holds no symbol.
-    after = np.arange(1, n + 1)
-    before = np.arange(-1, n - 1)
+    after = np.arange(1, n + 2, dtype=np.int32)
+    before = np.arange(-1, n, dtype=np.int32)
     last = np.cumsum(sizes) - 1
-    after[last] = n
-    before[last - sizes + 1] = n
-    symbol = np.append(symbol, -1)
-    after, before = np.append(after, n), np.append(before, n)
+    after[last] = after[n] = n
+    before[last - sizes + 1] = before[n] = n
 
     merges, base = vocabulary.merges, len(vocabulary.token_of) + 1
     keyed = {left * base + right: (rank, merged) for (left, right), (rank, merged) in merges.items()} \
@@ -68,7 +64,7 @@ def _merge(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarray, np
         at = at[after[at] != n]
         if not len(at):
             return
-        pairs = symbol[at] * base + symbol[after[at]]
+        pairs = symbol[at].astype(np.int64) * base + symbol[after[at]]
         order = np.argsort(pairs, kind="stable")
         pairs, at = pairs[order], at[order]
         edges = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
@@ -80,7 +76,7 @@ def _merge(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarray, np
                 positions[pair] = [at[lo:hi]]
                 heapq.heappush(active, (found[0], pair))
 
-    note(np.arange(n))
+    note(np.arange(n, dtype=np.int32))
     while active:
         _, pair = heapq.heappop(active)
         at = np.concatenate(positions.pop(pair))
@@ -102,7 +98,7 @@ def _merge(vocabulary: Vocabulary, words: Sequence[str]) -> tuple[np.ndarray, np
         before[beyond[inside]] = at[inside]
         note(np.unique(np.concatenate([before[at][before[at] != n], at])))
     alive = symbol[:n] >= 0
-    return symbol[:n][alive].astype(np.int32), np.bincount(word[alive], minlength=len(sizes))
+    return symbol[:n][alive], np.bincount(word[alive], minlength=len(sizes))
 
 
 def _leftmost(at: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -154,7 +150,7 @@ def encode(docs: DataFrame, tokenizer: TokenizerFile, text: str = "text", keep:
 
         return compute
 
-    return append(docs, [text], "ids array<int>", make, keep)
+    return append(docs, [text], "ids array<int>", make, keep, BYTES_AT_ONCE)
 
 
 def decode(encoded: DataFrame, tokenizer: TokenizerFile, ids: str = "ids", keep: Sequence[str] = ()) -> DataFrame:
@@ -211,4 +207,4 @@ def round_trip(docs: DataFrame, tokenizer: TokenizerFile, text: str = "text", ke
         return compute
 
     outputs = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return append(docs, [text], outputs, make, keep)
+    return append(docs, [text], outputs, make, keep, BYTES_AT_ONCE)

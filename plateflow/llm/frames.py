@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plateflow.session import shared_dir
@@ -35,12 +36,13 @@ Compute = Callable[[Sequence[pa.Array]], Sequence[Sequence | pa.Array]]
 
 
 def append(df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[], Compute],
-           keep: Sequence[str] = ()) -> DataFrame:
+           keep: Sequence[str] = (), most_bytes: int | None = None) -> DataFrame:
     """``keep`` columns of ``df`` followed by the columns that ``make()`` computes from ``inputs``.
 
     ``make`` runs once per task and returns a function from the Arrow arrays of some rows to the
     output columns. One row in, one row out, in place: no shuffle. A kept column whose name is
-    that of an output is replaced by the output.
+    that of an output is replaced by the output. With ``most_bytes`` the function is also given no more
+    than so many bytes of its first input, a text, at once, but one row at least.
     """
     added = T._parse_datatype_string(outputs)
     carry = kept(keep, added.names)
@@ -60,8 +62,8 @@ def append(df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[]
             if batch.num_rows == 0:
                 continue
             compute = compute or make()
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(start, ROWS_AT_ONCE)
+            for start, rows in pieces(batch.column(place[0]), most_bytes):
+                some = batch.slice(start, rows)
                 results = compute([some.column(i) for i in place])
                 arrays = [some.column(i) for i in range(n)]
                 arrays += [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(results, types, strict=True)]
@@ -70,6 +72,21 @@ def append(df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[]
     return frame.mapInArrow(run, schema).toDF(*carry, *added.names)
 
 
+def pieces(array: pa.Array, most_bytes: int | None = None) -> Iterator[tuple[int, int]]:
+    """Where runs of rows begin and how many each has: ``ROWS_AT_ONCE`` and ``most_bytes`` of text at most, one row at least."""
+    if most_bytes is None:
+        yield from ((start, min(ROWS_AT_ONCE, len(array) - start)) for start in range(0, len(array), ROWS_AT_ONCE))
+        return
+    lengths = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(lengths, dtype=np.int64), 0
+    while start < len(array):
+        before = ends[start - 1] if start else 0
+        fit = int(np.searchsorted(ends, before + most_bytes, "right")) - start
+        rows = min(max(fit, 1), ROWS_AT_ONCE, len(array) - start)
+        yield start, rows
+        start += rows
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(arrow_type(kind.elementType))

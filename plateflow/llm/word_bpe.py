@@ -11,8 +11,10 @@ import json
 import re
 import unicodedata
 from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import lru_cache
 
+import numpy as np
 import regex
 
 
@@ -84,8 +86,8 @@ class Vocabulary:
         self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.token_of = {i: t for t, i in vocab.items()} | {i: t for t, i in self.specials.items()}
         letters = _byte_letters()
-        self.inner = [vocab[c] for c in letters]
-        self.final = [vocab[c + end] for c in letters]
+        self.inner = np.array([vocab[c] for c in letters], np.int32)
+        self.final = np.array([vocab[c + end] for c in letters], np.int32)
         #: (left id, right id) -> (rank, id of the merged token)
         self.merges = {}
         for rank, (left, right) in enumerate(model["merges"]):
@@ -123,13 +125,20 @@ class Vocabulary:
                 return self._exact_words(text.translate(self._capitals).lower())
         return self._words(text.lower())
 
-    def symbols(self, word: str) -> list[int]:
-        """The ids a pre-token starts from: one per byte, the last with the word end."""
-        data = word.encode("utf-8")
-        inner = self.inner
-        out = [inner[b] for b in data]
-        out[-1] = self.final[data[-1]]
-        return out
+    def symbols(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that pre-tokens start from, one after the other, and how many each has.
+
+        There is one per byte, the last with the word end; a special string is one id.
+        """
+        coded = [b"\0" if w in self.specials else w.encode("utf-8") for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        out, last = self.inner[data], np.cumsum(sizes) - 1
+        out[last] = self.final[data[last]]
+        for i, word in enumerate(words):
+            if word in self.specials:
+                out[last[i]] = self.specials[word]
+        return out, sizes
 
     def word_of(self, token: str) -> str | None:
         """The pre-token that a token with word end spells, if its bytes are text."""

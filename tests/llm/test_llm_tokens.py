@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import tracemalloc
 
 import public_tokenizers
 import pyarrow as pa
@@ -120,3 +122,32 @@ def test_every_code_point_is_split_and_cased_as_by_the_library(tokenizer, librar
         batch = Batch(vocabulary, pa.array(some))
         for text, row, known in zip(some, batch.rows, library.encode_batch(some, add_special_tokens=False), strict=True):
             assert batch.encoded(row).tolist() == known.ids, hex(ord(text[1]))
+
+
+def test_memory_of_a_batch_is_bounded(tokenizer):
+    """Of symbols and links a pre-token takes little, and a batch has no more text than the bound, but one text at least."""
+    from plateflow.llm.bpe import BYTES_AT_ONCE
+    from plateflow.llm.frames import ROWS_AT_ONCE, pieces
+
+    rng, vocabulary = random.Random(3), tokenizer.load()
+    words = ["".join(rng.choices("etaoinshr", k=9)) for _ in range(60_000)]
+    merge_words(vocabulary, words[:10])
+    tracemalloc.start()
+    merge_words(vocabulary, words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * sum(map(len, words))
+
+    texts = ["x" * 3000] * 5000 + [None, "y" * (3 * BYTES_AT_ONCE), "", "z"] + ["short"] * 5000
+    cut = list(pieces(pa.array(texts), BYTES_AT_ONCE))
+    assert [s for s, _ in cut] == [sum(n for _, n in cut[:i]) for i in range(len(cut))] and sum(n for _, n in cut) == len(texts)
+    for start, n in cut:
+        assert 1 <= n <= ROWS_AT_ONCE
+        assert n == 1 or sum(len(t or "") for t in texts[start:start + n]) <= BYTES_AT_ONCE
+    assert len(cut) < 25
+
+
+def test_texts_around_the_bound(spark, tokenizer, library, monkeypatch):
+    monkeypatch.setattr("plateflow.llm.bpe.BYTES_AT_ONCE", 50)
+    for r in round_trip(awkward(spark), tokenizer, keep=["doc_id", "text"]).collect():
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == digests(library, r.text)
