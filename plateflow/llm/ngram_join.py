@@ -8,7 +8,7 @@ rarest quarter of columns can be left out: a pair at or above the threshold shar
 2. Every row gives its leading columns. Columns of a single row are dropped.
 3. Each row is compared with one row of its columns, the one whose leading columns are shared
    most. That links most members of a group of near copies at the price of one comparison each.
-4. Columns whose rows are still in different components are multiplied in tiles of bounded size;
+4. Columns are multiplied in tiles of bounded size, where rows are still in different components;
    pairs below the bounds that follow from their sizes and positions are discarded, pairs within
    a component are not formed. What is left is compared exactly.
 
@@ -21,10 +21,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateflow.llm.components import connected
@@ -34,16 +36,17 @@ from plateflow.session import cut
 WORDS = 5
 #: Similarity as a fraction, so that bounds are exact.
 ABOVE, OF = 75, 100
-SKETCH_BITS = 23  # counters of the sketch: 32 MB for every worker
-MARK_FACTOR = 16  # bits for each of what is marked in a bit array sent to every worker,
+SKETCH_BITS = 25  # counters of the sketch, one byte each: 32 MB for every worker
+MARK_FACTOR = 64  # bits for each of what is marked in a bit array sent to every worker,
 MOST_BITS = 29  # which has 64 MB at most; beyond that it lets more through and loses nothing
-PAIRS_SENT = 500_000  # pairs sent to every worker at once, 24 MB; more are joined by a shuffle
+PAIRS_SENT = 500_000  # pairs, or names of large columns, sent to every worker at once, 24 MB; more are joined by a shuffle
 TILE = 512  # rows on each side of a tile
 GROUP = 256  # rows compared with the same row in one task
+ROWS_COUNTED = 256  # texts whose n-grams are counted at once
 
 #: A-Z to a-z, white space to spaces.
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time; a worker keeps 32 times as many in tables
 #: A polynomial hash modulo 2**64: a number for each byte, an odd base, its powers and its inverse's.
 _BYTES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 3
@@ -121,18 +124,23 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _count(docs: DataFrame, words: int) -> np.ndarray:
-    """The sketch: how many n-grams fall to each counter. Sums are formed in two steps of bounded size."""
-    size, blocks, groups = 1 << SKETCH_BITS, 64, 32
+    """The sketch: how many n-grams fall to each counter, as codes.
+
+    A task counts up to 255; its counters are added as whole numbers, in two steps of as many parts each as
+    the root of the number of tasks.
+    """
+    size, blocks = 1 << SKETCH_BITS, 64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int32)
-        seen, salt = False, 0
+        total = np.zeros(size, np.uint8)
+        seen, salt = False, isqrt(TaskContext.get().partitionId())
         for batch in batches:
-            for text in texts(batch.column(0)):
-                hashes = shingles(text, words).view(np.uint64)
+            for start in range(0, batch.num_rows, ROWS_COUNTED):
+                sets = [shingles(t, words) for t in texts(batch.column(0).slice(start, ROWS_COUNTED))]
+                hashes = np.concatenate(sets).view(np.uint64)
                 if len(hashes):
-                    seen, salt = True, int(hashes[0] % np.uint64(groups))
-                    np.add.at(total, (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    seen = True
+                    _add(total, (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(blocks), pa.int32()), pa.array([salt] * blocks, pa.int32()),
@@ -151,21 +159,40 @@ def _count(docs: DataFrame, words: int) -> np.ndarray:
     schema = "block int, salt int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
     parts = parts.groupBy("block", "salt").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
-    out = np.zeros(size, np.int32)
+    out = np.zeros(size, np.uint8)
     width = size // blocks
     for row in parts.collect():
-        out[row["block"] * width:(row["block"] + 1) * width] = _unpacked(row["counts"])
+        out[row["block"] * width:(row["block"] + 1) * width] = _coded(_unpacked(row["counts"]))
     return out
 
 
+def _add(total: np.ndarray, places: np.ndarray) -> None:
+    """Count ``places`` in counters of one byte, which stop at 255."""
+    places, times = np.unique(places, return_counts=True)
+    total[places] = np.minimum(total[places] + times, 255)
+
+
+def _coded(counts: np.ndarray) -> np.ndarray:
+    """Counts up to 2**31 as one byte each, in the same order: exact up to 127, then in steps of an eighth or less."""
+    steps = np.floor(128 + 5.25 * np.log2(np.maximum(counts, 128) / 128))
+    return np.where(counts < 128, counts, steps).astype(np.uint8)
+
+
 def _packed(counts: np.ndarray) -> bytes:
-    """Counters in as few bytes each as the largest takes, compressed."""
+    """Counters, a multiple of 8: a bit each for those above 0, and these in as few bytes each as the largest takes."""
     kind = np.min_scalar_type(int(counts.max(initial=0)))
-    return bytes([kind.itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+    there = counts > 0
+    coder = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    bits = coder.compress(np.packbits(there).tobytes()) + coder.flush()
+    return bytes([kind.itemsize]) + len(bits).to_bytes(4, "little") + bits + zlib.compress(counts[there].astype(kind).tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[0]}")
+    end = 5 + int.from_bytes(data[1:5], "little")
+    there = np.unpackbits(np.frombuffer(zlib.decompress(data[5:end]), np.uint8)).view(bool)
+    out = np.zeros(len(there), f"<u{data[0]}")
+    out[there] = np.frombuffer(zlib.decompress(data[end:]), out.dtype)
+    return out
 
 
 def _features(docs: DataFrame, sketch, words: int) -> DataFrame:
@@ -316,14 +343,30 @@ def _one_each(entries: DataFrame) -> DataFrame:
     return often.groupBy("a").agg(F.max(F.struct("times", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
 
-def _remaining(entries: DataFrame, roots: DataFrame) -> DataFrame:
+def _remaining(entries: DataFrame, roots: DataFrame, path: str) -> DataFrame:
     """Pairs (a, b) of different components that share a leading column and pass the bounds.
 
-    The rows of a column's largest component (side 0) meet only the other rows (side 1); those
-    also meet each other. Both sides are cut into chunks, and each two chunks are a tile.
+    A column of up to ``TILE`` rows is a tile. Of a larger one, the rows of its largest component (side 0)
+    meet only the other rows (side 1); those also meet each other. Both sides are cut into chunks, and each
+    two chunks are a tile.
     """
     known = roots.select(F.col("node").alias("key"), "root")
-    rows = entries.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    large = stored(entries.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > TILE).select("g"), path)
+    n_large = large.count()
+    sent = F.broadcast(large) if n_large <= PAIRS_SENT else large
+
+    def rooted(some: DataFrame) -> DataFrame:
+        return some.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+    whole = rooted(entries.join(sent, "g", "left_anti") if n_large else entries).select(
+        F.col("g").alias("tile"), F.lit(2).cast("byte").alias("part"), "key", "root", F.col("n").cast("int").alias("n"), "left", "reach")
+    tiles = whole.union(_cut_tiles(rooted(entries.join(sent, "g", "left_semi")))) if n_large else whole
+    dealt = tiles.repartition("tile").sortWithinPartitions("tile")
+    return dealt.mapInArrow(_multiply, "a long, b long").distinct()
+
+
+def _cut_tiles(rows: DataFrame) -> DataFrame:
+    """The tiles of large columns, a row for each row that a tile has."""
     sizes = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.groupBy("g").agg(F.max(F.struct("rows", "root")).alias("m"), F.sum("rows").alias("all"))
     sizes = sizes.select("g", F.col("m.root").alias("main"), F.ceil(F.col("m.rows") / TILE).alias("chunks0"),
@@ -344,9 +387,24 @@ def _remaining(entries: DataFrame, roots: DataFrame) -> DataFrame:
         F.transform(F.sequence(zero, F.col("chunks1") - 1), lambda j: tile(
             1, F.least(mine, j), F.greatest(mine, j), F.when(mine == j, 2).when(mine < j, 0).otherwise(1))))
     tiles = rows.select(F.explode(F.when(F.col("side") == 0, mixed).otherwise(others)).alias("t"), "key", "root", "n", "left", "reach")
-    tiles = tiles.select("t.tile", "t.part", "key", "root", F.col("n").cast("int").alias("n"), "left", "reach")
-    dealt = tiles.repartition("tile").sortWithinPartitions("tile")
-    return dealt.mapInArrow(_multiply, "a long, b long").distinct()
+    return tiles.select("t.tile", "t.part", "key", "root", F.col("n").cast("int").alias("n"), "left", "reach")
+
+
+def _main_last(root: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows in which each tile has its largest component last, and which rows are of it."""
+    sizes = np.diff(edges)
+    tile = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((root, tile))
+    runs = np.flatnonzero(np.append(True, (root[order][1:] != root[order][:-1]) | (tile[1:] != tile[:-1])))
+    lengths = np.diff(np.append(runs, len(root)))
+    of = tile[runs]
+    # The last of a tile's runs by length is its main one.
+    ranked = np.lexsort((lengths, of))
+    mains = np.zeros(len(runs), bool)
+    mains[ranked[np.append(of[1:] != of[:-1], True)]] = True
+    main = np.repeat(mains, lengths)
+    last = np.lexsort((main, tile))
+    return order[last], main[last]
 
 
 def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,9 +424,14 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 & (np.maximum(reach[x], reach[y]) >= need))
 
     def found(rows: list[np.ndarray], edges: np.ndarray) -> np.ndarray:
-        """Pairs of all tiles: each row with the k-th after it, for every k, while that is in its tile."""
+        """Pairs of all tiles: each row with the k-th after it, for every k, while that is in its tile.
+
+        The rows of a tile's largest component do not meet each other. They come last and ask nothing.
+        """
+        order, main = _main_last(rows[3], edges)
+        rows = [r[order] for r in rows]
         end = np.repeat(edges[1:], np.diff(edges))
-        at, pairs, k = np.arange(len(end)), [np.zeros((0, 2), np.int64)], 0
+        at, pairs, k = np.flatnonzero(~main), [np.zeros((0, 2), np.int64)], 0
         while True:
             k += 1
             at = at[at + k < end[at]]
@@ -432,7 +495,7 @@ def _linked(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
             discard(spark, f"{folder}/{part}")
         pairs = stored(_one_each(entries), f"{folder}/pairs1")
         first = _links(docs, pairs, words, f"{folder}/links1")
-        others = stored(_remaining(entries, connected(first)), f"{folder}/pairs2")
+        others = stored(_remaining(entries, connected(first), f"{folder}/large"), f"{folder}/pairs2")
         roots = connected(first.union(_links(docs, others, words, f"{folder}/links2")))
     return listed, roots
 

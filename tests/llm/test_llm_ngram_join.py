@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from llm_frames import awkward, empty, prose, rows
 
@@ -97,3 +98,40 @@ def test_components(spark, edges):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_sparse_counters_are_small():
+    """A task fills a small part of its counters; they take about what tells which ones."""
+    rng = np.random.default_rng(1)
+    counts = np.zeros(1 << 19, np.uint8)
+    nj._add(counts, rng.integers(0, 1 << 19, 42_000, dtype=np.uint32))
+    packed = nj._packed(counts)
+    assert len(packed) < 45_000 and nj._unpacked(packed).tolist() == counts.tolist()
+    for some in (np.zeros(64, np.uint8), np.arange(1 << 12), np.full(8, 2**31 - 1)):
+        assert nj._unpacked(nj._packed(some)).tolist() == some.tolist()
+    nj._add(counts, np.full(1000, 7, np.uint32))
+    assert counts[7] == 255
+    codes = nj._coded(np.append(np.arange(200_000), 2**31 - 1))
+    assert codes.dtype == np.uint8 and codes[:128].tolist() == list(range(128)) and (np.diff(codes.astype(int)) >= 0).all()
+
+
+def test_few_columns_are_marked_by_mistake(spark):
+    rng = np.random.default_rng(2)
+    marked, others = rng.integers(-2**63, 2**63 - 1, 5000), rng.integers(-2**63, 2**63 - 1, 100_000)
+    bits = nj._bits(len(marked))
+    array = nj.bitmap(spark.createDataFrame([(int(h),) for h in marked], "g long"), "g", bits)
+    assert nj.in_bitmap(array, bits, marked).all()
+    assert nj.in_bitmap(array, bits, others).mean() < 0.02
+    assert nj._bits(10**12) == nj.MOST_BITS
+
+
+def test_largest_component_of_a_tile_comes_last():
+    rng = np.random.default_rng(4)
+    root = np.concatenate([rng.integers(0, 4, 30), [9], [5, 5, 6], rng.integers(0, 3, 50)])
+    edges = np.array([0, 30, 31, 34, 84])
+    order, main = nj._main_last(root, edges)
+    assert sorted(order.tolist()) == list(range(84))
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        own, last = root[order[lo:hi]], main[lo:hi]
+        assert sorted(order[lo:hi].tolist()) == list(range(lo, hi)) and (np.diff(last.astype(int)) >= 0).all()
+        assert len(set(own[last])) == 1 and last.sum() == np.bincount(own).max() and not set(own[last]) & set(own[~last])
