@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from plateflow.functions.literal import table_of
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
+# Keys are counted in so many groups first.
+GROUPS = 1 << 14
+
+
+def hot_keys(fact: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``key, n`` of the keys with more than ``hot_rows`` facts, for ``join_spread``.
+
+    Rows are counted by a hash of the key, and by key only where a hash has enough of them, so
+    hardly anything is shuffled. ``fact`` is read twice at most: store it before. The list has at
+    most ``facts / hot_rows`` entries and is held by the driver.
+    """
+    found = fact.filter(F.col(key).isNotNull()).select(key, F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group"))
+    n = F.count(F.lit(1)).alias("n")
+    full = [r["_group"] for r in found.groupBy("_group").agg(n).filter(F.col("n") > hot_rows).collect()]
+    rows = found.filter(F.col("_group").isin(full)).groupBy(key).agg(n).filter(F.col("n") > hot_rows).collect() if full else []
+    return table_of(fact.sparkSession, [tuple(r) for r in rows],
+                    T.StructType([T.StructField(key, fact.schema[key].dataType), T.StructField("n", T.LongType())]))
 
 
 def join_spread(fact: DataFrame, keyed: DataFrame, key: str, row_id: str, how: str = "inner",

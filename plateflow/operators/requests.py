@@ -15,13 +15,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateflow.functions.ordering import Want, add_orders, asc, desc
-from plateflow.functions.skew import join_spread
+from plateflow.functions.skew import hot_keys, join_spread
 from plateflow.model import DEFAULT_FEE, Marketplace
+from plateflow.session import delete, kept, scratch, written
 
 ITEMS = "array<struct<item_id:long,quantity:int>>"
 # Error codes of the order service.
 NO_CUSTOMER, NO_RESTAURANT, NO_ITEM, NO_PARTNER = "P0001", "P0002", "P0003", "P0010"
 BAD_ITEMS = "22P02"
+# Lines beyond this number are priced in several passes, each with its share of the items: only one share lies in shuffle files.
+LINES_AT_ONCE, PASSES = 1_000_000, 4
 
 
 @dataclass(frozen=True)
@@ -42,36 +45,91 @@ def transaction_id(order_id: Column) -> Column:
     return F.concat(F.lit("TXN"), F.call_function("lpad", text, F.greatest(F.lit(10), F.length(text)), F.lit("0")))
 
 
-def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
-    """Validate, price and record order requests.
-
-    ``requests``: request_id, customer_id, restaurant_id, address_id, items (JSON array of
-    item_id and quantity), promo_code, payment_method, order_channel, requested_at. The
-    request number becomes the order number. A list of items that is missing, no JSON array, or
-    has an entry without item or quantity is rejected before anything else is looked at.
-    """
-    parsed = requests.withColumn("_items", F.from_json("items", ITEMS))
-    whole = F.forall("_items", lambda x: x["item_id"].isNotNull() & x["quantity"].isNotNull())
-    parsed = parsed.withColumn("_broken", ~F.coalesce(whole, F.lit(False)))
-    lines = parsed.select("request_id", F.posexplode("_items").alias("_pos", "_item")).select(
+def _lines(parsed: DataFrame) -> DataFrame:
+    return parsed.select("request_id", F.posexplode("_items").alias("_pos", "_item")).select(
         "request_id", "_pos", "_item.item_id", "_item.quantity")
-    menu = m.menu_items("item_id", "price", "is_available").withColumn("_found", F.lit(True))
-    priced = join_spread(lines, menu, "item_id", "request_id", how="left")
+
+
+def _priced(lines: DataFrame, menu: DataFrame, hot: DataFrame) -> DataFrame:
+    return join_spread(lines, menu, "item_id", "request_id", how="left", counts=hot)
+
+
+def _carts(asked: DataFrame, menu: DataFrame, hot: DataFrame, folder: str) -> DataFrame:
+    """Subtotal and first unavailable item of each request."""
+    lines, count = _lines(asked), asked.agg(F.sum(F.size("_items"))).first()[0] or 0
+    passes = PASSES if count > LINES_AT_ONCE else 1
+    place = F.pmod(F.xxhash64(F.col("item_id").cast("long")), F.lit(passes))
     missing = ~F.coalesce(F.col("is_available"), F.lit(False))
-    carts = priced.groupBy("request_id").agg(
-        F.sum(F.col("price") * F.col("quantity")).alias("_subtotal"),
-        F.min_by(F.when(missing, F.col("item_id")), F.when(missing, F.col("_pos"))).alias("_bad_item"))
+    for i in range(passes):
+        priced = _priced(lines, menu, hot) if passes == 1 else _priced(lines.filter(place == i), menu.filter(place == i), hot)
+        # Only what the sums need goes on; the price of a whole line is exact.
+        priced = written(priced.select(
+            "request_id", (F.col("price") * F.col("quantity")).alias("_amount"),
+            F.when(missing, F.col("item_id")).alias("_bad"), F.when(missing, F.col("_pos")).alias("_bad_pos")),
+            f"{folder}/priced", "append")
+    carts = written(priced.groupBy("request_id").agg(
+        F.sum("_amount").alias("_subtotal"), F.min_by("_bad", "_bad_pos").alias("_bad_item")), f"{folder}/carts")
+    delete(asked.sparkSession, f"{folder}/priced")
+    return carts
+
+
+def _judged(m: Marketplace, asked: DataFrame, carts: DataFrame, folder: str) -> DataFrame:
+    """Requests with their subtotal, the error of each (or NULL), and what comes from their restaurant.
+
+    Each table is looked up in a step of its own; ``folder``/asked, which is ``asked``, is deleted after the first one.
+    """
+    spark, heads = asked.sparkSession, asked.drop("_items")
     people = m.customers("customer_id", "is_active").withColumnRenamed("is_active", "_customer_ok")
     rests = m.restaurants("restaurant_id", "is_active", "zone_id", "commission_rate").withColumnRenamed(
         "is_active", "_restaurant_ok")
-    df = parsed.join(carts, "request_id", "left")
-    df = join_spread(df, people, "customer_id", "request_id", how="left")
-    df = join_spread(df, rests, "restaurant_id", "request_id", how="left")
+    df = join_spread(heads, people, "customer_id", "request_id", how="left", counts=hot_keys(heads, "customer_id"))
+    df = written(df, f"{folder}/people")
+    delete(spark, f"{folder}/asked")
+    df = join_spread(df, rests, "restaurant_id", "request_id", how="left", counts=hot_keys(df, "restaurant_id"))
+    df = written(df, f"{folder}/checked")
+    delete(spark, f"{folder}/people")
+    df = df.join(carts, "request_id", "left")
     no = F.lit(False)
     code = (
         F.when(F.col("_broken"), BAD_ITEMS).when(~F.coalesce("_customer_ok", no), NO_CUSTOMER).when(~F.coalesce("_restaurant_ok", no), NO_RESTAURANT)
         .when(F.col("_bad_item").isNotNull(), NO_ITEM)
     )
+    return df.withColumns({"error_code": code, "_sub": F.coalesce("_subtotal", F.lit(0)).cast("decimal(10,2)")}).drop(
+        "_broken", "_customer_ok", "_restaurant_ok", "_subtotal")
+
+
+def _live(m: Marketplace, as_of: date) -> DataFrame:
+    """Promotions that can be used on a day, with the number of uses left (NULL: any)."""
+    promos = m.promotions("promotion_id", "promo_code", "promo_type", "discount_value", "min_order_amount",
+                          "max_discount", "max_uses", "current_uses", "start_date", "end_date", "is_active")
+    today = F.lit(as_of)
+    live = promos.filter(F.col("is_active") & today.between(F.col("start_date"), F.col("end_date"))
+                         & (F.col("max_uses").isNull() | (F.col("current_uses") < F.col("max_uses"))))
+    return live.select("promo_code", "promotion_id", "promo_type", "discount_value", "min_order_amount",
+                       "max_discount", (F.col("max_uses") - F.col("current_uses")).alias("_left"))
+
+
+def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
+    """Validate, price and record order requests.
+
+    ``requests``: request_id, customer_id, restaurant_id, address_id, items (JSON array of
+    item_id and quantity), promo_code, payment_method, order_channel, requested_at. The
+    request number becomes the order number. A list of items that is missing, no JSON array, or
+    has an entry without item or quantity is rejected before anything else is looked at.
+
+    Requests are parsed, priced, checked and judged in steps, each written as Parquet, so that a step's
+    shuffle files and input are gone when the next one starts. Whoever reads the items prices their lines again.
+    """
+    whole = F.forall("_items", lambda x: x["item_id"].isNotNull() & x["quantity"].isNotNull())
+    parsed = requests.withColumn("_items", F.from_json("items", ITEMS)).select(
+        "request_id", "customer_id", "restaurant_id", "address_id", "promo_code", "payment_method", "order_channel",
+        "requested_at", "_items", (~F.coalesce(whole, F.lit(False))).alias("_broken"))
+    menu = m.menu_items("item_id", "price", "is_available")
+    with scratch(requests.sparkSession) as folder:
+        asked = written(parsed, f"{folder}/asked")
+        hot_items = hot_keys(_lines(asked), "item_id")
+        carts = _carts(asked, menu, hot_items, folder)
+        judged = kept(_judged(m, asked, carts, folder))
     reason = (
         F.when(F.col("error_code") == BAD_ITEMS, F.lit("Items are no list of item_id and quantity"))
         .when(F.col("error_code") == NO_CUSTOMER, F.concat(
@@ -80,24 +138,17 @@ def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
             F.lit("Restaurant "), F.col("restaurant_id").cast("string"), F.lit(" not found or inactive")))
         .otherwise(F.concat(F.lit("Item "), F.col("_bad_item").cast("string"), F.lit(" not available")))
     )
-    df = df.withColumn("error_code", code).withColumn("_sub", F.coalesce("_subtotal", F.lit(0)).cast("decimal(10,2)"))
-    rejects = df.filter("error_code is not null").select("request_id", "error_code", reason.alias("message"))
+    rejects = judged.filter("error_code is not null").select("request_id", "error_code", reason.alias("message"))
 
-    promos = m.promotions("promotion_id", "promo_code", "promo_type", "discount_value", "min_order_amount",
-                          "max_discount", "max_uses", "current_uses", "start_date", "end_date", "is_active")
-    today = F.lit(as_of)
-    live = promos.filter(F.col("is_active") & today.between(F.col("start_date"), F.col("end_date"))
-                         & (F.col("max_uses").isNull() | (F.col("current_uses") < F.col("max_uses"))))
-    live = live.select("promo_code", "promotion_id", "promo_type", "discount_value", "min_order_amount",
-                       "max_discount", (F.col("max_uses") - F.col("current_uses")).alias("_left"))
-    ok = df.filter("error_code is null").join(live, "promo_code", "left")
+    # Stored first, so that Spark knows their size: few promotions, or few requests without a place, move no request.
+    ok = judged.filter("error_code is null").join(kept(_live(m, as_of)), "promo_code", "left")
     fits = F.col("promotion_id").isNotNull() & (F.col("_sub") >= F.col("min_order_amount"))
     ok = ok.withColumn("_promo", F.when(fits, F.col("promotion_id")))
     # A limited promotion serves the first requests only; their places need a ranking per promotion.
     limited = ok.filter("_promo is not null and _left is not null").select("request_id", "requested_at", "_promo", "_left")
     placed = add_orders(limited, ["request_id"],
                         Want((asc("requested_at"),), partition=("_promo",), row_number="_place"))
-    spent = placed.filter(F.col("_place") > F.col("_left")).select("request_id", F.lit(True).alias("_spent"))
+    spent = kept(placed.filter(F.col("_place") > F.col("_left")).select("request_id", F.lit(True).alias("_spent")))
     ok = ok.join(spent, "request_id", "left").withColumn("_promo", F.when(F.col("_spent").isNull(), F.col("_promo")))
 
     has, kind, sub = F.col("_promo").isNotNull(), F.col("promo_type"), F.col("_sub")
@@ -119,7 +170,7 @@ def place_orders(m: Marketplace, requests: DataFrame, as_of: date) -> Placed:
         F.lit("Placed").alias("order_status"), "order_channel", sub.alias("subtotal_amount"), "discount_amount",
         "delivery_fee", "taxes", "total_amount", _money(commission, 8).alias("platform_commission"), "payment_method")
     good = orders.select(F.col("order_id").alias("request_id"))
-    items = priced.join(good, "request_id", "left_semi").select(
+    items = _priced(_lines(parsed), menu, hot_items).join(good, "request_id", "left_semi").select(
         F.col("request_id").alias("order_id"), "item_id", "quantity", F.col("price").alias("unit_price"),
         (F.col("price") * F.col("quantity")).cast("decimal(12,2)").alias("item_total"))
     payments = orders.select(
