@@ -16,18 +16,21 @@ CODES = ("WELCOME50", "SAVE20", "FREEDEL", "WEEKEND30", "LOYAL100", "FLASH40", "
 
 
 def order_requests(m: Marketplace) -> DataFrame:
-    """Every order asked for again: its lines as JSON, a promotion code by number; two in 211 lists are broken."""
-    lines = m.source.raw("lineitem").groupBy("l_orderkey").agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct(
-            (F.col("l_suppkey") * ITEM_FACTOR + F.col("l_partkey")).alias("item_id"),
-            F.col("l_quantity").cast("int").alias("quantity"))))).alias("items"))
-    orders = m.orders("order_id", "customer_id", "restaurant_id", "address_id", "payment_method", "order_channel",
-                      "order_timestamp")
+    """Every order asked for again: its lines as JSON, a promotion code by number; two in 211 lists are broken.
+
+    Line items move once: an order's restaurant, that of its first line, is read off the same list as its items.
+    """
+    lines = m.source.raw("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("quantity"))).alias("_lines"))
+    items = F.to_json(F.sort_array(F.transform("_lines", lambda x: F.struct(
+        (x["l_suppkey"] * ITEM_FACTOR + x["l_partkey"]).alias("item_id"), x["quantity"].alias("quantity")))))
+    orders = m.orders("order_id", "customer_id", "address_id", "payment_method", "order_channel", "order_timestamp")
     pick = F.try_element_at(F.array(*[F.lit(c) for c in CODES]), (F.col("order_id") % 13 + 1).cast("int"))
     return orders.join(lines, F.col("order_id") == F.col("l_orderkey"), "left").select(
-        F.col("order_id").alias("request_id"), "customer_id", "restaurant_id", "address_id",
+        F.col("order_id").alias("request_id"), "customer_id",
+        F.coalesce(F.array_min("_lines")["l_suppkey"], F.col("order_id") % 10).alias("restaurant_id"), "address_id",
         F.when(F.col("order_id") % 211 == 7, "{broken").when(F.col("order_id") % 211 == 8, '[{"item_id":1}]')
-        .otherwise(F.coalesce("items", F.lit("[]"))).alias("items"), pick.alias("promo_code"), "payment_method", "order_channel",
+        .otherwise(F.coalesce(items, F.lit("[]"))).alias("items"), pick.alias("promo_code"), "payment_method", "order_channel",
         F.col("order_timestamp").alias("requested_at"))
 
 

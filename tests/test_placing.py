@@ -8,6 +8,7 @@ import os
 import random
 import time
 from collections import Counter, defaultdict
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -18,6 +19,8 @@ from test_jobs import PROMOS, REST, TODAY
 from plateflow.functions.skew import hot_keys, join_spread
 from plateflow.operators import requests
 from plateflow.session import kept, scratch, written
+from plateflow.sources.star import ITEM_FACTOR, STAR, star_market
+from plateflow.sources.star_requests import order_requests
 
 NAMES = "request_id long, customer_id long, restaurant_id long, address_id long, items string, promo_code string, " \
         "payment_method string, order_channel string, requested_at string"
@@ -143,3 +146,29 @@ def test_written_leaves_settings(spark):
             twice = written(spark.range(3).repartition(2, "id"), f"{folder}/x", mode)
         assert twice.count() == 6
     assert spark.conf.get(key) == before and not os.path.exists(folder)
+
+
+def test_order_requests_move_lines_once(spark, tmp_path):
+    """Restaurant and items of an order come from one list; orders without lines, missing values, lines and orders that come twice."""
+    rng = random.Random(5)
+    orders = [(i, i % 7, "O", 1.0, datetime(2000, 1, 1), "1") for i in range(1, 60)] + [(4, 4, "O", 1.0, datetime(2000, 1, 1), "1")]
+    lines = [(rng.randrange(1, 55), rng.choice([None, *range(1, 9)]), rng.choice([None, *range(1, 6)]), rng.choice([None, 1, 2, 3]),
+              rng.choice([None, 1.0, 17.0]), 1.0, rng.choice([0.01, 0.05]), 0.0, "N", "O", None) for _ in range(150)]
+    lines += [*lines[:20], (None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", None)]
+    for name, rows in (("orders", orders), ("lineitem", lines)):
+        spark.createDataFrame(rows, STAR[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = order_requests(star_market(spark, str(tmp_path)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Relation [l_orderkey") == 1
+    nulls_first = lambda values: tuple((v is not None, v or 0) for v in values)
+    want = Counter()
+    for key, customer, *_ in orders:
+        own = sorted((x for x in lines if x[0] == key), key=lambda x: nulls_first((x[3], x[1], x[2], x[4])))
+        first = own[0][2] if own else None
+        items = sorted(((None if x[1] is None or x[2] is None else x[2] * ITEM_FACTOR + x[1], None if x[4] is None else int(x[4]))
+                        for x in own), key=nulls_first)
+        text = json.dumps([{k: v for k, v in zip(("item_id", "quantity"), x, strict=True) if v is not None} for x in items],
+                          separators=(",", ":"))
+        text = "{broken" if key % 211 == 7 else '[{"item_id":1}]' if key % 211 == 8 else text
+        want[key, customer, key % 10 if first is None else first, text] += 1
+    assert Counter((r["request_id"], r["customer_id"], r["restaurant_id"], r["items"]) for r in found.collect()) == want
